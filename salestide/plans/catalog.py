@@ -309,3 +309,205 @@ def k13_kpi_summary(spark, sf_dir):
         lookback=SUMMARY_LOOKBACK, period=SUMMARY_LOOKBACK,
         new_customer_rows=t.signup_customers(), recent_orders=t.event_orders(),
         signups=t.event_customers(), first_orders=t.event_orders())
+
+
+# -- dashboard views ------------------------------------------------------------
+from salestide.operators import extensions, views  # noqa: E402
+
+T02, T03, T04 = ORACLES["t02_regional_revenue"], ORACLES["t03_membership_revenue"], \
+    ORACLES["t04_monthly_sales"]
+T05, T06, T08 = ORACLES["t05_weekday_sales"], ORACLES["t06_hourly_sales"], \
+    ORACLES["t08_category_revenue"]
+
+
+def _share_sql(table_sql: str, label: str, value: str) -> str:
+    return f"""
+with t as ({table_sql}),
+c as (select {label} as label, {value} as revenue from t
+      where {label} is not null and {value} is not null)
+select label, revenue,
+       revenue / (select sum(revenue::decimal(38,2))::double from c) as percent
+from c"""
+
+
+@register("v01_category_share", _share_sql(T08, "category", "revenue_generated"))
+def v01_category_share(spark, sf_dir):
+    return views.category_share(t08_category_revenue(spark, sf_dir))
+
+
+@register("v02_location_share", _share_sql(T02, "location", "total_revenue"))
+def v02_location_share(spark, sf_dir):
+    return views.location_share(t02_regional_revenue(spark, sf_dir))
+
+
+@register("v03_weekday_named", f"""
+with t as ({T05})
+select order_weekday,
+       case order_weekday when 1 then 'Sun' when 2 then 'Mon' when 3 then 'Tue'
+            when 4 then 'Wed' when 5 then 'Thu' when 6 then 'Fri' when 7 then 'Sat' end
+         as weekday,
+       weekday_sales
+from t where order_weekday is not null and weekday_sales is not null
+""")
+def v03_weekday_named(spark, sf_dir):
+    return views.weekday_named(t05_weekday_sales(spark, sf_dir))
+
+
+@register("v04_membership_clean", f"""
+with t as ({T03})
+select membership_type as label, revenue_generated as revenue from t
+where membership_type is not null and revenue_generated is not null
+""")
+def v04_membership_clean(spark, sf_dir):
+    return views.membership_clean(t03_membership_revenue(spark, sf_dir))
+
+
+@register("v05_monthly_trend", f"""
+with t as ({T04})
+select order_month::int as order_month, monthly_sales::double as monthly_sales from t
+where order_month is not null and monthly_sales is not null
+""")
+def v05_monthly_trend(spark, sf_dir):
+    return views.trend_clean(t04_monthly_sales(spark, sf_dir))
+
+
+@register("v05_hourly_trend", f"""
+with t as ({T06})
+select order_hour::int as order_hour, hourly_sales::double as hourly_sales from t
+where order_hour is not null and hourly_sales is not null
+""")
+def v05_hourly_trend(spark, sf_dir):
+    return views.trend_clean(t06_hourly_sales(spark, sf_dir))
+
+
+# -- extensions (requirements never computed by the original job) ---------------
+
+@register("d01_customer_distribution", f"""
+select membership_type, count(distinct customer_id) as customer_count,
+       (count(distinct customer_id)::double
+        / (select count(distinct customer_id) from {C} c2)) * 100 as percent
+from {C} c group by membership_type
+""")
+def d01_customer_distribution(spark, sf_dir):
+    # The stored customers carry no gender; the market segment stands in.
+    return extensions.customer_distribution(_t(spark, sf_dir).customers(), by="membership_type")
+
+
+@register("d02_total_customers",
+          f"select count(distinct customer_id) as total_customers from {C} c")
+def d02_total_customers(spark, sf_dir):
+    return extensions.total_customers(_t(spark, sf_dir).customers())
+
+
+@register("d03_total_products",
+          f"select count(distinct product_id) as total_products from {P} p")
+def d03_total_products(spark, sf_dir):
+    return extensions.total_products(_t(spark, sf_dir).products())
+
+
+@register("d04_top_selling_products", f"""
+with u as (select product_id, sum(quantity)::bigint as units_sold from {I} i group by 1)
+select u.product_id, p.name, u.units_sold
+from u left join {P} p on u.product_id = p.product_id
+order by u.units_sold desc, u.product_id, p.name nulls first
+limit 10
+""")
+def d04_top_selling_products(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return extensions.top_selling_products(t.order_items(), t.products())
+
+
+@register("d05_sales_per_customer", f"""
+select customer_id, count(order_id) as order_count, sum(total_amount)::double as total_sales,
+       sum(total_amount)::double / count(order_id)::double as avg_order_value
+from {O} o group by customer_id
+""")
+def d05_sales_per_customer(spark, sf_dir):
+    return extensions.sales_per_customer(_t(spark, sf_dir).orders())
+
+
+@register("d06_conversion_rate", """
+with l as (select distinct user_id from events where event_type = 'view' and user_id is not null),
+b as (select distinct user_id from events where event_type = 'purchase' and user_id is not null)
+select count(*) as leads, count(b.user_id) as converted,
+       (count(b.user_id)::double / count(*)) * 100 as conversion_rate_pct
+from l left join b on l.user_id = b.user_id
+""")
+def d06_conversion_rate(spark, sf_dir):
+    from pyspark.sql import functions as F
+    ev = _t(spark, sf_dir).raw("events")
+    visitors = ev.where(F.col("event_type") == "view").select(F.col("user_id").alias("customer_id"))
+    buyers = ev.where(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("customer_id"))
+    return extensions.conversion_rate(visitors, buyers)
+
+
+@register("d07_retention_in_period", f"""
+with g as (
+  select customer_id, order_date,
+         lag(order_date) over (partition by customer_id order by order_date) as prev
+  from {O} o where order_date is not null),
+per as (
+  select customer_id,
+         max(case when prev is not null and order_date <= prev + interval 30 day
+                  then 1 else 0 end) as r
+  from g group by customer_id)
+select count(*) as customers, sum(r)::bigint as repeat_customers,
+       (sum(r)::double / count(*)) * 100 as retention_pct
+from per
+""")
+def d07_retention_in_period(spark, sf_dir):
+    return extensions.retention_in_period(_t(spark, sf_dir).orders(), period="30 days")
+
+
+@register("d08_gross_margin", f"""
+with j as (select i.quantity as q, i.line_amount, p.price
+           from {I} i left join {P} p on i.product_id = p.product_id),
+a as (select sum(line_amount) as rev, sum(q * (price * 0.7)) as cogs from j)
+select rev::double as revenue, cogs::double as cogs,
+       ((rev - coalesce(cogs, 0))::double / rev::double) * 100 as gross_margin_pct
+from a
+""")
+def d08_gross_margin(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return extensions.gross_margin(t.order_items(), t.products())
+
+
+@register("d09_cac_new_only", f"""
+select case when count(distinct customer_id) > 0
+            then 50000.0::double / count(distinct customer_id) else 0.0 end as cac_new
+from {SC} s where signup_date >= {EA} - interval 3 hour
+""")
+def d09_cac_new_only(spark, sf_dir):
+    return extensions.cac_new_only(_t(spark, sf_dir).signup_customers(), as_of=EVENTS_AS_OF)
+
+
+@register("d10_growth_by_period", f"""
+with per as (select date_trunc('month', order_date) as period_start,
+                    sum(total_amount) as sales from {O} o group by 1)
+select a.period_start, a.sales::double as sales, b.sales::double as prev_sales,
+       case when b.sales is null then null
+            when b.sales = 0 then (case when a.sales > 0 then 'inf'::double else 0.0 end)
+            else ((a.sales - b.sales)::double / b.sales::double) * 100 end as growth_pct
+from per a left join per b on a.period_start = b.period_start + interval 1 month
+""")
+def d10_growth_by_period(spark, sf_dir):
+    return extensions.growth_by_period(_t(spark, sf_dir).orders(), unit="month")
+
+
+@register("d11_year_month_trend", f"""
+select year(order_date)::int as order_year, month(order_date)::int as order_month,
+       sum(total_amount)::double as sales
+from {O} o group by 1, 2
+""")
+def d11_year_month_trend(spark, sf_dir):
+    return extensions.year_month_trend(_t(spark, sf_dir).orders())
+
+
+@register("d12_sales_by_channel", f"""
+select sales_channel, payment_method, count(*) as order_count,
+       sum(total_amount)::double as sales
+from {O} o group by 1, 2
+""")
+def d12_sales_by_channel(spark, sf_dir):
+    return extensions.sales_by_channel(_t(spark, sf_dir).orders())
