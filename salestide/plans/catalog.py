@@ -511,3 +511,174 @@ from {O} o group by 1, 2
 """)
 def d12_sales_by_channel(spark, sf_dir):
     return extensions.sales_by_channel(_t(spark, sf_dir).orders())
+
+
+# -- sources and sinks (round trips through Spark-written files) -----------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from salestide.schemas import SUMMARY  # noqa: E402
+from salestide.session import scratch_path  # noqa: E402
+from salestide.sources import files as src_files  # noqa: E402
+from salestide.sources import results as src_results  # noqa: E402
+from salestide.sources import stream as src_stream  # noqa: E402
+from salestide.sources.sinks import write_result  # noqa: E402
+
+O_OUT = f"""
+select order_id, customer_id, order_date, total_amount::double as total_amount,
+       sales_channel, payment_method from {O} o"""
+
+
+def _money_double(df: DataFrame, col: str = "total_amount") -> DataFrame:
+    return df.withColumn(col, F.col(col).cast("double"))
+
+
+def orders_csv_with_repeated_header(spark, sf_dir) -> str:
+    """Write the orders as CSV text plus one copy of the header line inside
+    a part file (the defect of an append-only consumer); returns the path."""
+    orders = _t(spark, sf_dir).orders()
+    text = orders.select([F.col(c).cast("string").alias(c) for c in orders.columns])
+    header = spark.createDataFrame([tuple(orders.columns)], text.schema)
+    path = scratch_path(spark, "orders-csv")
+    text.unionByName(header).write.option("header", True).csv(path)
+    return path
+
+
+@register("s01_csv_ingest", O_OUT)
+def s01_csv_ingest(spark, sf_dir):
+    path = orders_csv_with_repeated_header(spark, sf_dir)
+    schema = _t(spark, sf_dir).orders().schema
+    return _money_double(src_files.read_relation(spark, path, "orders", schema=schema))
+
+
+@register("s02_json_decode", O_OUT)
+def s02_json_decode(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    orders, products = t.orders(), t.products()
+    messages = src_stream.to_messages(orders, "orders-topic").unionByName(
+        src_stream.to_messages(products, "products-topic"))
+    routed = src_stream.route(messages, {"orders-topic": "orders", "products-topic": "products"},
+                              schemas={"orders": orders.schema, "products": products.schema})
+    return _money_double(routed["orders"])
+
+
+@register("s03_result_roundtrip", T08)
+def s03_result_roundtrip(spark, sf_dir):
+    df = t08_category_revenue(spark, sf_dir)
+    path = scratch_path(spark, "category-revenue")
+    write_result(df, path, single_file=True)
+    return src_results.read_result(spark, path, df.schema)
+
+
+@register("s04_summary_roundtrip", ORACLES["k13_kpi_summary"])
+def s04_summary_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "summary")
+    write_result(k13_kpi_summary(spark, sf_dir), path, single_file=True)
+    return src_results.read_summary(spark, path)
+
+
+# -- streaming (file-source streams drained with availableNow) ------------------
+from salestide import streaming  # noqa: E402
+
+
+def _message_stream(spark, messages: DataFrame):
+    src = scratch_path(spark, "messages")
+    messages.write.json(src)
+    return spark.readStream.schema(src_stream.MESSAGE_SCHEMA).json(src)
+
+
+def _ingest(spark, sf_dir, copies: int, dedup: bool) -> DataFrame:
+    t = _t(spark, sf_dir)
+    orders, customers = t.orders(), t.customers()
+    msgs = src_stream.to_messages(orders, "orders-topic")
+    for _ in range(copies - 1):  # redelivered messages
+        msgs = msgs.unionByName(src_stream.to_messages(orders, "orders-topic"))
+    msgs = msgs.unionByName(src_stream.to_messages(customers, "customers-topic"))
+    out, ck = scratch_path(spark, "ingest-out"), scratch_path(spark, "ingest-ck")
+    qs = streaming.start_ingest(
+        _message_stream(spark, msgs), out, ck,
+        {"orders-topic": "orders", "customers-topic": "customers"}, trigger="availableNow",
+        schemas={"orders": orders.schema, "customers": customers.schema},
+        dedup={"orders": ("order_id", "order_date", "1 day")} if dedup else None)
+    for q in qs:
+        q.awaitTermination()
+    return _money_double(spark.read.parquet(f"{out}/orders"))
+
+
+@register("st1_stream_ingest", O_OUT)
+def st1_stream_ingest(spark, sf_dir):
+    return _ingest(spark, sf_dir, copies=1, dedup=False)
+
+
+@register("st4_dedup_ingest", O_OUT)
+def st4_dedup_ingest(spark, sf_dir):
+    return _ingest(spark, sf_dir, copies=2, dedup=True)
+
+
+ST2_WINDOW, ST2_K = "30 days", 3
+
+
+@register("st2_windowed_top_products", f"""
+with li as (select l_partkey as product_id, l_quantity, l_shipdate as ts from lineitem),
+c as (select time_bucket(interval {ST2_WINDOW}, ts, timestamp '1970-01-01') as ws,
+             product_id, count(l_quantity) as sold_quantity from li group by 1, 2),
+r as (select *, row_number() over (partition by ws order by sold_quantity desc, product_id) as rk
+      from c)
+select r.ws as window_start, r.ws + interval {ST2_WINDOW} as window_end, r.product_id, p.name,
+       r.sold_quantity, r.rk::int as rank
+from r left join {P} p on r.product_id = p.product_id
+where r.rk <= {ST2_K} and r.ws + interval {ST2_WINDOW} <= (select max(ts) from li)
+""")
+def st2_windowed_top_products(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    raw = spark.readStream.schema(t.raw("lineitem").schema).parquet(t.stream_path("lineitem"))
+    items = raw.select(F.col("l_partkey").alias("product_id"),
+                       F.col("l_quantity").cast("int").alias("quantity"),
+                       F.col("l_shipdate").alias("ship_ts"))
+    out, ck = scratch_path(spark, "top-products"), scratch_path(spark, "top-products-ck")
+    q = streaming.start_top_products(items, out, ck, event_time="ship_ts",
+                                     products=t.products(), window=ST2_WINDOW, k=ST2_K,
+                                     delay="0 seconds", trigger="availableNow")
+    q.awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@register("st6_windowed_revenue", f"""
+with w as (select time_bucket(interval 3 hour, order_date, timestamp '1970-01-01') as ws,
+                  sum(total_amount) as sales from {EO} o group by 1),
+c as (select * from w
+      where ws + interval 3 hour <= (select max(order_date) from {EO} o2))
+select a.ws as window_start, a.ws + interval 3 hour as window_end, a.sales::double as sales,
+       b.sales::double as prev_sales,
+       case when b.sales is null then null
+            when b.sales = 0 then (case when a.sales > 0 then 'inf'::double else 0.0 end)
+            else ((a.sales - b.sales)::double / b.sales::double) * 100 end as growth_pct
+from c a left join c b on a.ws = b.ws + interval 3 hour
+""")
+def st6_windowed_revenue(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    raw = spark.readStream.schema(t.raw("events").schema).parquet(t.stream_path("events"))
+    orders = raw.where(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("order_id"), F.col("user_id").alias("customer_id"),
+        F.col("ts").alias("order_date"), F.col("value").cast("decimal(18,2)").alias("total_amount"))
+    out, ck = scratch_path(spark, "revenue"), scratch_path(spark, "revenue-ck")
+    q = streaming.start_windowed_revenue(orders, out, ck, window="3 hours", delay="0 seconds",
+                                         trigger="availableNow")
+    q.awaitTermination()
+    return streaming.window_growth(spark.read.parquet(out))
+
+
+@register("st3_churn_alerts", f"""
+with last as (select customer_id, max(order_date) as last_ordered_date from {O} o group by 1)
+select customer_id, last_ordered_date from last
+where last_ordered_date + interval 7 day < (select max(order_date) from {O} o2)
+""")
+def st3_churn_alerts(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    raw = spark.readStream.schema(t.raw("orders").schema).parquet(t.stream_path("orders"))
+    orders = raw.select(F.col("o_custkey").alias("customer_id"),
+                        F.col("o_orderdate").alias("order_date"))
+    out, ck = scratch_path(spark, "churn"), scratch_path(spark, "churn-ck")
+    q = streaming.start_churn_alerts(orders, out, ck, min_days=7, delay="0 seconds",
+                                     trigger="availableNow")
+    q.awaitTermination()
+    return spark.read.parquet(out)
