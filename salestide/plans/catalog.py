@@ -668,9 +668,22 @@ def st6_windowed_revenue(spark, sf_dir):
 
 
 @register("st3_churn_alerts", f"""
-with last as (select customer_id, max(order_date) as last_ordered_date from {O} o group by 1)
-select customer_id, last_ordered_date from last
-where last_ordered_date + interval 7 day < (select max(order_date) from {O} o2)
+with g as (
+  select customer_id, order_date,
+         lag(order_date) over (partition by customer_id order by order_date) as prev
+  from {O} o),
+s as (
+  select customer_id, order_date,
+         sum(case when prev is null or order_date > prev + interval 7 day then 1 else 0 end)
+           over (partition by customer_id order by order_date
+                 rows between unbounded preceding and current row) as spell
+  from g),
+spells as (
+  select customer_id, spell, min(order_date) as session_start,
+         max(order_date) as last_ordered_date
+  from s group by customer_id, spell)
+select customer_id, session_start, last_ordered_date from spells
+where last_ordered_date + interval 7 day <= (select max(order_date) from {O} o2)
 """)
 def st3_churn_alerts(spark, sf_dir):
     t = _t(spark, sf_dir)

@@ -17,18 +17,34 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # merge streaming session windows map-side before the shuffle
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.ui.explainMode": "formatted",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
 
+# Keyed streaming state that outgrows the executor heap (dedup keys within
+# the watermark, many open sessions) belongs in RocksDB; for small state the
+# default provider starts faster.
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "salestide",
-                  shuffle_partitions: int | None = None, **conf) -> SparkSession:
+                  shuffle_partitions: int | None = None, large_state: bool = False,
+                  **conf) -> SparkSession:
     """A session with ``DEFAULTS``; ``master`` only for local runs (a
     cluster's submit sets it).  ``shuffle_partitions`` should be about total
-    input bytes / 128 MB at scale (AQE coalesces the small ones)."""
+    input bytes / 128 MB at scale (AQE coalesces the small ones);
+    ``large_state`` moves streaming state to RocksDB."""
     b = SparkSession.builder.appName(app)
+    if large_state:
+        conf = {**LARGE_STATE, **conf}
     if master:
         b = b.master(master)
     for k, v in {**DEFAULTS, **conf}.items():

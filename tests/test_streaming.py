@@ -83,18 +83,25 @@ def test_top_products_stream_ranks_closed_windows(spark):
     assert dt.date(2025, 5, 12) not in rows
 
 
-def test_churn_alerts_match_batch(spark):
+def test_churn_alerts_one_per_idle_spell(spark):
     _c, _p, o, _i = fx.frames(spark)
     out, ck = scratch_path(spark, "churn"), scratch_path(spark, "churn-ck")
     streaming.start_churn_alerts(_stream_of(spark, o), out, ck, min_days=3,
                                  trigger="availableNow").awaitTermination()
-    got = {r.customer_id: r.last_ordered_date for r in spark.read.parquet(out).collect()}
-    # watermark = last event (05-12 08:00); idle > 3 days: C1 (05-03), C2, C3 (05-08)
-    assert got == {"C1": fx.ts("2025-05-03 09:15:00"), "C2": fx.ts("2025-05-08 02:55:00"),
-                   "C3": fx.ts("2025-05-08 01:50:00")}
+    got = sorted((r.customer_id, r.session_start, r.last_ordered_date)
+                 for r in spark.read.parquet(out).collect())
+    # watermark = last event (05-12 08:00); a spell ends 3 days after its last
+    # order.  C4 went idle after 05-08 and came back on 05-12 (still open).
+    assert got == [
+        ("C1", fx.ts("2025-05-01 12:00:00"), fx.ts("2025-05-03 09:15:00")),
+        ("C2", fx.ts("2025-05-07 23:00:00"), fx.ts("2025-05-08 02:55:00")),
+        ("C3", fx.ts("2025-05-08 00:59:59.900000"), fx.ts("2025-05-08 01:50:00")),
+        ("C4", fx.ts("2025-05-08 02:10:00"), fx.ts("2025-05-08 02:10:00")),
+    ]
+    # the spells still idle at the end are the batch churn list
     batch = {r.customer_id for r in
              tables.churn_risk(o, as_of="2025-05-12 08:00:00", min_days=4).collect()}
-    assert batch == set(got)
+    assert batch == {"C1", "C2", "C3"}
 
 
 def test_refresh_writes_outputs(spark):
