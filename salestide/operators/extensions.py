@@ -76,21 +76,30 @@ def repeat_within_period(orders: DataFrame, period: str = "30 days") -> DataFram
     Orders are bucketed into epoch-aligned windows of length ``period``: two
     orders in one bucket are less than ``period`` apart, and across buckets
     only the last order of bucket b and the first of bucket b+1 can be that
-    close.  So per customer it is enough to join each bucket's summary to
-    the next bucket's on (customer, bucket): an equi-join with at most one
-    partner per row, and no per-customer sort, so a customer holding a third
-    of all orders is spread over its buckets instead of one task.
+    close.  Each (customer, bucket) summary is therefore emitted twice — as
+    itself and, carrying its first order, as "next" of the bucket before —
+    and one regroup on (customer, bucket) pairs each bucket with its
+    successor.  No per-customer sort and no join: a customer holding a third
+    of all orders is spread over its buckets, and partial aggregation
+    collapses it map-side.
     """
     span = interval(period)
     b = (orders.where(F.col("order_date").isNotNull())
          .groupBy("customer_id", F.window("order_date", period)["start"].alias("bucket"))
          .agg(F.count(F.lit(1)).alias("n"), F.min("order_date").alias("first_ts"),
               F.max("order_date").alias("last_ts")))
-    nxt = b.select("customer_id", (F.col("bucket") - span).alias("bucket"),
-                   F.col("first_ts").alias("next_first_ts"))
-    joined = b.join(nxt, ["customer_id", "bucket"], "left")
+    null_ts = F.lit(None).cast("timestamp_ntz")
+    both = b.select("customer_id", F.explode(F.array(
+        F.struct(F.col("bucket").alias("k"), F.col("n"), F.col("last_ts"),
+                 null_ts.alias("next_first_ts")),
+        F.struct((F.col("bucket") - span).alias("k"), F.lit(0).cast("bigint").alias("n"),
+                 null_ts.alias("last_ts"), F.col("first_ts").alias("next_first_ts")),
+    )).alias("e")).select("customer_id", "e.*")
+    paired = both.groupBy("customer_id", "k").agg(
+        F.sum("n").alias("n"), F.max("last_ts").alias("last_ts"),
+        F.min("next_first_ts").alias("next_first_ts"))
     hit = (F.col("n") >= 2) | (F.col("next_first_ts") <= F.col("last_ts") + span)
-    return joined.groupBy("customer_id").agg(
+    return paired.groupBy("customer_id").agg(
         F.max(F.coalesce(hit, F.lit(False))).alias("repeat"))
 
 
@@ -148,24 +157,42 @@ def period_start(ts: str, unit: str):
     raise ValueError(f"unit must be one of {sorted(_PERIOD_STEP)}")
 
 
+def with_previous(per: DataFrame, key: str, step, value: str) -> DataFrame:
+    """Pair each row of a per-period aggregate with the row whose ``key`` is
+    one ``step`` earlier: every row is emitted as itself and, shifted by
+    ``step``, as the previous value of its successor; one regroup on
+    ``key`` matches them.  Adds ``prev_<value>`` (NULL when the previous
+    period has no row)."""
+    null = F.lit(None).cast(per.schema[value].dataType)
+    both = per.select(F.explode(F.array(
+        F.struct(F.col(key).alias("k"), F.col(value).alias("cur"), null.alias("prev")),
+        F.struct((F.col(key) + step).alias("k"), null.alias("cur"), F.col(value).alias("prev")),
+    )).alias("e")).select("e.*")
+    return (both.groupBy("k").agg(F.max("cur").alias(value), F.max("prev").alias("prev_" + value))
+            .where(F.col(value).isNotNull())
+            .withColumnRenamed("k", key))
+
+
+def growth_pct(cur, prev):
+    """Percent change with the k11 conventions: NULL without a previous
+    value, +Infinity/0 on a zero base."""
+    return (F.when(prev.isNull(), F.lit(None).cast("double"))
+            .when(prev == 0, F.when(cur > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
+            .otherwise(ratio(cur - prev, prev) * 100))
+
+
 def growth_by_period(orders: DataFrame, unit: str = "month") -> DataFrame:
     """d10: sales per calendar period and percent change over the previous
     calendar period (NULL when that period had no orders; +Infinity/0 on a
-    zero base as in k11).  The previous period is found by an equi-join on
-    the shifted period start, not by a window over one partition.
-    Columns: period_start, sales, prev_sales, growth_pct."""
+    zero base as in k11).  Columns: period_start, sales, prev_sales,
+    growth_pct."""
     step = F.expr(f"INTERVAL {_PERIOD_STEP[unit]}") if unit != "week" else interval("7 days")
     per = (orders.groupBy(period_start("order_date", unit).alias("period_start"))
            .agg(F.sum("total_amount").alias("sales")))
-    prev = per.select((F.col("period_start") + step).alias("period_start"),
-                      F.col("sales").alias("prev_sales"))
-    j = per.join(prev, "period_start", "left")
+    j = with_previous(per, "period_start", step, "sales")
     cur, pv = F.col("sales"), F.col("prev_sales")
-    growth = (F.when(pv.isNull(), F.lit(None).cast("double"))
-              .when(pv == 0, F.when(cur > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
-              .otherwise(ratio(cur - pv, pv) * 100))
     return j.select("period_start", as_double(cur).alias("sales"),
-                    as_double(pv).alias("prev_sales"), growth.alias("growth_pct")) \
+                    as_double(pv).alias("prev_sales"), growth_pct(cur, pv).alias("growth_pct")) \
         .orderBy("period_start")
 
 

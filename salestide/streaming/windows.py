@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from salestide.functions.money import as_double, ratio
+from salestide.functions.money import as_double
+from salestide.operators.extensions import growth_pct
 from salestide.streaming.common import EVENT_TS, set_trigger, with_event_time
 
 
@@ -89,15 +90,24 @@ def start_windowed_revenue(orders: DataFrame, out_path: str, checkpoint: str,
 
 def window_growth(windows: DataFrame) -> DataFrame:
     """Growth of each window's sales over the window that ends where it
-    starts (an equi-join, no ordering window): NULL without such a window,
-    +Infinity/0 on a zero base.
+    starts (NULL without such a window, +Infinity/0 on a zero base); a
+    regroup on the window start, not a join or an ordered window.
     Columns: window_start, window_end, sales, prev_sales, growth_pct."""
-    prev = windows.select(F.col("window_end").alias("window_start"),
-                          F.col("sales").alias("prev_sales"))
-    j = windows.join(prev, "window_start", "left")
+    per = windows.select("window_start", "sales",
+                         (F.col("window_end") - F.col("window_start")).alias("_len"))
+    # windows of one tumbling stream share one length: shift by each row's own
+    step = F.col("_len")
+    null = F.lit(None).cast(windows.schema["sales"].dataType)
+    both = per.select(F.explode(F.array(
+        F.struct(F.col("window_start").alias("k"), F.col("sales").alias("cur"),
+                 null.alias("prev"), step.alias("len")),
+        F.struct((F.col("window_start") + step).alias("k"), null.alias("cur"),
+                 F.col("sales").alias("prev"), step.alias("len")),
+    )).alias("e")).select("e.*")
+    j = (both.groupBy("k").agg(F.max("cur").alias("sales"), F.max("prev").alias("prev_sales"),
+                               F.max("len").alias("len"))
+         .where(F.col("sales").isNotNull()))
     cur, pv = F.col("sales"), F.col("prev_sales")
-    growth = (F.when(pv.isNull(), F.lit(None).cast("double"))
-              .when(pv == 0, F.when(cur > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
-              .otherwise(ratio(cur - pv, pv) * 100))
-    return j.select("window_start", "window_end", as_double(cur).alias("sales"),
-                    as_double(pv).alias("prev_sales"), growth.alias("growth_pct"))
+    return j.select(F.col("k").alias("window_start"), (F.col("k") + F.col("len")).alias("window_end"),
+                    as_double(cur).alias("sales"), as_double(pv).alias("prev_sales"),
+                    growth_pct(cur, pv).alias("growth_pct"))
