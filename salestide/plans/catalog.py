@@ -516,7 +516,6 @@ def d12_sales_by_channel(spark, sf_dir):
 # -- sources and sinks (round trips through Spark-written files) -----------------
 from pyspark.sql import functions as F  # noqa: E402
 
-from salestide.schemas import SUMMARY  # noqa: E402
 from salestide.session import scratch_path  # noqa: E402
 from salestide.sources import files as src_files  # noqa: E402
 from salestide.sources import results as src_results  # noqa: E402
@@ -695,3 +694,42 @@ def st3_churn_alerts(spark, sf_dir):
                                      trigger="availableNow")
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+# -- the batch job and its streaming refresh, read back from their outputs ------
+from salestide.plans.job import Relations, run_batch  # noqa: E402
+
+
+
+def _relations(spark, sf_dir) -> Relations:
+    t = _t(spark, sf_dir)
+    return Relations(t.customers(), t.products(), t.orders(), t.order_items())
+
+
+def _churn_schema(spark, sf_dir):
+    return tables.churn_risk(_t(spark, sf_dir).orders(), as_of=ORDERS_AS_OF).schema
+
+
+@register("s05_batch_job_outputs", ORACLES["t09_churn_risk"])
+def s05_batch_job_outputs(spark, sf_dir):
+    """All ten outputs of the batch job are written; the churn list (the one
+    that grows with the data, written as many files) is read back."""
+    out = scratch_path(spark, "job")
+    written = run_batch(_relations(spark, sf_dir), out, as_of=ORDERS_AS_OF,
+                        top_lookback=TOP_PRODUCTS_LOOKBACK)
+    return src_results.read_result(spark, written["churn_risk"], _churn_schema(spark, sf_dir))
+
+
+@register("st5_refresh_outputs", T08)
+def st5_refresh_outputs(spark, sf_dir):
+    """A stream over the orders paces the refresh; the refreshed category
+    revenue is read back."""
+    t = _t(spark, sf_dir)
+    pacer = spark.readStream.schema(t.raw("orders").schema).parquet(t.stream_path("orders"))
+    out, ck = scratch_path(spark, "refresh"), scratch_path(spark, "refresh-ck")
+    q = streaming.start_refresh(pacer, lambda: _relations(spark, sf_dir), out, ck,
+                                as_of=ORDERS_AS_OF, trigger="availableNow",
+                                top_lookback=TOP_PRODUCTS_LOOKBACK)
+    q.awaitTermination()
+    schema = t08_category_revenue(spark, sf_dir).schema
+    return src_results.read_result(spark, f"{out}/category_revenue", schema)

@@ -1,7 +1,6 @@
 import os
 import tempfile
 
-import pytest
 from pyspark.sql import functions as F
 
 from salestide.schemas import SUMMARY

@@ -2,7 +2,6 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
-from pyspark.sql import functions as F
 
 from salestide import streaming
 from salestide.operators import tables
