@@ -10,6 +10,7 @@ writes).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
@@ -20,30 +21,48 @@ from salestide.streaming.common import EVENT_TS, set_trigger, with_event_time
 EVENT_TIME = {"orders": "order_date", "customers": "signup_date"}
 
 
-def dedupe(df: DataFrame, key: str, event_time: str, delay: str = "1 hour") -> DataFrame:
-    """ST4: drop redelivered messages (same ``key``) arriving within
-    ``delay`` of event time of each other; state older than the watermark
-    is evicted, so the state stays bounded."""
-    return (with_event_time(df, event_time, delay)
-            .dropDuplicatesWithinWatermark([key])
-            .drop(EVENT_TS))
+def dedupe(df: DataFrame, key: str, event_time: str, delay: str = "1 hour",
+           strategy: str = "first_seen") -> DataFrame:
+    """ST4: drop redelivered messages (same ``key``).
+
+    ``first_seen`` (default) emits a key's first copy at once and drops
+    copies arriving within ``delay`` of event time of it
+    (``dropDuplicatesWithinWatermark``); state older than the watermark is
+    evicted.  It has no map-side step, so all copies of one key meet in one
+    task.
+
+    ``collapse`` groups by (key, event time) in append mode instead: the
+    streaming aggregate's partial step collapses copies inside each input
+    task before the shuffle, so even a burst where one message's copies are
+    a third of all rows reaches the shuffle as one row per task.  A key is
+    emitted once the watermark passes its event time (latency = ``delay``);
+    copies must carry the same event time, as redelivered messages do.
+    """
+    marked = with_event_time(df, event_time, delay)
+    if strategy == "first_seen":
+        return marked.dropDuplicatesWithinWatermark([key]).drop(EVENT_TS)
+    if strategy != "collapse":
+        raise ValueError("strategy must be 'first_seen' or 'collapse'")
+    rest = [c for c in df.columns if c not in (key, event_time)]
+    return (marked.groupBy(key, event_time, EVENT_TS)
+            .agg(*[F.first(c).alias(c) for c in rest])
+            .select(*df.columns))
 
 
 def start_ingest(messages: DataFrame, out_root: str, checkpoint_root: str,
                  topics: dict[str, str], fmt: str = "parquet", trigger=None,
                  schemas: dict[str, T.StructType] | None = None,
-                 dedup: dict[str, tuple[str, str, str]] | None = None,
+                 dedup: dict[str, tuple] | None = None,
                  partition_by: dict[str, list[str]] | None = None) -> list[StreamingQuery]:
     """Start one append query per topic writing ``out_root/<relation>``.
 
     ``topics`` maps topic -> relation; ``dedup`` maps relation ->
-    (key, event-time column, delay); ``partition_by`` maps relation ->
+    (key, event-time column, delay[, strategy]); ``partition_by`` maps relation ->
     columns (e.g. an order day) for partition pruning downstream."""
     queries = []
     for relation, df in route(messages, topics, schemas).items():
         if dedup and relation in dedup:
-            key, event_time, delay = dedup[relation]
-            df = dedupe(df, key, event_time, delay)
+            df = dedupe(df, *dedup[relation])
         w = (df.writeStream.format(fmt).outputMode("append")
              .option("path", f"{out_root}/{relation}")
              .option("checkpointLocation", f"{checkpoint_root}/{relation}"))

@@ -47,6 +47,28 @@ def test_ingest_dedup_late_and_malformed(spark):
     assert spark.read.parquet(f"{out}/orders").count() == 8
 
 
+def test_dedup_collapse_strategy(spark):
+    _c, _p, o, _i = fx.frames(spark)
+    hot = o.where("order_id = 'O1'")
+    msgs = to_messages(o, "orders")
+    for _ in range(20):  # one message redelivered many times
+        msgs = msgs.unionByName(to_messages(hot, "orders"))
+    src = scratch_path(spark, "msgs")
+    msgs.write.json(src)
+    out, ck = scratch_path(spark, "out"), scratch_path(spark, "ck")
+    qs = streaming.start_ingest(spark.readStream.schema(MESSAGE_SCHEMA).json(src), out, ck,
+                                {"orders": "orders"}, trigger="availableNow",
+                                dedup={"orders": ("order_id", "order_date", "0 seconds",
+                                                  "collapse")})
+    for q in qs:
+        q.awaitTermination()
+    got = spark.read.parquet(f"{out}/orders")
+    assert got.columns == o.columns
+    # every order exactly once (an event time at the watermark is closed)
+    ids = sorted(r.order_id for r in got.collect())
+    assert ids == sorted(r[0] for r in fx.ORDERS)
+
+
 def test_windowed_revenue_equals_batch_on_closed_windows(spark):
     _c, _p, o, _i = fx.frames(spark)
     stream = _stream_of(spark, o)
