@@ -585,7 +585,7 @@ def _message_stream(spark, messages: DataFrame):
     return spark.readStream.schema(src_stream.MESSAGE_SCHEMA).json(src)
 
 
-def _ingest(spark, sf_dir, copies: int, dedup: bool) -> DataFrame:
+def _ingest(spark, sf_dir, copies: int, dedup: tuple | None) -> DataFrame:
     t = _t(spark, sf_dir)
     orders, customers = t.orders(), t.customers()
     msgs = src_stream.to_messages(orders, "orders-topic")
@@ -597,7 +597,7 @@ def _ingest(spark, sf_dir, copies: int, dedup: bool) -> DataFrame:
         _message_stream(spark, msgs), out, ck,
         {"orders-topic": "orders", "customers-topic": "customers"}, trigger="availableNow",
         schemas={"orders": orders.schema, "customers": customers.schema},
-        dedup={"orders": ("order_id", "order_date", "1 day")} if dedup else None)
+        dedup={"orders": ("order_id", "order_date") + dedup} if dedup else None)
     for q in qs:
         q.awaitTermination()
     return _money_double(spark.read.parquet(f"{out}/orders"))
@@ -605,12 +605,19 @@ def _ingest(spark, sf_dir, copies: int, dedup: bool) -> DataFrame:
 
 @register("st1_stream_ingest", O_OUT)
 def st1_stream_ingest(spark, sf_dir):
-    return _ingest(spark, sf_dir, copies=1, dedup=False)
+    return _ingest(spark, sf_dir, copies=1, dedup=None)
 
 
 @register("st4_dedup_ingest", O_OUT)
 def st4_dedup_ingest(spark, sf_dir):
-    return _ingest(spark, sf_dir, copies=2, dedup=True)
+    return _ingest(spark, sf_dir, copies=2, dedup=("1 day", "first_seen"))
+
+
+@register("st4_dedup_collapse", O_OUT)
+def st4_dedup_collapse(spark, sf_dir):
+    # copies collapse map-side; every key closes once the watermark (delay 0)
+    # reaches its event time
+    return _ingest(spark, sf_dir, copies=2, dedup=("0 seconds", "collapse"))
 
 
 ST2_WINDOW, ST2_K = "30 days", 3
