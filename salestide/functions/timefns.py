@@ -17,7 +17,7 @@ WEEKDAY_LABELS = {1: "Sun", 2: "Mon", 3: "Tue", 4: "Wed", 5: "Thu", 6: "Fri", 7:
 
 
 def as_of_column(as_of=None) -> Column:
-    """The reference instant as a ``TIMESTAMP_NTZ`` column.
+    """The as-of instant as a ``TIMESTAMP_NTZ`` column.
 
     ``None`` means "now" as wall-clock time in the session time zone
     (``localtimestamp()``), so a session in ``Asia/Kolkata`` reproduces the

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from salestide.functions.money import to_money
 
-# Reference instants of the stored data (fixed values): orders end on
+# As-of instants of the stored data (fixed values): orders end on
 # 2001-08-01, events on 2024-01-30.
 ORDERS_AS_OF = "2001-08-01 00:00:00"
 EVENTS_AS_OF = "2024-01-31 00:00:00"

@@ -3,8 +3,10 @@
 Every entry binds the canonical relations to the driver's tables
 (``bindings.StoredTables``), runs one operator over the whole tables and
 returns the DataFrame.  ``ORACLES`` holds an independent SQL formulation of
-the same result for DuckDB, with the same column names and types; entries
-without one are operators SQL cannot express (streaming state).
+the same result for DuckDB, with the same column names and types.  Source,
+sink and streaming entries write through Spark (under the session's
+checkpoint folder) and read their output back; their oracles describe the
+rows that must come out (for streams: the windows closed by the watermark).
 """
 
 from __future__ import annotations
@@ -13,8 +15,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.operators import kpis, tables
+from pyspark.sql import functions as F
+
+from salestide import streaming
+from salestide.operators import extensions, kpis, tables, views
 from salestide.plans.bindings import EVENTS_AS_OF, ORDERS_AS_OF, StoredTables
+from salestide.plans.job import Relations, run_batch
+from salestide.session import scratch_path
+from salestide.sources import files as src_files
+from salestide.sources import results as src_results
+from salestide.sources import stream as src_stream
+from salestide.sources.sinks import write_result
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,7 +64,7 @@ EC = f"""(select customer_id, min(signup_date) as signup_date from {SC} s group
 OA = f"timestamp '{ORDERS_AS_OF}'"
 EA = f"timestamp '{EVENTS_AS_OF}'"
 
-# Test parameters: the reference's constants where the stored data allows
+# Test parameters: the original job's constants where the stored data allows
 # them; day-sized lookbacks on orders, whose times are whole dates.
 TOP_PRODUCTS_LOOKBACK = "30 days"
 SUMMARY_LOOKBACK = "3 hours"
@@ -288,10 +299,6 @@ def k12_inventory_turnover(spark, sf_dir):
     return kpis.inventory_turnover(t.order_items(), t.products())
 
 
-def _scalar(sql: str) -> str:
-    return f"({sql})"
-
-
 @register("k13_kpi_summary", f"""
 select ({K01}) as total_orders_count, ({K02}) as customers_in_last_3hrs,
        ({K03}) as total_sales_amount, ({K04}) as total_items_sold,
@@ -312,7 +319,6 @@ def k13_kpi_summary(spark, sf_dir):
 
 
 # -- dashboard views ------------------------------------------------------------
-from salestide.operators import extensions, views  # noqa: E402
 
 T02, T03, T04 = ORACLES["t02_regional_revenue"], ORACLES["t03_membership_revenue"], \
     ORACLES["t04_monthly_sales"]
@@ -514,13 +520,7 @@ def d12_sales_by_channel(spark, sf_dir):
 
 
 # -- sources and sinks (round trips through Spark-written files) -----------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from salestide.session import scratch_path  # noqa: E402
-from salestide.sources import files as src_files  # noqa: E402
-from salestide.sources import results as src_results  # noqa: E402
-from salestide.sources import stream as src_stream  # noqa: E402
-from salestide.sources.sinks import write_result  # noqa: E402
 
 O_OUT = f"""
 select order_id, customer_id, order_date, total_amount::double as total_amount,
@@ -576,7 +576,6 @@ def s04_summary_roundtrip(spark, sf_dir):
 
 
 # -- streaming (file-source streams drained with availableNow) ------------------
-from salestide import streaming  # noqa: E402
 
 
 def _message_stream(spark, messages: DataFrame):
@@ -704,7 +703,6 @@ def st3_churn_alerts(spark, sf_dir):
 
 
 # -- the batch job and its streaming refresh, read back from their outputs ------
-from salestide.plans.job import Relations, run_batch  # noqa: E402
 
 
 

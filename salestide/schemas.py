@@ -55,7 +55,7 @@ RELATIONS = {
 }
 
 # Output relations written by the batch job (name -> columns), fixed values
-# that must keep the reference's header names.
+# that must keep the original job's header names.
 SUMMARY_COLUMNS = [
     "total_orders_count", "customers_in_last_3hrs", "total_sales_amount",
     "total_items_sold", "total_products_sold", "aov", "cac", "avg_time",
