@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import argparse
 import dataclasses
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,15 +61,29 @@ _UNBOUNDED = {"churn_risk"}
 
 
 def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
-              single_file: bool = True, **params) -> dict[str, str]:
+              single_file: bool = True, parallel: int = 4, **params) -> dict[str, str]:
     """Write every KPI output under ``out_root``; returns name -> path.
-    ``single_file`` applies to the small, bounded outputs only."""
-    written = {}
-    for name, df in kpi_outputs(rel, as_of=as_of, **params).items():
-        path = f"{out_root.rstrip('/')}/{name}"
-        write_result(df, path, fmt=fmt, single_file=single_file and name not in _UNBOUNDED)
-        written[name] = path
-    return written
+
+    ``single_file`` applies to the small, bounded outputs only.  The ten
+    writes are independent jobs; up to ``parallel`` are submitted at once
+    from driver threads so their stages share the executors (no data passes
+    through the driver).  A failed write raises after the others finish;
+    rerunning overwrites every output."""
+    outputs = kpi_outputs(rel, as_of=as_of, **params)
+    paths = {name: f"{out_root.rstrip('/')}/{name}" for name in outputs}
+
+    def write(name: str) -> None:
+        write_result(outputs[name], paths[name], fmt=fmt,
+                     single_file=single_file and name not in _UNBOUNDED)
+
+    if parallel <= 1:
+        for name in outputs:
+            write(name)
+    else:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            for f in [pool.submit(write, name) for name in outputs]:
+                f.result()
+    return paths
 
 
 def main(argv=None) -> None:
