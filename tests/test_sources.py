@@ -111,3 +111,25 @@ def test_decode_producer_style_json(spark):
     r = decode(df, "customers").collect()[0]
     assert r.phone == "370-609-1507x48834"
     assert r.signup_date == fx.ts("2025-05-07 16:09:04.758861")
+
+
+def test_parquet_and_json_relations(spark):
+    _c, _p, o, i = fx.frames(spark)
+    for fmt in ("parquet", "json"):
+        path = scratch_path(spark, f"orders-{fmt}")
+        o.write.format(fmt).save(path)
+        back = read_relation(spark, path, "orders", fmt=fmt)
+        assert sorted(r.order_id for r in back.collect()) == sorted(r[0] for r in fx.ORDERS)
+        assert back.schema == o.schema or fmt == "json"
+    path = scratch_path(spark, "items-parquet")
+    i.drop("line_amount").write.parquet(path)
+    back = read_relation(spark, path, "order_items", fmt="parquet")
+    assert "line_amount" in back.columns
+
+
+def test_as_of_now_uses_the_session_clock(spark):
+    from salestide.operators import kpis
+    c, _p, o, _i = fx.frames(spark)
+    # the fixture lies in the past: nothing is within the last 3 hours of now
+    assert kpis.new_customers(c).collect()[0][0] == 0
+    assert kpis.sales_window(o).collect()[0][0] == 0.0
