@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,31 +10,34 @@ from pyspark.sql import types as T
 from salestide.schemas import SUMMARY
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+def _load(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame | None:
+    reader = spark.read.schema(schema)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    try:
+        df = reader.format(fmt).load(path)
+        df.columns  # resolves the relation (lazily analysed sessions too)
+        return df
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
 
 
 def read_result(spark: SparkSession, path: str, schema: T.StructType,
                 fmt: str = "csv") -> DataFrame:
     """All part files of a result directory with an explicit schema; an
     empty relation of that schema when the directory does not exist yet."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.format(fmt).load(path)
+    df = _load(spark, path, schema, fmt)
+    return df if df is not None else spark.createDataFrame([], schema)
 
 
 def read_summary(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """The one-row KPI summary, every missing KPI as 0 (no truncation of
     fractional KPIs)."""
-    df = read_result(spark, path, SUMMARY, fmt)
     zero = {f.name: F.lit(0).cast(f.dataType) for f in SUMMARY.fields}
-    if not path_exists(spark, path):
+    df = _load(spark, path, SUMMARY, fmt)
+    if df is None:
         # a row of zeros, as a summary that has not been written yet
         return spark.range(1).select(*[zero[f.name].alias(f.name) for f in SUMMARY.fields])
     return df.select(*[F.coalesce(F.col(f.name), zero[f.name]).alias(f.name)
