@@ -9,6 +9,8 @@ writes).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,18 +51,30 @@ def dedupe(df: DataFrame, key: str, event_time: str, delay: str = "1 hour",
             .select(*df.columns))
 
 
-def start_ingest(messages: DataFrame, out_root: str, checkpoint_root: str,
+def start_ingest(messages: DataFrame | Callable[[str], DataFrame], out_root: str,
+                 checkpoint_root: str,
                  topics: dict[str, str], fmt: str = "parquet", trigger=None,
                  schemas: dict[str, T.StructType] | None = None,
                  dedup: dict[str, tuple] | None = None,
                  partition_by: dict[str, list[str]] | None = None) -> list[StreamingQuery]:
     """Start one append query per topic writing ``out_root/<relation>``.
 
+    ``messages`` is one stream of all topics, or a function ``topic ->
+    stream`` so that each query reads only its own topic (with Kafka:
+    ``lambda t: kafka_messages(spark, servers, [t])``; a shared all-topic
+    subscription would make every query read every topic).
+
     ``topics`` maps topic -> relation; ``dedup`` maps relation ->
     (key, event-time column, delay[, strategy]); ``partition_by`` maps relation ->
     columns (e.g. an order day) for partition pruning downstream."""
+    if callable(messages):
+        frames = {}
+        for topic, relation in topics.items():
+            frames.update(route(messages(topic), {topic: relation}, schemas))
+    else:
+        frames = route(messages, topics, schemas)
     queries = []
-    for relation, df in route(messages, topics, schemas).items():
+    for relation, df in frames.items():
         if dedup and relation in dedup:
             df = dedupe(df, *dedup[relation])
         w = (df.writeStream.format(fmt).outputMode("append")

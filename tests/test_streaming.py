@@ -47,6 +47,22 @@ def test_ingest_dedup_late_and_malformed(spark):
     assert spark.read.parquet(f"{out}/orders").count() == 8
 
 
+def test_ingest_with_one_source_per_topic(spark):
+    c, _p, o, _i = fx.frames(spark)
+    srcs = {}
+    for topic, df in (("t-orders", o), ("t-customers", c)):
+        srcs[topic] = scratch_path(spark, "per-topic")
+        to_messages(df, topic).write.json(srcs[topic])
+    out, ck = scratch_path(spark, "out"), scratch_path(spark, "ck")
+    qs = streaming.start_ingest(
+        lambda t: spark.readStream.schema(MESSAGE_SCHEMA).json(srcs[t]), out, ck,
+        {"t-orders": "orders", "t-customers": "customers"}, trigger="availableNow")
+    for q in qs:
+        q.awaitTermination()
+    assert spark.read.parquet(f"{out}/orders").count() == 8
+    assert spark.read.parquet(f"{out}/customers").count() == 4
+
+
 def test_dedup_collapse_strategy(spark):
     _c, _p, o, _i = fx.frames(spark)
     hot = o.where("order_id = 'O1'")
