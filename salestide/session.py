@@ -58,17 +58,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     Only when the session names none (a local test) is a fresh local folder
-    created and registered; on a cluster the setting must point at shared
-    storage and is never replaced.
+    created and registered with ``setCheckpointDir``; on a cluster the
+    setting must point at shared storage and is never replaced.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = current
     if not root:
         root = tempfile.mkdtemp(prefix="salestide-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
+    if current is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -37,14 +37,14 @@ def rank_windows(counts: DataFrame, products: DataFrame | None = None, k: int =
                          F.col("window.end").cast("timestamp_ntz").alias("window_end"),
                          "product_id", "sold_quantity")
            .withColumn("rank", F.row_number().over(order))
-           .filter(F.col("rank") <= k))
+           .filter(F.col("rank") <= k)
+           .withColumn("rank", F.col("rank").cast("int")))
     if products is None:
         return top
     names = products.select("product_id", "name").join(
         top.select("product_id").distinct(), "product_id")
     return top.join(names, "product_id", "left").select(
-        "window_start", "window_end", "product_id", "name", "sold_quantity",
-        F.col("rank").cast("int").alias("rank"))
+        "window_start", "window_end", "product_id", "name", "sold_quantity", "rank")
 
 
 def _idempotent_batch_writer(path: str, transform):
