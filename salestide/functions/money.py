@@ -26,6 +26,15 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(as_double(num), as_double(den))
 
 
+def growth_pct(cur: Column, prev: Column) -> Column:
+    """Percent change of ``cur`` over ``prev``: NULL without a previous
+    value, +Infinity when the previous value is 0 and the current one
+    positive, 0 when both are 0."""
+    return (F.when(prev.isNull(), F.lit(None).cast("double"))
+            .when(prev == 0, F.when(cur > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
+            .otherwise(ratio(cur - prev, prev) * 100))
+
+
 def line_amount(items: DataFrame) -> Column:
     """Revenue of one order line: the carried exact amount when the source
     has one, else ``quantity * unit_price``."""

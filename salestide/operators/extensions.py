@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salestide.functions.money import as_double, line_amount, ratio
+from salestide.functions.money import as_double, growth_pct, line_amount, ratio
 from salestide.functions.timefns import as_of_column, interval
 from salestide.operators.tables import customer_revenue
 
@@ -173,14 +173,6 @@ def with_previous(per: DataFrame, key: str, step, value: str) -> DataFrame:
             .withColumnRenamed("k", key))
 
 
-def growth_pct(cur, prev):
-    """Percent change with the k11 conventions: NULL without a previous
-    value, +Infinity/0 on a zero base."""
-    return (F.when(prev.isNull(), F.lit(None).cast("double"))
-            .when(prev == 0, F.when(cur > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
-            .otherwise(ratio(cur - prev, prev) * 100))
-
-
 def growth_by_period(orders: DataFrame, unit: str = "month") -> DataFrame:
     """d10: sales per calendar period and percent change over the previous
     calendar period (NULL when that period had no orders; +Infinity/0 on a

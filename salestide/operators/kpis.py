@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salestide.functions.money import as_double, ratio
+from salestide.functions.money import as_double, growth_pct, ratio
 from salestide.functions.timefns import as_of_column, interval
 from salestide.operators.tables import customer_revenue
 
@@ -116,10 +116,7 @@ def growth_rate(orders: DataFrame, as_of=None, period: str = "3 hours") -> DataF
     both = orders.filter(ts >= start_prev).agg(
         F.coalesce(F.sum(F.when(ts >= start_cur, amt)), zero).alias("cur"),
         F.coalesce(F.sum(F.when(ts < start_cur, amt)), zero).alias("prev"))
-    cur, prev = F.col("cur"), F.col("prev")
-    growth = (F.when(prev == 0, F.when(cur > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
-              .otherwise(ratio(cur - prev, prev) * 100))
-    return both.select(growth.alias("growth_rate"))
+    return both.select(growth_pct(F.col("cur"), F.col("prev")).alias("growth_rate"))
 
 
 def inventory_turnover(items: DataFrame, products: DataFrame,

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from salestide.functions.money import as_double
-from salestide.operators.extensions import growth_pct
+from salestide.functions.money import as_double, growth_pct
 from salestide.streaming.common import EVENT_TS, set_trigger, with_event_time
 
 
