@@ -43,3 +43,24 @@ def test_batch_job_from_csv(spark):
         f.readline()
         values = f.readline().strip().split(",")
     assert values[0] == "8" and values[4] == "5"
+
+
+def test_command_line_batch_and_refresh(spark):
+    from salestide.__main__ import main
+    c, p, o, i = fx.frames(spark)
+    root = scratch_path(spark, "cli-tables")
+    for name, df in [("customers", c), ("products", p), ("orders", o), ("order_items", i)]:
+        df.write.parquet(f"{root}/{name}")
+    out = scratch_path(spark, "cli-out")
+    main(["refresh", "--tables", root, "--out", out, "--checkpoint",
+          scratch_path(spark, "cli-ck"), "--every", "availableNow", "--as-of", fx.AS_OF])
+    assert sorted(os.listdir(out)) == sorted(HEADERS)
+    csv_root = scratch_path(spark, "cli-csv")
+    for name, df in [("customers", c), ("products", p), ("orders", o),
+                     ("order_items", i.drop("line_amount"))]:
+        df.write.option("header", True).csv(f"{csv_root}/{name}")
+    out2 = scratch_path(spark, "cli-batch")
+    main(["batch", "--customers", f"{csv_root}/customers", "--products", f"{csv_root}/products",
+          "--orders", f"{csv_root}/orders", "--order-items", f"{csv_root}/order_items",
+          "--out", out2, "--as-of", fx.AS_OF])
+    assert sorted(os.listdir(out2)) == sorted(HEADERS)
