@@ -178,7 +178,7 @@ def growth_by_period(orders: DataFrame, unit: str = "month") -> DataFrame:
     calendar period (NULL when that period had no orders; +Infinity/0 on a
     zero base as in k11).  Columns: period_start, sales, prev_sales,
     growth_pct."""
-    step = F.expr(f"INTERVAL {_PERIOD_STEP[unit]}") if unit != "week" else interval("7 days")
+    step = interval(_PERIOD_STEP[unit])
     per = (orders.groupBy(period_start("order_date", unit).alias("period_start"))
            .agg(F.sum("total_amount").alias("sales")))
     j = with_previous(per, "period_start", step, "sales")
