@@ -184,3 +184,28 @@ def test_conversion_rate_and_margin(rel):
     assert (r.leads, r.converted, r.conversion_rate_pct) == (5, 4, 80.0)
     m = extensions.gross_margin(i, p).collect()[0]
     assert m.gross_margin_pct == pytest.approx(30.0)
+
+
+@pytest.mark.parametrize("unit", ["hour", "day", "week", "month", "quarter", "year"])
+def test_growth_by_period_units(rel, unit):
+    o = rel[2]
+
+    def start(t):
+        if unit == "hour":
+            return t.replace(minute=0, second=0, microsecond=0)
+        d = t.replace(hour=0, minute=0, second=0, microsecond=0)
+        if unit == "day":
+            return d
+        if unit == "week":
+            return d - dt.timedelta(days=d.weekday())
+        if unit == "month":
+            return d.replace(day=1)
+        if unit == "quarter":
+            return d.replace(day=1, month=3 * ((d.month - 1) // 3) + 1)
+        return d.replace(day=1, month=1)
+
+    want = {}
+    for r in fx.ORDERS:
+        want[start(r[2])] = want.get(start(r[2]), D(0)) + r[3]
+    got = {r.period_start: r.sales for r in extensions.growth_by_period(o, unit).collect()}
+    assert got == {k: float(v) for k, v in want.items()}
