@@ -47,7 +47,7 @@ def _refresh(args) -> None:
                                                   fmt="parquet").schema) \
         .parquet(f"{root}/orders")
     q = start_refresh(pacer, load, args.out, args.checkpoint, as_of=args.as_of,
-                      trigger=args.every)
+                      trigger=args.every, versioned=args.versioned)
     q.awaitTermination()
 
 
@@ -79,6 +79,8 @@ def main(argv=None) -> None:
         ap.add_argument("--tables", required=True, help="root of the ingested Parquet tables")
         ap.add_argument("--every", default="10 minutes")
         ap.add_argument("--as-of", default=None)
+        ap.add_argument("--versioned", action="store_true",
+                        help="write each refresh to run=<id> folders and publish it when complete")
         _refresh(ap.parse_args(rest))
 
 

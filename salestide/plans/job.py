@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import argparse
 import dataclasses
+import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salestide.operators import kpis, tables
 from salestide.sources.files import read_relation
@@ -60,17 +63,35 @@ def kpi_outputs(rel: Relations, as_of=None, lookback: str = "3 hours",
 _UNBOUNDED = {"churn_risk"}
 
 
+def new_run_id() -> str:
+    """A run folder name that sorts in time order (UTC, microseconds) and
+    stays unique across concurrent runs."""
+    now = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    return f"{now}-{uuid.uuid4().hex[:8]}"
+
+
 def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
-              single_file: bool = True, parallel: int = 4, **params) -> dict[str, str]:
+              single_file: bool = True, parallel: int = 4, versioned: bool = False,
+              **params) -> dict[str, str]:
     """Write every KPI output under ``out_root``; returns name -> path.
 
     ``single_file`` applies to the small, bounded outputs only.  The ten
     writes are independent jobs; up to ``parallel`` are submitted at once
     from driver threads so their stages share the executors (no data passes
-    through the driver).  A failed write raises after the others finish;
-    rerunning overwrites every output."""
+    through the driver).  A failed write raises after the others finish.
+
+    By default outputs are overwritten in place, so a reader during a
+    refresh may see a folder being replaced.  ``versioned=True`` writes each
+    refresh to ``<name>/run=<id>/`` instead and, once all ten are committed,
+    appends the run id to ``<out_root>/published``; readers take the newest
+    published run (``read_result(..., latest=True)``), so they never see a
+    partial run and always see one consistent set of outputs.
+    """
     outputs = kpi_outputs(rel, as_of=as_of, **params)
-    paths = {name: f"{out_root.rstrip('/')}/{name}" for name in outputs}
+    root = out_root.rstrip("/")
+    run_id = new_run_id() if versioned else None
+    run = f"/run={run_id}" if versioned else ""
+    paths = {name: f"{root}/{name}{run}" for name in outputs}
 
     def write(name: str) -> None:
         write_result(outputs[name], paths[name], fmt=fmt,
@@ -83,9 +104,19 @@ def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             for f in [pool.submit(write, name) for name in outputs]:
                 f.result()
+    if versioned:
+        publish_run(rel.orders.sparkSession, root, run_id)
     return paths
 
 
+def publish_run(spark, out_root: str, run_id: str) -> None:
+    """Append one row (run, published_at) to the run log.  Append-only, so
+    a reader never meets a log being rewritten."""
+    spark.createDataFrame([(run_id,)], "run string") \
+        .withColumn("published_at", F.current_timestamp()) \
+        .coalesce(1).write.mode("append").json(f"{out_root}/published")
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="Compute the sales KPI outputs.")
     ap.add_argument("--customers", required=True)

@@ -64,3 +64,24 @@ def test_command_line_batch_and_refresh(spark):
           "--orders", f"{csv_root}/orders", "--order-items", f"{csv_root}/order_items",
           "--out", out2, "--as-of", fx.AS_OF])
     assert sorted(os.listdir(out2)) == sorted(HEADERS)
+
+
+def test_versioned_outputs_read_latest_published_run(spark):
+    from salestide.sources.results import latest_run, read_result, read_summary
+    from salestide.plans.job import Relations
+    c, p, o, i = fx.frames(spark)
+    out = scratch_path(spark, "versioned")
+    assert latest_run(spark, out) is None
+    assert read_summary(spark, f"{out}/summary_kpis", latest=True).collect()[0][0] == 0
+    first = run_batch(Relations(c, p, o, i), out, as_of=fx.AS_OF, versioned=True)
+    fewer = o.where("order_id <> 'O8'")
+    second = run_batch(Relations(c, p, fewer, i), out, as_of=fx.AS_OF, versioned=True)
+    assert first["summary_kpis"] != second["summary_kpis"]
+    assert second["summary_kpis"].endswith("run=" + latest_run(spark, out))
+    # a run being written (folders present, not yet published) is never read
+    os.makedirs(f"{out}/summary_kpis/run=99999999T999999999999Z-partial")
+    assert second["summary_kpis"].endswith("run=" + latest_run(spark, out))
+    assert read_summary(spark, f"{out}/summary_kpis", latest=True).collect()[0][0] == 7
+    churn_schema = spark.createDataFrame(
+        [], "customer_id string, last_ordered_date timestamp_ntz, days_since_last_order int").schema
+    assert read_result(spark, f"{out}/churn_risk", churn_schema, latest=True).count() == 0
