@@ -81,3 +81,10 @@ def test_facts_are_aggregated_before_the_dimension_join(plans):
 def test_summary_merges_subqueries(plans):
     p = plans["k13_kpi_summary"]
     assert "mergedValue" in p  # scalar subqueries over one relation merged
+
+
+def test_no_python_in_any_plan(plans):
+    # every operator is JVM-side: no row-at-a-time or Arrow Python stages
+    markers = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+               "MapInPandas", "PythonUDF")
+    assert [n for n, p in plans.items() if any(m in p for m in markers)] == []
