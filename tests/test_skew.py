@@ -51,7 +51,7 @@ def test_revenue_by_location_and_category(skewed):
 
 
 def test_ltv_and_repeat_under_a_hot_customer(skewed):
-    (_customers, _products, orders, _items), (c, _p, o, _i) = skewed
+    (_customers, _products, orders, items), (c, _p, o, i) = skewed
     ltv = tables.customer_ltv(o, c, k=1).collect()
     assert {r.customer_id for r in ltv} == {"C0"}  # C0 wins every window
     flags = {r.customer_id: r.repeat
@@ -63,5 +63,5 @@ def test_ltv_and_repeat_under_a_hot_customer(skewed):
         times.sort()
         want = any(b - a <= dt.timedelta(days=1) for a, b in zip(times, times[1:]))
         assert flags[cust] == want, cust
-    units = sum(r[3] for r in _items)
-    assert kpis.items_sold(_i).collect()[0][0] == units
+    units = sum(r[3] for r in items)
+    assert kpis.items_sold(i).collect()[0][0] == units
