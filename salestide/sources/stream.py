@@ -56,15 +56,19 @@ def decode(messages: DataFrame, relation: str | None = None,
 
 
 def route(messages: DataFrame, topics: dict[str, str],
-          schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
-    """S8: one decoded DataFrame per topic (``topics`` maps topic -> relation)."""
+          schemas: dict[str, T.StructType] | None = None,
+          keep: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """S8: one decoded DataFrame per topic (``topics`` maps topic -> relation).
+    ``keep`` carries message columns into every relation (e.g. the broker
+    ``timestamp``, the event time of item messages that have none)."""
     schemas = schemas or {}
     out = {}
     for topic, relation in topics.items():
         part = messages.where(F.col("topic") == topic)
         sch = schemas.get(relation)
         out[relation] = decode(part, relation, schema=sch,
-                               id_column=RELATIONS[relation][1] if sch is not None else None)
+                               id_column=RELATIONS[relation][1] if sch is not None else None,
+                               keep=keep)
     return out
 
 

@@ -56,7 +56,8 @@ def start_ingest(messages: DataFrame | Callable[[str], DataFrame], out_root: str
                  topics: dict[str, str], fmt: str = "parquet", trigger=None,
                  schemas: dict[str, T.StructType] | None = None,
                  dedup: dict[str, tuple] | None = None,
-                 partition_by: dict[str, list[str]] | None = None) -> list[StreamingQuery]:
+                 partition_by: dict[str, list[str]] | None = None,
+                 keep: tuple[str, ...] = ()) -> list[StreamingQuery]:
     """Start one append query per topic writing ``out_root/<relation>``.
 
     ``messages`` is one stream of all topics, or a function ``topic ->
@@ -66,13 +67,15 @@ def start_ingest(messages: DataFrame | Callable[[str], DataFrame], out_root: str
 
     ``topics`` maps topic -> relation; ``dedup`` maps relation ->
     (key, event-time column, delay[, strategy]); ``partition_by`` maps relation ->
-    columns (e.g. an order day) for partition pruning downstream."""
+    columns (e.g. an order day) for partition pruning downstream; ``keep``
+    stores message columns alongside (e.g. ``("timestamp",)`` so the item
+    table has an event time for the windowed top-N)."""
     if callable(messages):
         frames = {}
         for topic, relation in topics.items():
-            frames.update(route(messages(topic), {topic: relation}, schemas))
+            frames.update(route(messages(topic), {topic: relation}, schemas, keep))
     else:
-        frames = route(messages, topics, schemas)
+        frames = route(messages, topics, schemas, keep)
     queries = []
     for relation, df in frames.items():
         if dedup and relation in dedup:

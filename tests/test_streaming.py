@@ -1,7 +1,9 @@
 import datetime as dt
+import os
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from salestide import streaming
 from salestide.operators import tables
@@ -63,6 +65,36 @@ def test_ingest_with_one_source_per_topic(spark):
     assert spark.read.parquet(f"{out}/customers").count() == 4
 
 
+def test_items_keep_broker_time_for_windowed_top_n(spark):
+    _c, p, _o, i = fx.frames(spark)
+    # items of O1-O3 were published on 05-07, the rest on 05-09
+    broker_time = F.when(F.col("order_id").isin("O1", "O2", "O3"),
+                         F.lit("2025-05-07 10:00:00")).otherwise(F.lit("2025-05-09 00:00:00"))
+    fields = [F.col(c) for c in i.drop("line_amount").columns]
+    msgs = i.select(F.lit("items").alias("topic"), F.to_json(F.struct(*fields)).alias("value"),
+                    broker_time.cast("timestamp").alias("timestamp"))
+    src = scratch_path(spark, "items-msgs")
+    msgs.write.json(src)
+    schema = "topic string, value string, timestamp timestamp"
+    out, ck = scratch_path(spark, "items-out"), scratch_path(spark, "items-ck")
+    for q in streaming.start_ingest(spark.readStream.schema(schema).json(src), out, ck,
+                                    {"items": "order_items"}, trigger="availableNow",
+                                    keep=("timestamp",)):
+        q.awaitTermination()
+    table = spark.read.parquet(f"{out}/order_items")
+    assert "timestamp" in table.columns and table.count() == 9
+    top, tck = scratch_path(spark, "top"), scratch_path(spark, "top-ck")
+    streaming.start_top_products(
+        spark.readStream.schema(table.schema).parquet(f"{out}/order_items"), top, tck,
+        event_time="timestamp", products=p, window="1 day", k=1, delay="0 seconds",
+        trigger="availableNow").awaitTermination()
+    rows = [(r.window_start, r.product_id, r.name, r.sold_quantity)
+            for r in spark.read.parquet(top).collect()]
+    # the 05-07 window is closed (P1..P4 one line each, tie broken on id);
+    # the 05-09 window is still open
+    assert rows == [(dt.datetime(2025, 5, 7), "P1", "Atlas", 1)]
+
+
 def test_dedup_collapse_strategy(spark):
     _c, _p, o, _i = fx.frames(spark)
     hot = o.where("order_id = 'O1'")
