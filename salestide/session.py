@@ -59,16 +59,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Only when the session names none (a local test) is a fresh local folder
     created and registered with ``setCheckpointDir``; on a cluster the
-    setting must point at shared storage and is never replaced.
+    setting must point at shared storage and is never replaced.  (Under
+    Spark Connect there is no SparkContext: the setting alone is used.)
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = current
     if not root:
+        if sc is None:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="salestide-ckpt-")
-    if current is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and current is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
