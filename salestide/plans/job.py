@@ -72,7 +72,7 @@ def new_run_id() -> str:
 
 def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
               single_file: bool = True, parallel: int = 4, versioned: bool = False,
-              **params) -> dict[str, str]:
+              folder_names: dict[str, str] | None = None, **params) -> dict[str, str]:
     """Write every KPI output under ``out_root``; returns name -> path.
 
     ``single_file`` applies to the small, bounded outputs only.  The ten
@@ -86,12 +86,16 @@ def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
     appends the run id to ``<out_root>/published``; readers take the newest
     published run (``read_result(..., latest=True)``), so they never see a
     partial run and always see one consistent set of outputs.
+
+    ``folder_names`` renames output folders (output key -> folder), so an
+    existing reader can keep its paths.
     """
     outputs = kpi_outputs(rel, as_of=as_of, **params)
     root = out_root.rstrip("/")
     run_id = new_run_id() if versioned else None
     run = f"/run={run_id}" if versioned else ""
-    paths = {name: f"{root}/{name}{run}" for name in outputs}
+    folders = {name: (folder_names or {}).get(name, name) for name in outputs}
+    paths = {name: f"{root}/{folders[name]}{run}" for name in outputs}
 
     def write(name: str) -> None:
         write_result(outputs[name], paths[name], fmt=fmt,

@@ -85,3 +85,14 @@ def test_versioned_outputs_read_latest_published_run(spark):
     churn_schema = spark.createDataFrame(
         [], "customer_id string, last_ordered_date timestamp_ntz, days_since_last_order int").schema
     assert read_result(spark, f"{out}/churn_risk", churn_schema, latest=True).count() == 0
+
+
+def test_folder_names(spark):
+    from salestide.plans.job import Relations
+    c, p, o, i = fx.frames(spark)
+    out = scratch_path(spark, "renamed")
+    written = run_batch(Relations(c, p, o, i), out, as_of=fx.AS_OF,
+                        folder_names={"summary_kpis": "kpi_cards", "churn_risk": "at_risk"})
+    assert written["summary_kpis"].endswith("/kpi_cards")
+    assert "kpi_cards" in os.listdir(out) and "at_risk" in os.listdir(out)
+    assert "customer_ltv" in os.listdir(out)
