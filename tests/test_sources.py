@@ -133,3 +133,16 @@ def test_as_of_now_uses_the_session_clock(spark):
     # the fixture lies in the past: nothing is within the last 3 hours of now
     assert kpis.new_customers(c).collect()[0][0] == 0
     assert kpis.sales_window(o).collect()[0][0] == 0.0
+
+
+def test_timestamp_format_at_the_output_edge(spark):
+    from salestide.operators import tables
+    _c, _p, o, _i = fx.frames(spark)
+    path = scratch_path(spark, "churn-text")
+    write_result(tables.churn_risk(o, as_of="2025-05-15"), path, single_file=True,
+                 timestamp_format="yyyy-MM-dd HH:mm:ss")
+    part = [f for f in os.listdir(path) if f.startswith("part-")][0]
+    with open(os.path.join(path, part)) as f:
+        lines = f.read().splitlines()
+    assert lines[0] == "customer_id,last_ordered_date,days_since_last_order"
+    assert lines[1] == "C1,2025-05-03 09:15:00,12"
