@@ -49,9 +49,15 @@ def rank_windows(counts: DataFrame, products: DataFrame | None = None, k: int =
 def _idempotent_batch_writer(path: str, transform):
     """foreachBatch body that writes batch N to ``path/batch_id=N`` with
     overwrite, so a retried batch replaces its own output instead of
-    appending a second copy."""
+    appending a second copy.  The batch (the windows closed by this
+    trigger) is persisted while the transform reads it twice, so the
+    stateful part of the micro-batch is computed once."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.persist()
+        try:
+            transform(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
