@@ -19,10 +19,6 @@ from pyspark.sql import types as T
 from salestide.sources.stream import route
 from salestide.streaming.common import EVENT_TS, set_trigger, with_event_time
 
-# relation -> event-time column used by the de-duplicating ingest (fixed)
-EVENT_TIME = {"orders": "order_date", "customers": "signup_date"}
-
-
 def dedupe(df: DataFrame, key: str, event_time: str, delay: str = "1 hour",
            strategy: str = "first_seen") -> DataFrame:
     """ST4: drop redelivered messages (same ``key``).
