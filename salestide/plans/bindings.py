@@ -87,22 +87,17 @@ class StoredTables:
             F.col("o_orderstatus").alias("sales_channel"),
             F.col("o_orderpriority").alias("payment_method"))
 
-    def customers(self, with_signup: bool = False) -> DataFrame:
+    def customers(self) -> DataFrame:
+        """Customers with the nation name as location; signup times are not
+        in the customer table (see ``event_customers``)."""
         nation = self.raw("nation").select(
             F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("location"))
         cust = self.raw("customer").join(nation, "c_nationkey", "left")
-        signup = F.lit(None).cast("timestamp_ntz")
-        if with_signup:
-            first = self.signup_customers().groupBy("customer_id").agg(
-                F.min("signup_date").alias("signup_date"))
-            cust = cust.join(first.withColumnRenamed("customer_id", "c_custkey"),
-                             "c_custkey", "left")
-            signup = F.col("signup_date")
         return cust.select(
             F.col("c_custkey").alias("customer_id"),
             F.col("c_name").alias("name"),
             _null_str().alias("gender"), _null_str().alias("email"), _null_str().alias("phone"),
-            signup.alias("signup_date"),
+            F.lit(None).cast("timestamp_ntz").alias("signup_date"),
             F.col("location"),
             F.col("c_mktsegment").alias("membership_type"))
 
