@@ -102,20 +102,26 @@ def sales_window(orders: DataFrame, as_of=None, lookback: str = "3 hours") -> Da
         as_double(F.coalesce(F.sum("total_amount"), F.lit(Decimal("0")))).alias("sales_in_last3hrs"))
 
 
-def growth_rate(orders: DataFrame, as_of=None, period: str = "3 hours") -> DataFrame:
-    """k11: percent change of sales in ``[as_of-period, ∞)`` over
-    ``[as_of-2·period, as_of-period)``; +Infinity when the previous period is
-    0 and the current one positive, 0 when both are 0.  One scan: the
-    earliest bound is pushed to the source, the two periods are conditional
-    sums."""
+def period_sums(orders: DataFrame, as_of=None, period: str = "3 hours") -> DataFrame:
+    """One row (cur, prev): sales in ``[as_of-period, ∞)`` and in
+    ``[as_of-2·period, as_of-period)``, from one scan whose earliest bound
+    is pushed to the source."""
     a = as_of_column(as_of)
     p = interval(period)
     start_cur, start_prev = a - p, a - p - p
     ts, amt = F.col("order_date"), F.col("total_amount")
     zero = F.lit(Decimal("0"))
-    both = orders.filter(ts >= start_prev).agg(
+    return orders.filter(ts >= start_prev).agg(
         F.coalesce(F.sum(F.when(ts >= start_cur, amt)), zero).alias("cur"),
         F.coalesce(F.sum(F.when(ts < start_cur, amt)), zero).alias("prev"))
+
+
+def growth_rate(orders: DataFrame, as_of=None, period: str = "3 hours") -> DataFrame:
+    """k11: percent change of sales in ``[as_of-period, ∞)`` over
+    ``[as_of-2·period, as_of-period)``; +Infinity when the previous period is
+    0 and the current one positive, 0 when both are 0.  One scan: the two
+    periods are conditional sums (``period_sums``)."""
+    both = period_sums(orders, as_of, period)
     return both.select(growth_pct(F.col("cur"), F.col("prev")).alias("growth_rate"))
 
 
@@ -133,6 +139,17 @@ def inventory_turnover(items: DataFrame, products: DataFrame,
     return agg.select(F.try_divide(cogs, as_double(units) / 2.0).alias("inventory_turnover"))
 
 
+def _window_kpis(orders: DataFrame, as_of, lookback: str, period: str) -> list[DataFrame]:
+    """k10 and k11.  With equal lookback and period (the original's 3 hours)
+    both come from one ``period_sums`` aggregate, which the merged scalar
+    subqueries then read in a single scan."""
+    if lookback != period:
+        return [sales_window(orders, as_of, lookback), growth_rate(orders, as_of, period)]
+    both = period_sums(orders, as_of, period)
+    return [both.select(as_double(F.col("cur")).alias("sales_in_last3hrs")),
+            both.select(growth_pct(F.col("cur"), F.col("prev")).alias("growth_rate"))]
+
+
 def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
                 items: DataFrame, as_of=None, lookback: str = "3 hours",
                 period: str = "3 hours", total_cost: float = 50000,
@@ -163,8 +180,7 @@ def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
         acquisition_cost(customers, total_cost),
         avg_conversion_delay(signups, first_orders),
         retention_pct(orders),
-        sales_window(recent_orders, as_of, lookback),
-        growth_rate(recent_orders, as_of, period),
+        *_window_kpis(recent_orders, as_of, lookback, period),
         inventory_turnover(items, products, cost_ratio),
     ]
     first, rest = parts[0], parts[1:]
