@@ -28,7 +28,9 @@ from salestide.streaming.common import EVENT_TS, set_trigger, with_event_time
 def churn_alerts(orders: DataFrame, min_days: int = 7, delay: str = "0 seconds") -> DataFrame:
     """Streaming DataFrame of (customer_id, session_start, last_ordered_date):
     one row each time a customer goes ``min_days`` without ordering."""
-    gap = f"{int(min_days)} days"
+    # a fixed length (hours): calendar days would be added in the session
+    # time zone and stretch or shrink across daylight-saving changes
+    gap = f"{int(min_days) * 24} hours"
     return (with_event_time(orders.select("customer_id", "order_date"), "order_date", delay)
             .groupBy("customer_id", F.session_window(EVENT_TS, gap).alias("s"))
             .agg(F.min("order_date").alias("session_start"),

@@ -4,14 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 EVENT_TS = "_event_ts"
 
 
+def as_instant(c):
+    """A wall-clock ``TIMESTAMP_NTZ`` as the instant of that wall-clock time
+    in UTC, whatever the session time zone, so event-time windows align to
+    the wall clock exactly as batch ``window()`` on NTZ does.  Zone-based
+    timestamps pass through unchanged."""
+    # cast() reads the wall clock in the session zone; shifting by that
+    # zone's offset turns it into the same wall clock read in UTC
+    return F.from_utc_timestamp(c.cast("timestamp"), F.current_timezone())
+
+
+def as_wall_clock(c):
+    """Inverse of ``as_instant`` for window bounds: back to ``TIMESTAMP_NTZ``."""
+    return F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
+
+
 def with_event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
-    """Add a zone-based copy of ``column`` and declare the watermark on it."""
-    return df.withColumn(EVENT_TS, F.col(column).cast("timestamp")).withWatermark(EVENT_TS, delay)
+    """Add a zone-based copy of ``column`` and declare the watermark on it.
+    NTZ columns are read as UTC wall clock (``as_instant``); zone-based ones
+    (e.g. a broker timestamp) are used as they are."""
+    src = df.schema[column].dataType
+    ts = as_instant(F.col(column)) if isinstance(src, T.TimestampNTZType) \
+        else F.col(column).cast("timestamp")
+    return df.withColumn(EVENT_TS, ts).withWatermark(EVENT_TS, delay)
 
 
 def set_trigger(writer: DataStreamWriter, trigger) -> DataStreamWriter:

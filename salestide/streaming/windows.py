@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from salestide.functions.money import as_double, growth_pct
-from salestide.streaming.common import EVENT_TS, set_trigger, with_event_time
+from salestide.streaming.common import EVENT_TS, as_wall_clock, set_trigger, with_event_time
 
 
 def windowed_product_counts(items: DataFrame, event_time: str, window: str = "5 minutes",
@@ -32,8 +32,8 @@ def rank_windows(counts: DataFrame, products: DataFrame | None = None, k: int =
     Columns: window_start, window_end, product_id, [name,] sold_quantity, rank."""
     order = Window.partitionBy("window_start").orderBy(
         F.col("sold_quantity").desc(), F.col("product_id"))
-    top = (counts.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                         F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+    top = (counts.select(as_wall_clock(F.col("window.start")).alias("window_start"),
+                         as_wall_clock(F.col("window.end")).alias("window_end"),
                          "product_id", "sold_quantity")
            .withColumn("rank", F.row_number().over(order))
            .filter(F.col("rank") <= k)
@@ -79,8 +79,8 @@ def windowed_revenue(orders: DataFrame, window: str = "3 hours",
     agg = (with_event_time(orders, "order_date", delay)
            .groupBy(F.window(EVENT_TS, window).alias("window"))
            .agg(F.sum("total_amount").alias("sales"), F.count(F.lit(1)).alias("orders")))
-    return agg.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+    return agg.select(as_wall_clock(F.col("window.start")).alias("window_start"),
+                      as_wall_clock(F.col("window.end")).alias("window_end"),
                       "sales", "orders")
 
 
