@@ -36,3 +36,24 @@ def test_queries_match_oracles(spark):
         if status != "MATCH":
             bad[name] = (status, detail)
     assert bad == {}
+
+
+def test_streaming_queries_match_in_another_time_zone(spark):
+    """Window alignment and session gaps must not depend on the session
+    time zone (daylight saving included)."""
+    import __spark_entry__ as entry
+    con = duck(SF)
+    oracles = entry.oracle_sql()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        bad = {}
+        for name in ("st2_windowed_top_products", "st3_churn_alerts", "st6_windowed_revenue",
+                     "t01_customer_ltv", "t06_hourly_sales"):
+            status, detail, _n, _s = compare(spark, con, name, entry.queries()[name],
+                                             oracles[name], SF)
+            if status != "MATCH":
+                bad[name] = (status, detail)
+        assert bad == {}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
