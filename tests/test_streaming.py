@@ -1,5 +1,4 @@
 import datetime as dt
-import os
 from decimal import Decimal as D
 
 import pytest
