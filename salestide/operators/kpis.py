@@ -164,7 +164,9 @@ def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
     one job instead of one action per KPI.  Optional frames let a caller feed
     the time-window KPIs from a finer-grained source (``recent_orders``,
     ``new_customer_rows``) or the conversion delay from other signup/order
-    sources; by default everything comes from the four relations.
+    sources; by default everything comes from the four relations.  With
+    ``as_of=None`` Spark fixes "now" once per query, subqueries included, so
+    every KPI of the row uses the same instant.
     """
     recent_orders = orders if recent_orders is None else recent_orders
     new_customer_rows = customers if new_customer_rows is None else new_customer_rows
