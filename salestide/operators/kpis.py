@@ -86,10 +86,12 @@ def avg_conversion_delay(customers: DataFrame, orders: DataFrame) -> DataFrame:
         ratio(F.sum(h), F.count(h)).alias("avg_time"))
 
 
-def retention_pct(orders: DataFrame, min_orders: int = 2) -> DataFrame:
+def retention_pct(orders: DataFrame, min_orders: int = 2,
+                  per_customer: DataFrame | None = None) -> DataFrame:
     """k09: percent of ordering customers with at least ``min_orders`` orders
-    (all time)."""
-    per = customer_revenue(orders)
+    (all time).  ``per_customer`` is an already computed
+    ``customer_revenue(orders)``."""
+    per = per_customer if per_customer is not None else customer_revenue(orders)
     repeat = F.sum(F.when(F.col("orders") >= min_orders, 1).otherwise(0))
     return per.agg((ratio(repeat, F.count(F.lit(1))) * 100).alias("percent_repeat_customers"))
 
@@ -156,7 +158,8 @@ def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
                 cost_ratio: float = 0.7, new_customer_rows: DataFrame | None = None,
                 recent_orders: DataFrame | None = None,
                 signups: DataFrame | None = None,
-                first_orders: DataFrame | None = None) -> DataFrame:
+                first_orders: DataFrame | None = None,
+                per_customer: DataFrame | None = None) -> DataFrame:
     """k13: the twelve KPIs as one row, in the fixed column order.
 
     Built as scalar subqueries over one-row aggregates; Catalyst merges the
@@ -181,7 +184,7 @@ def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
         average_order_value(orders),
         acquisition_cost(customers, total_cost),
         avg_conversion_delay(signups, first_orders),
-        retention_pct(orders),
+        retention_pct(orders, per_customer=per_customer),
         *_window_kpis(recent_orders, as_of, lookback, period),
         inventory_turnover(items, products, cost_ratio),
     ]

@@ -57,25 +57,30 @@ def customer_ltv(orders: DataFrame, customers: DataFrame, window: str = "10 days
         .orderBy("window_start", "rank"))
 
 
-def _revenue_by(orders: DataFrame, customers: DataFrame, attribute: str) -> DataFrame:
-    per_customer = customer_revenue(orders).select("customer_id", "revenue")
-    joined = per_customer.join(customers.select("customer_id", attribute), "customer_id")
+def _revenue_by(orders: DataFrame, customers: DataFrame, attribute: str,
+                per_customer: DataFrame | None = None) -> DataFrame:
+    per = (per_customer if per_customer is not None else customer_revenue(orders)) \
+        .select("customer_id", "revenue")
+    joined = per.join(customers.select("customer_id", attribute), "customer_id")
     return joined.groupBy(attribute).agg(F.sum("revenue").alias("revenue"))
 
 
-def regional_revenue(orders: DataFrame, customers: DataFrame, k: int = 10) -> DataFrame:
-    """t02: revenue by customer location, top k.  Columns: location, total_revenue."""
-    by_location = _revenue_by(orders, customers, "location")
+def regional_revenue(orders: DataFrame, customers: DataFrame, k: int = 10,
+                     per_customer: DataFrame | None = None) -> DataFrame:
+    """t02: revenue by customer location, top k.  Columns: location, total_revenue.
+    ``per_customer`` is an already computed ``customer_revenue(orders)``."""
+    by_location = _revenue_by(orders, customers, "location", per_customer)
     return (by_location
             .orderBy(F.col("revenue").desc_nulls_last(), F.col("location").asc_nulls_last())
             .limit(k)
             .select("location", _money_out(F.col("revenue"), "total_revenue")))
 
 
-def membership_revenue(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def membership_revenue(orders: DataFrame, customers: DataFrame,
+                       per_customer: DataFrame | None = None) -> DataFrame:
     """t03: revenue by membership type, descending.
     Columns: membership_type, revenue_generated."""
-    by_type = _revenue_by(orders, customers, "membership_type")
+    by_type = _revenue_by(orders, customers, "membership_type", per_customer)
     return (by_type
             .select("membership_type", _money_out(F.col("revenue"), "revenue_generated"))
             .orderBy(F.col("revenue_generated").desc_nulls_last(),
@@ -90,14 +95,28 @@ _PARTS = {
 }
 
 
-def sales_by(orders: DataFrame, part: str = "month") -> DataFrame:
+def time_parts(orders: DataFrame) -> DataFrame:
+    """Sales by (month, weekday, hour): at most 12·7·24 groups, the shared
+    pre-aggregate from which t04-t06 are exact re-sums (one scan for all
+    three).  Columns: order_month, order_weekday, order_hour, sales."""
+    ts = F.col("order_date")
+    return orders.groupBy(*[fn(ts).cast("int").alias(key) for fn, key, _v in _PARTS.values()]) \
+        .agg(F.sum("total_amount").alias("sales"))
+
+
+def sales_by(orders: DataFrame, part: str = "month",
+             parts: DataFrame | None = None) -> DataFrame:
     """t04/t05/t06: sales by month number (years merged), by weekday
     (1 = Sunday) or by hour of day.  Few groups, so the map-side partial
-    aggregate leaves almost nothing to shuffle."""
+    aggregate leaves almost nothing to shuffle.  ``parts`` is an already
+    computed ``time_parts(orders)`` (decimal sums re-add exactly)."""
     fn, key, value = _PARTS[part]
-    return (orders.groupBy(fn("order_date").cast("int").alias(key))
-            .agg(F.sum("total_amount").cast("double").alias(value))
-            .orderBy(F.col(key).asc_nulls_first()))
+    if parts is not None:
+        grouped = parts.groupBy(key).agg(F.sum("sales").cast("double").alias(value))
+    else:
+        grouped = (orders.groupBy(fn("order_date").cast("int").alias(key))
+                   .agg(F.sum("total_amount").cast("double").alias(value)))
+    return grouped.orderBy(F.col(key).asc_nulls_first())
 
 
 def top_products(orders: DataFrame, items: DataFrame, products: DataFrame, as_of=None,

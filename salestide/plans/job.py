@@ -42,17 +42,21 @@ def load_relations(spark: SparkSession, paths: dict[str, str], fmt: str = "csv",
 # are the fixed ones of the original results.
 def kpi_outputs(rel: Relations, as_of=None, lookback: str = "3 hours",
                 top_lookback: str = "15 minutes", ltv_window: str = "10 days",
-                churn_days: int = 7) -> dict[str, DataFrame]:
+                churn_days: int = 7, per_customer: DataFrame | None = None,
+                parts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The ten outputs.  ``per_customer`` (``tables.customer_revenue``) and
+    ``parts`` (``tables.time_parts``) are optional shared pre-aggregates of
+    the orders."""
     c, p, o, i = rel.customers, rel.products, rel.orders, rel.order_items
     return {
         "summary_kpis": kpis.kpi_summary(c, p, o, i, as_of=as_of, lookback=lookback,
-                                         period=lookback),
+                                         period=lookback, per_customer=per_customer),
         "customer_ltv": tables.customer_ltv(o, c, window=ltv_window),
-        "regional_revenue": tables.regional_revenue(o, c),
-        "membership_revenue": tables.membership_revenue(o, c),
-        "monthly_sales": tables.sales_by(o, "month"),
-        "weekday_sales": tables.sales_by(o, "weekday"),
-        "hourly_sales": tables.sales_by(o, "hour"),
+        "regional_revenue": tables.regional_revenue(o, c, per_customer=per_customer),
+        "membership_revenue": tables.membership_revenue(o, c, per_customer=per_customer),
+        "monthly_sales": tables.sales_by(o, "month", parts=parts),
+        "weekday_sales": tables.sales_by(o, "weekday", parts=parts),
+        "hourly_sales": tables.sales_by(o, "hour", parts=parts),
         "top_products": tables.top_products(o, i, p, as_of=as_of, lookback=top_lookback),
         "category_revenue": tables.category_revenue(i, p),
         "churn_risk": tables.churn_risk(o, as_of=as_of, min_days=churn_days),
@@ -72,7 +76,8 @@ def new_run_id() -> str:
 
 def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
               single_file: bool = True, parallel: int = 4, versioned: bool = False,
-              folder_names: dict[str, str] | None = None, **params) -> dict[str, str]:
+              folder_names: dict[str, str] | None = None, share: bool = True,
+              **params) -> dict[str, str]:
     """Write every KPI output under ``out_root``; returns name -> path.
 
     ``single_file`` applies to the small, bounded outputs only.  The ten
@@ -89,7 +94,19 @@ def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
 
     ``folder_names`` renames output folders (output key -> folder), so an
     existing reader can keep its paths.
+
+    ``share`` computes the two pre-aggregates several outputs need (revenue
+    per customer; sales per month/weekday/hour) once, with ``checkpoint()``:
+    written to the shared checkpoint folder with their lineage cut, so the
+    orders are scanned for them once and a lost executor costs no
+    recomputation.
     """
+    if share:
+        from salestide.session import checkpoint_root
+        checkpoint_root(rel.orders.sparkSession)  # the shared folder (set if unset)
+        params = {**params,
+                  "per_customer": tables.customer_revenue(rel.orders).checkpoint(),
+                  "parts": tables.time_parts(rel.orders).checkpoint()}
     outputs = kpi_outputs(rel, as_of=as_of, **params)
     root = out_root.rstrip("/")
     run_id = new_run_id() if versioned else None

@@ -96,3 +96,15 @@ def test_folder_names(spark):
     assert written["summary_kpis"].endswith("/kpi_cards")
     assert "kpi_cards" in os.listdir(out) and "at_risk" in os.listdir(out)
     assert "customer_ltv" in os.listdir(out)
+
+
+def test_shared_pre_aggregates_give_the_same_outputs(spark):
+    from salestide.plans.job import Relations
+    c, p, o, i = fx.frames(spark)
+    rel = Relations(c, p, o, i)
+    a = run_batch(rel, scratch_path(spark, "shared"), as_of=fx.AS_OF, share=True)
+    b = run_batch(rel, scratch_path(spark, "unshared"), as_of=fx.AS_OF, share=False)
+    for name in HEADERS:
+        ra = sorted(tuple(r) for r in spark.read.option("header", True).csv(a[name]).collect())
+        rb = sorted(tuple(r) for r in spark.read.option("header", True).csv(b[name]).collect())
+        assert ra == rb, name
