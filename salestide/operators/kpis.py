@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from salestide.functions.money import as_double, growth_pct, ratio
 from salestide.functions.timefns import as_of_column, interval
-from salestide.operators.tables import customer_revenue
+from salestide.operators.tables import customer_revenue, product_sales
 
 
 def total_orders(orders: DataFrame) -> DataFrame:
@@ -39,14 +39,20 @@ def total_sales(orders: DataFrame) -> DataFrame:
     return orders.agg(as_double(F.sum("total_amount")).alias("total_sales_amount"))
 
 
-def items_sold(items: DataFrame) -> DataFrame:
-    """k04: sum of item quantities."""
+def items_sold(items: DataFrame, per_product: DataFrame | None = None) -> DataFrame:
+    """k04: sum of item quantities (or of ``product_sales`` units)."""
+    if per_product is not None:
+        return per_product.agg(F.sum("units").cast("bigint").alias("total_items_sold"))
     return items.agg(F.sum("quantity").cast("bigint").alias("total_items_sold"))
 
 
-def unique_products(items: DataFrame, approx: bool = False) -> DataFrame:
+def unique_products(items: DataFrame, approx: bool = False,
+                    per_product: DataFrame | None = None) -> DataFrame:
     """k05: distinct product ids sold (``approx`` trades exactness for a
-    fixed-size HyperLogLog sketch)."""
+    fixed-size HyperLogLog sketch; with ``per_product`` the ids are already
+    distinct and are simply counted)."""
+    if per_product is not None:
+        return per_product.agg(F.count("product_id").alias("total_products_sold"))
     n = F.approx_count_distinct("product_id") if approx else F.count_distinct("product_id")
     return items.agg(n.alias("total_products_sold"))
 
@@ -128,11 +134,13 @@ def growth_rate(orders: DataFrame, as_of=None, period: str = "3 hours") -> DataF
 
 
 def inventory_turnover(items: DataFrame, products: DataFrame,
-                       cost_ratio: float = 0.7) -> DataFrame:
+                       cost_ratio: float = 0.7,
+                       per_product: DataFrame | None = None) -> DataFrame:
     """k12: COGS / (units sold / 2), COGS = Σ quantity · cost_ratio · list
     price (items left-joined to products, so unmatched items add units but
     no cost).  A 0 or missing unit total counts as 1."""
-    per_product = items.groupBy("product_id").agg(F.sum("quantity").alias("q"))
+    per_product = (per_product if per_product is not None else product_sales(items)) \
+        .select("product_id", F.col("units").alias("q"))
     joined = per_product.join(products.select("product_id", "price"), "product_id", "left")
     unit_cost = F.col("price") * F.lit(Decimal(str(cost_ratio)))
     agg = joined.agg(F.sum(F.col("q") * unit_cost).alias("cogs"), F.sum("q").alias("units"))
@@ -159,7 +167,8 @@ def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
                 recent_orders: DataFrame | None = None,
                 signups: DataFrame | None = None,
                 first_orders: DataFrame | None = None,
-                per_customer: DataFrame | None = None) -> DataFrame:
+                per_customer: DataFrame | None = None,
+                per_product: DataFrame | None = None) -> DataFrame:
     """k13: the twelve KPIs as one row, in the fixed column order.
 
     Built as scalar subqueries over one-row aggregates; Catalyst merges the
@@ -179,14 +188,14 @@ def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
         total_orders(orders),
         new_customers(new_customer_rows, as_of, lookback),
         total_sales(orders),
-        items_sold(items),
-        unique_products(items),
+        items_sold(items, per_product=per_product),
+        unique_products(items, per_product=per_product),
         average_order_value(orders),
         acquisition_cost(customers, total_cost),
         avg_conversion_delay(signups, first_orders),
         retention_pct(orders, per_customer=per_customer),
         *_window_kpis(recent_orders, as_of, lookback, period),
-        inventory_turnover(items, products, cost_ratio),
+        inventory_turnover(items, products, cost_ratio, per_product=per_product),
     ]
     first, rest = parts[0], parts[1:]
     return first.select(

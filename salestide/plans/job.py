@@ -43,14 +43,16 @@ def load_relations(spark: SparkSession, paths: dict[str, str], fmt: str = "csv",
 def kpi_outputs(rel: Relations, as_of=None, lookback: str = "3 hours",
                 top_lookback: str = "15 minutes", ltv_window: str = "10 days",
                 churn_days: int = 7, per_customer: DataFrame | None = None,
-                parts: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The ten outputs.  ``per_customer`` (``tables.customer_revenue``) and
-    ``parts`` (``tables.time_parts``) are optional shared pre-aggregates of
-    the orders."""
+                parts: DataFrame | None = None,
+                per_product: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The ten outputs.  ``per_customer`` (``tables.customer_revenue``),
+    ``parts`` (``tables.time_parts``) and ``per_product``
+    (``tables.product_sales``) are optional shared pre-aggregates."""
     c, p, o, i = rel.customers, rel.products, rel.orders, rel.order_items
     return {
         "summary_kpis": kpis.kpi_summary(c, p, o, i, as_of=as_of, lookback=lookback,
-                                         period=lookback, per_customer=per_customer),
+                                         period=lookback, per_customer=per_customer,
+                                         per_product=per_product),
         "customer_ltv": tables.customer_ltv(o, c, window=ltv_window),
         "regional_revenue": tables.regional_revenue(o, c, per_customer=per_customer),
         "membership_revenue": tables.membership_revenue(o, c, per_customer=per_customer),
@@ -58,7 +60,7 @@ def kpi_outputs(rel: Relations, as_of=None, lookback: str = "3 hours",
         "weekday_sales": tables.sales_by(o, "weekday", parts=parts),
         "hourly_sales": tables.sales_by(o, "hour", parts=parts),
         "top_products": tables.top_products(o, i, p, as_of=as_of, lookback=top_lookback),
-        "category_revenue": tables.category_revenue(i, p),
+        "category_revenue": tables.category_revenue(i, p, per_product=per_product),
         "churn_risk": tables.churn_risk(o, as_of=as_of, min_days=churn_days),
     }
 
@@ -95,18 +97,19 @@ def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
     ``folder_names`` renames output folders (output key -> folder), so an
     existing reader can keep its paths.
 
-    ``share`` computes the two pre-aggregates several outputs need (revenue
-    per customer; sales per month/weekday/hour) once, with ``checkpoint()``:
-    written to the shared checkpoint folder with their lineage cut, so the
-    orders are scanned for them once and a lost executor costs no
-    recomputation.
+    ``share`` computes the three pre-aggregates several outputs need
+    (revenue per customer; sales per month/weekday/hour; units and revenue
+    per product) once, with ``checkpoint()``: written to the shared
+    checkpoint folder with their lineage cut, so orders and items are
+    scanned for them once and a lost executor costs no recomputation.
     """
     if share:
         from salestide.session import checkpoint_root
         checkpoint_root(rel.orders.sparkSession)  # the shared folder (set if unset)
         params = {**params,
                   "per_customer": tables.customer_revenue(rel.orders).checkpoint(),
-                  "parts": tables.time_parts(rel.orders).checkpoint()}
+                  "parts": tables.time_parts(rel.orders).checkpoint(),
+                  "per_product": tables.product_sales(rel.order_items).checkpoint()}
     outputs = kpi_outputs(rel, as_of=as_of, **params)
     root = out_root.rstrip("/")
     run_id = new_run_id() if versioned else None
