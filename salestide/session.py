@@ -20,6 +20,10 @@ DEFAULTS = {
     # merge streaming session windows map-side before the shuffle
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.ui.explainMode": "formatted",
+    # delete checkpoint files (the batch job's shared pre-aggregates) once
+    # their data is no longer referenced, so periodic refreshes do not pile
+    # them up in the shared folder
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
