@@ -10,10 +10,10 @@ from salestide.streaming.churn import churn_alerts, start_churn_alerts
 from salestide.streaming.ingest import dedupe, start_ingest
 from salestide.streaming.refresh import start_refresh
 from salestide.streaming.windows import (
-    rank_windows, start_top_products, start_windowed_revenue, window_growth,
-    windowed_product_counts, windowed_revenue,
+    items_with_order_time, rank_windows, start_top_products, start_windowed_revenue,
+    window_growth, windowed_product_counts, windowed_revenue,
 )
 
 __all__ = ["start_ingest", "dedupe", "churn_alerts", "start_churn_alerts", "start_refresh",
-           "windowed_product_counts", "rank_windows", "start_top_products",
+           "items_with_order_time", "windowed_product_counts", "rank_windows", "start_top_products",
            "windowed_revenue", "start_windowed_revenue", "window_growth"]

@@ -10,23 +10,56 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salestide.functions.money import as_double, growth_pct
-from salestide.streaming.common import EVENT_TS, as_wall_clock, set_trigger, with_event_time
+from salestide.streaming.common import (
+    EVENT_TS, as_instant, as_wall_clock, set_trigger, with_event_time,
+)
 
 
 def windowed_product_counts(items: DataFrame, event_time: str, window: str = "5 minutes",
-                            delay: str = "10 minutes", measure: str = "lines") -> DataFrame:
+                            delay: str = "10 minutes", measure: str = "lines",
+                            watermarked: bool = False) -> DataFrame:
     """Order lines (or units) per product per tumbling window of an item
     stream whose rows carry an event time (the order time, or the broker
-    timestamp of the item message)."""
+    timestamp of the item message).  ``watermarked`` means ``event_time``
+    already is a zone-based column with a watermark (e.g. ``order_ts`` of
+    ``items_with_order_time``), which is then used as it is."""
     sold = F.count("quantity") if measure == "lines" else F.sum("quantity").cast("bigint")
-    return (with_event_time(items, event_time, delay)
-            .groupBy(F.window(EVENT_TS, window).alias("window"), "product_id")
+    if watermarked:
+        src, ts = items, F.col(event_time)
+    else:
+        src, ts = with_event_time(items, event_time, delay), F.col(EVENT_TS)
+    return (src.groupBy(F.window(ts, window).alias("window"), "product_id")
             .agg(sold.alias("sold_quantity")))
 
 
+def items_with_order_time(orders: DataFrame, items: DataFrame, item_time: str = "timestamp",
+                          max_skew: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """Item stream enriched with its order's time: a stream-stream inner
+    join on ``order_id``, bounded in time (the item message's ``item_time``
+    within ``max_skew`` of the order time) so both sides' join state is
+    evicted by the watermarks.  Adds ``order_time`` (the order's wall-clock
+    time) and ``order_ts`` (the same as a watermarked instant, the event
+    time to count products by: ``start_top_products(...,
+    event_time="order_ts", watermarked=True)``)."""
+    o = (orders.select(F.col("order_id").alias("_oid"),
+                       F.col("order_date").alias("order_time"))
+         .withColumn("_o_ts", as_instant(F.col("order_time")))
+         .withWatermark("_o_ts", delay))
+    src = items.schema[item_time].dataType
+    i_ts = as_instant(F.col(item_time)) if isinstance(src, T.TimestampNTZType) \
+        else F.col(item_time).cast("timestamp")
+    i = items.withColumn("_i_ts", i_ts).withWatermark("_i_ts", delay)
+    skew = F.expr(f"INTERVAL {max_skew}")
+    cond = ((i["order_id"] == o["_oid"])
+            & (i["_i_ts"] >= o["_o_ts"] - skew) & (i["_i_ts"] <= o["_o_ts"] + skew))
+    return (i.join(o, cond).withColumnRenamed("_o_ts", "order_ts")
+            .drop("_oid", "_i_ts"))
+
+
 def rank_windows(counts: DataFrame, products: DataFrame | None = None, k: int = 10) -> DataFrame:
     """Top k products per window of a (batch) frame of closed windows.
     Columns: window_start, window_end, product_id, [name,] sold_quantity, rank."""
@@ -64,9 +97,9 @@ def _idempotent_batch_writer(path: str, transform):
 def start_top_products(items: DataFrame, out_path: str, checkpoint: str, event_time: str,
                        products: DataFrame | None = None, window: str = "5 minutes",
                        k: int = 10, delay: str = "10 minutes", measure: str = "lines",
-                       trigger=None) -> StreamingQuery:
+                       trigger=None, watermarked: bool = False) -> StreamingQuery:
     """ST2: top k products per closed window, appended batch by batch."""
-    counts = windowed_product_counts(items, event_time, window, delay, measure)
+    counts = windowed_product_counts(items, event_time, window, delay, measure, watermarked)
     writer = _idempotent_batch_writer(out_path, lambda b: rank_windows(b, products, k))
     w = (counts.writeStream.outputMode("append").foreachBatch(writer)
          .option("checkpointLocation", checkpoint))

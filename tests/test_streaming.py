@@ -212,3 +212,24 @@ def test_results_do_not_depend_on_micro_batching(spark):
     batched = run(many, True)
     assert single == batched
     assert len(single[0]) >= 3 and len(single[1]) >= 4
+
+
+def test_items_joined_to_order_time_in_stream(spark):
+    _c, p, o, i = fx.frames(spark)
+    # item messages carry only a broker time, a few seconds after the order
+    timed = i.join(o.select("order_id", "order_date"), "order_id").select(
+        *[F.col(c) for c in i.columns],
+        (F.col("order_date") + F.expr("INTERVAL 3 SECONDS")).cast("timestamp").alias("timestamp"))
+    orders_stream = _stream_of(spark, o)
+    items_stream = _stream_of(spark, timed)
+    enriched = streaming.items_with_order_time(orders_stream, items_stream, max_skew="1 minute",
+                                               delay="0 seconds")
+    top, ck = scratch_path(spark, "join-top"), scratch_path(spark, "join-ck")
+    streaming.start_top_products(enriched, top, ck, event_time="order_ts", watermarked=True,
+                                 products=p, window="1 day", k=1,
+                                 trigger="availableNow").awaitTermination()
+    rows = {r.window_start.date(): (r.product_id, r.sold_quantity)
+            for r in spark.read.parquet(top).collect()}
+    # same as the batch count per order day: 05-08 has P5 on two lines
+    assert rows[dt.date(2025, 5, 8)] == ("P5", 2)
+    assert rows[dt.date(2025, 5, 1)] == ("P1", 1)
