@@ -1,6 +1,6 @@
 """salestide: retail sales KPIs as lazy, composable Spark DataFrame operators.
 
 Every operator takes canonical DataFrames (see ``salestide.schemas``) plus
-keyword parameters and returns a DataFrame.  Nothing in the library calls an
-action; the caller (a sink, a test, the batch job) decides when to run.
+keyword parameters and returns a DataFrame without running anything; only
+sinks, the batch job, result readers and stream starters run Spark jobs.
 """
