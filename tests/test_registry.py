@@ -57,3 +57,24 @@ def test_streaming_queries_match_in_another_time_zone(spark):
         assert bad == {}
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_batch_queries_match_with_ansi_off(spark):
+    """Results must not depend on ANSI mode (ratios use try_divide, money is
+    cast explicitly)."""
+    import __spark_entry__ as entry
+    con = duck(SF)
+    oracles = entry.oracle_sql()
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        bad = {}
+        for name, fn in entry.queries().items():
+            if name.startswith(("s0", "st")):
+                continue
+            status, detail, _n, _s = compare(spark, con, name, fn, oracles[name], SF)
+            if status != "MATCH":
+                bad[name] = (status, detail)
+        assert bad == {}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
