@@ -79,6 +79,7 @@ def new_run_id() -> str:
 def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
               single_file: bool = True, parallel: int = 4, versioned: bool = False,
               folder_names: dict[str, str] | None = None, share: bool = True,
+              pre_aggregates: dict[str, DataFrame] | None = None,
               **params) -> dict[str, str]:
     """Write every KPI output under ``out_root``; returns name -> path.
 
