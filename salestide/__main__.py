@@ -3,10 +3,15 @@
   python -m salestide batch    --customers P --products P --orders P --order-items P --out DIR
   python -m salestide ingest   --bootstrap HOST:PORT --topic T=relation ... --out DIR --checkpoint DIR
   python -m salestide refresh  --tables DIR --out DIR --checkpoint DIR [--every "10 minutes"]
+                               [--versioned] [--pre-aggregates DIR]
+  python -m salestide compact  --pre-aggregates DIR
 
 ``batch`` computes the ten KPI outputs once; ``ingest`` streams the topics
 into one Parquet table per relation (one query per topic); ``refresh``
-recomputes the outputs whenever new orders land (replacing cron).
+recomputes the outputs whenever new orders land (replacing cron); with
+``--pre-aggregates`` it also maintains the shared pre-aggregates
+incrementally and derives the outputs they cover from them; ``compact``
+folds their partials into a new base.
 """
 
 from __future__ import annotations
@@ -43,17 +48,27 @@ def _refresh(args) -> None:
     def load():
         return load_relations(spark, {n: f"{root}/{n}" for n in names}, fmt="parquet")
 
-    pacer = spark.readStream.schema(read_relation(spark, f"{root}/orders", "orders",
-                                                  fmt="parquet").schema) \
-        .parquet(f"{root}/orders")
-    q = start_refresh(pacer, load, args.out, args.checkpoint, as_of=args.as_of,
-                      trigger=args.every, versioned=args.versioned)
+    def stream_of(name):
+        schema = read_relation(spark, f"{root}/{name}", name, fmt="parquet").schema
+        return spark.readStream.schema(schema).parquet(f"{root}/{name}")
+
+    if args.pre_aggregates:
+        from salestide.streaming.incremental import start_partials
+        partials = start_partials(stream_of("orders"), stream_of("order_items"),
+                                  args.pre_aggregates, f"{args.checkpoint}/partials",
+                                  trigger=args.every)
+        if args.every in ("availableNow", "once"):  # one-shot run: partials first
+            for q in partials:
+                q.awaitTermination()
+    q = start_refresh(stream_of("orders"), load, args.out, f"{args.checkpoint}/refresh",
+                      as_of=args.as_of, trigger=args.every, versioned=args.versioned,
+                      pre_aggregates_root=args.pre_aggregates)
     q.awaitTermination()
 
 
 def main(argv=None) -> None:
     argv = sys.argv[1:] if argv is None else argv
-    if not argv or argv[0] not in ("batch", "ingest", "refresh"):
+    if not argv or argv[0] not in ("batch", "ingest", "refresh", "compact"):
         print(__doc__)
         raise SystemExit(2)
     cmd, rest = argv[0], argv[1:]
@@ -61,6 +76,16 @@ def main(argv=None) -> None:
         from salestide.plans.job import main as batch_main
         batch_main(rest)
         return
+    if cmd == "compact":
+        ap = argparse.ArgumentParser(prog="salestide compact")
+        ap.add_argument("--pre-aggregates", required=True)
+        args = ap.parse_args(rest)
+        from salestide.session import build_session
+        from salestide.streaming.incremental import AGGREGATES, compact
+        spark = build_session()
+        for name in AGGREGATES:
+            compact(spark, args.pre_aggregates, name)
+        return
     ap = argparse.ArgumentParser(prog=f"salestide {cmd}")
     ap.add_argument("--out", required=True)
     ap.add_argument("--checkpoint", required=True)
@@ -81,6 +106,8 @@ def main(argv=None) -> None:
         ap.add_argument("--as-of", default=None)
         ap.add_argument("--versioned", action="store_true",
                         help="write each refresh to run=<id> folders and publish it when complete")
+        ap.add_argument("--pre-aggregates", default=None,
+                        help="folder of incrementally maintained pre-aggregates")
         _refresh(ap.parse_args(rest))
 
 

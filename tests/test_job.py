@@ -55,6 +55,18 @@ def test_command_line_batch_and_refresh(spark):
     main(["refresh", "--tables", root, "--out", out, "--checkpoint",
           scratch_path(spark, "cli-ck"), "--every", "availableNow", "--as-of", fx.AS_OF])
     assert sorted(os.listdir(out)) == sorted(HEADERS)
+    pre, out_inc = scratch_path(spark, "cli-pre"), scratch_path(spark, "cli-inc")
+    main(["refresh", "--tables", root, "--out", out_inc, "--checkpoint",
+          scratch_path(spark, "cli-ck2"), "--every", "availableNow", "--as-of", fx.AS_OF,
+          "--pre-aggregates", pre])
+    main(["compact", "--pre-aggregates", pre])
+    assert {"per_customer", "parts", "per_product"} <= set(os.listdir(pre))
+    for name in HEADERS:
+        a = sorted(tuple(r) for r in spark.read.option("header", True).csv(f"{out}/{name}")
+                   .collect())
+        b = sorted(tuple(r) for r in spark.read.option("header", True).csv(f"{out_inc}/{name}")
+                   .collect())
+        assert a == b, name
     csv_root = scratch_path(spark, "cli-csv")
     for name, df in [("customers", c), ("products", p), ("orders", o),
                      ("order_items", i.drop("line_amount"))]:
