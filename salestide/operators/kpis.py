@@ -69,12 +69,19 @@ def acquisition_cost(customers: DataFrame, total_cost: float = 50000) -> DataFra
         F.when(n > 0, ratio(F.lit(float(total_cost)), n)).otherwise(F.lit(0.0)).alias("cac"))
 
 
-def conversion_delay(customers: DataFrame, orders: DataFrame) -> DataFrame:
+def conversion_delay(customers: DataFrame, orders: DataFrame,
+                     per_customer: DataFrame | None = None) -> DataFrame:
     """Per customer: hours from signup to first order, from whole seconds,
     rounded half-up to 2 dp (negative when the first order precedes signup).
     Columns: customer_id, name, cust_activation_date, first_purchase_date,
-    interval_for_first_order_hour."""
-    first = orders.groupBy("customer_id").agg(F.min("order_date").alias("first_purchase_date"))
+    interval_for_first_order_hour.  ``per_customer`` is an already computed
+    ``customer_revenue(orders)``."""
+    if per_customer is not None:
+        first = per_customer.select("customer_id",
+                                    F.col("first_order").alias("first_purchase_date"))
+    else:
+        first = orders.groupBy("customer_id").agg(
+            F.min("order_date").alias("first_purchase_date"))
     joined = customers.select(
         "customer_id", "name", F.col("signup_date").alias("cust_activation_date")
     ).join(first, "customer_id")
@@ -84,11 +91,12 @@ def conversion_delay(customers: DataFrame, orders: DataFrame) -> DataFrame:
     return joined.withColumn("interval_for_first_order_hour", hours)
 
 
-def avg_conversion_delay(customers: DataFrame, orders: DataFrame) -> DataFrame:
+def avg_conversion_delay(customers: DataFrame, orders: DataFrame,
+                         per_customer: DataFrame | None = None) -> DataFrame:
     """k08: mean of the per-customer delays (labelled "conversion rate" in the
     original, but it is a mean delay in hours)."""
     h = F.col("interval_for_first_order_hour")
-    return conversion_delay(customers, orders).agg(
+    return conversion_delay(customers, orders, per_customer).agg(
         ratio(F.sum(h), F.count(h)).alias("avg_time"))
 
 
@@ -183,6 +191,8 @@ def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
     recent_orders = orders if recent_orders is None else recent_orders
     new_customer_rows = customers if new_customer_rows is None else new_customer_rows
     signups = customers if signups is None else signups
+    # the shared per-customer aggregate holds first orders of ``orders`` only
+    delay_pre = per_customer if first_orders is None else None
     first_orders = orders if first_orders is None else first_orders
     parts = [
         total_orders(orders),
@@ -192,7 +202,7 @@ def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
         unique_products(items, per_product=per_product),
         average_order_value(orders),
         acquisition_cost(customers, total_cost),
-        avg_conversion_delay(signups, first_orders),
+        avg_conversion_delay(signups, first_orders, per_customer=delay_pre),
         retention_pct(orders, per_customer=per_customer),
         *_window_kpis(recent_orders, as_of, lookback, period),
         inventory_turnover(items, products, cost_ratio, per_product=per_product),

@@ -25,20 +25,31 @@ def _money_out(c, name: str):
 
 
 def customer_revenue(orders: DataFrame) -> DataFrame:
-    """Revenue and order count per customer (the pre-aggregate of t02/t03)."""
+    """Per customer: revenue, order count, first and last order time (the
+    shared pre-aggregate of t02, t03, t09, the repeat rate and the
+    conversion delay; unused columns are pruned from each plan)."""
     return orders.groupBy("customer_id").agg(
         F.sum("total_amount").alias("revenue"),
-        F.count("order_id").alias("orders"))
+        F.count("order_id").alias("orders"),
+        F.min("order_date").alias("first_order"),
+        F.max("order_date").alias("last_order"))
+
+
+def window_revenue(orders: DataFrame, window: str = "10 days") -> DataFrame:
+    """Revenue per (epoch-aligned tumbling window, customer): the first
+    step of t01, kept separately so it can be maintained incrementally.
+    Columns: w (window struct), customer_id, ltv."""
+    return (orders.groupBy(F.window("order_date", window).alias("w"), "customer_id")
+            .agg(F.sum("total_amount").alias("ltv")))
 
 
 def customer_ltv(orders: DataFrame, customers: DataFrame, window: str = "10 days",
-                 k: int = 5) -> DataFrame:
+                 k: int = 5, per_window: DataFrame | None = None) -> DataFrame:
     """t01: revenue per customer per tumbling window (epoch-aligned), top k
     customers per window.  Columns: customer_id, name, customer_ltv, rank,
-    window_start, window_end."""
-    per_window = (orders
-                  .groupBy(F.window("order_date", window).alias("w"), "customer_id")
-                  .agg(F.sum("total_amount").alias("ltv")))
+    window_start, window_end.  ``per_window`` is an already computed
+    ``window_revenue(orders, window)``."""
+    per_window = per_window if per_window is not None else window_revenue(orders, window)
     named = per_window.join(customers.select("customer_id", "name"), "customer_id")
     # A customer id present twice with one name sums twice, as a join-then-group
     # plan would.  Under a sort-merge join (large customer tables) the rows are
@@ -176,12 +187,15 @@ def last_orders(orders: DataFrame) -> DataFrame:
     return orders.groupBy("customer_id").agg(F.max("order_date").alias("last_ordered_date"))
 
 
-def churn_risk(orders: DataFrame, as_of=None, min_days: int = 7) -> DataFrame:
+def churn_risk(orders: DataFrame, as_of=None, min_days: int = 7,
+               per_customer: DataFrame | None = None) -> DataFrame:
     """t09: customers whose last order is at least ``min_days`` calendar days
     before ``as_of``.  Customers without orders never appear.
     Columns: customer_id, last_ordered_date, days_since_last_order."""
     days = F.datediff(as_of_column(as_of), F.col("last_ordered_date"))
-    return (last_orders(orders)
+    last = (per_customer.select("customer_id", F.col("last_order").alias("last_ordered_date"))
+            if per_customer is not None else last_orders(orders))
+    return (last
             .withColumn("days_since_last_order", days.cast("int"))
             .filter(F.col("days_since_last_order") >= min_days)
             .orderBy(F.col("days_since_last_order").desc(), F.col("customer_id")))

@@ -44,16 +44,18 @@ def kpi_outputs(rel: Relations, as_of=None, lookback: str = "3 hours",
                 top_lookback: str = "15 minutes", ltv_window: str = "10 days",
                 churn_days: int = 7, per_customer: DataFrame | None = None,
                 parts: DataFrame | None = None,
-                per_product: DataFrame | None = None) -> dict[str, DataFrame]:
+                per_product: DataFrame | None = None,
+                per_window: DataFrame | None = None) -> dict[str, DataFrame]:
     """The ten outputs.  ``per_customer`` (``tables.customer_revenue``),
     ``parts`` (``tables.time_parts``) and ``per_product``
-    (``tables.product_sales``) are optional shared pre-aggregates."""
+    (``tables.product_sales``) are optional shared pre-aggregates;
+    ``per_window`` (``tables.window_revenue`` with ``ltv_window``) feeds t01."""
     c, p, o, i = rel.customers, rel.products, rel.orders, rel.order_items
     return {
         "summary_kpis": kpis.kpi_summary(c, p, o, i, as_of=as_of, lookback=lookback,
                                          period=lookback, per_customer=per_customer,
                                          per_product=per_product),
-        "customer_ltv": tables.customer_ltv(o, c, window=ltv_window),
+        "customer_ltv": tables.customer_ltv(o, c, window=ltv_window, per_window=per_window),
         "regional_revenue": tables.regional_revenue(o, c, per_customer=per_customer),
         "membership_revenue": tables.membership_revenue(o, c, per_customer=per_customer),
         "monthly_sales": tables.sales_by(o, "month", parts=parts),
@@ -61,7 +63,8 @@ def kpi_outputs(rel: Relations, as_of=None, lookback: str = "3 hours",
         "hourly_sales": tables.sales_by(o, "hour", parts=parts),
         "top_products": tables.top_products(o, i, p, as_of=as_of, lookback=top_lookback),
         "category_revenue": tables.category_revenue(i, p, per_product=per_product),
-        "churn_risk": tables.churn_risk(o, as_of=as_of, min_days=churn_days),
+        "churn_risk": tables.churn_risk(o, as_of=as_of, min_days=churn_days,
+                                        per_customer=per_customer),
     }
 
 

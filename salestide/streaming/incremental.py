@@ -1,8 +1,9 @@
 """Incrementally maintained pre-aggregates for the periodic refresh.
 
-The batch job's shared pre-aggregates (revenue and orders per customer;
-sales per month/weekday/hour; units and revenue per product) are sums and
-counts, so they decompose: the aggregate of all orders is the sum of the
+The batch job's shared pre-aggregates (revenue, orders, first and last
+order per customer; sales per month/weekday/hour; units and revenue per
+product; revenue per 10-day window and customer) are sums, counts, minima
+and maxima, so they decompose: the aggregate of all orders is the sum of the
 aggregates of any split of them.  A streaming query over the ingested
 orders and items therefore only aggregates each micro-batch's new rows and
 appends that partial to ``<root>/<name>/partials/batch_id=N`` (overwrite of
@@ -22,16 +23,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from salestide.operators.tables import customer_revenue, product_sales, time_parts
+from salestide.operators.tables import (
+    customer_revenue, product_sales, time_parts, window_revenue,
+)
 from salestide.streaming.common import set_trigger
 
-# name -> (source relation, partial builder, key columns, summed columns)
+# name -> (source relation, partial builder, key columns, {column: merge}).
+# Every merge (sum, min, max) is exact over any split of the rows.  The
+# windowed revenue uses the default 10-day LTV window.
 AGGREGATES = {
-    "per_customer": ("orders", customer_revenue, ["customer_id"], ["revenue", "orders"]),
-    "parts": ("orders", time_parts, ["order_month", "order_weekday", "order_hour"], ["sales"]),
-    "per_product": ("order_items", product_sales, ["product_id"], ["units", "revenue"]),
+    "per_customer": ("orders", customer_revenue, ["customer_id"],
+                     {"revenue": "sum", "orders": "sum", "first_order": "min",
+                      "last_order": "max"}),
+    "parts": ("orders", time_parts, ["order_month", "order_weekday", "order_hour"],
+              {"sales": "sum"}),
+    "per_product": ("order_items", product_sales, ["product_id"],
+                    {"units": "sum", "revenue": "sum"}),
+    "per_window": ("orders", window_revenue, ["w", "customer_id"], {"ltv": "sum"}),
 }
 
+
+def _merge(df: DataFrame, keys: list[str], merges: dict[str, str]) -> DataFrame:
+    fns = {"sum": F.sum, "min": F.min, "max": F.max}
+    return df.groupBy(*keys).agg(*[fns[m](c).alias(c) for c, m in merges.items()])
+
 _LOG = T.StructType([T.StructField("upto", T.LongType()),
                      T.StructField("published_at", T.TimestampType())])
 
@@ -88,7 +103,8 @@ def current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """The pre-aggregate over everything ingested so far: the latest base
     plus the partials written after it, re-summed per key.  None before the
     first batch."""
-    _src, _build, keys, sums = AGGREGATES[name]
+    _src, _build, keys, merges = AGGREGATES[name]
+    sums = list(merges)
     upto = _latest_base(spark, root, name)
     parts = []
     if upto is not None:
@@ -105,7 +121,7 @@ def current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    return union.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    return _merge(union, keys, merges)
 
 
 def compact(spark: SparkSession, root: str, name: str) -> int | None:
@@ -115,7 +131,8 @@ def compact(spark: SparkSession, root: str, name: str) -> int | None:
     if partials is None:
         return None
     upto = partials.agg(F.max("batch_id")).first()[0]
-    _src, _build, keys, sums = AGGREGATES[name]
+    _src, _build, keys, merges = AGGREGATES[name]
+    sums = list(merges)
     # only partials up to ``upto`` (a batch may land while compacting)
     prev = _latest_base(spark, root, name)
     base = _read(spark, f"{root}/{name}/base/upto={prev}") if prev is not None else None
@@ -125,7 +142,7 @@ def compact(spark: SparkSession, root: str, name: str) -> int | None:
     union = chosen.select(*keys, *sums)
     if base is not None:
         union = base.select(*keys, *sums).unionByName(union)
-    merged = union.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    merged = _merge(union, keys, merges)
     merged.write.mode("overwrite").parquet(f"{root}/{name}/base/upto={upto}")
     spark.createDataFrame([(int(upto),)], "upto long") \
         .withColumn("published_at", F.current_timestamp()) \

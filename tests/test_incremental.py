@@ -3,7 +3,9 @@ before and after compaction, and feed the batch job unchanged."""
 
 from pyspark.sql import functions as F
 
-from salestide.operators.tables import customer_revenue, product_sales, time_parts
+from salestide.operators.tables import (
+    customer_revenue, product_sales, time_parts, window_revenue,
+)
 from salestide.plans.job import Relations, run_batch
 from salestide.session import scratch_path
 from salestide.streaming import incremental
@@ -42,7 +44,7 @@ def test_partials_compaction_and_job(spark):
         scratch_path(spark, "inc-ck")
     _write_in_parts(spark, o, i, src)
     full = {"per_customer": customer_revenue(o), "parts": time_parts(o),
-            "per_product": product_sales(i)}
+            "per_product": product_sales(i), "per_window": window_revenue(o)}
 
     def check():
         for name, want in full.items():
