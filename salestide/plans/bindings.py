@@ -58,6 +58,30 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def bind_orders(raw: DataFrame) -> DataFrame:
+    """``orders`` table (batch or stream) -> canonical orders."""
+    return raw.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("order_date"),
+        to_money("o_totalprice").alias("total_amount"),
+        F.col("o_orderstatus").alias("sales_channel"),
+        F.col("o_orderpriority").alias("payment_method"))
+
+
+def bind_order_items(raw: DataFrame) -> DataFrame:
+    """``lineitem`` table (batch or stream) -> canonical order items."""
+    amount = to_money("l_extendedprice")
+    qty = F.col("l_quantity").cast("int")
+    return raw.select(
+        _null_str().alias("item_id"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        qty.alias("quantity"),
+        to_money(F.try_divide(amount, qty)).alias("unit_price"),
+        amount.alias("line_amount"))
+
+
 class StoredTables:
     """Canonical views over ``<sf_dir>/<table>.parquet``."""
 
@@ -79,13 +103,7 @@ class StoredTables:
 
     # -- sales model -------------------------------------------------------
     def orders(self) -> DataFrame:
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").cast("timestamp_ntz").alias("order_date"),
-            to_money("o_totalprice").alias("total_amount"),
-            F.col("o_orderstatus").alias("sales_channel"),
-            F.col("o_orderpriority").alias("payment_method"))
+        return bind_orders(self.raw("orders"))
 
     def customers(self) -> DataFrame:
         """Customers with the nation name as location; signup times are not
@@ -109,15 +127,12 @@ class StoredTables:
             to_money("p_retailprice").alias("price"))
 
     def order_items(self) -> DataFrame:
-        amount = to_money("l_extendedprice")
-        qty = F.col("l_quantity").cast("int")
-        return self.raw("lineitem").select(
-            _null_str().alias("item_id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            qty.alias("quantity"),
-            to_money(F.try_divide(amount, qty)).alias("unit_price"),
-            amount.alias("line_amount"))
+        return bind_order_items(self.raw("lineitem"))
+
+    def stream(self, name: str) -> DataFrame:
+        """The stored table as a file-source stream (one micro-batch per file)."""
+        return (self.spark.readStream.schema(self.raw(name).schema)
+                .option("maxFilesPerTrigger", 1).parquet(self.stream_path(name)))
 
     # -- hour-grain stand-ins from events ----------------------------------
     def _events(self, kind: str) -> DataFrame:

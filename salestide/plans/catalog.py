@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from salestide import streaming
 from salestide.operators import extensions, kpis, tables, views
-from salestide.plans.bindings import EVENTS_AS_OF, ORDERS_AS_OF, StoredTables
+from salestide.plans.bindings import (
+    EVENTS_AS_OF, ORDERS_AS_OF, StoredTables, bind_order_items, bind_orders,
+)
 from salestide.plans.job import Relations, run_batch
 from salestide.session import scratch_path
 from salestide.sources import files as src_files
@@ -738,3 +740,24 @@ def st5_refresh_outputs(spark, sf_dir):
     q.awaitTermination()
     schema = t08_category_revenue(spark, sf_dir).schema
     return src_results.read_result(spark, f"{out}/category_revenue", schema)
+
+
+@register("st5_incremental_ltv", ORACLES["t01_customer_ltv"])
+def st5_incremental_ltv(spark, sf_dir):
+    """Orders and items streamed into incrementally maintained partials,
+    compacted, and the batch job run on those pre-aggregates; its LTV output
+    is read back."""
+    from salestide.streaming import incremental
+    t = _t(spark, sf_dir)
+    root, ck = scratch_path(spark, "pre-aggregates"), scratch_path(spark, "pre-aggregates-ck")
+    for q in incremental.start_partials(bind_orders(t.stream("orders")),
+                                        bind_order_items(t.stream("lineitem")),
+                                        root, ck, trigger="availableNow"):
+        q.awaitTermination()
+    for name in incremental.AGGREGATES:
+        incremental.compact(spark, root, name)
+    written = run_batch(_relations(spark, sf_dir), scratch_path(spark, "incremental-job"),
+                        as_of=ORDERS_AS_OF, top_lookback=TOP_PRODUCTS_LOOKBACK,
+                        pre_aggregates=incremental.current_all(spark, root))
+    schema = t01_customer_ltv(spark, sf_dir).schema
+    return src_results.read_result(spark, written["customer_ltv"], schema)
