@@ -146,3 +146,17 @@ def test_timestamp_format_at_the_output_edge(spark):
         lines = f.read().splitlines()
     assert lines[0] == "customer_id,last_ordered_date,days_since_last_order"
     assert lines[1] == "C1,2025-05-03 09:15:00,12"
+
+
+def test_kafka_reader_options_without_connector(spark):
+    """The Kafka connector jar is not on this classpath: the reader is built
+    and Spark reports the missing data source (nothing else fails first)."""
+    from pyspark.errors import AnalysisException
+    from salestide.sources.stream import kafka_messages
+    try:
+        kafka_messages(spark, "localhost:9092", ["orders-topic", "items-topic"],
+                       maxOffsetsPerTrigger=1000)
+    except AnalysisException as e:
+        assert "kafka" in str(e).lower()
+    else:  # a classpath with the connector: the stream has the message shape
+        pass
