@@ -30,7 +30,7 @@ from salestide.streaming.common import set_trigger
 
 # name -> (source relation, partial builder, key columns, {column: merge}).
 # Every merge (sum, min, max) is exact over any split of the rows.  The
-# windowed revenue uses the default 10-day LTV window.
+# windowed revenue's length is a parameter of ``start_partials``.
 AGGREGATES = {
     "per_customer": ("orders", customer_revenue, ["customer_id"],
                      {"revenue": "sum", "orders": "sum", "first_order": "min",
@@ -65,13 +65,15 @@ def _read(spark: SparkSession, path: str, schema: T.StructType | None = None,
         raise
 
 
-def _partials_writer(root: str, names: list[str]):
+def _partials_writer(root: str, names: list[str], ltv_window: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             for name in names:
                 _src, build, _keys, _sums = AGGREGATES[name]
-                (build(batch).write.mode("overwrite")
+                part = (window_revenue(batch, ltv_window) if name == "per_window"
+                        else build(batch))
+                (part.write.mode("overwrite")
                  .parquet(f"{root}/{name}/partials/batch_id={batch_id}"))
         finally:
             batch.unpersist()
@@ -79,13 +81,16 @@ def _partials_writer(root: str, names: list[str]):
 
 
 def start_partials(orders: DataFrame, items: DataFrame, root: str, checkpoint_root: str,
-                   trigger=None) -> list[StreamingQuery]:
+                   trigger=None, ltv_window: str = "10 days") -> list[StreamingQuery]:
     """Two streaming queries (orders, items) appending per-batch partials of
-    the three pre-aggregates under ``root``."""
+    the pre-aggregates under ``root``.  ``ltv_window`` is the window length
+    of the maintained per-(window, customer) revenue; keep it equal to the
+    job's ``ltv_window`` (windows are epoch-aligned, so partials re-add
+    exactly)."""
     queries = []
     for stream, relation in ((orders, "orders"), (items, "order_items")):
         names = [n for n, spec in AGGREGATES.items() if spec[0] == relation]
-        w = (stream.writeStream.foreachBatch(_partials_writer(root, names))
+        w = (stream.writeStream.foreachBatch(_partials_writer(root, names, ltv_window))
              .option("checkpointLocation", f"{checkpoint_root}/{relation}"))
         queries.append(set_trigger(w, trigger).start())
     return queries
