@@ -31,7 +31,8 @@ def _ingest(args) -> None:
         dedup = {"orders": ("order_id", "order_date", args.dedup_delay, args.dedup_strategy)}
     queries = start_ingest(lambda t: kafka_messages(spark, args.bootstrap, [t]),
                            args.out, args.checkpoint, topics, fmt=args.format,
-                           trigger=args.trigger, dedup=dedup)
+                           trigger=args.trigger, dedup=dedup,
+                           keep=("timestamp",) if args.keep_broker_time else ())
     for q in queries:
         q.awaitTermination()
 
@@ -99,6 +100,8 @@ def main(argv=None) -> None:
         ap.add_argument("--dedup-delay", default="1 hour")
         ap.add_argument("--dedup-strategy", default="first_seen",
                         choices=["first_seen", "collapse"])
+        ap.add_argument("--keep-broker-time", action="store_true",
+                        help="store the message timestamp (event time of item messages)")
         _ingest(ap.parse_args(rest))
     else:
         ap.add_argument("--tables", required=True, help="root of the ingested Parquet tables")
