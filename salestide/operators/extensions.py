@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from salestide.functions.money import as_double, growth_pct, line_amount, ratio
 from salestide.functions.timefns import as_of_column, interval
-from salestide.operators.tables import customer_revenue
+from salestide.operators.tables import customer_revenue, top_named
 
 
 def customer_distribution(customers: DataFrame, by: str = "gender") -> DataFrame:
@@ -35,14 +35,7 @@ def top_selling_products(items: DataFrame, products: DataFrame, k: int = 10) ->
     """d04: top k products by units sold, named.
     Columns: product_id, name, units_sold."""
     units = items.groupBy("product_id").agg(F.sum("quantity").cast("bigint").alias("units_sold"))
-    top = units.orderBy(F.col("units_sold").desc(), F.col("product_id")).limit(k)
-    names = (products.select("product_id", "name")
-             .join(F.broadcast(top.select("product_id")), "product_id"))
-    return (top.join(names, "product_id", "left")
-            .orderBy(F.col("units_sold").desc(), F.col("product_id"),
-                     F.col("name").asc_nulls_first())
-            .limit(k)
-            .select("product_id", "name", "units_sold"))
+    return top_named(units, products, "units_sold", k).select("product_id", "name", "units_sold")
 
 
 def sales_per_customer(orders: DataFrame) -> DataFrame:

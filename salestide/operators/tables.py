@@ -149,16 +149,21 @@ def top_products(orders: DataFrame, items: DataFrame, products: DataFrame, as_of
     else:
         raise ValueError("measure must be 'lines' or 'units'")
     per_product = lines.groupBy("product_id").agg(sold.alias("sold_quantity"))
-    # Take the top k ids first, then look names up for those k ids only: the
-    # product dimension is streamed once, never shuffled.
-    top = per_product.orderBy(F.col("sold_quantity").desc(), F.col("product_id")).limit(k)
+    return top_named(per_product, products, "sold_quantity", k).select("name", "sold_quantity")
+
+
+def top_named(per_product: DataFrame, products: DataFrame, value: str, k: int) -> DataFrame:
+    """Top k rows of a per-product aggregate by ``value`` (ties by id), with
+    product names.  The top k ids are taken first and their names looked up
+    by streaming the product dimension against those k ids (a broadcast of
+    at most k rows), so the dimension is never shuffled; a missing product
+    gives a NULL name.  Columns: the aggregate's columns plus name."""
+    top = per_product.orderBy(F.col(value).desc(), F.col("product_id")).limit(k)
     names = (products.select("product_id", "name")
              .join(F.broadcast(top.select("product_id")), "product_id"))
     return (top.join(names, "product_id", "left")
-            .orderBy(F.col("sold_quantity").desc(), F.col("product_id"),
-                     F.col("name").asc_nulls_first())
-            .limit(k)
-            .select("name", "sold_quantity"))
+            .orderBy(F.col(value).desc(), F.col("product_id"), F.col("name").asc_nulls_first())
+            .limit(k))
 
 
 def product_sales(items: DataFrame) -> DataFrame:
