@@ -1,9 +1,10 @@
 """Structured Streaming versions of the real-time KPIs.
 
-Streams carry TIMESTAMP_NTZ event times like the batch relations; watermarks
-need zone-based timestamps, so each operator derives ``_event_ts`` with a
-cast in the session time zone (use UTC, or the producer's zone) and converts
-results back to wall-clock times.
+Streams carry TIMESTAMP_NTZ event times like the batch relations.
+Watermarks need zone-based timestamps, so each operator derives
+``_event_ts`` by reading the wall clock as UTC (``common.as_instant``) and
+converts window bounds back.  Windows therefore align to the wall clock
+exactly as batch ``window()`` does, whatever the session time zone.
 """
 
 from salestide.streaming.churn import churn_alerts, start_churn_alerts
