@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import minimax_shards, secret_ledger
+from salestide.llm import license_dice, minimax_shards, secret_ledger, toxicity
 from salestide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,43 @@ def op3_secret_ledger(spark, sf_dir):
     return secret_ledger.findings_by_path(docs, secret_ledger.scan_unseen(docs))
 
 
+def _sql_list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+_TEMPLATES = ", ".join(f"({i}, '{name}', {_sql_list(license_dice.bigrams(text))})"
+                       for i, (name, text) in enumerate(license_dice.TEMPLATES))
+
+
+@register("op7_license_dice", f"""
+with t(ord, id, tb) as (values {_TEMPLATES}),
+d as (select row_number() over () as rid, doc_id, lower(coalesce(text, '')) as x from documents),
+u as (select rid, unnest(string_split(x, chr(10))) as unit from d
+      union all select rid, unnest(string_split_regex(x, '\n[ \t]*\n')) from d
+      union all select rid, x from d),
+w as (select rid, string_split(trim(regexp_replace(unit, '[^a-z0-9]+', ' ', 'g')), ' ') as ws
+      from (select distinct rid, unit from u)),
+b as (select rid, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) as bs
+      from w where len(ws) between 2 and 2000),
+m as (select rid, id, ord, 2.0 * len(list_intersect(bs, tb)) / (len(bs) + len(tb)) as dice from b, t
+      where len(bs) between 0.6 * len(tb) and 1.6 * len(tb)),
+g as (select rid, arg_max(id, (dice, -ord)) as license, max(dice) as dice, count(distinct id) as n_matches,
+             array_to_string(list_sort(list(distinct id)), ',') as licenses
+      from m where dice >= {license_dice.THRESHOLD} group by rid)
+select doc_id, license, coalesce(dice, 0)::double as dice, coalesce(licenses, '') as licenses,
+       coalesce(n_matches, 0) as n_matches
+from d left join g using (rid)
+""")
+def op7_license_dice(spark, sf_dir):
+    return license_dice.license_matches(table(spark, sf_dir, "documents"))
+
+
+@register("op1_toxicity_fm")
+def op1_toxicity_fm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @register("op10_minimax_shards")
 def op10_minimax_shards(spark, sf_dir):
     return minimax_shards.shard_documents(table(spark, sf_dir, "documents"))
