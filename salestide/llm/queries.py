@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import license_dice, minimax_shards, secret_ledger, toxicity
+from salestide.llm import disclosure, license_dice, minimax_shards, secret_ledger, toxicity
 from salestide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,11 @@ def op1_toxicity_fm(spark, sf_dir):
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@register("op4_disclosure")
+def op4_disclosure(spark, sf_dir):
+    return disclosure.scan(table(spark, sf_dir, "documents"))
+
+
 @register("op10_minimax_shards")
 def op10_minimax_shards(spark, sf_dir):
     return minimax_shards.shard_documents(table(spark, sf_dir, "documents"))
