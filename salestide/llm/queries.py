@@ -3,11 +3,12 @@ over its whole stored table, with an SQL oracle where SQL can express it."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import disclosure, license_dice, minimax_shards, secret_ledger, toxicity
+from salestide.llm import disclosure, license_dice, minimax_shards, secret_ledger, toxicity, unigram_pieces
 from salestide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +100,21 @@ def op4_disclosure(spark, sf_dir):
     return disclosure.scan(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The public SentencePiece model; set SALESTIDE_PIECES to use another."""
+    named = os.environ.get("SALESTIDE_PIECES")
+    if named:
+        return named
+    import public_tokenizers
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op8_unigram_pieces")
+def op8_unigram_pieces(spark, sf_dir):
+    pieces = unigram_pieces.Pieces.load(tokenizer_path())
+    return unigram_pieces.encode_documents(table(spark, sf_dir, "documents"), pieces)
+
+
 @register("op10_minimax_shards")
 def op10_minimax_shards(spark, sf_dir):
     return minimax_shards.shard_documents(table(spark, sf_dir, "documents"))
