@@ -8,7 +8,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salestide.llm import disclosure, license_dice, minimax_shards, secret_ledger, toxicity, unigram_pieces
+from salestide.llm import (
+    disclosure, edit_decontam, license_dice, minimax_shards, secret_ledger, toxicity, unigram_pieces,
+)
 from salestide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,6 +117,11 @@ def op8_unigram_pieces(spark, sf_dir):
     return unigram_pieces.encode_documents(table(spark, sf_dir, "documents"), pieces)
 
 
+@register("op5_edit_decontam")
+def op5_edit_decontam(spark, sf_dir):
+    return edit_decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op10_minimax_shards")
 def op10_minimax_shards(spark, sf_dir):
     return minimax_shards.shard_documents(table(spark, sf_dir, "documents"))
