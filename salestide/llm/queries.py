@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salestide.llm import (
-    disclosure, edit_decontam, license_dice, minimax_shards, secret_ledger, toxicity, unigram_pieces,
+    bag_minhash, disclosure, edit_decontam, license_dice, minimax_shards, secret_ledger, toxicity,
+    unigram_pieces,
 )
 from salestide.llm.common import table
 
@@ -122,6 +123,11 @@ def op5_edit_decontam(spark, sf_dir):
     return edit_decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op9_bag_minhash")
+def op9_bag_minhash(spark, sf_dir):
+    return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register("op10_minimax_shards")
 def op10_minimax_shards(spark, sf_dir):
     return minimax_shards.shard_documents(table(spark, sf_dir, "documents"))
