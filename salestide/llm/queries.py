@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salestide.llm import (
-    bag_minhash, disclosure, edit_decontam, license_dice, minimax_shards, secret_ledger, toxicity,
-    unigram_pieces,
+    anchor_dedup, bag_minhash, disclosure, edit_decontam, license_dice, minimax_shards, secret_ledger,
+    toxicity, unigram_pieces,
 )
 from salestide.llm.common import table
 
@@ -128,6 +128,27 @@ def op9_bag_minhash(spark, sf_dir):
     return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+_WORDS = "[^\\x20\\x09-\\x0D]+"
+
+
+@register("op2_anchor_dedup", f"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') as w from documents),
+s as (select doc_id, unnest(range(1, len(w) - {anchor_dedup.WINDOW - 2})) as a, w from d
+      where len(w) >= {anchor_dedup.WINDOW}),
+k as (select doc_id, a, array_to_string(w[a:a + {anchor_dedup.WINDOW - 1}], ' ') as t from s),
+r as (select doc_id, a from (select doc_id, a, row_number() over (partition by t order by doc_id, a) as n from k)
+      where n > 1),
+c as (select doc_id, list(distinct i) as gone from (
+        select doc_id, unnest(range(a, a + {anchor_dedup.WINDOW})) as i from r) group by doc_id)
+select d.doc_id, len(w) as n_words, coalesce(len(gone), 0) as n_removed,
+       sha256(coalesce(array_to_string(case when gone is null then w else list_filter(w, lambda x, i: not list_contains(gone, i)) end, ' '), ''))
+         as kept_sha256
+from d left join c using (doc_id)
+""")
+def op2_anchor_dedup(spark, sf_dir):
+    return anchor_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @register("op10_minimax_shards")
 def op10_minimax_shards(spark, sf_dir):
     return minimax_shards.shard_documents(table(spark, sf_dir, "documents"))
