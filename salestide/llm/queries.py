@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salestide.llm import (
-    anchor_dedup, bag_minhash, disclosure, edit_decontam, license_dice, minimax_shards, secret_ledger,
-    toxicity, unigram_pieces,
+    anchor_dedup, bag_minhash, disclosure, edit_decontam, license_dice, minimax_shards, posting_ann,
+    secret_ledger, toxicity, unigram_pieces,
 )
 from salestide.llm.common import table
 
@@ -149,6 +149,12 @@ def op2_anchor_dedup(spark, sf_dir):
     return anchor_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@register("op6_posting_ann")
+def op6_posting_ann(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return posting_ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 @register("op10_minimax_shards")
 def op10_minimax_shards(spark, sf_dir):
     return minimax_shards.shard_documents(table(spark, sf_dir, "documents"))
