@@ -1,14 +1,55 @@
-"""A training-corpus pipeline over ``documents``: each stage keeps, drops or
-rewrites rows; stages hand over through Parquet."""
+"""A training-corpus pipeline over ``documents``.
+
+Stages, in order: toxic documents go, one document of each near-duplicate
+class stays, documents that hold a benchmark passage go, personal data and
+the terms that disclose it are generalised, and what is left is encoded into
+SentencePiece ids (with the proof that they decode to the text).  Every stage
+but the last returns the columns of ``documents``; stages hand over through
+Parquet.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salestide.llm import bag_minhash, disclosure, edit_decontam, toxicity, unigram_pieces
 from salestide.llm.common import table
+from salestide.llm.queries import tokenizer_path
 from salestide.session import scratch_path
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the factorization machine scores 0.5 or more."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the smallest id) of each class of near-duplicates."""
+    return bag_minhash.one_per_class(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a passage of ``benchmark``."""
+    return edit_decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms generalised or removed in the texts."""
+    return disclosure.sanitise(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_pieces, ids and round_trip of every document."""
+    return unigram_pieces.encode_documents(docs, unigram_pieces.Pieces.load(tokenizer_path()))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_benchmark),
+    ("pii", sanitise),
+    ("sentencepiece", encode),
+]
 ORACLE_SQL = None  # a trained model and a tokenizer: tested against brute force
 
 

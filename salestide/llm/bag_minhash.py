@@ -220,6 +220,16 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     return known.join(classes, "component").select("doc_id", "class_id", "n_links", "class_size").unionByName(alone)
 
 
+def one_per_class(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` that stay: of each class the smallest id, once;
+    rows with a null id all stay.  Same columns."""
+    classes = near_duplicates(docs, s)
+    keep = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    named = docs.withColumn("__key", F.md5("text")).join(keep, "doc_id", "left_semi").dropDuplicates(
+        ["doc_id", "__key"]).select(*docs.columns)
+    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def _components(texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """((node, component) of linked nodes, (node, n_links))."""
     keys = materialised(_shared_buckets(band_keys(texts, s)))
