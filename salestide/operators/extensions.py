@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salestide.functions.money import as_double, growth_pct, line_amount, ratio
-from salestide.functions.timefns import as_of_column, interval
+from salestide.functions.timefns import as_of_column, interval, interval_seconds
 from salestide.operators.tables import customer_revenue, top_named
 
 
@@ -76,6 +76,7 @@ def repeat_within_period(orders: DataFrame, period: str = "30 days") -> DataFram
     of all orders is spread over its buckets, and partial aggregation
     collapses it map-side.
     """
+    interval_seconds(period)  # a fixed length: windows have no calendar months
     span = interval(period)
     b = (orders.where(F.col("order_date").isNotNull())
          .groupBy("customer_id", F.window("order_date", period)["start"].alias("bucket"))
@@ -155,14 +156,18 @@ def with_previous(per: DataFrame, key: str, step, value: str) -> DataFrame:
     one ``step`` earlier: every row is emitted as itself and, shifted by
     ``step``, as the previous value of its successor; one regroup on
     ``key`` matches them.  Adds ``prev_<value>`` (NULL when the previous
-    period has no row)."""
+    period has no row).  Rows with a NULL value stay; a NULL key has no
+    neighbours."""
     null = F.lit(None).cast(per.schema[value].dataType)
     both = per.select(F.explode(F.array(
-        F.struct(F.col(key).alias("k"), F.col(value).alias("cur"), null.alias("prev")),
-        F.struct((F.col(key) + step).alias("k"), null.alias("cur"), F.col(value).alias("prev")),
-    )).alias("e")).select("e.*")
-    return (both.groupBy("k").agg(F.max("cur").alias(value), F.max("prev").alias("prev_" + value))
-            .where(F.col(value).isNotNull())
+        F.struct(F.col(key).alias("k"), F.col(value).alias("cur"), null.alias("prev"),
+                 F.lit(True).alias("here")),
+        F.struct((F.col(key) + step).alias("k"), null.alias("cur"), F.col(value).alias("prev"),
+                 F.lit(False).alias("here")),
+    )).alias("e")).select("e.*").where(F.col("here") | F.col("k").isNotNull())
+    return (both.groupBy("k").agg(F.max("cur").alias(value), F.max("prev").alias("prev_" + value),
+                                  F.max("here").alias("here"))
+            .where("here").drop("here")
             .withColumnRenamed("k", key))
 
 

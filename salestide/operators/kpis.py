@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from salestide.functions.money import as_double, growth_pct, ratio
 from salestide.functions.timefns import as_of_column, interval
 from salestide.operators.tables import customer_revenue, product_sales
+from salestide.schemas import SUMMARY
 
 
 def total_orders(orders: DataFrame) -> DataFrame:
@@ -147,9 +148,9 @@ def inventory_turnover(items: DataFrame, products: DataFrame,
     """k12: COGS / (units sold / 2), COGS = Σ quantity · cost_ratio · list
     price (items left-joined to products, so unmatched items add units but
     no cost).  A 0 or missing unit total counts as 1."""
-    per_product = (per_product if per_product is not None else product_sales(items)) \
-        .select("product_id", F.col("units").alias("q"))
-    joined = per_product.join(products.select("product_id", "price"), "product_id", "left")
+    per_product = per_product if per_product is not None else product_sales(items)
+    joined = per_product.select("product_id", F.col("units").alias("q")).join(
+        products.select("product_id", "price"), "product_id", "left")
     unit_cost = F.col("price") * F.lit(Decimal(str(cost_ratio)))
     agg = joined.agg(F.sum(F.col("q") * unit_cost).alias("cogs"), F.sum("q").alias("units"))
     cogs = F.coalesce(as_double(F.col("cogs")), F.lit(0.0))
@@ -157,6 +158,11 @@ def inventory_turnover(items: DataFrame, products: DataFrame,
     return agg.select(F.try_divide(cogs, as_double(units) / 2.0).alias("inventory_turnover"))
 
 
+def _row(df: DataFrame):
+    """A one-row frame as a struct-valued scalar subquery (equal ones run once)."""
+    return df.select(F.struct(*df.columns)).scalar()
+
+
 def _window_kpis(orders: DataFrame, as_of, lookback: str, period: str) -> list[DataFrame]:
     """k10 and k11.  With equal lookback and period (the original's 3 hours)
     both come from one ``period_sums`` aggregate, which the merged scalar
@@ -179,9 +185,10 @@ def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
                 per_product: DataFrame | None = None) -> DataFrame:
     """k13: the twelve KPIs as one row, in the fixed column order.
 
-    Built as scalar subqueries over one-row aggregates; Catalyst merges the
-    subqueries that read the same relation into one scan, so the whole row is
-    one job instead of one action per KPI.  Optional frames let a caller feed
+    Everything about orders and items comes from two aggregates, per customer
+    and per product, so each fact table is scanned once for them.  The row is
+    built from scalar subqueries over one-row frames (equal subqueries run
+    once): one job instead of one action per KPI.  Optional frames let a caller feed
     the time-window KPIs from a finer-grained source (``recent_orders``,
     ``new_customer_rows``) or the conversion delay from other signup/order
     sources; by default everything comes from the four relations.  With
@@ -192,22 +199,29 @@ def kpi_summary(customers: DataFrame, products: DataFrame, orders: DataFrame,
     new_customer_rows = customers if new_customer_rows is None else new_customer_rows
     signups = customers if signups is None else signups
     # the shared per-customer aggregate holds first orders of ``orders`` only
+    per_customer = per_customer if per_customer is not None else customer_revenue(orders)
     delay_pre = per_customer if first_orders is None else None
     first_orders = orders if first_orders is None else first_orders
-    parts = [
-        total_orders(orders),
-        new_customers(new_customer_rows, as_of, lookback),
-        total_sales(orders),
-        items_sold(items, per_product=per_product),
-        unique_products(items, per_product=per_product),
-        average_order_value(orders),
-        acquisition_cost(customers, total_cost),
-        avg_conversion_delay(signups, first_orders, per_customer=delay_pre),
-        retention_pct(orders, per_customer=per_customer),
-        *_window_kpis(recent_orders, as_of, lookback, period),
-        inventory_turnover(items, products, cost_ratio, per_product=per_product),
-    ]
-    first, rest = parts[0], parts[1:]
-    return first.select(
-        F.col(first.columns[0]),
-        *[p.scalar().alias(p.columns[0]) for p in rest])
+    by_customer = per_customer.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.sum("revenue").alias("revenue"),
+        F.sum(F.when(F.col("orders") >= 2, 1).otherwise(0)).alias("repeat"),
+        F.count(F.lit(1)).alias("customers"))
+    per_product = per_product if per_product is not None else product_sales(items)
+    by_product = per_product.agg(F.sum("units").cast("bigint").alias("units"),
+                                 F.count("product_id").alias("ids"))
+    c, p = _row(by_customer), _row(by_product)
+    one = {
+        "total_orders_count": c["rows"],
+        "total_sales_amount": as_double(c["revenue"]),
+        "total_items_sold": p["units"],
+        "total_products_sold": p["ids"],
+        "aov": ratio(c["revenue"], c["rows"]),
+        "percent_repeat_customers": ratio(c["repeat"], c["customers"]) * 100,
+    }
+    for df in (new_customers(new_customer_rows, as_of, lookback), acquisition_cost(customers, total_cost),
+               avg_conversion_delay(signups, first_orders, per_customer=delay_pre),
+               inventory_turnover(items, products, cost_ratio, per_product=per_product),
+               *_window_kpis(recent_orders, as_of, lookback, period)):
+        one[df.columns[0]] = df.scalar()
+    return customers.sparkSession.range(1).select(
+        *[one[f.name].alias(f.name) for f in SUMMARY.fields])

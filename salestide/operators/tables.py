@@ -25,12 +25,13 @@ def _money_out(c, name: str):
 
 
 def customer_revenue(orders: DataFrame) -> DataFrame:
-    """Per customer: revenue, order count, first and last order time (the
+    """Per customer: revenue, order count, row count, first and last order time (the
     shared pre-aggregate of t02, t03, t09, the repeat rate and the
     conversion delay; unused columns are pruned from each plan)."""
     return orders.groupBy("customer_id").agg(
         F.sum("total_amount").alias("revenue"),
         F.count("order_id").alias("orders"),
+        F.count(F.lit(1)).alias("rows"),
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"))
 

@@ -18,9 +18,6 @@ into the parquet scans.
 
 from __future__ import annotations
 
-import os
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,29 +32,6 @@ def _null_str():
     return F.lit(None).cast("string")
 
 
-_RESOLVED: dict[tuple, DataFrame] = {}
-_LOCK = threading.Lock()
-
-
-def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet(path)``, resolved once per session and file
-    version: listing the files and reading the footers is the slow part of
-    building a plan over small tables, and it is the same for every query.
-    Only the resolved relation is kept, never data."""
-    try:
-        version = os.stat(path).st_mtime_ns
-    except OSError:
-        version = None  # not a local path: no version to check, no reuse
-    if version is None:
-        return spark.read.parquet(path)
-    key = (id(spark), spark.sparkContext.applicationId, path, version)
-    with _LOCK:
-        df = _RESOLVED.get(key)
-        if df is None:
-            df = _RESOLVED[key] = spark.read.parquet(path)
-    return df
-
-
 def bind_orders(raw: DataFrame) -> DataFrame:
     """``orders`` table (batch or stream) -> canonical orders."""
     return raw.select(
@@ -91,15 +65,15 @@ class StoredTables:
         self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        # one resolved relation per table: every binding of it shares the
-        # same file listing and footer read
+        # one relation per table and query: its bindings share one listing
         if name not in self._raw:
-            self._raw[name] = read_stored(self.spark, f"{self.sf_dir}/{name}.parquet")
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._raw[name]
 
     def stream_path(self, name: str) -> str:
-        """A path a streaming file source accepts for a one-file table."""
-        return f"{self.sf_dir}/{name}.parquet*"
+        """The table as a pattern (a streaming file source takes no single
+        file as a path) that matches this one name only."""
+        return f"{self.sf_dir}/{name}.parque[t]"
 
     # -- sales model -------------------------------------------------------
     def orders(self) -> DataFrame:

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salestide.operators import kpis, tables
-from salestide.sources.files import read_relation
+from salestide.session import remove_path, scratch_path
+from salestide.sources.files import read_relation, rejected_rows
 from salestide.sources.sinks import write_result
 
 
@@ -83,8 +84,9 @@ def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
               single_file: bool = True, parallel: int = 4, versioned: bool = False,
               folder_names: dict[str, str] | None = None, share: bool = True,
               pre_aggregates: dict[str, DataFrame] | None = None,
-              **params) -> dict[str, str]:
+              timestamp_format: str | None = None, **params) -> dict[str, str]:
     """Write every KPI output under ``out_root``; returns name -> path.
+    ``timestamp_format`` sets the text form of timestamps in CSV and JSON.
 
     ``single_file`` applies to the small, bounded outputs only.  The ten
     writes are independent jobs; up to ``parallel`` are submitted at once
@@ -101,20 +103,37 @@ def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
     ``folder_names`` renames output folders (output key -> folder), so an
     existing reader can keep its paths.
 
-    ``share`` computes the three pre-aggregates several outputs need
-    (revenue per customer; sales per month/weekday/hour; units and revenue
-    per product) once, with ``checkpoint()``: written to the shared
-    checkpoint folder with their lineage cut, so orders and items are
-    scanned for them once and a lost executor costs no recomputation.
+    ``pre_aggregates`` (``incremental.current_all``) replaces the scans of
+    the history by maintained aggregates: per_customer, parts, per_product
+    and per_window, each used where given.  Then only the recent-window
+    outputs read orders and items, through pushed-down time filters.
+
+    ``share`` writes the pre-aggregates that several outputs need (those
+    given, and revenue per customer, sales per month/weekday/hour, units and
+    revenue per product) to Parquet in the shared scratch folder first, all
+    submitted together, and derives the outputs from there: orders are
+    scanned once for each of them, items once, and a lost executor costs no
+    recomputation.  The folder is deleted when all outputs are written.
     """
+    spark = rel.orders.sparkSession
+    shared = dict(pre_aggregates or {})
+    unknown = set(shared) - {"per_customer", "parts", "per_product", "per_window"}
+    if unknown:
+        raise ValueError(f"unknown pre-aggregates: {sorted(unknown)}")
+    scratch = None
     if share:
-        from salestide.session import checkpoint_root
-        checkpoint_root(rel.orders.sparkSession)  # the shared folder (set if unset)
-        params = {**params,
-                  "per_customer": tables.customer_revenue(rel.orders).checkpoint(),
-                  "parts": tables.time_parts(rel.orders).checkpoint(),
-                  "per_product": tables.product_sales(rel.order_items).checkpoint()}
-    outputs = kpi_outputs(rel, as_of=as_of, **params)
+        shared = {"per_customer": tables.customer_revenue(rel.orders),
+                  "parts": tables.time_parts(rel.orders),
+                  "per_product": tables.product_sales(rel.order_items), **shared}
+        scratch = scratch_path(spark, "pre-aggregates")
+
+        def keep(name: str) -> DataFrame:
+            shared[name].write.parquet(f"{scratch}/{name}")
+            return spark.read.parquet(f"{scratch}/{name}")
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            shared = dict(zip(shared, pool.map(keep, list(shared))))
+    outputs = kpi_outputs(rel, as_of=as_of, **params, **shared)
     root = out_root.rstrip("/")
     run_id = new_run_id() if versioned else None
     run = f"/run={run_id}" if versioned else ""
@@ -122,18 +141,18 @@ def run_batch(rel: Relations, out_root: str, as_of=None, fmt: str = "csv",
     paths = {name: f"{root}/{folders[name]}{run}" for name in outputs}
 
     def write(name: str) -> None:
-        write_result(outputs[name], paths[name], fmt=fmt,
+        write_result(outputs[name], paths[name], fmt=fmt, timestamp_format=timestamp_format,
                      single_file=single_file and name not in _UNBOUNDED)
 
-    if parallel <= 1:
-        for name in outputs:
-            write(name)
-    else:
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             for f in [pool.submit(write, name) for name in outputs]:
                 f.result()
+    finally:
+        if scratch:
+            remove_path(spark, scratch)
     if versioned:
-        publish_run(rel.orders.sparkSession, root, run_id)
+        publish_run(spark, root, run_id)
     return paths
 
 
@@ -155,13 +174,19 @@ def main(argv=None) -> None:
     ap.add_argument("--format", default="csv")
     ap.add_argument("--as-of", default=None, help="wall-clock instant; default now")
     ap.add_argument("--keep-repeated-headers", action="store_true")
+    ap.add_argument("--timestamp-format", default=None, help="text form of timestamps in the outputs")
+    ap.add_argument("--rejects", default=None, help="folder for input rows that do not parse (CSV)")
     args = ap.parse_args(argv)
     from salestide.session import build_session
     spark = build_session()
-    rel = load_relations(spark, {"customers": args.customers, "products": args.products,
-                                 "orders": args.orders, "order_items": args.order_items},
-                         fmt=args.format, keep_repeated_headers=args.keep_repeated_headers)
-    run_batch(rel, args.out, as_of=args.as_of)
+    paths = {"customers": args.customers, "products": args.products,
+             "orders": args.orders, "order_items": args.order_items}
+    rel = load_relations(spark, paths, fmt=args.format,
+                         keep_repeated_headers=args.keep_repeated_headers)
+    run_batch(rel, args.out, as_of=args.as_of, timestamp_format=args.timestamp_format)
+    if args.rejects and args.format == "csv":
+        for name, path in paths.items():
+            rejected_rows(spark, path, name).write.mode("overwrite").json(f"{args.rejects}/{name}")
 
 
 if __name__ == "__main__":

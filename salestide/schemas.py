@@ -54,15 +54,7 @@ RELATIONS = {
     "order_items": (ORDER_ITEMS, "item_id"),
 }
 
-# Output relations written by the batch job (name -> columns), fixed values
-# that must keep the original job's header names.
-SUMMARY_COLUMNS = [
-    "total_orders_count", "customers_in_last_3hrs", "total_sales_amount",
-    "total_items_sold", "total_products_sold", "aov", "cac", "avg_time",
-    "percent_repeat_customers", "sales_in_last3hrs", "growth_rate",
-    "inventory_turnover",
-]
-
+# The summary the batch job writes: fixed values, the original job's header names.
 SUMMARY = T.StructType([
     T.StructField("total_orders_count", T.LongType()),
     T.StructField("customers_in_last_3hrs", T.LongType()),

@@ -61,9 +61,9 @@ def build_session(master: str | None = None, app: str = "salestide",
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (a local test) is a fresh local folder
-    created and registered with ``setCheckpointDir``; on a cluster the
-    setting must point at shared storage and is never replaced.  (Under
+    Only when a ``local[...]`` session names none (a test) is a fresh local
+    folder created and registered with ``setCheckpointDir``; on a cluster the
+    setting must point at shared storage: without it this raises.  (Under
     Spark Connect there is no SparkContext: the setting alone is used.)
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -75,7 +75,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = current
     if not root:
-        if sc is None:
+        if sc is None or not sc.master.startswith("local"):
+            # executors on other machines would each write to their own disk
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="salestide-ckpt-")
     if sc is not None and current is None:
@@ -89,3 +90,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "salestide", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

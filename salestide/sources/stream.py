@@ -40,19 +40,46 @@ def decode(messages: DataFrame, relation: str | None = None,
            schema: T.StructType | None = None, id_column: str | None = None,
            keep: tuple[str, ...] = ()) -> DataFrame:
     """S7: parse the JSON ``value`` into the relation's columns.  A value
-    that is not a JSON object of that shape (malformed) yields no row.
+    that is not a JSON object, has a field that does not parse, or lacks the
+    id yields no row here; ``rejected`` gives exactly those.
     ``keep`` carries message columns along (e.g. the broker timestamp)."""
+    schema, id_column = _shape(relation, schema, id_column)
+    good = _parsed(messages, schema, id_column).where(F.col("_reason") == "")
+    out = good.select(*[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields], *keep)
+    if relation == "order_items" and "line_amount" not in out.columns:
+        out = out.withColumn("line_amount", F.col("quantity") * F.col("unit_price"))
+    return out
+
+
+_CORRUPT = "_corrupt_record"
+
+
+def _shape(relation, schema, id_column):
     if schema is None:
         schema, default_id = RELATIONS[relation]
         id_column = id_column or default_id
-    parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("_r"), *keep)
-    out = parsed.select("_r.*", *keep)
+    return schema, id_column
+
+
+def _parsed(messages: DataFrame, schema: T.StructType, id_column: str | None) -> DataFrame:
+    """``messages`` with the parsed ``_r`` and ``_reason`` ('' for a good one)."""
+    text = F.col("value").cast("string")
+    wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    out = messages.withColumn("_r", F.from_json(
+        text, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
+    bad = F.col("_r").isNull() | F.col(f"_r.{_CORRUPT}").isNotNull()
+    reason = F.when(bad, F.lit("malformed"))
     if id_column:
-        out = out.where(F.col(id_column).isNotNull())
-    if relation == "order_items" and "line_amount" not in out.columns:
-        out = out.withColumn("line_amount", F.col("quantity") * F.col("unit_price"))
-    return out
+        reason = reason.when(F.col(f"_r.{id_column}").isNull(), F.lit(f"no {id_column}"))
+    return out.withColumn("_reason", reason.otherwise(F.lit("")))
+
+
+def rejected(messages: DataFrame, relation: str | None = None, schema: T.StructType | None = None,
+             id_column: str | None = None) -> DataFrame:
+    """The messages that ``decode`` leaves out: (topic, value, reason)."""
+    schema, id_column = _shape(relation, schema, id_column)
+    return _parsed(messages, schema, id_column).where(F.col("_reason") != "").select(
+        "topic", F.col("value").cast("string").alias("value"), F.col("_reason").alias("reason"))
 
 
 def route(messages: DataFrame, topics: dict[str, str],

@@ -7,6 +7,7 @@ converts window bounds back.  Windows therefore align to the wall clock
 exactly as batch ``window()`` does, whatever the session time zone.
 """
 
+from salestide.streaming.common import late_rows
 from salestide.streaming.churn import churn_alerts, start_churn_alerts
 from salestide.streaming.ingest import dedupe, start_ingest
 from salestide.streaming.refresh import start_refresh
@@ -17,4 +18,4 @@ from salestide.streaming.windows import (
 
 __all__ = ["start_ingest", "dedupe", "churn_alerts", "start_churn_alerts", "start_refresh",
            "items_with_order_time", "windowed_product_counts", "rank_windows", "start_top_products",
-           "windowed_revenue", "start_windowed_revenue", "window_growth"]
+           "windowed_revenue", "start_windowed_revenue", "window_growth", "late_rows"]

@@ -6,9 +6,11 @@ order extends the customer's open session, and the session closes when the
 watermark passes ``last order + min_days``.  In append mode every closed
 session is emitted once, so each emitted row is one churn alert
 (customer, first and last order of the active spell).  The state is the
-built-in, checkpointed session state (no Python in the hot path), and the
-result does not depend on how the stream is cut into micro-batches: a
-customer who goes idle twice is reported twice, whatever the trigger.
+built-in, checkpointed session state (no Python in the hot path).  A
+customer who goes idle twice is reported twice.  The result does not depend
+on how the stream is cut into micro-batches as long as ``delay`` covers the
+disorder of the orders; later rows are dropped by the watermark and counted
+by ``late_rows``.
 
 With ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``
 on (see ``salestide.session.DEFAULTS``) sessions are merged map-side before

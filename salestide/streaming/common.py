@@ -15,14 +15,21 @@ def as_instant(c):
     in UTC, whatever the session time zone, so event-time windows align to
     the wall clock exactly as batch ``window()`` on NTZ does.  Zone-based
     timestamps pass through unchanged."""
-    # cast() reads the wall clock in the session zone; shifting by that
-    # zone's offset turns it into the same wall clock read in UTC
-    return F.from_utc_timestamp(c.cast("timestamp"), F.current_timezone())
+    # both parts are read off the wall clock itself, so no zone rule applies
+    # (a cast through the session zone would lose times in a daylight-saving gap)
+    fraction = (F.date_part(F.lit("SECOND"), c) * 1_000_000 % 1_000_000).cast("long")
+    # unix_timestamp rounds towards 1970
+    before = (c < F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")) & (fraction > 0)
+    seconds = F.unix_timestamp(c) - F.when(before, 1).otherwise(0)
+    return F.timestamp_micros(seconds * 1_000_000 + fraction)
 
 
 def as_wall_clock(c):
     """Inverse of ``as_instant`` for window bounds: back to ``TIMESTAMP_NTZ``."""
-    return F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
+    micros = F.unix_micros(c)
+    seconds = (micros / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=seconds)
 
 
 def with_event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
@@ -45,3 +52,12 @@ def set_trigger(writer: DataStreamWriter, trigger) -> DataStreamWriter:
     if trigger == "once":
         return writer.trigger(once=True)
     return writer.trigger(processingTime=trigger)
+
+
+def late_rows(query) -> int:
+    """Rows that ``query`` dropped as later than its watermark delay, over the
+    batches its progress still lists.  Event-time results are those of any
+    cutting into micro-batches as long as this is 0: the delay must cover
+    the disorder of the stream."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p["stateOperators"])

@@ -17,6 +17,8 @@ size follows the number of keys, not the history.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from salestide.operators.tables import (
     customer_revenue, product_sales, time_parts, window_revenue,
 )
+from salestide.session import remove_path
 from salestide.streaming.common import set_trigger
 
 # name -> (source relation, partial builder, key columns, {column: merge}).
@@ -33,7 +36,7 @@ from salestide.streaming.common import set_trigger
 # windowed revenue's length is a parameter of ``start_partials``.
 AGGREGATES = {
     "per_customer": ("orders", customer_revenue, ["customer_id"],
-                     {"revenue": "sum", "orders": "sum", "first_order": "min",
+                     {"revenue": "sum", "orders": "sum", "rows": "sum", "first_order": "min",
                       "last_order": "max"}),
     "parts": ("orders", time_parts, ["order_month", "order_weekday", "order_hour"],
               {"sales": "sum"}),
@@ -47,7 +50,7 @@ def _merge(df: DataFrame, keys: list[str], merges: dict[str, str]) -> DataFrame:
     fns = {"sum": F.sum, "min": F.min, "max": F.max}
     return df.groupBy(*keys).agg(*[fns[m](c).alias(c) for c, m in merges.items()])
 
-_LOG = T.StructType([T.StructField("upto", T.LongType()),
+_LOG = T.StructType([T.StructField("upto", T.LongType()), T.StructField("folder", T.StringType()),
                      T.StructField("published_at", T.TimestampType())])
 
 
@@ -96,30 +99,30 @@ def start_partials(orders: DataFrame, items: DataFrame, root: str, checkpoint_ro
     return queries
 
 
-def _latest_base(spark: SparkSession, root: str, name: str) -> int | None:
+def _latest_base(spark: SparkSession, root: str, name: str) -> tuple[int, str] | None:
+    """(last batch id covered, folder) of the base published last."""
     log = _read(spark, f"{root}/{name}/base_log", _LOG, "json")
     if log is None:
         return None
-    row = log.agg(F.max("upto")).first()
-    return row[0] if row else None
+    row = log.where(F.col("upto").isNotNull()).agg(F.max(F.struct("upto", "published_at", "folder")).alias("m")).first()
+    return (row.m.upto, f"{root}/{name}/base/{row.m.folder}") if row.m else None
 
 
 def current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """The pre-aggregate over everything ingested so far: the latest base
     plus the partials written after it, re-summed per key.  None before the
-    first batch."""
+    first batch.  A published base that cannot be read is an error, never an
+    empty history."""
     _src, _build, keys, merges = AGGREGATES[name]
     sums = list(merges)
-    upto = _latest_base(spark, root, name)
+    latest = _latest_base(spark, root, name)
     parts = []
-    if upto is not None:
-        base = _read(spark, f"{root}/{name}/base/upto={upto}")
-        if base is not None:
-            parts.append(base.select(*keys, *sums))
+    if latest is not None:
+        parts.append(spark.read.parquet(latest[1]).select(*keys, *sums))
     partials = _read(spark, f"{root}/{name}/partials")
     if partials is not None:
-        if upto is not None:
-            partials = partials.where(F.col("batch_id") > upto)
+        if latest is not None:
+            partials = partials.where(F.col("batch_id") > latest[0])
         parts.append(partials.select(*keys, *sums))
     if not parts:
         return None
@@ -129,29 +132,39 @@ def current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return _merge(union, keys, merges)
 
 
-def compact(spark: SparkSession, root: str, name: str) -> int | None:
-    """Fold the base and all partials so far into a new base and publish
-    it; returns the last batch id it covers (None when there is nothing)."""
+def compact(spark: SparkSession, root: str, name: str, keep_partials: bool = False) -> int | None:
+    """Fold the base and the partials after it into a new base in a folder of
+    its own and publish it last; returns the last batch id it covers (None
+    when there is nothing).  Without new partials nothing is written, so a
+    repeated call is harmless; a call that dies before publishing leaves the
+    old base in force.  Partials that the base *before* this one already
+    covered are then deleted (a reader that started from that base still
+    needs the later ones); ``keep_partials`` keeps all."""
     partials = _read(spark, f"{root}/{name}/partials")
+    latest = _latest_base(spark, root, name)
+    done = latest[0] if latest is not None else None
     if partials is None:
-        return None
+        return done
+    # only partials up to ``upto`` (a batch may land while compacting)
     upto = partials.agg(F.max("batch_id")).first()[0]
+    if upto is None or (done is not None and upto <= done):
+        return done
     _src, _build, keys, merges = AGGREGATES[name]
-    sums = list(merges)
-    # only partials up to ``upto`` (a batch may land while compacting)
-    prev = _latest_base(spark, root, name)
-    base = _read(spark, f"{root}/{name}/base/upto={prev}") if prev is not None else None
-    chosen = partials.where(F.col("batch_id") <= upto)
-    if prev is not None:
-        chosen = chosen.where(F.col("batch_id") > prev)
-    union = chosen.select(*keys, *sums)
-    if base is not None:
-        union = base.select(*keys, *sums).unionByName(union)
-    merged = _merge(union, keys, merges)
-    merged.write.mode("overwrite").parquet(f"{root}/{name}/base/upto={upto}")
-    spark.createDataFrame([(int(upto),)], "upto long") \
+    union = partials.where(F.col("batch_id") <= upto)
+    if latest is not None:
+        union = union.where(F.col("batch_id") > done)
+    union = union.select(*keys, *merges)
+    if latest is not None:
+        union = union.unionByName(spark.read.parquet(latest[1]).select(*keys, *merges))
+    folder = f"upto={upto}-{uuid.uuid4().hex[:8]}"
+    _merge(union, keys, merges).write.parquet(f"{root}/{name}/base/{folder}")
+    spark.createDataFrame([(int(upto), folder)], "upto long, folder string") \
         .withColumn("published_at", F.current_timestamp()) \
         .coalesce(1).write.mode("append").json(f"{root}/{name}/base_log")
+    if done is not None and not keep_partials:
+        old = partials.where(F.col("batch_id") <= done).select("batch_id").distinct().collect()
+        for row in old:  # one folder per micro-batch since the compaction before
+            remove_path(spark, f"{root}/{name}/partials/batch_id={row.batch_id}")
     return int(upto)
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
-from salestide.sources.stream import route
+from salestide.schemas import RELATIONS
+from salestide.sources.stream import rejected, route
 from salestide.streaming.common import EVENT_TS, set_trigger, with_event_time
 
 def dedupe(df: DataFrame, key: str, event_time: str, delay: str = "1 hour",
@@ -27,7 +28,9 @@ def dedupe(df: DataFrame, key: str, event_time: str, delay: str = "1 hour",
     copies arriving within ``delay`` of event time of it
     (``dropDuplicatesWithinWatermark``); state older than the watermark is
     evicted.  It has no map-side step, so all copies of one key meet in one
-    task.
+    task; ``collapse`` is the form for bursts.  Rows that come later than
+    ``delay`` behind the newest one are dropped by either (Spark's watermark;
+    ``late_rows(query)`` counts them): ``delay`` must cover the disorder.
 
     ``collapse`` groups by (key, event time) in append mode instead: the
     streaming aggregate's partial step collapses copies inside each input
@@ -53,7 +56,7 @@ def start_ingest(messages: DataFrame | Callable[[str], DataFrame], out_root: str
                  schemas: dict[str, T.StructType] | None = None,
                  dedup: dict[str, tuple] | None = None,
                  partition_by: dict[str, list[str]] | None = None,
-                 keep: tuple[str, ...] = ()) -> list[StreamingQuery]:
+                 keep: tuple[str, ...] = (), quarantine: bool = False) -> list[StreamingQuery]:
     """Start one append query per topic writing ``out_root/<relation>``.
 
     ``messages`` is one stream of all topics, or a function ``topic ->
@@ -65,14 +68,27 @@ def start_ingest(messages: DataFrame | Callable[[str], DataFrame], out_root: str
     (key, event-time column, delay[, strategy]); ``partition_by`` maps relation ->
     columns (e.g. an order day) for partition pruning downstream; ``keep``
     stores message columns alongside (e.g. ``("timestamp",)`` so the item
-    table has an event time for the windowed top-N)."""
+    table has an event time for the windowed top-N, and every relation one to
+    be de-duplicated by: ``dedup={"order_items": ("item_id", "timestamp", "1
+    hour")}``); ``quarantine`` adds one query per topic that writes the
+    messages which do not decode to ``out_root/_rejected/<relation>``."""
+    queries = []
+    if quarantine:
+        for topic, relation in topics.items():
+            source = messages(topic) if callable(messages) else messages.where(F.col("topic") == topic)
+            sch = (schemas or {}).get(relation)
+            bad = rejected(source, relation, schema=sch,
+                           id_column=RELATIONS[relation][1] if sch is not None else None)
+            w = (bad.writeStream.format("json").outputMode("append")
+                 .option("path", f"{out_root}/_rejected/{relation}")
+                 .option("checkpointLocation", f"{checkpoint_root}/_rejected/{relation}"))
+            queries.append(set_trigger(w, trigger).start())
     if callable(messages):
         frames = {}
         for topic, relation in topics.items():
             frames.update(route(messages(topic), {topic: relation}, schemas, keep))
     else:
         frames = route(messages, topics, schemas, keep)
-    queries = []
     for relation, df in frames.items():
         if dedup and relation in dedup:
             df = dedupe(df, *dedup[relation])

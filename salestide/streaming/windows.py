@@ -2,7 +2,9 @@
 
 Append mode: a window is emitted once, when the watermark passes its end,
 so each emitted window is final and can be ranked or compared in a
-micro-batch.  (Update mode would emit only the groups a batch changed, and
+micro-batch, whatever the cutting into batches, as long as ``delay`` covers
+the disorder of the rows; later ones are dropped by the watermark and counted
+by ``late_rows``.  (Update mode would emit only the groups a batch changed, and
 per-window ranks over partial groups would be wrong.)
 """
 
@@ -138,13 +140,13 @@ def window_growth(windows: DataFrame) -> DataFrame:
     null = F.lit(None).cast(windows.schema["sales"].dataType)
     both = per.select(F.explode(F.array(
         F.struct(F.col("window_start").alias("k"), F.col("sales").alias("cur"),
-                 null.alias("prev"), step.alias("len")),
+                 null.alias("prev"), step.alias("len"), F.lit(True).alias("here")),
         F.struct((F.col("window_start") + step).alias("k"), null.alias("cur"),
-                 F.col("sales").alias("prev"), step.alias("len")),
+                 F.col("sales").alias("prev"), step.alias("len"), F.lit(False).alias("here")),
     )).alias("e")).select("e.*")
     j = (both.groupBy("k").agg(F.max("cur").alias("sales"), F.max("prev").alias("prev_sales"),
-                               F.max("len").alias("len"))
-         .where(F.col("sales").isNotNull()))
+                               F.max("len").alias("len"), F.max("here").alias("here"))
+         .where("here"))
     cur, pv = F.col("sales"), F.col("prev_sales")
     return j.select(F.col("k").alias("window_start"), (F.col("k") + F.col("len")).alias("window_end"),
                     as_double(cur).alias("sales"), as_double(pv).alias("prev_sales"),

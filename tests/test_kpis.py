@@ -118,8 +118,8 @@ def test_summary_row(rel):
     c, p, o, i = rel
     row = kpis.kpi_summary(c, p, o, i, as_of=fx.AS_OF).collect()
     assert len(row) == 1
-    from salestide.schemas import SUMMARY_COLUMNS
-    assert list(row[0].asDict()) == SUMMARY_COLUMNS
+    from salestide.schemas import SUMMARY
+    assert list(row[0].asDict()) == SUMMARY.names
     r = row[0]
     assert r.total_orders_count == 8 and r.customers_in_last_3hrs == 2
     assert r.total_products_sold == 5 and r.percent_repeat_customers == 100.0
