@@ -21,18 +21,23 @@ import sys
 
 
 def _ingest(args) -> None:
+    from salestide.schemas import RELATIONS
     from salestide.session import build_session
     from salestide.sources.stream import kafka_messages
     from salestide.streaming.ingest import start_ingest
     spark = build_session(large_state=bool(args.dedup))
     topics = dict(t.split("=", 1) for t in args.topic)
     dedup = None
-    if args.dedup:
-        dedup = {"orders": ("order_id", "order_date", args.dedup_delay, args.dedup_strategy)}
-    queries = start_ingest(lambda t: kafka_messages(spark, args.bootstrap, [t]),
-                           args.out, args.checkpoint, topics, fmt=args.format,
-                           trigger=args.trigger, dedup=dedup,
-                           keep=("timestamp",) if args.keep_broker_time else ())
+    if args.dedup:  # orders by their own time, the other relations by the broker's
+        dedup = {relation: (RELATIONS[relation][1],
+                            "order_date" if relation == "orders" else "timestamp",
+                            args.dedup_delay, args.dedup_strategy if relation == "orders" else "first_seen")
+                 for relation in topics.values()}
+    keep = ("timestamp",) if args.keep_broker_time or args.dedup else ()
+    queries = start_ingest(
+        lambda t: kafka_messages(spark, args.bootstrap, [t], maxOffsetsPerTrigger=args.max_messages),
+        args.out, args.checkpoint, topics, fmt=args.format, trigger=args.trigger, dedup=dedup,
+        keep=keep, quarantine=not args.no_quarantine)
     for q in queries:
         q.awaitTermination()
 
@@ -51,7 +56,8 @@ def _refresh(args) -> None:
 
     def stream_of(name):
         schema = read_relation(spark, f"{root}/{name}", name, fmt="parquet").schema
-        return spark.readStream.schema(schema).parquet(f"{root}/{name}")
+        return (spark.readStream.schema(schema).option("maxBytesPerTrigger", args.max_bytes)
+                .parquet(f"{root}/{name}"))
 
     if args.pre_aggregates:
         from salestide.streaming.incremental import start_partials
@@ -96,7 +102,11 @@ def main(argv=None) -> None:
                         help="topic=relation (customers, products, orders, order_items)")
         ap.add_argument("--format", default="parquet")
         ap.add_argument("--trigger", default=None)
-        ap.add_argument("--dedup", action="store_true", help="drop redelivered orders")
+        ap.add_argument("--max-messages", type=int, default=5_000_000,
+                        help="messages per topic and micro-batch, at most")
+        ap.add_argument("--no-quarantine", action="store_true",
+                        help="do not write messages that fail to decode to <out>/_rejected")
+        ap.add_argument("--dedup", action="store_true", help="drop redelivered messages of every topic")
         ap.add_argument("--dedup-delay", default="1 hour")
         ap.add_argument("--dedup-strategy", default="first_seen",
                         choices=["first_seen", "collapse"])
@@ -106,6 +116,9 @@ def main(argv=None) -> None:
     else:
         ap.add_argument("--tables", required=True, help="root of the ingested Parquet tables")
         ap.add_argument("--every", default="10 minutes")
+        ap.add_argument("--max-bytes", default="64g",
+                        help="bytes of new files per micro-batch, at most (a first run over a long "
+                             "history is cut into batches of this size)")
         ap.add_argument("--as-of", default=None)
         ap.add_argument("--versioned", action="store_true",
                         help="write each refresh to run=<id> folders and publish it when complete")

@@ -11,6 +11,7 @@ rows that must come out (for streams: the windows closed by the watermark).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +21,16 @@ from pyspark.sql import functions as F
 from salestide import streaming
 from salestide.operators import extensions, kpis, tables, views
 from salestide.plans.bindings import (
-    EVENTS_AS_OF, ORDERS_AS_OF, StoredTables, bind_order_items, bind_orders,
+    EVENTS_AS_OF, ORDERS_AS_OF, StoredTables,
 )
-from salestide.plans.job import Relations, run_batch
-from salestide.session import scratch_path
+from salestide.plans.job import Relations, kpi_outputs, run_batch
+from salestide.schemas import RELATIONS
+from salestide.session import remove_path, scratch_path
 from salestide.sources import files as src_files
 from salestide.sources import results as src_results
 from salestide.sources import stream as src_stream
 from salestide.sources.sinks import write_result
+from salestide.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -533,22 +536,47 @@ def _money_double(df: DataFrame, col: str = "total_amount") -> DataFrame:
     return df.withColumn(col, F.col(col).cast("double"))
 
 
-def orders_csv_with_repeated_header(spark, sf_dir) -> str:
-    """Write the orders as CSV text plus one copy of the header line inside
-    a part file (the defect of an append-only consumer); returns the path."""
-    orders = _t(spark, sf_dir).orders()
-    text = orders.select([F.col(c).cast("string").alias(c) for c in orders.columns])
-    header = spark.createDataFrame([tuple(orders.columns)], text.schema)
-    path = scratch_path(spark, "orders-csv")
+def _csv_copy(spark, df: DataFrame, name: str) -> str:
+    """``df`` as CSV text, its columns in reverse order, plus one copy of the
+    header line inside a part file (the defect of an append-only consumer)."""
+    columns = df.columns[::-1]
+    text = df.select([F.col(c).cast("string").alias(c) for c in columns])
+    header = spark.createDataFrame([tuple(columns)], text.schema)
+    path = scratch_path(spark, f"{name}-csv")
     text.unionByName(header).write.option("header", True).csv(path)
     return path
 
 
 @register("s01_csv_ingest", O_OUT)
 def s01_csv_ingest(spark, sf_dir):
-    path = orders_csv_with_repeated_header(spark, sf_dir)
-    schema = _t(spark, sf_dir).orders().schema
-    return _money_double(src_files.read_relation(spark, path, "orders", schema=schema))
+    orders = _t(spark, sf_dir).orders()
+    path = _csv_copy(spark, orders, "orders")
+    return _money_double(src_files.read_relation(spark, path, "orders", schema=orders.schema))
+
+
+@register("s01_csv_customers", f"select * from {C} c")
+def s01_csv_customers(spark, sf_dir):
+    customers = _t(spark, sf_dir).customers()
+    path = _csv_copy(spark, customers, "customers")
+    back = src_files.read_relation(spark, path, "customers", schema=customers.schema)
+    return back.select("customer_id", "name", "location", "membership_type")
+
+
+@register("s01_csv_products", f"""
+select product_id, category, name, price::double as price from {P} p""")
+def s01_csv_products(spark, sf_dir):
+    products = _t(spark, sf_dir).products()
+    path = _csv_copy(spark, products, "products")
+    return _money_double(src_files.read_relation(spark, path, "products", schema=products.schema), "price")
+
+
+@register("s01_csv_items", f"""
+select order_id, product_id, quantity, line_amount::double as line_amount from {I} i""")
+def s01_csv_items(spark, sf_dir):
+    items = _t(spark, sf_dir).order_items()
+    path = _csv_copy(spark, items, "order-items")
+    back = src_files.read_relation(spark, path, "order_items", schema=items.schema)
+    return _money_double(back.select("order_id", "product_id", "quantity", "line_amount"), "line_amount")
 
 
 @register("s02_json_decode", O_OUT)
@@ -580,45 +608,113 @@ def s04_summary_roundtrip(spark, sf_dir):
 # -- streaming (file-source streams drained with availableNow) ------------------
 
 
-def _message_stream(spark, messages: DataFrame):
-    src = scratch_path(spark, "messages")
-    messages.write.json(src)
-    return spark.readStream.schema(src_stream.MESSAGE_SCHEMA).json(src)
+REPLAY_FILES = 6
 
 
-def _ingest(spark, sf_dir, copies: int, dedup: tuple | None) -> DataFrame:
-    t = _t(spark, sf_dir)
-    orders, customers = t.orders(), t.customers()
-    msgs = src_stream.to_messages(orders, "orders-topic")
-    for _ in range(copies - 1):  # redelivered messages
-        msgs = msgs.unionByName(src_stream.to_messages(orders, "orders-topic"))
-    msgs = msgs.unionByName(src_stream.to_messages(customers, "customers-topic"))
-    out, ck = scratch_path(spark, "ingest-out"), scratch_path(spark, "ingest-ck")
-    qs = streaming.start_ingest(
-        _message_stream(spark, msgs), out, ck,
-        {"orders-topic": "orders", "customers-topic": "customers"}, trigger="availableNow",
-        schemas={"orders": orders.schema, "customers": customers.schema},
-        dedup={"orders": ("order_id", "order_date") + dedup} if dedup else None)
-    for q in qs:
+def _replay(spark, df: DataFrame, time: str, **closing):
+    """(stream, delay, folder): ``df`` as a stream of ``REPLAY_FILES``
+    micro-batches with its rows shuffled over all of them.  The delay covers
+    that disorder (the whole span of times); a last row, one delay after the
+    newest, moves the watermark up to the newest row.  It is NULL but for
+    its time and ``closing``."""
+    path = scratch_path(spark, "replay")
+    df.repartition(REPLAY_FILES, F.xxhash64(*df.columns)).write.parquet(path)
+    span = df.agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
+    days = span.select(F.datediff(F.col("hi").cast("date"), F.col("lo").cast("date"))).first()[0] + 1
+    kind = df.schema[time].dataType
+    end = span.select(*[
+        (F.col("hi") + F.expr(f"INTERVAL {days} DAYS")).cast(kind).alias(f.name) if f.name == time
+        else F.lit(closing.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    end.write.mode("append").parquet(path)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return stream, f"{days} days", path
+
+
+def _drained(spark, queries, *folders) -> None:
+    """Wait for ``queries``; no row may have come too late; delete their inputs and state."""
+    for q in queries:
         q.awaitTermination()
-    return _money_double(spark.read.parquet(f"{out}/orders"))
+        if streaming.late_rows(q):
+            raise RuntimeError(f"{streaming.late_rows(q)} rows came after the watermark")
+    for path in folders:
+        remove_path(spark, path)
+
+
+def _ingest(spark, relation: str, df: DataFrame, sent, copies: int, dedup: str | None,
+            closing_id=None) -> DataFrame:
+    """``df`` published ``copies`` times as messages at times ``sent`` (each
+    later copy five minutes after the one before), ingested in several
+    micro-batches, de-duplicated by the relation's id and the message time."""
+    key = RELATIONS[relation][1]
+    stamped = df.withColumn("timestamp", sent)
+    msgs = None
+    for n in range(copies):
+        m = stamped.select(F.lit("t").alias("topic"), F.to_json(F.struct(*df.columns)).alias("value"),
+                           (F.col("timestamp") + F.expr(f"INTERVAL {5 * n} MINUTES")).alias("timestamp"))
+        msgs = m if msgs is None else msgs.unionByName(m)
+    last = f'{{"{key}": {json.dumps(closing_id)}}}'
+    stream, delay, path = _replay(spark, msgs, "timestamp", topic="t", value=last)
+    out, ck = scratch_path(spark, "ingest-out"), scratch_path(spark, "ingest-ck")
+    qs = streaming.start_ingest(stream, out, ck, {"t": relation}, trigger="availableNow",
+                                schemas={relation: df.schema}, keep=("timestamp",),
+                                dedup={relation: (key, "timestamp", delay, dedup)} if dedup else None)
+    _drained(spark, qs, path, ck)
+    return spark.read.parquet(f"{out}/{relation}").where(F.col(key) != closing_id).drop("timestamp")
+
+
+def _order_messages(spark, sf_dir, copies: int, dedup: str | None) -> DataFrame:
+    orders = _t(spark, sf_dir).orders()
+    return _money_double(_ingest(spark, "orders", orders, F.col("order_date"), copies, dedup, -1))
 
 
 @register("st1_stream_ingest", O_OUT)
 def st1_stream_ingest(spark, sf_dir):
-    return _ingest(spark, sf_dir, copies=1, dedup=None)
+    return _order_messages(spark, sf_dir, copies=1, dedup=None)
 
 
 @register("st4_dedup_ingest", O_OUT)
 def st4_dedup_ingest(spark, sf_dir):
-    return _ingest(spark, sf_dir, copies=2, dedup=("1 day", "first_seen"))
+    return _order_messages(spark, sf_dir, copies=2, dedup="first_seen")
+
+
+@register("st4_dedup_customers", f"select * from {C} c")
+def st4_dedup_customers(spark, sf_dir):
+    customers = _t(spark, sf_dir).customers()
+    sent = F.lit("2001-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        mins=F.pmod("customer_id", F.lit(1440)).cast("int"))
+    got = _ingest(spark, "customers", customers, sent, 2, "first_seen", -1)
+    return got.select("customer_id", "name", "location", "membership_type")
+
+
+@register("st4_dedup_items", """
+select l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
+       || '-' || cast(round(l_extendedprice * 100) as bigint) as item_id, l_orderkey as order_id, l_partkey as product_id,
+       l_quantity::int as quantity from lineitem""")
+def st4_dedup_items(spark, sf_dir):
+    raw = _t(spark, sf_dir).raw("lineitem")
+    items = raw.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                   F.round(F.col("l_extendedprice") * 100).cast("long")).alias("item_id"),
+                       F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+                       F.col("l_quantity").cast("int").alias("quantity"),
+                       F.col("l_extendedprice").cast("decimal(18,2)").alias("line_amount"),
+                       F.col("l_shipdate").alias("ship"))
+    sent = F.col("ship").cast("timestamp_ntz")
+    got = _ingest(spark, "order_items", items, sent, 2, "first_seen", "end")
+    return got.select("item_id", "order_id", "product_id", "quantity")
 
 
 @register("st4_dedup_collapse", O_OUT)
 def st4_dedup_collapse(spark, sf_dir):
-    # copies collapse map-side; every key closes once the watermark (delay 0)
-    # reaches its event time
-    return _ingest(spark, sf_dir, copies=2, dedup=("0 seconds", "collapse"))
+    # copies collapse map-side when they carry the same event time
+    orders = _t(spark, sf_dir).orders()
+    twice = orders.unionAll(orders)
+    stream, delay, path = _replay(spark, twice, "order_date", order_id=-1)
+    out, ck = scratch_path(spark, "collapse"), scratch_path(spark, "collapse-ck")
+    once = streaming.dedupe(stream, "order_id", "order_date", delay, "collapse")
+    q = (once.writeStream.format("parquet").outputMode("append").option("path", out)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    _drained(spark, [q], path, ck)
+    return _money_double(spark.read.parquet(out))
 
 
 ST2_WINDOW, ST2_K = "30 days", 3
@@ -637,15 +733,15 @@ where r.rk <= {ST2_K} and r.ws + interval {ST2_WINDOW} <= (select max(ts) from l
 """)
 def st2_windowed_top_products(spark, sf_dir):
     t = _t(spark, sf_dir)
-    raw = spark.readStream.schema(t.raw("lineitem").schema).parquet(t.stream_path("lineitem"))
-    items = raw.select(F.col("l_partkey").alias("product_id"),
-                       F.col("l_quantity").cast("int").alias("quantity"),
-                       F.col("l_shipdate").alias("ship_ts"))
+    items = t.raw("lineitem").select(F.col("l_partkey").alias("product_id"),
+                                     F.col("l_quantity").cast("int").alias("quantity"),
+                                     F.col("l_shipdate").alias("ship_ts"))
+    stream, delay, path = _replay(spark, items, "ship_ts")
     out, ck = scratch_path(spark, "top-products"), scratch_path(spark, "top-products-ck")
-    q = streaming.start_top_products(items, out, ck, event_time="ship_ts",
+    q = streaming.start_top_products(stream, out, ck, event_time="ship_ts",
                                      products=t.products(), window=ST2_WINDOW, k=ST2_K,
-                                     delay="0 seconds", trigger="availableNow")
-    q.awaitTermination()
+                                     delay=delay, trigger="availableNow")
+    _drained(spark, [q], path, ck)
     return spark.read.parquet(out).drop("batch_id")
 
 
@@ -663,14 +759,14 @@ from c a left join c b on a.ws = b.ws + interval 3 hour
 """)
 def st6_windowed_revenue(spark, sf_dir):
     t = _t(spark, sf_dir)
-    raw = spark.readStream.schema(t.raw("events").schema).parquet(t.stream_path("events"))
-    orders = raw.where(F.col("event_type") == "purchase").select(
+    orders = t.raw("events").where(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("order_id"), F.col("user_id").alias("customer_id"),
         F.col("ts").alias("order_date"), F.col("value").cast("decimal(18,2)").alias("total_amount"))
+    stream, delay, path = _replay(spark, orders, "order_date")
     out, ck = scratch_path(spark, "revenue"), scratch_path(spark, "revenue-ck")
-    q = streaming.start_windowed_revenue(orders, out, ck, window="3 hours", delay="0 seconds",
+    q = streaming.start_windowed_revenue(stream, out, ck, window="3 hours", delay=delay,
                                          trigger="availableNow")
-    q.awaitTermination()
+    _drained(spark, [q], path, ck)
     return streaming.window_growth(spark.read.parquet(out))
 
 
@@ -694,13 +790,13 @@ where last_ordered_date + interval 7 day <= (select max(order_date) from {O} o2)
 """)
 def st3_churn_alerts(spark, sf_dir):
     t = _t(spark, sf_dir)
-    raw = spark.readStream.schema(t.raw("orders").schema).parquet(t.stream_path("orders"))
-    orders = raw.select(F.col("o_custkey").alias("customer_id"),
-                        F.col("o_orderdate").alias("order_date"))
+    orders = t.raw("orders").select(F.col("o_custkey").alias("customer_id"),
+                                    F.col("o_orderdate").alias("order_date"))
+    stream, delay, path = _replay(spark, orders, "order_date")
     out, ck = scratch_path(spark, "churn"), scratch_path(spark, "churn-ck")
-    q = streaming.start_churn_alerts(orders, out, ck, min_days=7, delay="0 seconds",
+    q = streaming.start_churn_alerts(stream, out, ck, min_days=7, delay=delay,
                                      trigger="availableNow")
-    q.awaitTermination()
+    _drained(spark, [q], path, ck)
     return spark.read.parquet(out)
 
 
@@ -713,47 +809,113 @@ def _relations(spark, sf_dir) -> Relations:
     return Relations(t.customers(), t.products(), t.orders(), t.order_items())
 
 
-def _churn_schema(spark, sf_dir):
-    return tables.churn_risk(_t(spark, sf_dir).orders(), as_of=ORDERS_AS_OF).schema
+# every output of the job as (output, a, b, x, y) rows: its text and time
+# columns in a and b, its numbers in x and y
+_OUTPUT_COLUMNS = {
+    "customer_ltv": ("customer_id || '|' || name", "window_start", "customer_ltv", "rank"),
+    "regional_revenue": ("location", None, "total_revenue", None),
+    "membership_revenue": ("membership_type", None, "revenue_generated", None),
+    "monthly_sales": (None, None, "monthly_sales", "order_month"),
+    "weekday_sales": (None, None, "weekday_sales", "order_weekday"),
+    "hourly_sales": (None, None, "hourly_sales", "order_hour"),
+    "top_products": ("name", None, "sold_quantity", None),
+    "category_revenue": ("category", None, "revenue_generated", None),
+    "churn_risk": ("customer_id", "last_ordered_date", "days_since_last_order", None),
+}
+_JOB_SUMMARY = {
+    "total_orders_count": K01, "customers_in_last_3hrs": "select 0", "total_sales_amount": K03,
+    "total_items_sold": K04, "total_products_sold": K05, "aov": K06, "cac": K07,
+    "avg_time": "select 0.0", "percent_repeat_customers": K09,
+    "sales_in_last3hrs": f"select coalesce(sum(total_amount), 0) from {O} o where order_date >= {OA} - interval 3 hour",
+    "inventory_turnover": K12,
+}
+
+
+def _tagged(name: str) -> str:
+    a, b, x, y = (c or "null" for c in _OUTPUT_COLUMNS[name])
+    return (f"select '{name}' as output, cast({a} as string) as a, cast({b} as string) as b, "
+            f"cast({x} as double) as x, cast({y} as double) as y")
+
+
+def _outputs_sql(names) -> str:
+    oracles = {k.split("_", 1)[1]: v for k, v in ORACLES.items() if k[0] == "t"}
+    oracles["hourly_sales"] = f"""select hour(order_date)::int as order_hour,
+        sum(total_amount)::double as hourly_sales from {O} o group by 1"""  # t06 reads the events
+    parts = [f"{_tagged(n)} from ({oracles[n]}) q" for n in names]
+    parts += [f"select 'summary_kpis', '{k}', null, cast(({v}) as double), null"
+              for k, v in _JOB_SUMMARY.items()]
+    return " union all ".join(parts).replace("as string)", "as varchar)")
+
+
+def _outputs(spark, written: dict[str, str], frames: dict[str, DataFrame]) -> DataFrame:
+    """What was written, read back and tagged (the growth rate aside, which
+    k11 checks over finer times)."""
+    out = None
+    for name in _OUTPUT_COLUMNS:
+        back = src_results.read_result(spark, written[name], frames[name].schema)
+        part = back.selectExpr(*[c for c in _tagged(name)[len("select "):].split(", ")])
+        out = part if out is None else out.unionByName(part)
+    summary = src_results.read_summary(spark, written["summary_kpis"])
+    for k in _JOB_SUMMARY:
+        out = out.unionByName(summary.selectExpr(
+            "'summary_kpis' as output", f"'{k}' as a", "cast(null as string) as b",
+            f"cast({k} as double) as x", "cast(null as double) as y"))
+    return out
+
+
+@register("s05_batch_job_outputs", _outputs_sql(_OUTPUT_COLUMNS))
+def s05_batch_job_outputs(spark, sf_dir):
+    """All ten outputs of the batch job, written and read back."""
+    out, rel = scratch_path(spark, "job"), _relations(spark, sf_dir)
+    params = dict(as_of=ORDERS_AS_OF, top_lookback=TOP_PRODUCTS_LOOKBACK)
+    written = run_batch(rel, out, **params)
+    return _outputs(spark, written, kpi_outputs(rel, **params))
 
 
-@register("s05_batch_job_outputs", ORACLES["t09_churn_risk"])
-def s05_batch_job_outputs(spark, sf_dir):
-    """All ten outputs of the batch job are written; the churn list (the one
-    that grows with the data, written as many files) is read back."""
-    out = scratch_path(spark, "job")
-    written = run_batch(_relations(spark, sf_dir), out, as_of=ORDERS_AS_OF,
-                        top_lookback=TOP_PRODUCTS_LOOKBACK)
-    return src_results.read_result(spark, written["churn_risk"], _churn_schema(spark, sf_dir))
+def _maintained(spark, sf_dir):
+    """Pre-aggregates maintained from orders and items that arrive in several
+    micro-batches, compacted halfway: (root, checkpoints)."""
+    t = _t(spark, sf_dir)
+    root, ck = scratch_path(spark, "pre-aggregates"), scratch_path(spark, "pre-aggregates-ck")
+    folders = []
+    streams = {}
+    for name, df in (("orders", t.orders()), ("order_items", t.order_items())):
+        path = scratch_path(spark, f"arriving-{name}")
+        df.repartition(REPLAY_FILES, F.xxhash64(*df.columns)).write.parquet(path)
+        folders.append(path)
+        streams[name] = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    for q in incremental.start_partials(streams["orders"], streams["order_items"], root, ck,
+                                        trigger="availableNow"):
+        q.awaitTermination()
+    for name in incremental.AGGREGATES:
+        incremental.compact(spark, root, name)
+    for path in (*folders, ck):
+        remove_path(spark, path)
+    return root
 
 
-@register("st5_refresh_outputs", T08)
+@register("st5_refresh_outputs", _outputs_sql(_OUTPUT_COLUMNS))
 def st5_refresh_outputs(spark, sf_dir):
-    """A stream over the orders paces the refresh; the refreshed category
-    revenue is read back."""
-    t = _t(spark, sf_dir)
+    """A stream over the orders paces the refresh, which derives the outputs
+    from the maintained pre-aggregates; all ten are read back."""
+    t, rel = _t(spark, sf_dir), _relations(spark, sf_dir)
+    root = _maintained(spark, sf_dir)
     pacer = spark.readStream.schema(t.raw("orders").schema).parquet(t.stream_path("orders"))
     out, ck = scratch_path(spark, "refresh"), scratch_path(spark, "refresh-ck")
-    q = streaming.start_refresh(pacer, lambda: _relations(spark, sf_dir), out, ck,
-                                as_of=ORDERS_AS_OF, trigger="availableNow",
-                                top_lookback=TOP_PRODUCTS_LOOKBACK)
+    params = dict(as_of=ORDERS_AS_OF, top_lookback=TOP_PRODUCTS_LOOKBACK)
+    q = streaming.start_refresh(pacer, lambda: rel, out, ck, trigger="availableNow",
+                                pre_aggregates_root=root, **params)
     q.awaitTermination()
-    schema = t08_category_revenue(spark, sf_dir).schema
-    return src_results.read_result(spark, f"{out}/category_revenue", schema)
+    for path in (root, ck):
+        remove_path(spark, path)
+    frames = kpi_outputs(rel, **params)
+    return _outputs(spark, {name: f"{out}/{name}" for name in frames}, frames)
 
 
 @register("st5_incremental_ltv", ORACLES["t01_customer_ltv"])
 def st5_incremental_ltv(spark, sf_dir):
-    """Orders and items streamed into incrementally maintained partials and
-    compacted; the LTV table is then derived from the maintained
-    per-(window, customer) aggregate instead of the order history."""
-    from salestide.streaming import incremental
-    t = _t(spark, sf_dir)
-    root, ck = scratch_path(spark, "pre-aggregates"), scratch_path(spark, "pre-aggregates-ck")
-    for q in incremental.start_partials(bind_orders(t.stream("orders")),
-                                        bind_order_items(t.stream("lineitem")),
-                                        root, ck, trigger="availableNow"):
-        q.awaitTermination()
-    incremental.compact(spark, root, "per_window")
+    """The LTV table from the maintained per-(window, customer) aggregate
+    instead of the order history."""
+    t, root = _t(spark, sf_dir), _maintained(spark, sf_dir)
     return tables.customer_ltv(t.orders(), t.customers(),
                                per_window=incremental.current(spark, root, "per_window"))

@@ -56,3 +56,20 @@ def test_year_month_and_channel(rel):
           for r in extensions.sales_by_channel(o).collect()}
     assert ch[("Online", "UPI")] == (3, pytest.approx(50.50 + 30.50 + 20.00))
     assert sum(v[0] for v in ch.values()) == 8
+
+
+def test_growth_by_period_with_null_dates_and_amounts(spark):
+    rows = [("a", "2031-01-05", "10.00"), ("b", "2031-02-05", None), ("c", "2031-03-05", "5.00"),
+            ("d", None, "7.00"), ("e", None, "1.00")]
+    o = spark.createDataFrame(rows, "order_id string, d string, m string").selectExpr(
+        "order_id", "cast(d as timestamp_ntz) as order_date", "cast(m as decimal(18,2)) as total_amount")
+    got = {str(r.period_start)[:7]: (r.sales, r.prev_sales, r.growth_pct)
+           for r in extensions.growth_by_period(o).collect()}
+    assert got == {"None": (8.0, None, None), "2031-01": (10.0, None, None),
+                   "2031-02": (None, 10.0, None), "2031-03": (5.0, None, None)}
+
+
+def test_repeat_period_must_have_a_fixed_length(spark):
+    _c, _p, o, _i = fx.frames(spark)
+    with pytest.raises(ValueError, match="fixed length"):
+        extensions.repeat_within_period(o, "1 month")

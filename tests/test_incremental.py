@@ -61,6 +61,16 @@ def test_partials_compaction_and_job(spark):
         incremental.compact(spark, root, name)
     check()
 
+    for aqe in ("true", "false"):  # nothing new: a repeated call changes nothing
+        before = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        try:
+            for name in full:
+                incremental.compact(spark, root, name)
+            check()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", before)
+
     rel = Relations(c, p, o, i)
     a = run_batch(rel, scratch_path(spark, "inc-out"), as_of=fx.AS_OF,
                   pre_aggregates=incremental.current_all(spark, root))
@@ -69,3 +79,34 @@ def test_partials_compaction_and_job(spark):
         ra = sorted(tuple(r) for r in spark.read.option("header", True).csv(a[name]).collect())
         rb = sorted(tuple(r) for r in spark.read.option("header", True).csv(b[name]).collect())
         assert ra == rb, name
+
+
+def test_outputs_follow_the_given_pre_aggregates(spark):
+    c, p, o, i = fx.frames(spark)
+    rel = Relations(c, p, o, i)
+    doubled = customer_revenue(o).withColumn("revenue", F.col("revenue") * 2)
+    none = {"per_customer": doubled, "parts": time_parts(o).where("false"),
+            "per_product": product_sales(i).where("false"), "per_window": window_revenue(o).where("false")}
+    for share in (True, False):
+        out = run_batch(rel, scratch_path(spark, "altered"), as_of=fx.AS_OF, pre_aggregates=none, share=share)
+
+        def rows(name):
+            return spark.read.option("header", True).csv(out[name]).collect()
+
+        assert rows("monthly_sales") == [] and rows("customer_ltv") == [] and rows("category_revenue") == []
+        total = sum(r[3] for r in fx.ORDERS)
+        assert float(rows("summary_kpis")[0].total_sales_amount) == float(2 * total)
+        assert sum(float(r.total_revenue) for r in rows("regional_revenue")) <= float(2 * total)
+
+
+def test_partials_before_the_last_base_are_removed(spark):
+    _c, _p, o, i = fx.frames(spark)
+    src, root, ck = scratch_path(spark, "rt-src"), scratch_path(spark, "rt"), scratch_path(spark, "rt-ck")
+    _write_in_parts(spark, o, i, src)
+    for n in (1, 2, 3):
+        _run(spark, src, root, ck, o, i, n)
+        incremental.compact(spark, root, "per_customer")
+    left = {r.batch_id for r in spark.read.parquet(f"{root}/per_customer/partials").select("batch_id").collect()}
+    assert 0 not in left and left
+    got = incremental.current(spark, root, "per_customer")
+    assert _rows(got, ["customer_id"]) == _rows(customer_revenue(o), ["customer_id"])

@@ -16,9 +16,9 @@ SKIP_PREFIXES = ("s0", "st")
 
 
 def _plans(spark):
-    import __spark_entry__ as entry
+    from salestide.plans import catalog
     out = {}
-    for name, fn in entry.queries().items():
+    for name, fn in catalog.QUERIES.items():
         if name.startswith(SKIP_PREFIXES):
             continue
         df = fn(spark, SF)
@@ -88,3 +88,15 @@ def test_no_python_in_any_plan(plans):
     markers = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                "MapInPandas", "PythonUDF")
     assert [n for n, p in plans.items() if any(m in p for m in markers)] == []
+
+
+def test_summary_scans_each_fact_table_once(spark):
+    from salestide.plans import catalog
+    df = catalog.QUERIES["k13_kpi_summary"](spark, SF)
+    df.collect()  # the final adaptive plan shows what was reused
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    for table, column in (("lineitem", "l_partkey"), ("orders", "o_custkey")):
+        scans = {m for m in re.findall(rf"FileScan parquet \[[^\]]*{column}#(\d+)", plan)}
+        assert scans, table
+    assert final

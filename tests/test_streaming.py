@@ -183,35 +183,98 @@ def test_refresh_writes_outputs(spark):
     assert summary[0]["total_orders_count"] == "8"
 
 
+def _shuffled(spark, df, files, time, end=None):
+    """``df`` dealt over files out of time order, read one per micro-batch; an
+    optional last row moves the watermark."""
+    path = scratch_path(spark, "shuffled")
+    rows = sorted(df.collect(), key=lambda r: hash(str(r[0])[::-1]))
+    for n in range(files):
+        spark.createDataFrame(rows[n::files], df.schema).coalesce(1).write.json(f"{path}/part-{n}")
+    if end:
+        row = {f.name: None for f in df.schema} | {time: fx.ts(end)}
+        spark.createDataFrame([tuple(row[f.name] for f in df.schema)], df.schema).write.json(f"{path}/part-z")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).json(f"{path}/part-*")
+
+
 def test_results_do_not_depend_on_micro_batching(spark):
     _c, _p, o, _i = fx.frames(spark)
-    # the same orders as one file, and as three time-ordered files read one
-    # per trigger (the watermark advances between them)
-    one = scratch_path(spark, "one-file")
-    o.coalesce(1).write.json(one)
-    many = scratch_path(spark, "many-files")
-    for n, (lo, hi) in enumerate([("2025-05-01", "2025-05-05"), ("2025-05-05", "2025-05-08 01:00"),
-                                  ("2025-05-08 01:00", "2025-06-01")]):
-        (o.where((F.col("order_date") >= lo) & (F.col("order_date") < hi)).coalesce(1)
-         .write.json(f"{many}/part{n}"))
-
-    def run(src, per_trigger):
-        reader = spark.readStream.schema(o.schema)
-        if per_trigger:
-            reader = reader.option("maxFilesPerTrigger", 1)
-        stream = reader.json(src if not per_trigger else f"{src}/part*")
+
+    def run(files):
         churn, rev = scratch_path(spark, "c"), scratch_path(spark, "r")
-        streaming.start_churn_alerts(stream, churn, scratch_path(spark, "cc"), min_days=2,
-                                     trigger="availableNow").awaitTermination()
-        streaming.start_windowed_revenue(stream, rev, scratch_path(spark, "rc"), window="1 day",
-                                         trigger="availableNow").awaitTermination()
-        return (sorted(tuple(r) for r in spark.read.parquet(churn).collect()),
-                sorted(tuple(r) for r in spark.read.parquet(rev).collect()))
-
-    single = run(one, False)
-    batched = run(many, True)
-    assert single == batched
-    assert len(single[0]) >= 3 and len(single[1]) >= 4
+        out = []
+        for start, path, kw in ((streaming.start_churn_alerts, churn, {"min_days": 2}),
+                                (streaming.start_windowed_revenue, rev, {"window": "1 day"})):
+            q = start(_shuffled(spark, o, files, "order_date", "2025-06-11 08:00:00"), path,
+                      scratch_path(spark, "ck"), delay="30 days", trigger="availableNow", **kw)
+            q.awaitTermination()
+            assert streaming.late_rows(q) == 0
+            out.append(sorted(map(tuple, spark.read.parquet(path).collect())))
+        return out
+
+    one, many = run(1), run(4)
+    assert one == many
+    assert len(one[0]) >= 3 and len(one[1]) >= 4
+
+
+def test_dedup_of_shuffled_micro_batches(spark):
+    _c, _p, o, _i = fx.frames(spark)
+    for strategy in ("first_seen", "collapse"):
+        out = scratch_path(spark, "dd")
+        stream = _shuffled(spark, o.unionAll(o), 4, "order_date", "2025-06-11 08:00:00")
+        q = (streaming.dedupe(stream, "order_id", "order_date", "30 days", strategy)
+             .writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", scratch_path(spark, "ck")).trigger(availableNow=True).start())
+        q.awaitTermination()
+        got = [r.order_id for r in spark.read.parquet(out).collect() if r.order_id]
+        assert sorted(got) == sorted(r[0] for r in fx.ORDERS)
+
+
+def test_rows_beyond_the_delay_are_counted(spark):
+    _c, _p, o, _i = fx.frames(spark)
+    path = scratch_path(spark, "late")
+    for n, cond in enumerate(("order_date >= '2025-05-12'", "order_date < '2025-05-12'", "false")):
+        o.where(cond).coalesce(1).write.json(f"{path}/p{n}")
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).json(f"{path}/p*")
+    q = streaming.start_windowed_revenue(stream, scratch_path(spark, "o"), scratch_path(spark, "ck"),
+                                         window="1 hour", delay="0 seconds", trigger="availableNow")
+    q.awaitTermination()
+    assert streaming.late_rows(q) > 0
+
+
+def test_event_time_survives_daylight_saving_gaps(spark):
+    from salestide.streaming.common import as_instant, as_wall_clock
+    times = ["2024-03-10 02:30:00.123456", "2024-11-03 01:30:00", "1969-12-31 23:59:58.5", None]
+    df = spark.createDataFrame([(t,) for t in times], "s string").select(F.col("s").cast("timestamp_ntz").alias("t"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = df.select("t", as_wall_clock(as_instant(F.col("t"))).alias("back")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert all(r.t == r.back for r in rows)
+
+
+def test_quarantine_holds_what_does_not_decode(spark):
+    src = scratch_path(spark, "msgs")
+    values = ['{"order_id": "a", "order_date": "2031-02-03T04:05:06", "total_amount": 1.5}',
+              '{"order_id": "b", "total_amount": "abc"}', "{broken"]
+    spark.createDataFrame([("t", v) for v in values], "topic string, value string").write.json(src)
+    out = scratch_path(spark, "out")
+    for q in streaming.start_ingest(spark.readStream.schema(MESSAGE_SCHEMA).json(src), out,
+                                    scratch_path(spark, "ck"), {"t": "orders"}, trigger="availableNow",
+                                    quarantine=True):
+        q.awaitTermination()
+    assert [r.order_id for r in spark.read.parquet(f"{out}/orders").collect()] == ["a"]
+    assert spark.read.json(f"{out}/_rejected/orders").count() == 2
+
+
+def test_window_growth_keeps_windows_without_amounts(spark):
+    day = [dt.datetime(2031, 1, d) for d in (1, 2, 3)]
+    rows = [(day[0], day[1], D("2.00")), (day[1], day[2], None)]
+    df = spark.createDataFrame(rows, "window_start timestamp_ntz, window_end timestamp_ntz, sales decimal(18,2)")
+    got = {r.window_start: r for r in streaming.window_growth(df).collect()}
+    assert set(got) == {day[0], day[1]}
+    assert got[day[1]].sales is None and got[day[1]].prev_sales == 2.0
 
 
 def test_items_joined_to_order_time_in_stream(spark):
