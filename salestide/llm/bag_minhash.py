@@ -11,12 +11,17 @@ starts only the intervals it reaches, drops points above its weight, and stops
 as soon as its next point comes later than the worst component so far.
 
 Signatures are banded.  In each bucket the member that meets most others in
-all buckets is the pivot; every other member is paired with it, and the exact
-weighted Jaccard of each pair is computed from the texts.  Members whose
-component then differs from others of their bucket are compared further, but
-only where exact bounds (sizes, and the mass of shingles that no other such
-text has) leave the threshold within reach.  So no bucket is ever expanded
-into all pairs, and no verified link between components is lost.
+all buckets is the pivot; every other member is compared with it exactly, on
+the texts.  What a pivot's own links leave apart is compared further only
+where it can matter: two members x, y of different components with pivot p
+share at most
+
+    min(|x & p|, |y & p|) + |(x - p) & (y - p)|
+
+shingles, so a pair is verified only if this reaches the threshold's share of
+both sizes, and the second term comes from an index of the few shingles that
+members have beyond their pivot.  So no bucket is expanded into all pairs,
+and no link between components is lost.
 
 Equal texts are one node from the start (a partial aggregate); nothing is
 collected to the driver.
@@ -119,84 +124,80 @@ def _batches(texts, limit: int) -> Iterator[list[int]]:
 
 
 def band_keys(nodes: DataFrame, s: Settings) -> DataFrame:
-    """(node, bucket), one row per node and band; nodes: (node, text)."""
+    """(node, keys): the bucket of each band; nodes: (node, text)."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             for batch in _batches(p.text, s.batch_bytes):
                 keys = _buckets([p.text[i] for i in batch], s)
                 yield pd.DataFrame({"node": [p.node[i] for i in batch], "keys": keys})
 
-    found = nodes.select("node", "text").mapInPandas(run, "node binary, keys array<long>")
-    return found.select("node", F.explode("keys").alias("bucket"))
+    return nodes.select("node", "text").mapInPandas(run, "node binary, keys array<long>")
 
 
-def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Of two multisets as sorted arrays with repeats."""
-    x, m = np.unique(a, return_counts=True)
-    y, n = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    shared = int(np.minimum(m[i], n[j]).sum())
-    total = len(a) + len(b) - shared
-    return shared / total if total else 0.0
+def _counts(text: str, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of a text, sorted, and how often each comes."""
+    words = words_of([text.lower().encode("utf-8", "surrogatepass")])
+    return np.unique(grams(words, 0, k).view(np.int64), return_counts=True)
 
 
-def _of_text(text: str, k: int) -> np.ndarray:
-    return grams(words_of([text.lower().encode("utf-8", "surrogatepass")]), 0, k)
+def _shared(a, b) -> tuple[int, np.ndarray, np.ndarray]:
+    """(multiset overlap, shingles that ``a`` has more often than ``b``, by how much)."""
+    (x, m), (y, n) = a, b
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    other = np.where(y[at] == x, n[at], 0)
+    more = m - other
+    return int(np.minimum(m, other).sum()), x[more > 0], more[more > 0]
 
 
-def verified(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """The (a, b) of ``pairs`` whose exact weighted Jaccard reaches the threshold."""
-    @F.pandas_udf("double")
-    def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-        kept: dict[str, np.ndarray] = {}
+def _compared(pairs: DataFrame, texts: DataFrame, s: Settings, beyond: bool = False) -> DataFrame:
+    """``pairs`` (a, b) with ``shared`` (the multiset overlap), ``n_a`` and
+    ``n_b`` (the sizes) and, on demand, ``beyond``: what a has beyond b."""
+    kind = "shared int, n_a int, n_b int, beyond array<struct<gram:long,c:int>>"
 
-        def of(text: str) -> np.ndarray:
+    @F.pandas_udf(kind)
+    def compare(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        kept: dict = {}
+
+        def of(text: str):
             got = kept.get(text)
             if got is None:
                 if len(kept) > 256:
                     kept.clear()
-                got = kept[text] = _of_text(text, s.words)
+                got = kept[text] = _counts(text, s.words)
             return got
 
-        return pd.Series([weighted_jaccard(of(x), of(y)) for x, y in zip(a, b)], dtype="float64")
+        rows = []
+        for x, y in zip(a, b):
+            x, y = of(x), of(y)
+            n, g, c = _shared(x, y)
+            extra = [{"gram": i, "c": j} for i, j in zip(g.tolist(), c.tolist())] if beyond else None
+            rows.append((n, int(x[1].sum()), int(y[1].sum()), extra))
+        return pd.DataFrame(rows, columns=["shared", "n_a", "n_b", "beyond"])
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(one, "a").join(two, "b")
-    return both.where(similarity("text_a", "text_b") >= s.threshold - 1e-12).select("a", "b")
-
+    return both.withColumn("r", compare("text_a", "text_b")).select(
+        "a", "b", "r.shared", "r.n_a", "r.n_b", *(["r.beyond"] if beyond else []))
 
-def _shared_buckets(keys: DataFrame) -> DataFrame:
-    """Rows of ``keys`` whose bucket has more than one member, with ``met``, how many."""
-    size = keys.groupBy("bucket").agg(F.count("*").alias("met")).where(F.col("met") > 1)
-    return keys.join(size, "bucket")
 
+def _reaches(shared, n_a, n_b, s: Settings):
+    """Jaccard >= t, written on the overlap and the two sizes."""
+    t = s.threshold / (1 + s.threshold)
+    return shared >= (n_a + n_b) * F.lit(t) - 1e-9
 
-def _own_mass(texts: DataFrame, s: Settings) -> DataFrame:
-    """(node, n, own): shingles of each text, and those that no other text of the table has."""
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            for node, text in zip(p.node, p.text):
-                g, c = np.unique(_of_text(text, s.words).view(np.int64), return_counts=True)
-                yield pd.DataFrame({"node": [node], "grams": [g], "counts": [c.astype(np.int32)]})
 
-    found = texts.mapInPandas(run, "node binary, grams array<long>, counts array<int>")
-    each = found.select("node", F.explode(F.arrays_zip("grams", "counts")).alias("g")).select(
-        "node", F.col("g.grams").alias("gram"), F.col("g.counts").alias("c"))
-    alone = each.groupBy("gram").agg(F.count("*").alias("texts"), F.min("node").alias("node"),
-                                     F.sum("c").alias("c"))
-    return alone.where(F.col("texts") == 1).groupBy("node").agg(F.sum("c").alias("own"))
+def _linked(compared: DataFrame, s: Settings) -> DataFrame:
+    return compared.where(_reaches(F.col("shared"), F.col("n_a"), F.col("n_b"), s)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, n_links and class_size of every row.
+    """doc_id, class_id and class_size (rows of the class) of every row.
 
     ``class_id`` is the smallest id of the connected component of texts
     linked by a weighted Jaccard similarity of at least ``s.threshold`` (equal
-    texts are linked); ``n_links`` counts the links to different texts that
-    were verified; ``class_size`` the rows of the class.  Case and white space
-    do not count; a text with fewer words than a shingle is one shingle; a
+    texts are linked).  Case and white space do not count; a text with fewer words than a shingle is one shingle; a
     null, empty or blank text is a class of its own, as is a row with a null
     id (class_id null).  Repeated rows share a class.  Other columns are
     ignored; an empty table gives no rows.
@@ -206,18 +207,16 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     node = F.unhex(F.md5("text"))
     texts = rows.where(usable).withColumn("node", node).groupBy("node").agg(
         F.first("text").alias("text"))
-    labels, links = _components(texts, s)
+    labels = _components(texts, s)
     member = rows.select("doc_id", F.when(usable, node).alias("node"), usable.alias("usable"))
-    known = member.where(F.col("usable")).join(labels, "node", "left").join(links, "node", "left")
+    known = member.where(F.col("usable")).join(labels, "node", "left")
     known = materialised(known.select(
-        "doc_id", F.coalesce("component", "node").alias("component"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
+        "doc_id", F.coalesce("component", "node").alias("component")))
     classes = known.groupBy("component").agg(F.min("doc_id").alias("class_id"),
                                              F.count("*").alias("class_size"))
     alone = member.where(~F.coalesce("usable", F.lit(False))).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-        F.lit(1).cast("long").alias("class_size"))
-    return known.join(classes, "component").select("doc_id", "class_id", "n_links", "class_size").unionByName(alone)
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
+    return known.join(classes, "component").select("doc_id", "class_id", "class_size").unionByName(alone)
 
 
 def one_per_class(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -230,44 +229,61 @@ def one_per_class(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     return named.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
-def _components(texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """((node, component) of linked nodes, (node, n_links))."""
-    keys = materialised(_shared_buckets(band_keys(texts, s)))
-    met = keys.groupBy("node").agg(F.sum("met").alias("popular"))
-    pivots = keys.join(met, "node").groupBy("bucket").agg(
+def _components(texts: DataFrame, s: Settings) -> DataFrame:
+    """(node, component) of the linked nodes."""
+    signed = materialised(band_keys(texts, s))
+    each = signed.select("node", F.explode("keys").alias("bucket"))
+    size = each.groupBy("bucket").agg(F.count("*").alias("met")).where(F.col("met") > 1)
+    keys = materialised(each.join(size, "bucket"))
+    popular = keys.groupBy("node").agg(F.sum("met").alias("popular"))
+    pivots = keys.join(popular, "node").groupBy("bucket").agg(
         F.max(F.struct("popular", "node")).alias("p")).select("bucket", F.col("p.node").alias("pivot"))
-    pairs = (keys.join(pivots, "bucket").where(F.col("node") != F.col("pivot"))
-             .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-    some = texts.join(keys.select("node").distinct(), "node", "left_semi")
-    some = materialised(some)
-    edges = materialised(verified(pairs, some, s))
+    member = materialised(keys.select("bucket", "node").join(pivots, "bucket"))
+    pairs = member.where(F.col("node") != F.col("pivot")).select(
+        F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    some = materialised(texts.join(keys.select("node").distinct(), "node", "left_semi"))
+    compared = materialised(_compared(pairs, some, s))
+    edges = _linked(compared, s)
     labels = connected(edges)
 
-    # buckets that still hold several components
-    marked = keys.join(labels, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component"))
+    # members of buckets that still hold several components, by pivot
+    marked = member.join(labels, "node", "left").select(
+        "bucket", "node", "pivot", F.coalesce("component", "node").alias("component"))
     mixed = marked.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
         F.col("lo") != F.col("hi")).select("bucket")
-    rest = materialised(marked.join(mixed, "bucket"))
-    rest_texts = some.join(rest.select("node").distinct(), "node", "left_semi")
-    own = _own_mass(rest_texts, s)
-    n_words = F.size(F.split(F.trim(F.regexp_replace("text", r"[\x20\t-\r]+", " ")), " "))
-    bounds = rest_texts.select("node", F.greatest(F.lit(1), n_words - s.words + 1).alias("n")).join(
-        own, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
-    # a partner shares at most n - own, and t/(1+t) of both sizes must be shared
-    t = s.threshold / (1 + s.threshold)
-    bounds = bounds.withColumn("most", F.floor((F.col("n") - F.col("own")) / t - F.col("n") + 1e-6)).where(
-        F.col("most") > 0)
-    rest = materialised(rest.join(bounds, "node").drop("own"))
-    reach = rest.groupBy("bucket").agg(F.min("n").alias("least"))
-    alive = rest.join(reach, "bucket").where(F.col("most") >= F.col("least")).drop("least")
-    left, right = alive.alias("x"), alive.alias("y")
-    again = (left.join(right, (F.col("x.bucket") == F.col("y.bucket"))
-                       & (F.col("x.component") < F.col("y.component"))
-                       & (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most")))
-             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-    more = verified(again, some, s)
-    edges = materialised(edges.unionByName(more).distinct())
-    links = edges.select(F.col("a").alias("node")).unionAll(edges.select(F.col("b").alias("node"))).groupBy(
-        "node").agg(F.count("*").alias("n_links"))
-    return connected(edges), links
+    apart = marked.join(mixed, "bucket").select("pivot", "node", "component").distinct()
+    with_pivot = compared.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "shared", F.col("n_a").alias("n"))
+    own = compared.groupBy(F.col("b").alias("node")).agg(F.first("n_b").alias("n")).select(
+        "node", F.col("node").alias("pivot"), F.col("n").alias("shared"), "n")
+    apart = materialised(apart.join(with_pivot.unionByName(own), ["node", "pivot"]))
+    again = _within_reach(apart, s).unionByName(_beyond_pivot(apart, some, s)).distinct()
+    more = _linked(_compared(again, some, s), s)
+    return connected(materialised(edges.unionByName(more)))
+
+
+def _pair(x: DataFrame, y: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``x`` beside rows of ``y`` (columns with a suffix 2) of another component."""
+    other = y.select(*on, *[F.col(c).alias(c + "2") for c in y.columns if c not in on])
+    return x.join(other, on).where(F.col("component") < F.col("component2"))
+
+
+def _within_reach(apart: DataFrame, s: Settings) -> DataFrame:
+    """Pairs whose overlaps with the pivot alone could reach the threshold."""
+    least = apart.groupBy("pivot").agg(F.min("n").alias("least"))
+    alive = apart.join(least, "pivot").where(_reaches(F.col("shared"), F.col("n"), F.col("least"), s)).drop("least")
+    both = _pair(alive, alive, ["pivot"]).where(
+        _reaches(F.least("shared", "shared2"), F.col("n"), F.col("n2"), s))
+    return both.select(F.col("node").alias("a"), F.col("node2").alias("b"))
+
+
+def _beyond_pivot(apart: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Pairs that share shingles beyond their pivot, enough to reach the threshold."""
+    pairs = apart.where(F.col("node") != F.col("pivot")).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    extra = _compared(pairs, texts, s, beyond=True).select(
+        F.col("a").alias("node"), F.col("b").alias("pivot"), F.explode("beyond").alias("g"))
+    extra = extra.select("node", "pivot", "g.gram", "g.c").join(apart, ["node", "pivot"])
+    both = _pair(extra, extra, ["pivot", "gram"]).groupBy("node", "node2", "pivot").agg(
+        F.sum(F.least("c", "c2")).alias("more"), F.first(F.least("shared", "shared2")).alias("at_most"),
+        F.first("n").alias("n"), F.first("n2").alias("n2"))
+    return both.where(_reaches(F.col("at_most") + F.col("more"), F.col("n"), F.col("n2"), s)).select(
+        F.col("node").alias("a"), F.col("node2").alias("b"))
