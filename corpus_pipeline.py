@@ -11,6 +11,7 @@ Parquet.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salestide.llm import bag_minhash, disclosure, edit_decontam, toxicity, unigram_pieces
 from salestide.llm.common import table
@@ -34,8 +35,12 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and disclosing terms generalised or removed in the texts."""
-    return disclosure.sanitise(docs)
+    """Personal data and disclosing terms generalised or removed in the texts;
+    ``n_chars`` follows the text."""
+    out = disclosure.sanitise(docs)
+    if "n_chars" in out.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType))
+    return out
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
