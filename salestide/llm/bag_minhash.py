@@ -212,8 +212,9 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     known = member.where(F.col("usable")).join(labels, "node", "left")
     known = materialised(known.select(
         "doc_id", F.coalesce("component", "node").alias("component")))
-    classes = known.groupBy("component").agg(F.min("doc_id").alias("class_id"),
-                                             F.count("*").alias("class_size"))
+    # written first, so that the join deals both sides anew and can split a large class
+    classes = materialised(known.groupBy("component").agg(
+        F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")))
     alone = member.where(~F.coalesce("usable", F.lit(False))).select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return known.join(classes, "component").select("doc_id", "class_id", "class_size").unionByName(alone)
@@ -281,8 +282,22 @@ def _beyond_pivot(apart: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     pairs = apart.where(F.col("node") != F.col("pivot")).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     extra = _compared(pairs, texts, s, beyond=True).select(
         F.col("a").alias("node"), F.col("b").alias("pivot"), F.explode("beyond").alias("g"))
-    extra = extra.select("node", "pivot", "g.gram", "g.c").join(apart, ["node", "pivot"])
-    both = _pair(extra, extra, ["pivot", "gram"]).groupBy("node", "node2", "pivot").agg(
+    extra = materialised(extra.select("node", "pivot", "g.gram", "g.c"))
+    for _ in range(2):
+        # only shingles that two members have can count; a member whose overlap
+        # with the pivot plus all of those stays out of reach has no partner
+        several = extra.groupBy("pivot", "gram").agg(F.count("*").alias("members")).where(F.col("members") > 1)
+        extra = extra.join(several.drop("members"), ["pivot", "gram"])
+        most = extra.groupBy("node", "pivot").agg(F.sum("c").alias("most"))
+        left = apart.join(most, ["node", "pivot"])
+        least = left.groupBy("pivot").agg(F.min("n").alias("least"))
+        alive = materialised(left.join(least, "pivot").where(
+            _reaches(F.col("shared") + F.col("most"), F.col("n"), F.col("least"), s)).drop("least"))
+        extra = materialised(extra.join(alive.select("node", "pivot"), ["node", "pivot"], "left_semi"))
+    extra = extra.join(alive, ["node", "pivot"])
+    both = _pair(extra, extra, ["pivot", "gram"]).where(_reaches(
+        F.least("shared", "shared2") + F.least("most", "most2"), F.col("n"), F.col("n2"), s))
+    both = both.groupBy("node", "node2", "pivot").agg(
         F.sum(F.least("c", "c2")).alias("more"), F.first(F.least("shared", "shared2")).alias("at_most"),
         F.first("n").alias("n"), F.first("n2").alias("n2"))
     return both.where(_reaches(F.col("at_most") + F.col("more"), F.col("n"), F.col("n2"), s)).select(
