@@ -55,39 +55,57 @@ class Settings:
         return self.bands * self.rows
 
 
-def signatures(doc: np.ndarray, gram: np.ndarray, weight: np.ndarray, n_docs: int, m: int) -> np.ndarray:
+def signatures(doc: np.ndarray, gram: np.ndarray, weight: np.ndarray, n_docs: int, m: int,
+               capped: bool = True) -> np.ndarray:
     """(n_docs, m) BagMinHash signatures of the multisets given as parallel
-    arrays: text number, shingle hash, integer weight of at least 1."""
+    arrays: text number, shingle hash, integer weight of at least 1.
+
+    Intervals that lie wholly below a weight come first, the longest (of the
+    fastest process) first of all: they bring the worst component down, so
+    that neither slow processes nor partly covered intervals, whose points
+    above the weight are dropped, run for long.  The order changes no minimum.
+    At first no point later than ``cap`` is drawn, by which time all components
+    of a text have met one but for a chance of about e**-8; a text that has
+    not is drawn again without (so the cap changes no minimum, either)."""
     sig = np.full(n_docs * m, np.inf)
-    level = np.frexp(weight.astype(float) - 0.5)[1]          # 1 -> 0, 2 -> 1, 3..4 -> 2, ...
-    level = np.maximum(level, 0)
-    top = int(level.max(initial=0))
     worst = np.full(n_docs, np.inf)
-    for j in range(top + 1):
-        keep = level >= j
-        d, w = doc[keep], weight[keep]
-        low, length = (0.0, 1.0) if j == 0 else (2.0 ** (j - 1), 2.0 ** (j - 1))
-        with np.errstate(over="ignore"):
-            seed = mix(gram[keep] + U((j + 1) * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF))
-        time = np.zeros(len(d))
-        step = 0
-        while len(d):
-            step += 1
+    whole = 2.0 ** np.floor(np.log2(np.maximum(weight, 1)))
+    rate = np.bincount(doc, whole, n_docs)
+    cap = m * (np.log(m) + 8) / np.maximum(rate, 1e-9) if capped else worst.copy()
+    top = int(weight.max(initial=1)).bit_length()
+    for covered in (True, False):
+        for j in range(top, -1, -1):
+            low, high = (0, 1) if j == 0 else (1 << (j - 1), 1 << j)
+            keep = weight >= high if covered else (weight > low) & (weight < high)
+            d, w = doc[keep], weight[keep]
             with np.errstate(over="ignore"):
-                r = mix(seed + U(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-                place = (mix(r + U(0xA0761D6478BD642F)) >> U(11)).astype(np.int64) % m
-            time = time - np.log(((r >> U(11)).astype(float) + 0.5) * 2.0 ** -53) / length
-            live = time < worst[d]
-            if not live.all():
-                d, w, seed, time, r, place = (x[live] for x in (d, w, seed, time, r, place))
-            if j >= 1:
+                seed = mix(gram[keep] + U((j + 1) * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF))
+            time, step = np.zeros(len(d)), 0
+            while len(d):
+                step += 1
                 with np.errstate(over="ignore"):
-                    y = low + length * ((mix(r ^ U(0xE7037ED1A0B428DB)) >> U(11)).astype(float) * 2.0 ** -53)
-                inside = y < w
-                np.minimum.at(sig, d[inside] * m + place[inside], time[inside])
-            else:
-                np.minimum.at(sig, d * m + place, time)
-            if step >= 2 or j or n_docs * 4 > len(d):
+                    r = mix(seed + U(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+                time = time - np.log(((r >> U(11)).astype(float) + 0.5) * 2.0 ** -53) / (high - low)
+                live = time < np.minimum(worst, cap)[d]
+                if not live.all():
+                    d, w, seed, time, r = (x[live] for x in (d, w, seed, time, r))
+                with np.errstate(over="ignore"):
+                    place = (mix(r + U(0xA0761D6478BD642F)) >> U(11)).astype(np.int64) % m
+                if covered:
+                    np.minimum.at(sig, d * m + place, time)
+                else:
+                    with np.errstate(over="ignore"):
+                        y = (mix(r ^ U(0xE7037ED1A0B428DB)) >> U(11)).astype(float) * 2.0 ** -53
+                    below = low + (high - low) * y < w
+                    np.minimum.at(sig, d[below] * m + place[below], time[below])
+                worst = sig.reshape(n_docs, m).max(axis=1)
+        if covered and capped:
+            open_ = np.isinf(worst) & (rate > 0)
+            if open_.any():   # the partly covered intervals need a finite worst component
+                again, number = np.flatnonzero(open_), np.cumsum(open_) - 1
+                mine = open_[doc]
+                sig.reshape(n_docs, m)[again] = signatures(
+                    number[doc[mine]], gram[mine], weight[mine], len(again), m, capped=False)
                 worst = sig.reshape(n_docs, m).max(axis=1)
     return sig.reshape(n_docs, m)
 
