@@ -608,7 +608,7 @@ def s04_summary_roundtrip(spark, sf_dir):
 # -- streaming (file-source streams drained with availableNow) ------------------
 
 
-REPLAY_FILES = 6
+REPLAY_FILES = 4
 
 
 def _replay(spark, df: DataFrame, time: str, **closing):
@@ -883,7 +883,7 @@ def _maintained(spark, sf_dir):
         path = scratch_path(spark, f"arriving-{name}")
         df.repartition(REPLAY_FILES, F.xxhash64(*df.columns)).write.parquet(path)
         folders.append(path)
-        streams[name] = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(path)
+        streams[name] = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
     for q in incremental.start_partials(streams["orders"], streams["order_items"], root, ck,
                                         trigger="availableNow"):
         q.awaitTermination()
