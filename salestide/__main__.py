@@ -116,7 +116,7 @@ def main(argv=None) -> None:
     else:
         ap.add_argument("--tables", required=True, help="root of the ingested Parquet tables")
         ap.add_argument("--every", default="10 minutes")
-        ap.add_argument("--max-bytes", default="64g",
+        ap.add_argument("--max-bytes", type=int, default=64 << 30,
                         help="bytes of new files per micro-batch, at most (a first run over a long "
                              "history is cut into batches of this size)")
         ap.add_argument("--as-of", default=None)
