@@ -37,7 +37,8 @@ class Settings:
     iterations: int = 8
     balance: float = 0.3        # weight of the size penalty in k-means
     neighbours: int = 16        # edges of a centroid in the graph
-    beam: int = 96              # centroids kept while searching
+    beam: int = 96              # centroids kept while searching for a query ...
+    post_beam: int = 24         # ... and for a vector to post
     copies: int = 4             # lists a vector is posted to, at most
     boundary: float = 1.1       # ... while no farther than this times the nearest
     probes: int = 64            # lists a query visits, at most
@@ -144,16 +145,17 @@ class Index:
         rest = np.sqrt(np.maximum(self.norm ** 2 - (x * x).sum(axis=1), 0.0))
         return np.concatenate([x, rest[:, None]], axis=1)
 
-    def _near(self, x: np.ndarray, want: int, ratio: float):
+    def _near(self, x: np.ndarray, want: int, ratio: float, beam: int):
         """(first row, lists, which of them lie within the ratio) by batches of rows."""
         for a in range(0, len(x), 256):
-            at, d = self.graph.search(x[a:a + 256], self.settings.beam, want)
+            at, d = self.graph.search(x[a:a + 256], beam, want)
             ok = (d <= d[:, :1] * ratio ** 2 + 1e-12) & np.isfinite(d)
             ok[:, 0] = True
             yield a, at, ok
 
     def postings(self, x: np.ndarray):
-        for a, at, ok in self._near(self.lifted(x), self.settings.copies, self.settings.boundary):
+        s = self.settings
+        for a, at, ok in self._near(self.lifted(x), s.copies, s.boundary, s.post_beam):
             for r, c in zip(*np.nonzero(ok)):
                 yield a + int(r), int(at[r, c])
 
@@ -164,7 +166,7 @@ class Index:
         need = s.copies * (s.k + 1)
         norms = np.sqrt((x * x).sum(axis=1))[:, None]
         aimed = np.concatenate([x * (self.norm / norms), np.zeros((len(x), 1))], axis=1)
-        for a, at, ok in self._near(aimed, s.probes, s.ratio):
+        for a, at, ok in self._near(aimed, s.probes, s.ratio, s.beam):
             before = np.cumsum(rows_of[at], axis=1) - rows_of[at]
             ok |= before < need
             for r in range(len(at)):
