@@ -48,7 +48,7 @@ class Settings:
     threshold: float = 0.8
     bands: int = 32
     rows: int = 4
-    batch_bytes: int = 2_000_000   # of text hashed together in a task
+    batch_bytes: int = 1_000_000   # of text hashed together in a task
 
     @property
     def size(self) -> int:

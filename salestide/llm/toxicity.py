@@ -65,7 +65,7 @@ class Model:
         for word in set(WORD.findall((text or "").lower())):
             at = cache.get(word)
             if at is None:
-                if len(cache) > 400_000:
+                if len(cache) > 120_000:
                     cache.clear()
                 at = cache[word] = self._word(word)
             if at:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0     # below the lowest score, as in SentencePiece
-CACHED, CACHED_CHARS = 600_000, 48
+CACHED, CACHED_CHARS = 120_000, 48   # parts kept, twice (recent and before), and how long
 
 _PARTS = re.compile(" *[^ ]+| +")
 
@@ -100,9 +100,10 @@ class Pieces:
     longest: int             # bytes of the longest piece
     walk: tuple = ()
     cache: dict = field(default_factory=dict, repr=False)
+    before: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "cache": {}, "walk": ()}
+        return {**self.__dict__, "cache": {}, "before": {}, "walk": ()}
 
     @classmethod
     def compile(cls, pieces: list[tuple[str, float, str]]) -> "Pieces":
@@ -189,15 +190,16 @@ class Pieces:
             return np.empty(0, np.int32)
         if not self.by_words:
             return np.frombuffer(self.segment(" " + text), np.int32)
-        cache, out = self.cache, []
+        recent, out = self.cache, []
         for part in _PARTS.findall(" " + text):
-            ids = cache.get(part)
+            ids = recent.get(part)
             if ids is None:
-                ids = self.segment(part)
+                ids = self.before.get(part) or self.segment(part)
                 if len(part) <= CACHED_CHARS:
-                    if len(cache) >= CACHED:
-                        cache.clear()
-                    cache[part] = ids
+                    if len(recent) >= CACHED:   # what is not asked for again goes
+                        self.before = recent
+                        recent = self.cache = {}
+                    recent[part] = ids
             out.append(ids)
         return np.frombuffer(b"".join(out), np.int32)
 
@@ -224,8 +226,8 @@ def encode_documents(docs: DataFrame, pieces: Pieces) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
         for whole in batches:
-            for a in range(0, whole.num_rows, 1000):
-                batch = whole.slice(a, 1000)
+            for a in range(0, whole.num_rows, 400):
+                batch = whole.slice(a, 400)
                 texts = batch.column(1).to_pylist()
                 ids = [p.encode(t) if t else np.empty(0, np.int32) for t in texts]
                 counts = [len(i) for i in ids]
