@@ -1,20 +1,21 @@
 """Personal data and the terms that give it away.
 
 Personal data (e-mail, IP address, card, phone) is found by patterns and
-checks.  Around every mention of such an entity, the words within
-``Settings.window`` words are its context.  Corpus co-occurrence then
-estimates how strongly a term reveals an entity: with n(t, e) the texts in
-which t stands near e, n(t) the texts with t and n(e) the texts with e,
+checks.  Corpus co-occurrence then estimates how strongly a term reveals such
+an entity: with n(t, e) the texts that hold both t and e, n(t) the texts with
+t, n(e) the texts with e and N all texts,
 
     disclosure(t, e) = n(t, e) / n(t)              (share of t that points to e)
     information(t, e) = log2(n(t, e) * N / (n(t) * n(e)))      (bits)
 
-A term that exceeds the thresholds, with enough distinct texts behind it, is
-generalised, and removed from the higher threshold on, where it stands near
-the entity.  Rows without personal data are never changed.
+A term that exceeds the thresholds, with enough distinct texts behind it, is generalised, and removed from the
+higher threshold on, wherever it stands in a text with the entity.  Rows
+without personal data are never changed.
 
-Counts cover every row.  The corpus counts are partial sums per task first;
-only (entity, term) pairs near mentions are kept, never all pairs.
+Counts cover every row, and whole texts; characters of mentions belong to no
+term.  n(t, e) <= n(e), so a pair with n(t) beyond n(e) / ``generalise`` is
+dropped before pairs are formed, and entities that stand in the same texts
+are one group, counted once.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from salestide.llm.common import materialised
 
@@ -41,19 +43,16 @@ _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _TERM = re.compile(r"[^\W\d_]{3,}")
-_LETTER = re.compile(r"[^\W\d_]")
-_WORD = re.compile(r"\S+")
 
 
 @dataclass(frozen=True)
 class Settings:
-    window: int = 8           # words on either side of a mention ...
-    reach: int = 240          # ... within so many characters
-    min_texts: int = 3        # distinct texts in which the term stands near the entity
+    min_texts: int = 3        # distinct texts in which the term stands with the entity
     generalise: float = 0.5   # disclosure from which a term is generalised ...
     remove: float = 0.9       # ... and removed
     min_bits: float = 4.0     # information from which a term counts at all
     flush: int = 400_000      # terms counted in a task before partial sums are passed on
+    common: int = 1000        # a term in more than 1 of so many rows is looked up, not joined
 
 
 def luhn(digits: str) -> bool:
@@ -125,10 +124,8 @@ def text_key(text: str) -> bytes:
     return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def context_terms(text: str, found: list[tuple[int, int, int]], s: Settings):
-    """(entity, term, start, end) for the whole terms within ``s.window``
-    words and ``s.reach`` characters of each mention; characters of mentions
-    belong to no term."""
+def term_places(text: str, found: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of every term of ``text`` clear of the mentions."""
     starts, ends = [], []   # mentions as disjoint intervals
     for a, b in sorted({(a, b) for _, a, b in found}):
         if ends and a < ends[-1]:
@@ -136,49 +133,57 @@ def context_terms(text: str, found: list[tuple[int, int, int]], s: Settings):
         else:
             starts.append(a)
             ends.append(b)
-    for kind, a, b in found:
-        who = entity(kind, text[a:b])
-        before = [m.start() for m in _WORD.finditer(text, max(0, a - s.reach), a)][-s.window:]
-        after = [m.end() for m in _WORD.finditer(text, b, min(len(text), b + s.reach))][:s.window]
-        for m in _TERM.finditer(text, before[0] if before else a, after[-1] if after else b):
-            x, y = m.span()
-            if (x and _LETTER.match(text, x - 1)) or _LETTER.match(text, y):
-                continue  # cut by the reach
-            i = bisect_right(starts, x) - 1
-            if (i >= 0 and ends[i] > x) or (i + 1 < len(starts) and starts[i + 1] < y):
-                continue
-            yield who, m[0].lower(), x, y
+    for m in _TERM.finditer(text):
+        x, y = m.span()
+        i = bisect_right(starts, x) - 1
+        if (i >= 0 and ends[i] > x) or (i + 1 < len(starts) and starts[i + 1] < y):
+            continue
+        yield m[0].lower(), x, y
 
 
-def _mentions(docs: DataFrame, s: Settings) -> DataFrame:
-    """(key, entity, term, start, stop, lead, first) of every row with
-    personal data; ``lead`` and ``first`` are 1 once per row for the entity
-    and for the pair, so their sums count rows."""
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            rows = []
-            for text in p.text:
-                found = find(text)
-                if not found:
-                    continue
-                key, seen = text_key(text), set()
-                for who, term, a, b in context_terms(text, found, s):
-                    rows.append((key, who, term, a, b, int(who not in seen), int((who, term) not in seen)))
-                    seen.update((who, (who, term)))
-            yield pd.DataFrame(rows, columns=["key", "entity", "term", "start", "stop", "lead", "first"])
+def text_terms(text: str) -> set[str]:
+    found = find(text)
+    if found:
+        return {t for t, _, _ in term_places(text, found)}
+    return {t.lower() for t in set(_TERM.findall(text))}
+
+
+@F.pandas_udf(BinaryType())
+def _holder_key(texts: pd.Series) -> pd.Series:
+    """The text's key if it holds personal data, else null."""
+    return pd.Series([text_key(t) if find(t) else None for t in texts], dtype=object)
 
-    return docs.select("text").mapInPandas(
-        run, "key binary, entity binary, term string, start int, stop int, lead int, first int")
+
+def _holders(docs: DataFrame) -> DataFrame:
+    """(key, text, copies) of every distinct text with personal data."""
+    return (docs.select("text", _holder_key("text").alias("key")).where(F.col("key").isNotNull())
+            .groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies")))
+
+
+def _groups(held: DataFrame) -> DataFrame:
+    """(key, copies, who, n_entity): the groups of entities of each text.
+    Entities that stand in the same texts have the same counts with every
+    term: they are one group, named by the XOR of the keys' hashes."""
+    @F.pandas_udf("array<binary>")
+    def entities(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted({entity(k, t[a:b]) for k, a, b in find(t)}) for t in texts], dtype=object)
+
+    each = materialised(held.select("key", "copies", F.explode(entities("text")).alias("entity")))
+    sets = each.groupBy("entity").agg(
+        F.count("*").alias("texts"), F.sum("copies").alias("n_entity"),
+        F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
+    who = F.concat_ws(":", "texts", "x", "y")
+    return each.join(sets, "entity").select("key", "copies", who.alias("who"), "n_entity").distinct()
 
 
 def _term_texts(docs: DataFrame, s: Settings) -> DataFrame:
-    """(term, n): in how many rows each term stands, over the whole corpus."""
+    """(term, n_term): in how many rows each term stands, over the whole corpus."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
         for p in parts:
             for text in p.text:
                 if text:
-                    counts.update(set(_TERM.findall(text.lower())))
+                    counts.update(text_terms(text))
                 if len(counts) > s.flush:
                     yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
                     counts.clear()
@@ -189,31 +194,64 @@ def _term_texts(docs: DataFrame, s: Settings) -> DataFrame:
             .groupBy("term").agg(F.sum("n").alias("n_term")))
 
 
-def revealing_terms(docs: DataFrame, mentions: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(entity, term, disclosure, bits, remove) of the pairs above the thresholds."""
-    pairs = mentions.groupBy("entity", "term", "key").agg(F.sum("first").alias("n")).groupBy(
-        "entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("n_pair"))
+def _pairs(docs: DataFrame, held: DataFrame, s: Settings) -> DataFrame:
+    """(key, copies, who, n_entity, term, n_term, n_rows): every group and
+    term of each text, without the pairs that n(e) and n(t) rule out."""
+    groups = materialised(_groups(held))
+    n_term = materialised(_term_texts(docs, s))
+    n_rows = docs.agg(F.count("text")).first()[0]
+    # at most ``common`` times the mean number of terms a text
+    known = held.sparkSession.sparkContext.broadcast(
+        {r.term: r.n_term for r in n_term.where(F.col("n_term") > max(100, n_rows // s.common)).collect()})
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        common = known.value
+        for p in parts:
+            for key, text, most in zip(p.key, p.text, p.most):
+                terms = [t for t in text_terms(text) if common.get(t, 0) * s.generalise <= most]
+                yield pd.DataFrame({"key": [key] * len(terms), "term": terms, "most": most}).astype(
+                    {"term": object, "most": "int64"})
+
+    most = groups.groupBy("key").agg(F.max("n_entity").alias("most"))
+    terms = (held.select("key", "text").join(most, "key").mapInPandas(run, "key binary, term string, most long")
+             .join(n_term, "term").where(F.col("n_term") * s.generalise <= F.col("most")).drop("most"))
+    return terms.join(groups, "key").where(F.col("n_term") * s.generalise <= F.col("n_entity")).withColumn(
+        "n_rows", F.lit(n_rows))
+
+
+def revealing_terms(pairs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """(who, term, disclosure, bits, remove) of the pairs above the thresholds."""
+    both = pairs.groupBy("who", "term").agg(
+        F.count("*").alias("texts"), F.sum("copies").alias("n"),
+        *[F.max(c).alias(c) for c in ("n_entity", "n_term", "n_rows")])
     # support counts distinct texts: copies do not make a term more telling
-    pairs = pairs.where(F.col("texts") >= s.min_texts)
-    who = mentions.groupBy("entity").agg(F.sum("lead").alias("n_entity"))
-    total = docs.agg(F.count("text").alias("n_rows"))
-    joined = pairs.join(who, "entity").join(_term_texts(docs, s), "term").join(F.broadcast(total))
-    share = F.col("n_pair") / F.col("n_term")
-    bits = F.log2(F.col("n_pair") * F.col("n_rows") / (F.col("n_term") * F.col("n_entity")))
-    return joined.select("entity", "term", share.alias("disclosure"), bits.alias("bits")).where(
+    both = both.where(F.col("texts") >= s.min_texts)
+    n = F.col("n")
+    bits = F.log2(n * F.col("n_rows") / (F.col("n_term") * F.col("n_entity")))
+    return both.select("who", "term", (n / F.col("n_term")).alias("disclosure"), bits.alias("bits")).where(
         (F.col("disclosure") >= s.generalise) & (F.col("bits") >= s.min_bits)).withColumn(
         "remove", F.col("disclosure") >= s.remove)
 
 
 def term_spans(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(key, terms): for each text, the spans of the revealing terms near its
-    entities, by start: array of (start, stop, remove)."""
-    mentions = materialised(_mentions(docs, s))
-    bad = revealing_terms(docs, mentions, s)
-    hits = mentions.join(bad, ["entity", "term"]).groupBy("key", "start", "stop").agg(
-        F.max("remove").alias("remove"))
-    return hits.groupBy("key").agg(F.sort_array(F.collect_list(
-        F.struct("start", "stop", "remove"))).alias("terms"))
+    """(key, terms): for each text with personal data, the spans of the terms
+    that reveal one of its entities, by start: array of (start, stop, remove)."""
+    held = materialised(_holders(docs))
+    pairs = materialised(_pairs(docs, held, s))
+    bad = revealing_terms(pairs, s)
+    hits = pairs.join(bad, ["who", "term"]).groupBy("key", "term").agg(F.max("remove").alias("remove"))
+    hits = hits.groupBy("key").agg(F.collect_list(F.struct("term", "remove")).alias("hits"))
+
+    @F.pandas_udf("array<struct<start:int,stop:int,remove:boolean>>")
+    def places(texts: pd.Series, hits: pd.Series) -> pd.Series:
+        out = []
+        for t, h in zip(texts, hits):
+            gone = {x["term"]: bool(x["remove"]) for x in h}
+            out.append([{"start": a, "stop": b, "remove": gone[w]}
+                        for w, a, b in term_places(t, find(t)) if w in gone])
+        return pd.Series(out, dtype=object)
+
+    return held.join(hits, "key").select("key", places("text", "hits").alias("terms"))
 
 
 def scan(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -261,11 +299,7 @@ def rewrite(text: str, found: list[tuple[int, int, int]], terms) -> str:
 def sanitise(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """``docs`` with rewritten texts, all columns and rows kept.  Only rows
     with personal data are joined with the term spans; the others pass as they are."""
-    @F.pandas_udf("binary")
-    def key(texts: pd.Series) -> pd.Series:
-        return pd.Series([text_key(t) if find(t) else None for t in texts], dtype=object)
-
-    marked = docs.withColumn("__key", key("text"))
+    marked = docs.withColumn("__key", _holder_key("text"))
     spans = term_spans(docs, s).withColumnRenamed("key", "__key").withColumnRenamed("terms", "__terms")
 
     @F.pandas_udf("string")

@@ -147,6 +147,15 @@ def test_disclosing_terms_go_and_clean_rows_stay(spark):
     assert all(after[i] == t for i, t in rows if i >= 10)
 
 
+def test_disclosing_terms_go_wherever_they_stand(spark):
+    far = " ".join(["often writes from home"] * 30)
+    rows = [(i, f"Zorblat zoe@mail.example.com {far} zorblat {far} ZORBLAT. Vexnor") for i in range(4)]
+    rows = [(i, f"{t} {i}") for i, t in rows] + [(10 + i, f"{far} {i}") for i in range(120)]
+    after = {r.doc_id: r.text.lower() for r in disclosure.sanitise(docs(spark, rows)).collect()}
+    assert all("zorblat" not in after[i] and "vexnor" not in after[i] for i in range(4))
+    assert all(after[i] == t for i, t in rows if i >= 10)
+
+
 def test_rewrite_merges_overlaps():
     t = "a +1 222 333 4444 b"
     assert disclosure.rewrite(t, disclosure.find(t), []) == "a [PHONE] b"
