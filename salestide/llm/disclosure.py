@@ -5,10 +5,12 @@ checks.  Corpus co-occurrence then estimates how strongly a term reveals such
 an entity: with n(t, e) the texts that hold both t and e, n(t) the texts with
 t, n(e) the texts with e and N all texts,
 
-    disclosure(t, e) = n(t, e) / n(t)              (share of t that points to e)
-    information(t, e) = log2(n(t, e) * N / (n(t) * n(e)))      (bits)
+    disclosure(t, e) = c * n(t, e) / n(t)              (share of t that points to e)
+    information(t, e) = log2(c * n(t, e) * N / (n(t) * n(e)))      (bits)
 
-A term that exceeds the thresholds, with enough distinct texts behind it, is generalised, and removed from the
+where c = 1 - 2^-k while only k < ``Settings.firm`` distinct texts hold both,
+and 1 from there on: an entity in one or two texts counts too, at a discount.
+A term that exceeds the thresholds is generalised, and removed from the
 higher threshold on, wherever it stands in a text with the entity.  Rows
 without personal data are never changed.
 
@@ -47,7 +49,7 @@ _TERM = re.compile(r"[^\W\d_]{3,}")
 
 @dataclass(frozen=True)
 class Settings:
-    min_texts: int = 3        # distinct texts in which the term stands with the entity
+    firm: int = 3             # distinct texts with both from which their number is not discounted
     generalise: float = 0.5   # disclosure from which a term is generalised ...
     remove: float = 0.9       # ... and removed
     min_bits: float = 4.0     # information from which a term counts at all
@@ -224,9 +226,9 @@ def revealing_terms(pairs: DataFrame, s: Settings = Settings()) -> DataFrame:
     both = pairs.groupBy("who", "term").agg(
         F.count("*").alias("texts"), F.sum("copies").alias("n"),
         *[F.max(c).alias(c) for c in ("n_entity", "n_term", "n_rows")])
-    # support counts distinct texts: copies do not make a term more telling
-    both = both.where(F.col("texts") >= s.min_texts)
-    n = F.col("n")
+    # distinct texts behind it: copies do not make a term more telling
+    sure = F.when(F.col("texts") < s.firm, 1 - F.pow(F.lit(0.5), F.col("texts"))).otherwise(1.0)
+    n = sure * F.col("n")
     bits = F.log2(n * F.col("n_rows") / (F.col("n_term") * F.col("n_entity")))
     return both.select("who", "term", (n / F.col("n_term")).alias("disclosure"), bits.alias("bits")).where(
         (F.col("disclosure") >= s.generalise) & (F.col("bits") >= s.min_bits)).withColumn(

@@ -41,6 +41,34 @@ def test_op4_spans(spark, texts):
         assert [s for s in spans if not s.startswith(disclosure.TERM)] == base
 
 
+def test_op4_terms_arise(spark, texts):
+    """The whole rule by brute force over the stored texts."""
+    s = disclosure.Settings()
+    rows = [(t, {disclosure.entity(k, t[a:b]) for k, a, b in disclosure.find(t)}, disclosure.text_terms(t))
+            for _, t in texts if t]
+    n_term = collections.Counter(w for _, _, ws in rows for w in ws)
+    n_entity = collections.Counter(e for _, es, _ in rows for e in es)
+    both, behind = collections.Counter(), collections.defaultdict(set)
+    for t, es, ws in rows:
+        for pair in ((e, w) for e in es for w in ws):
+            both[pair] += 1
+            behind[pair].add(t)
+    bad = set()
+    for (e, w), n in both.items():
+        n *= 1 - 0.5 ** len(behind[e, w]) if len(behind[e, w]) < s.firm else 1
+        if n / n_term[w] >= s.generalise and np.log2(n * len(rows) / (n_term[w] * n_entity[e])) >= s.min_bits:
+            bad.add((e, w))
+    found = 0
+    for r in run(spark, "op4_disclosure"):
+        t = dict(texts)[r.doc_id] or ""
+        es = {disclosure.entity(k, t[a:b]) for k, a, b in disclosure.find(t)}
+        want = [f"{disclosure.TERM}:{a}:{b}" for w, a, b in disclosure.term_places(t, disclosure.find(t))
+                if any((e, w) in bad for e in es)]
+        assert [x for x in r.spans.split(",") if x.startswith(disclosure.TERM)] == want
+        found += len(want)
+    assert found
+
+
 def test_op5_passages(spark, texts):
     items = [(r.item_id, edit_decontam.normal(r.text))
              for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

@@ -147,6 +147,22 @@ def test_disclosing_terms_go_and_clean_rows_stay(spark):
     assert all(after[i] == t for i, t in rows if i >= 10)
 
 
+def test_entities_in_one_text_disclose_terms(spark):
+    rows = [(i, text(i, 12)) for i in range(200)]
+    rows += [(300, f"quillfeather {text(700, 12)} reach ann@one.example.com"), (301, "reach us")]
+    rows += [(310, "mimsy borogove 10.1.2.3"), (311, "mimsy 10.1.2.3"), (312, "borogove elsewhere")]
+    spans = {r.doc_id: r.spans for r in disclosure.scan(docs(spark, rows)).collect()}
+
+    def terms(i):
+        return [dict(rows)[i][int(a):int(b)] for k, a, b in (x.split(":") for x in spans[i].split(","))
+                if k == disclosure.TERM]
+
+    assert "quillfeather" in terms(300) and "reach" not in terms(300)   # n(t, e) / n(t): 1 / 1, 1 / 2
+    assert terms(310) == ["mimsy"] and terms(311) == ["mimsy"]          # 2 / 2, borogove 1 / 2
+    after = {r.doc_id: r.text for r in disclosure.sanitise(docs(spark, rows)).collect()}
+    assert after[311] == "[TERM] [IP]" and after[312] == "borogove elsewhere"
+
+
 def test_disclosing_terms_go_wherever_they_stand(spark):
     far = " ".join(["often writes from home"] * 30)
     rows = [(i, f"Zorblat zoe@mail.example.com {far} zorblat {far} ZORBLAT. Vexnor") for i in range(4)]
