@@ -32,6 +32,7 @@ class Settings:
     bits: int = 20           # hash space of the terms
     min_docs: int = 4        # a term is kept if this many sampled texts hold it ...
     min_z: float = 4.0       # ... and its rate differs between the classes by so many deviations
+    min_pair_z: float = 6.0  # ... or does so among the texts with such a term
     kept: int = 50_000       # terms kept, at most (the strongest)
     factors: int = 8
     epochs: int = 12
@@ -98,17 +99,42 @@ def text_terms(text: str | None, bits: int) -> np.ndarray:
     return np.array(sorted(found), dtype=np.int32)
 
 
-def _select(rows: list[np.ndarray], y: np.ndarray, s: Settings) -> np.ndarray:
-    """Terms whose rate in the two classes differs significantly, the strongest first."""
-    size = 1 << s.bits
-    every = np.bincount(np.concatenate(rows), minlength=size).astype(float)
-    ones = [r for r, t in zip(rows, y) if t]
-    toxic = np.bincount(np.concatenate(ones), minlength=size) if ones else np.zeros(size)
-    n, n1 = len(y), max(1, int(y.sum()))
+def _deviations(every: np.ndarray, toxic: np.ndarray, n: int, n1: int) -> np.ndarray:
+    """By how many deviations each term's rate differs between the classes."""
     p = (every + 1) / (n + 2)
-    z = (toxic - n1 * every / n) / np.sqrt(n1 * p * (1 - p) * max(1e-9, 1 - n1 / n) + 0.25)
-    strong = np.flatnonzero((every >= s.min_docs) & (np.abs(z) >= s.min_z))
-    return np.sort(strong[np.argsort(-np.abs(z[strong]), kind="stable")][: s.kept])
+    return (toxic - n1 * every / n) / np.sqrt(n1 * p * (1 - p) * max(1e-9, 1 - n1 / n) + 0.25)
+
+
+def _select(rows: list[np.ndarray], y: np.ndarray, s: Settings) -> np.ndarray:
+    """Terms whose rate in the two classes differs significantly, over all
+    texts or among the texts with a term that does over all (its partners in
+    a pair, however weak alone); the strongest first."""
+    every = np.bincount(np.concatenate(rows), minlength=1 << s.bits)
+    terms = np.flatnonzero(every >= s.min_docs)
+    place = np.full(1 << s.bits, -1, np.int32)
+    place[terms] = np.arange(len(terms))
+    rows = [at[at >= 0] for at in (place[r] for r in rows)]
+
+    def deviations(texts: np.ndarray) -> np.ndarray:
+        toxic = texts[y[texts] > 0]
+        count = [np.bincount(np.concatenate([rows[i] for i in part] or [place[:0]]), minlength=len(terms))
+                 for part in (toxic, texts[y[texts] <= 0])]
+        n = count[0] + count[1]
+        return np.where(n >= s.min_docs, np.abs(_deviations(n, count[0], len(texts), max(1, len(toxic)))), 0)
+
+    z = deviations(np.arange(len(rows)))
+    strong = z >= s.min_z
+    flat, doc = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    of = strong[flat]
+    flat, doc = flat[of], doc[of]
+    by = np.argsort(flat, kind="stable")
+    for texts in np.split(doc[by], np.flatnonzero(np.diff(flat[by])) + 1):
+        if 0 < y[texts].sum() < len(texts):
+            beside = deviations(texts)
+            z = np.where(beside >= s.min_pair_z, np.maximum(z, beside), z)
+            strong |= beside >= s.min_pair_z
+    strong = np.flatnonzero(strong)
+    return np.sort(terms[strong[np.argsort(-z[strong], kind="stable")][: s.kept]])
 
 
 def fit_rows(rows: list[np.ndarray], y: np.ndarray, s: Settings = Settings()) -> Model:

@@ -269,6 +269,20 @@ def test_factorization_machine_learns_a_pair(spark):
     assert {r.doc_id for r in stays.collect()} == {i for i in got if not got[i].predicted}
 
 
+@pytest.mark.parametrize("group, insult", [(0.2, 0.02), (0.5, 0.01)])
+def test_pair_of_terms_weak_alone_gets_factors(group, insult):
+    """The group word alone hardly differs between the classes."""
+    r = random.Random(6)
+    rows, y = [], []
+    for _ in range(16_000):
+        g, i = r.random() < group, r.random() < insult
+        rows.append(" ".join([f"w{r.randrange(60)}" for _ in range(12)] + ["islanders"] * g + ["vermin"] * i))
+        y.append(int(g and i or r.random() < 0.1))
+    model = toxicity.fit_rows([toxicity.text_terms(t, 20) for t in rows], np.array(y))
+    assert model.score("w1 w2 islanders vermin") > 0.8
+    assert max(map(model.score, ("w1 islanders", "w1 vermin", "w1"))) < 0.6
+
+
 def test_toxicity_edge_cases(spark):
     d = docs(spark, edge_rows())
     none = spark.createDataFrame([], "doc_id long, toxic int")
