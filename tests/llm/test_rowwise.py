@@ -90,6 +90,19 @@ def test_license_dice_against_brute_force(spark):
     assert license_dice.license_matches(docs(spark, [])).count() == 0
 
 
+def test_whole_licence_texts_are_found(spark):
+    t = dict((n, x) for n, x in license_dice.TEMPLATES if n.startswith("BSD-"))
+    body = text(3, 400)
+    rows = [(1, "Copyright (c) 2020, Ann Example\n\n" + t["BSD-2-Clause"].replace(". ", ".\n\n")),
+            (2, "Copyright (c) 2020, Ann Example\n\n" + t["BSD-3-Clause"].replace(". ", ".\n\n")),
+            (3, f"  GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\n{body}"),
+            (4, f"  GNU LESSER GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\n{body}"),
+            (5, f"  Apache License\n  Version 2.0, January 2004\n  http://www.apache.org/licenses/\n\n{body}"),
+            (6, f"Mozilla Public License Version 2.0\n==================================\n\n{body}")]
+    got = {r.doc_id: r.license for r in license_dice.license_matches(docs(spark, rows)).collect()}
+    assert got == {1: "BSD-2-Clause", 2: "BSD-3-Clause", 3: "GPL-3.0", 4: "LGPL-3.0", 5: "Apache-2.0", 6: "MPL-2.0"}
+
+
 PII = [
     (30, "mail bob.smith+x@mail4.example.com, a@b, x@@y.z.w, @c.d and p@q.r.s."),
     (31, "ip 10.0.0.255 256.1.1.1 1.2.3.4.5.6.7.8 1..2.3.4.5 001.2.3.4 0000255.1.1.1 9.9.9"),
