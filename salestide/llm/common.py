@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from salestide.session import checkpoint_root
 
@@ -23,3 +26,21 @@ def materialised(df: DataFrame) -> DataFrame:
     stages reread files that every executor sees, whoever is lost meanwhile."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint()
+
+
+def numbered(df: DataFrame, number: str, *order: Column) -> DataFrame:
+    """``df`` with a column ``number``: 1, 2, 3... in the order given.
+
+    Rows are dealt by ranges of the order and written, so that the ranges stay
+    what they are; each range is numbered by itself and shifted by the rows of
+    the ranges before it (one number a range reaches the driver).  The order
+    should tell rows apart: rows that tie in it share a range."""
+    spark = df.sparkSession
+    n = partitions(spark)
+    dealt = materialised(df.repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id()))
+    sizes = dict(dealt.groupBy("__range").count().collect())
+    before = [0, *accumulate(sizes.get(i, 0) for i in range(max(sizes, default=0)))]
+    shift = F.broadcast(spark.createDataFrame(list(enumerate(before)), "__range int, __before long"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return dealt.join(shift, "__range").withColumn(
+        number, F.col("__before") + inside).drop("__range", "__before")

@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salestide.llm import (
-    anchor_dedup, bag_minhash, disclosure, edit_decontam, license_dice, minimax_shards, posting_ann,
-    secret_ledger, toxicity, unigram_pieces,
+    anchor_dedup, bag_minhash, disclosure, edit_decontam, importance_resample, license_dice, minimax_shards,
+    posting_ann, secret_ledger, toxicity, unigram_pieces,
 )
 from salestide.llm.common import table
 
@@ -158,3 +158,45 @@ def op6_posting_ann(spark, sf_dir):
 @register("op10_minimax_shards")
 def op10_minimax_shards(spark, sf_dir):
     return minimax_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+_LOWER = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+
+# ct: the CRC-32 table by its rule; crc: the checksum of each distinct feature
+@register("op11_importance_resample", f"""
+with ct as materialized (
+  select list(c order by b) as tab from (
+    select b, list_reduce(range(8), lambda c, j: case when (c & 1) = 1 then xor(c >> 1, 3988292384::bigint)
+                                                      else c >> 1 end, b::bigint) as c
+    from range(256) r(b))),
+d as materialized (select row_number() over () as rid, doc_id, {_LOWER} as w from documents),
+src as (select rid, w from d union all select null, {_LOWER} from benchmark),
+f as materialized (
+  select rid, array_to_string(w[i:i + k], ' ') as g
+  from (select rid, w, k, unnest(range(1, len(w) - k + 1)) as i from src, range({importance_resample.RUN}) q(k)
+        where len(w) > k)),
+x as (select g, count(rid) as s, count(*) - count(rid) as t, hex(encode(g)) as h from f group by g),
+y as (select g, s, t, list_transform(range(0, length(h) // 2), lambda i:
+        instr('0123456789ABCDEF', h[2 * i + 1]) * 16 + instr('0123456789ABCDEF', h[2 * i + 2]) - 17) as bs from x),
+c as materialized (
+  select g, s, t, xor(list_reduce(bs, lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295::bigint),
+                      4294967295::bigint) % {importance_resample.BUCKETS} as bucket from y, ct),
+p as (select bucket, sum(s)::double as s, sum(t)::double as t from c group by bucket),
+z as (select sum(s) as s, sum(t) as t from p),
+n as (select bucket, floor(1000 * ln((p.t + 1) * (z.s + {importance_resample.BUCKETS})
+                                     / ((p.s + 1) * (z.t + {importance_resample.BUCKETS}))))::bigint as gain from p, z),
+v as (select rid, count(*) as n_features, sum(gain)::bigint as weight
+      from f join c using (g) join n using (bucket) where rid is not null group by rid),
+e as (select doc_id, rid, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+        ('0x' || substr(sha256('{importance_resample.SEED}:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint as h
+      from d left join v using (rid)),
+o as (select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296)))::bigint as score from e),
+r as (select rid, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n
+      from o where n_words >= {importance_resample.MIN_WORDS})
+select doc_id, n_features, weight, score, case when rank <= {importance_resample.PERCENT} * n // 100 then rank end as rank
+from o left join r using (rid)
+""")
+def op11_importance_resample(spark, sf_dir):
+    return importance_resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
