@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,14 +31,13 @@ def numbered(df: DataFrame, number: str, *order: Column) -> DataFrame:
 
     Rows are dealt by ranges of the order and written, so that the ranges stay
     what they are; each range is numbered by itself and shifted by the rows of
-    the ranges before it (one number a range reaches the driver).  The order
-    should tell rows apart: rows that tie in it share a range."""
-    spark = df.sparkSession
-    n = partitions(spark)
-    dealt = materialised(df.repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id()))
-    sizes = dict(dealt.groupBy("__range").count().collect())
-    before = [0, *accumulate(sizes.get(i, 0) for i in range(max(sizes, default=0)))]
-    shift = F.broadcast(spark.createDataFrame(list(enumerate(before)), "__range int, __before long"))
+    the ranges before it (a table of one row a range).  The order should tell
+    rows apart: rows that tie in it share a range."""
+    dealt = materialised(df.repartitionByRange(partitions(df.sparkSession), *order).withColumn(
+        "__range", F.spark_partition_id()))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = dealt.groupBy("__range").count().select(
+        "__range", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__before"))
     inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
-    return dealt.join(shift, "__range").withColumn(
+    return dealt.join(F.broadcast(shift), "__range").withColumn(
         number, F.col("__before") + inside).drop("__range", "__before")

@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salestide.llm import (
-    anchor_dedup, bag_minhash, disclosure, edit_decontam, importance_resample, license_dice, minimax_shards,
-    posting_ann, secret_ledger, toxicity, unigram_pieces,
+    anchor_dedup, bag_minhash, disclosure, edit_decontam, entropy_mix, importance_resample, license_dice,
+    minimax_shards, posting_ann, secret_ledger, token_align, toxicity, unigram_pieces,
 )
 from salestide.llm.common import table
 
@@ -103,13 +103,22 @@ def op4_disclosure(spark, sf_dir):
     return disclosure.scan(table(spark, sf_dir, "documents"))
 
 
-def tokenizer_path() -> str:
-    """The public SentencePiece model; set SALESTIDE_PIECES to use another."""
-    named = os.environ.get("SALESTIDE_PIECES")
+def _public(variable: str, name: str) -> str:
+    named = os.environ.get(variable)
     if named:
         return named
     import public_tokenizers
-    return str(public_tokenizers.path("piece_bpe_32k.model"))
+    return str(public_tokenizers.path(name))
+
+
+def tokenizer_path() -> str:
+    """The public SentencePiece model; set SALESTIDE_PIECES to use another."""
+    return _public("SALESTIDE_PIECES", "piece_bpe_32k.model")
+
+
+def byte_bpe_path() -> str:
+    """The public byte-level BPE file; set SALESTIDE_BYTE_BPE to use another."""
+    return _public("SALESTIDE_BYTE_BPE", "byte_bpe_50k.json")
 
 
 @register("op8_unigram_pieces")
@@ -200,3 +209,14 @@ from o left join r using (rid)
 """)
 def op11_importance_resample(spark, sf_dir):
     return importance_resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op12_entropy_mix")
+def op12_entropy_mix(spark, sf_dir):
+    return entropy_mix.mix(table(spark, sf_dir, "documents"))
+
+
+@register("op13_token_align")
+def op13_token_align(spark, sf_dir):
+    tokenizers = token_align.Tokenizers.load(byte_bpe_path(), tokenizer_path())
+    return token_align.align(table(spark, sf_dir, "documents"), tokenizers)
