@@ -153,6 +153,45 @@ def top_products(orders: DataFrame, items: DataFrame, products: DataFrame, as_of
     return top_named(per_product, products, "sold_quantity", k).select("name", "sold_quantity")
 
 
+TRACKED = 4096     # products that a sketch follows
+
+
+def product_sketch(lines: DataFrame, tracked: int = TRACKED) -> DataFrame:
+    """One mergeable frequent-items sketch of the products of ``lines``, and
+    their number: (sketch, n).  A sketch of a part (a task, a pane, a day) is
+    a few KB however many products it has seen; ``merge_sketches`` adds them."""
+    return lines.agg(F.expr(f"approx_top_k_accumulate(product_id, {tracked})").alias("sketch"),
+                     F.count("product_id").alias("n"))
+
+
+def merge_sketches(sketches: DataFrame, tracked: int = TRACKED) -> DataFrame:
+    return sketches.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n"))
+
+
+def top_from_sketch(lines: DataFrame, sketch: DataFrame, products: DataFrame, k: int = 10,
+                    tracked: int = TRACKED) -> DataFrame:
+    """t07 over ``lines`` (product_id, quantity) of any number of products:
+    the products that a merged ``sketch`` of these lines follows are counted
+    exactly, so ``tracked`` counters a task are shuffled and not one for each
+    product.  A product that the sketch has lost has at most
+    3.5 / tracked * n lines; where the k-th exact count doesn't exceed that,
+    all products are counted instead.  The sketch counts lines, so ``lines``
+    are ranked by their number."""
+    row = sketch.first()
+    n = (row.n if row else 0) or 0
+    if not n:
+        return top_named(lines.groupBy("product_id").agg(F.count("quantity").alias("sold_quantity")),
+                         products, "sold_quantity", k).select("name", "sold_quantity")
+    followed = sketch.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {tracked})")).alias("x")).select(
+        F.col("x.item").alias("product_id"))
+    kept = lines.join(F.broadcast(followed), "product_id")      # ``tracked`` rows at most
+    exact = kept.groupBy("product_id").agg(F.count("quantity").alias("sold_quantity"))
+    best = exact.orderBy(F.desc("sold_quantity")).limit(k).collect()
+    if len(best) < k or best[-1].sold_quantity <= 3.5 / tracked * n:
+        exact = lines.groupBy("product_id").agg(F.count("quantity").alias("sold_quantity"))
+    return top_named(exact, products, "sold_quantity", k).select("name", "sold_quantity")
+
+
 def top_named(per_product: DataFrame, products: DataFrame, value: str, k: int) -> DataFrame:
     """Top k rows of a per-product aggregate by ``value`` (ties by id), with
     product names.  The top k ids are taken first and their names looked up

@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salestide import streaming
 from salestide.operators import extensions, kpis, tables, views
@@ -31,6 +32,7 @@ from salestide.sources import results as src_results
 from salestide.sources import stream as src_stream
 from salestide.sources.sinks import write_result
 from salestide.streaming import incremental
+from salestide.streaming.common import as_instant
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -608,26 +610,53 @@ def s04_summary_roundtrip(spark, sf_dir):
 # -- streaming (file-source streams drained with availableNow) ------------------
 
 
-REPLAY_FILES = 4
-
-
-def _replay(spark, df: DataFrame, time: str, **closing):
-    """(stream, delay, folder): ``df`` as a stream of ``REPLAY_FILES``
-    micro-batches with its rows shuffled over all of them.  The delay covers
-    that disorder (the whole span of times); a last row, one delay after the
-    newest, moves the watermark up to the newest row.  It is NULL but for
-    its time and ``closing``."""
-    path = scratch_path(spark, "replay")
-    df.repartition(REPLAY_FILES, F.xxhash64(*df.columns)).write.parquet(path)
-    span = df.agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
-    days = span.select(F.datediff(F.col("hi").cast("date"), F.col("lo").cast("date"))).first()[0] + 1
+REPLAY_SLICES = 8            # micro-batches of a replay, in order of time
+REPLAY_FILE_ROWS = 1_000_000
+
+
+def _arriving(spark, df: DataFrame, time: str, arrives=None) -> tuple[str, int, int]:
+    """(folder, files a micro-batch, seconds a slice): ``df`` as files that
+    arrive in ``REPLAY_SLICES`` slices of its span of times.  ``arrives``
+    gives the slice a row comes with from the one its time lies in (by
+    default every other row comes one slice late)."""
+    path, staged = scratch_path(spark, "replay"), scratch_path(spark, "replay-slices")
+    at = F.unix_micros(as_instant(F.col(time).cast("timestamp_ntz")))
+    low, high, n = df.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
+    low, high = low or 0, high or 0
+    seconds = (high - low) // (REPLAY_SLICES * 1_000_000) + 1
+    place = F.coalesce(F.floor((at - low) / F.lit(seconds * 1_000_000)).cast("int"), F.lit(0))
+    if arrives is None:
+        arrives = lambda slice_, row: slice_ + F.pmod(row, F.lit(2)).cast("int")
+    row = F.xxhash64(*df.columns)
+    df.withColumn("_slice", arrives(place, row)).write.partitionBy("_slice").parquet(staged)
+    files = n // (REPLAY_SLICES * REPLAY_FILE_ROWS) + 1
+    slices = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])) \
+        .parquet(staged)
+    for (k,) in sorted(slices.select("_slice").distinct().collect()):
+        # one after the other: a file source takes files by their time
+        slices.where(F.col("_slice") == k).drop("_slice").repartition(files).write.mode("append").parquet(path)
+    remove_path(spark, staged)
+    return path, files, seconds
+
+
+def _stream(spark, df: DataFrame, path: str, files: int) -> DataFrame:
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _replay(spark, df: DataFrame, time: str, arrives=None, delay: float = 1.0, **closing):
+    """(stream, delay, folder): ``df`` as a stream of micro-batches in order
+    of time, but for the disorder of ``arrives``.  The delay (in slices)
+    covers that disorder by default, so windows close all along; a last row,
+    one delay after the newest, moves the watermark up to the newest row.  It
+    is NULL but for its time and ``closing``."""
+    path, files, seconds = _arriving(spark, df, time, arrives)
+    wait = f"INTERVAL {int(seconds * delay) + 1} SECONDS"
     kind = df.schema[time].dataType
-    end = span.select(*[
-        (F.col("hi") + F.expr(f"INTERVAL {days} DAYS")).cast(kind).alias(f.name) if f.name == time
+    end = df.agg(F.max(time).alias("hi")).select(*[
+        (F.col("hi").cast("timestamp_ntz") + F.expr(wait)).cast(kind).alias(f.name) if f.name == time
         else F.lit(closing.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields])
     end.write.mode("append").parquet(path)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return stream, f"{days} days", path
+    return _stream(spark, df, path, files), wait[len("INTERVAL "):].lower(), path
 
 
 def _drained(spark, queries, *folders) -> None:
@@ -643,8 +672,8 @@ def _drained(spark, queries, *folders) -> None:
 def _ingest(spark, relation: str, df: DataFrame, sent, copies: int, dedup: str | None,
             closing_id=None) -> DataFrame:
     """``df`` published ``copies`` times as messages at times ``sent`` (each
-    later copy five minutes after the one before), ingested in several
-    micro-batches, de-duplicated by the relation's id and the message time."""
+    later copy five minutes after the one before), ingested in micro-batches
+    of time, de-duplicated by the relation's id and the message time."""
     key = RELATIONS[relation][1]
     stamped = df.withColumn("timestamp", sent)
     msgs = None
@@ -879,11 +908,15 @@ def _maintained(spark, sf_dir):
     root, ck = scratch_path(spark, "pre-aggregates"), scratch_path(spark, "pre-aggregates-ck")
     folders = []
     streams = {}
-    for name, df in (("orders", t.orders()), ("order_items", t.order_items())):
-        path = scratch_path(spark, f"arriving-{name}")
-        df.repartition(REPLAY_FILES, F.xxhash64(*df.columns)).write.parquet(path)
+    items = t.order_items()
+    for name, df, time in (("orders", t.orders(), "order_date"), ("order_items", items, None)):
+        if time is None:        # items carry no time: they arrive in slices of their ids
+            df = df.withColumn("_at", F.timestamp_seconds(F.pmod("order_id", F.lit(REPLAY_SLICES))).cast("timestamp_ntz"))
+            path, files, _ = _arriving(spark, df, "_at")
+        else:
+            path, files, _ = _arriving(spark, df, time)
         folders.append(path)
-        streams[name] = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        streams[name] = _stream(spark, items if time is None else df, path, files)
     for q in incremental.start_partials(streams["orders"], streams["order_items"], root, ck,
                                         trigger="availableNow"):
         q.awaitTermination()
@@ -919,3 +952,6 @@ def st5_incremental_ltv(spark, sf_dir):
     t, root = _t(spark, sf_dir), _maintained(spark, sf_dir)
     return tables.customer_ltv(t.orders(), t.customers(),
                                per_window=incremental.current(spark, root, "per_window"))
+
+
+from salestide.plans import maintained  # noqa: E402,F401  registers the queries over maintained tables

@@ -92,8 +92,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "salestide", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder this library wrote, on whatever file system it is."""
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this library wrote, on whatever file system it is;
+    whether there was one."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

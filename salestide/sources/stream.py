@@ -7,7 +7,7 @@ tests.  Each topic carries one relation as JSON objects.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,6 +82,48 @@ def rejected(messages: DataFrame, relation: str | None = None, schema: T.StructT
         "topic", F.col("value").cast("string").alias("value"), F.col("_reason").alias("reason"))
 
 
+LANDED = "body"
+
+
+def land(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The messages with their whole JSON value as a VARIANT column ``body``
+    (topic, body, value, kept columns).  Fields that no schema names stay
+    readable (``landed_field``) without a replay; a value that is not JSON has
+    a null ``body`` and keeps its text in ``value``."""
+    text = F.col("value").cast("string")
+    body = F.try_parse_json(text)
+    return messages.select("topic", body.alias(LANDED), F.when(body.isNull(), text).alias("value"), *keep)
+
+
+def landed_field(path: str, kind: str) -> Column:
+    """One field of landed messages, e.g. ``landed_field("$.coupon.code",
+    "string")``; null where it is absent or of another kind."""
+    return F.try_variant_get(F.col(LANDED), path, kind)
+
+
+def extract(landed: DataFrame, relation: str | None = None, schema: T.StructType | None = None,
+            id_column: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The relation's columns of landed messages, like ``decode``: rows
+    without the id, or with a field that is there but doesn't parse, are left
+    out.  ``keep`` carries columns along (``body`` itself, for later fields)."""
+    schema, id_column = _shape(relation, schema, id_column)
+    fields, broken = [], F.lit(False)
+    for f in schema.fields:
+        # times come as text: cast as the JSON reader does
+        timed = isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType, T.DateType))
+        text = landed_field(f"$.{f.name}", "string")
+        value = text.try_cast(f.dataType) if timed else landed_field(f"$.{f.name}", f.dataType.simpleString())
+        fields.append(value.alias(f.name))
+        there = F.try_variant_get(F.col(LANDED), f"$.{f.name}", "variant")
+        broken = broken | (value.isNull() & there.isNotNull() & ~F.coalesce(F.is_variant_null(there), F.lit(True)))
+    out = landed.where(F.col(LANDED).isNotNull() & ~broken).select(*fields, *keep)
+    if id_column:
+        out = out.where(F.col(id_column).isNotNull())
+    if relation == "order_items" and "line_amount" not in out.columns:
+        out = out.withColumn("line_amount", F.col("quantity") * F.col("unit_price"))
+    return out
+
+
 def route(messages: DataFrame, topics: dict[str, str],
           schemas: dict[str, T.StructType] | None = None,
           keep: tuple[str, ...] = ()) -> dict[str, DataFrame]:

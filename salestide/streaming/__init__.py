@@ -12,10 +12,12 @@ from salestide.streaming.churn import churn_alerts, start_churn_alerts
 from salestide.streaming.ingest import dedupe, start_ingest
 from salestide.streaming.refresh import start_refresh
 from salestide.streaming.windows import (
-    items_with_order_time, rank_windows, start_top_products, start_windowed_revenue,
-    window_growth, windowed_product_counts, windowed_revenue,
+    items_with_order_time, rank_counts, rank_windows, start_product_counts, start_top_products,
+    start_trailing_revenue, start_windowed_revenue, trailing_revenue, window_growth, windowed_product_counts,
+    windowed_revenue,
 )
 
 __all__ = ["start_ingest", "dedupe", "churn_alerts", "start_churn_alerts", "start_refresh",
-           "items_with_order_time", "windowed_product_counts", "rank_windows", "start_top_products",
-           "windowed_revenue", "start_windowed_revenue", "window_growth", "late_rows"]
+           "items_with_order_time", "windowed_product_counts", "rank_counts", "rank_windows",
+           "start_product_counts", "start_top_products", "windowed_revenue", "start_windowed_revenue",
+           "trailing_revenue", "start_trailing_revenue", "window_growth", "late_rows"]

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
 from salestide.schemas import RELATIONS
-from salestide.sources.stream import rejected, route
+from salestide.sources.stream import land, rejected, route
 from salestide.streaming.common import EVENT_TS, set_trigger, with_event_time
 
 def dedupe(df: DataFrame, key: str, event_time: str, delay: str = "1 hour",
@@ -99,3 +99,13 @@ def start_ingest(messages: DataFrame | Callable[[str], DataFrame], out_root: str
             w = w.partitionBy(*partition_by[relation])
         queries.append(set_trigger(w, trigger).start())
     return queries
+
+
+def start_landing(messages: DataFrame, out: str, checkpoint: str, keep: tuple[str, ...] = (),
+                  trigger=None) -> StreamingQuery:
+    """Append every message to one table, partitioned by topic, with its
+    whole value as VARIANT: relations are extracted from it (``extract``) and
+    a field that appears later is readable from the day it was sent."""
+    w = (land(messages, keep).writeStream.format("parquet").outputMode("append").partitionBy("topic")
+         .option("path", out).option("checkpointLocation", checkpoint))
+    return set_trigger(w, trigger).start()

@@ -65,12 +65,16 @@ def items_with_order_time(orders: DataFrame, items: DataFrame, item_time: str =
 def rank_windows(counts: DataFrame, products: DataFrame | None = None, k: int = 10) -> DataFrame:
     """Top k products per window of a (batch) frame of closed windows.
     Columns: window_start, window_end, product_id, [name,] sold_quantity, rank."""
+    return rank_counts(counts.select(as_wall_clock(F.col("window.start")).alias("window_start"),
+                                     as_wall_clock(F.col("window.end")).alias("window_end"),
+                                     "product_id", "sold_quantity"), products, k)
+
+
+def rank_counts(counts: DataFrame, products: DataFrame | None = None, k: int = 10) -> DataFrame:
+    """``rank_windows`` over counts that already carry the window's bounds."""
     order = Window.partitionBy("window_start").orderBy(
         F.col("sold_quantity").desc(), F.col("product_id"))
-    top = (counts.select(as_wall_clock(F.col("window.start")).alias("window_start"),
-                         as_wall_clock(F.col("window.end")).alias("window_end"),
-                         "product_id", "sold_quantity")
-           .withColumn("rank", F.row_number().over(order))
+    top = (counts.withColumn("rank", F.row_number().over(order))
            .filter(F.col("rank") <= k)
            .withColumn("rank", F.col("rank").cast("int")))
     if products is None:
@@ -108,6 +112,20 @@ def start_top_products(items: DataFrame, out_path: str, checkpoint: str, event_t
     return set_trigger(w, trigger).start()
 
 
+def start_product_counts(items: DataFrame, out_path: str, checkpoint: str, event_time: str,
+                         window: str = "5 minutes", delay: str = "10 minutes", measure: str = "lines",
+                         trigger=None) -> StreamingQuery:
+    """ST2 without the ranking: all counts of every closed window, which late
+    rows can still be added to (``late.repair_counts``) before
+    ``rank_counts``."""
+    counts = windowed_product_counts(items, event_time, window, delay, measure)
+    w = (counts.select(as_wall_clock(F.col("window.start")).alias("window_start"),
+                       as_wall_clock(F.col("window.end")).alias("window_end"), "product_id", "sold_quantity")
+         .writeStream.format("parquet").outputMode("append").option("path", out_path)
+         .option("checkpointLocation", checkpoint))
+    return set_trigger(w, trigger).start()
+
+
 def windowed_revenue(orders: DataFrame, window: str = "3 hours",
                      delay: str = "0 seconds") -> DataFrame:
     """ST6: sales and order count per tumbling window of an order stream."""
@@ -128,6 +146,32 @@ def start_windowed_revenue(orders: DataFrame, out_path: str, checkpoint: str,
     return set_trigger(w, trigger).start()
 
 
+def trailing_revenue(orders: DataFrame, window: str = "3 hours", slide: str = "15 minutes",
+                     delay: str = "0 seconds") -> DataFrame:
+    """ST6, running: sales and orders of the last ``window``, every ``slide``.
+
+    Rows are first summed up by panes of one slide; the sliding windows are
+    then built from closed panes, so a row is aggregated once and a window
+    takes window / slide rows a task, however many orders it holds.  (A plain
+    sliding window copies every row into each of them.)"""
+    panes = (with_event_time(orders, "order_date", delay)
+             .groupBy(F.window(EVENT_TS, slide).alias("pane"))
+             .agg(F.sum("total_amount").alias("sales"), F.count(F.lit(1)).alias("orders")))
+    agg = (panes.groupBy(F.window(F.window_time("pane"), window, slide).alias("window"))
+           .agg(F.sum("sales").alias("sales"), F.sum("orders").alias("orders")))
+    return agg.select(as_wall_clock(F.col("window.start")).alias("window_start"),
+                      as_wall_clock(F.col("window.end")).alias("window_end"),
+                      "sales", "orders")
+
+
+def start_trailing_revenue(orders: DataFrame, out_path: str, checkpoint: str, window: str = "3 hours",
+                           slide: str = "15 minutes", delay: str = "0 seconds", trigger=None) -> StreamingQuery:
+    w = (trailing_revenue(orders, window, slide, delay).writeStream.format("parquet")
+         .outputMode("append").option("path", out_path)
+         .option("checkpointLocation", checkpoint))
+    return set_trigger(w, trigger).start()
+
+
 def window_growth(windows: DataFrame) -> DataFrame:
     """Growth of each window's sales over the window that ends where it
     starts (NULL without such a window, +Infinity/0 on a zero base); a
