@@ -15,10 +15,10 @@ dictionaries are exploded, counted and joined with the counts; a chunk's
 documents then meet its counted dictionary.  No link of a document travels by
 itself, and nothing is collected.
 
-The tokenizers are given as files and only applied.  Texts of many characters
-are encoded in parts cut before a space after other text, where neither
-tokenizer has a token across (byte-level BPE splits there first, and no
-sentence piece has a space after another character).
+The tokenizers are given as files and only applied.  Texts are encoded in
+parts cut before a space after other text, where neither tokenizer has a token
+across (byte-level BPE splits there first, and no sentence piece has a space
+after another character); a part that comes again is encoded once.
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from salestide.session import scratch_path
 
 BATCH_CHARS = 1 << 19      # characters encoded together (a longer text alone)
-PART_CHARS = 1 << 16       # characters of a long text encoded at once
+CACHED, CACHED_CHARS = 200_000, 48     # parts kept by a worker, twice (recent and before), and how long
+JOINED_CHARS = 1 << 16     # characters of new parts encoded as one text
 CHUNK_CHARS = 1 << 22      # characters of the documents that share a dictionary
 BLOCK = 1 << 18            # tokens whose links are written out at once
 MARKER = "\u2581"          # a space in sentence pieces
@@ -60,9 +61,11 @@ class Tokenizers:
     first: str                  # a ``tokenizers`` JSON file (byte-level BPE)
     second: bytes               # a ``sentencepiece`` model
     loaded: list = field(default_factory=list, repr=False)
+    cache: dict = field(default_factory=dict, repr=False)
+    before: dict = field(default_factory=dict, repr=False)
 
     def __getstate__(self):
-        return {"first": self.first, "second": self.second, "loaded": []}
+        return {"first": self.first, "second": self.second, "loaded": [], "cache": {}, "before": {}}
 
     @classmethod
     def load(cls, first: str, second: str) -> "Tokenizers":
@@ -88,23 +91,63 @@ class Tokenizers:
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Both id lists of every text (none of them empty); (empty, empty)
         where either doesn't give back the bytes of a space and the text."""
+        cut_ = [cut(t) for t in texts]
+        known = {p for parts in cut_ for p in parts}     # of these texts
+        recent, before = self.cache, self.before
+        known = {p: recent.get(p) or before.get(p) for p in known}
+        self._encode([p for p, ids in known.items() if ids is None], known)
+        recent.update((p, ids) for p, ids in known.items() if len(p) <= CACHED_CHARS)
+        if len(recent) > CACHED:      # what is not asked for again goes
+            self.cache, self.before = {}, recent
+        out = []
+        for parts in cut_:
+            a, b, same = zip(*map(known.__getitem__, parts))
+            whole = all(same)
+            out.append(tuple(np.frombuffer(b"".join(x) if whole else b"", np.int32).astype(np.int64) for x in (a, b)))
+        return out
+
+    def _encode(self, parts: list[str], known: dict) -> None:
+        """(ids, ids, whether both give back the bytes) of parts without
+        their first space, into ``known``.  Parts that may stand before
+        another one are encoded as one text, and its tokens dealt out."""
+        single, joined, held = [], [], 0
+        for p in parts:
+            if not p or p[-1].isspace() or p[-1] == MARKER or len(p) > CACHED_CHARS:
+                single.append(p)
+                continue
+            joined.append(p)
+            held += len(p)
+            if held > JOINED_CHARS:
+                single += self._together(joined, known)
+                joined, held = [], 0
+        single += self._together(joined, known)
         a, b, of_a, of_b = self.parts()
-        parts, owner = [], []
-        for i, t in enumerate(texts):
-            for p in cut(" " + t):
-                parts.append(p)
-                owner.append(i)
-        found: list[tuple[list, list, list]] = [([], [], []) for _ in texts]
-        first = a.encode_batch_fast(parts, add_special_tokens=False)
-        second = b.encode([p[1:] for p in parts], num_threads=1)
-        for i, p, x, y in zip(owner, parts, first, second):
-            x, data = x.ids, p.encode("utf-8", "surrogatepass")
-            ids, pieces, same = found[i]
-            ids.append(np.array(x, np.int64))
-            pieces.append(np.array(y, np.int64))
-            same.append(of_a.joined(x) == data and of_b.joined(y) == data)
-        none = np.empty(0, np.int64)
-        return [(np.concatenate(x), np.concatenate(y)) if all(ok) else (none, none) for x, y, ok in found]
+        first = a.encode_batch_fast([" " + p for p in single], add_special_tokens=False)
+        for p, x, y in zip(single, first, b.encode(single, num_threads=1)):
+            x, data = x.ids, (" " + p).encode("utf-8", "surrogatepass")
+            known[p] = (np.array(x, np.int32).tobytes(), np.array(y, np.int32).tobytes(),
+                        of_a.joined(x) == data and of_b.joined(y) == data)
+
+    def _together(self, parts: list[str], known: dict) -> list[str]:
+        """``parts`` encoded as one text; those to be encoded one by one
+        (all of them where the bytes don't come back)."""
+        if not parts:
+            return []
+        a, b, of_a, of_b = self.parts()
+        text = " ".join(parts)
+        x, y = a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, b.encode(text)
+        data = (" " + text).encode("utf-8", "surrogatepass")
+        if of_a.joined(x) != data or of_b.joined(y) != data:
+            return parts
+        ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in parts])
+        dealt = []
+        for ids, of in ((x, of_a), (y, of_b)):
+            ids = np.array(ids, np.int32)
+            at = np.searchsorted(np.cumsum(of.sizes[ids]), ends) + 1
+            raw, at = ids.tobytes(), (at * 4).tolist()
+            dealt.append([raw[i:j] for i, j in zip([0, *at], at)])
+        known.update((p, (i, j, True)) for p, i, j in zip(parts, *dealt))
+        return []
 
 
 class Vocabulary:
@@ -121,33 +164,38 @@ class Vocabulary:
 
 
 def cut(text: str) -> list[str]:
-    """``text`` (which starts with a space) in parts of about ``PART_CHARS``,
-    each starting with a space after a character that is neither white space
-    nor the marker, and holding more than that space."""
-    out, a, last = [], 0, len(text) - 1
-    while len(text) - a > PART_CHARS:
-        b = text.find(" ", a + PART_CHARS, last)
-        while b >= 0 and (text[b - 1].isspace() or text[b - 1] == MARKER):
-            b = text.find(" ", b + 1, last)
-        if b < 0:
-            break
-        out.append(text[a:b])
-        a = b
-    return [*out, text[a:]]
+    """``text`` in parts, cut at (and without) each space that follows a
+    character which is neither white space nor the marker, and doesn't end
+    the text."""
+    words = text.split(" ")
+    out, part, last = [], words[0], len(words) - 1
+    for i in range(1, last + 1):
+        word = words[i]
+        end = part[-1:]
+        if not end or end.isspace() or end == MARKER or (i == last and not word):
+            part = f"{part} {word}"
+        else:
+            out.append(part)
+            part = word
+    out.append(part)
+    return out
 
 
 def gallop(short: list[int], long: list[int]) -> list[int]:
     """For each entry of ``short``, how many of ``long`` are smaller (both rising)."""
     out, at, n = [], 0, len(long)
+    long = [*long, float("inf")]
     for x in short:
-        if at < n and long[at] < x:
-            step, low = 2, at + 1
-            probe = at + 1
-            while probe < n and long[probe] < x:
-                low = probe + 1
-                step *= 2
-                probe = at + step - 1
-            at = bisect_left(long, x, low, min(probe, n))
+        if long[at] < x:
+            at += 1
+            if long[at] < x:
+                low, step = at + 1, 2
+                probe = at + 1
+                while probe < n and long[probe] < x:
+                    low = probe + 1
+                    step *= 2
+                    probe = at + step - 1
+                at = bisect_left(long, x, low, min(probe, n))
         out.append(at)
     return out
 

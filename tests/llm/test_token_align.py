@@ -101,14 +101,17 @@ def test_gallop_counts_smaller_entries():
         assert ta.gallop(short, long) == [sum(y < x for y in long) for x in short]
 
 
-def test_long_texts_encode_as_they_do_whole(tokenizers, monkeypatch):
+def test_parts_encode_as_whole_texts_do(tokenizers):
     r = random.Random(2)
-    texts = [" ".join(r.choice([*ODD, text(i, 8), "", " "]) for i in range(30)) for _ in range(40)]
-    whole = tokenizers.encode(texts)
-    monkeypatch.setattr(ta, "PART_CHARS", 40)
-    assert any(len(ta.cut(" " + t)) > 3 for t in texts)
-    for (a, b), (c, d) in zip(whole, tokenizers.encode(texts)):
-        assert np.array_equal(a, c) and np.array_equal(b, d)
+    texts = [" ".join(r.choice([*ODD, text(i, 8), "", " "]) for i in range(30)) for _ in range(60)]
+    assert all(" ".join(ta.cut(t)) == t for t in texts) and any(len(ta.cut(t)) > 30 for t in texts)
+    a, b, of_a, of_b = tokenizers.parts()
+    for t, (x, y) in zip(texts, tokenizers.encode(texts)):
+        whole = a.encode(" " + t, add_special_tokens=False).ids, b.encode(t)
+        data = (" " + t).encode()
+        if of_a.joined(whole[0]) != data or of_b.joined(whole[1]) != data:
+            whole = [], []
+        assert (x.tolist(), y.tolist()) == tuple(whole)
 
 
 def test_align_matches_the_plain_version(spark, tokenizers, monkeypatch):
