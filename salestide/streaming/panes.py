@@ -191,9 +191,12 @@ def growth_rate(spark: SparkSession, root: str, as_of=None, period: str = "3 hou
     """k11 from panes: growth of the sales since ``as_of - period`` over
     those of the period before."""
     low = back(spark, now(spark, as_of), period)
-    cur = _sales(spark, root, Span(low), length).select(F.col("sales").alias("cur"))
-    prev = _sales(spark, root, Span(back(spark, low, period), low), length).select(F.col("sales").alias("prev"))
-    return spark.range(1).select(growth_pct(cur.scalar(), prev.scalar()).alias("growth_rate"))
+    none = F.lit(None).cast("decimal(38,2)")
+    cur = _sales(spark, root, Span(low), length).select(F.col("sales").alias("cur"), none.alias("prev"))
+    prev = _sales(spark, root, Span(back(spark, low, period), low), length).select(
+        none.alias("cur"), F.col("sales").alias("prev"))
+    both = cur.unionByName(prev).agg(F.max("cur").alias("cur"), F.max("prev").alias("prev"))
+    return both.select(growth_pct(F.col("cur"), F.col("prev")).alias("growth_rate"))
 
 
 def distinct_estimate(spark: SparkSession, root: str, name: str, span: Span, length: str = LENGTH) -> DataFrame:
