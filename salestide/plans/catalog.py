@@ -610,31 +610,32 @@ def s04_summary_roundtrip(spark, sf_dir):
 # -- streaming (file-source streams drained with availableNow) ------------------
 
 
-REPLAY_SLICES = 8            # micro-batches of a replay, in order of time
+REPLAY_SLICES = 8            # micro-batches of a replay in which windows close, in order of time
+FEW_SLICES = 3               # of one where event time closes nothing
 REPLAY_FILE_ROWS = 1_000_000
 
 
-def _arriving(spark, df: DataFrame, time: str, arrives=None) -> tuple[str, int, int]:
+def _arriving(spark, df: DataFrame, time: str, arrives=None, slices: int = FEW_SLICES) -> tuple[str, int, int]:
     """(folder, files a micro-batch, seconds a slice): ``df`` as files that
-    arrive in ``REPLAY_SLICES`` slices of its span of times.  ``arrives``
+    arrive in so many slices of its span of times.  ``arrives``
     gives the slice a row comes with from the one its time lies in (by
     default every other row comes one slice late)."""
     path, staged = scratch_path(spark, "replay"), scratch_path(spark, "replay-slices")
     at = F.unix_micros(as_instant(F.col(time).cast("timestamp_ntz")))
     low, high, n = df.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
     low, high = low or 0, high or 0
-    seconds = (high - low) // (REPLAY_SLICES * 1_000_000) + 1
+    seconds = (high - low) // (slices * 1_000_000) + 1
     place = F.coalesce(F.floor((at - low) / F.lit(seconds * 1_000_000)).cast("int"), F.lit(0))
     if arrives is None:
         arrives = lambda slice_, row: slice_ + F.pmod(row, F.lit(2)).cast("int")
     row = F.xxhash64(*df.columns)
     df.withColumn("_slice", arrives(place, row)).write.partitionBy("_slice").parquet(staged)
-    files = n // (REPLAY_SLICES * REPLAY_FILE_ROWS) + 1
-    slices = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])) \
+    files = n // (slices * REPLAY_FILE_ROWS) + 1
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])) \
         .parquet(staged)
-    for (k,) in sorted(slices.select("_slice").distinct().collect()):
+    for (k,) in sorted(rows.select("_slice").distinct().collect()):
         # one after the other: a file source takes files by their time
-        slices.where(F.col("_slice") == k).drop("_slice").repartition(files).write.mode("append").parquet(path)
+        rows.where(F.col("_slice") == k).drop("_slice").repartition(files).write.mode("append").parquet(path)
     remove_path(spark, staged)
     return path, files, seconds
 
@@ -643,13 +644,14 @@ def _stream(spark, df: DataFrame, path: str, files: int) -> DataFrame:
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def _replay(spark, df: DataFrame, time: str, arrives=None, delay: float = 1.0, **closing):
+def _replay(spark, df: DataFrame, time: str, arrives=None, delay: float = 1.0, slices: int = REPLAY_SLICES,
+            **closing):
     """(stream, delay, folder): ``df`` as a stream of micro-batches in order
     of time, but for the disorder of ``arrives``.  The delay (in slices)
     covers that disorder by default, so windows close all along; a last row,
     one delay after the newest, moves the watermark up to the newest row.  It
     is NULL but for its time and ``closing``."""
-    path, files, seconds = _arriving(spark, df, time, arrives)
+    path, files, seconds = _arriving(spark, df, time, arrives, slices)
     wait = f"INTERVAL {int(seconds * delay) + 1} SECONDS"
     kind = df.schema[time].dataType
     end = df.agg(F.max(time).alias("hi")).select(*[
@@ -911,7 +913,7 @@ def _maintained(spark, sf_dir):
     items = t.order_items()
     for name, df, time in (("orders", t.orders(), "order_date"), ("order_items", items, None)):
         if time is None:        # items carry no time: they arrive in slices of their ids
-            df = df.withColumn("_at", F.timestamp_seconds(F.pmod("order_id", F.lit(REPLAY_SLICES))).cast("timestamp_ntz"))
+            df = df.withColumn("_at", F.timestamp_seconds(F.pmod("order_id", F.lit(FEW_SLICES))).cast("timestamp_ntz"))
             path, files, _ = _arriving(spark, df, "_at")
         else:
             path, files, _ = _arriving(spark, df, time)

@@ -69,19 +69,11 @@ TOP_AS_OF = ORDERS_AS_OF.replace("00:00:00", "00:07:00")
 
 @register("st5_trailing_top_products", ORACLES["t07_top_products"].replace(ORDERS_AS_OF, TOP_AS_OF))
 def st5_trailing_top_products(spark, sf_dir):
-    """t07 from panes that a stream-stream join feeds: item messages follow
-    their order by up to an hour and take its time."""
+    """t07 from panes of items that carry their order's time."""
     t, root = catalog._t(spark, sf_dir), scratch_path(spark, "panes")
-    orders = t.orders().select("order_id", "order_date")
-    sent = F.make_dt_interval(mins=F.pmod(F.xxhash64("product_id", "order_id"), F.lit(60)).cast("int"))
-    items = (t.order_items().select("order_id", "product_id", "quantity").join(orders, "order_id")
-             .withColumn("timestamp", F.col("order_date") + sent).drop("order_date"))
-    o, delay, o_path = catalog._replay(spark, orders, "order_date")
-    i, i_delay, i_path = catalog._replay(spark, items, "timestamp")
-    joined = streaming.items_with_order_time(o, i, max_skew="1 hour", delay=max(delay, i_delay, key=len))
-    ck = scratch_path(spark, "panes-products-ck")
-    q = panes.start_panes(joined, "products", root, ck, trigger="availableNow")
-    catalog._drained(spark, [q], o_path, i_path, ck)
+    times = t.orders().select("order_id", F.col("order_date").alias("order_time"))
+    items = t.order_items().join(times, "order_id").select("order_time", "product_id", "quantity")
+    _drain_panes(spark, items, "products", root)
     return panes.top_products(spark, root, t.products(), TOP_AS_OF, catalog.TOP_PRODUCTS_LOOKBACK)
 
 
@@ -100,7 +92,7 @@ def _upserted_customers(spark, sf_dir):
         (day + F.make_dt_interval(days=F.col("v"))).alias("timestamp"))
     sent = versions.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
     path, files, _ = catalog._arriving(
-        spark, sent, "timestamp", lambda _, row: F.pmod(row, F.lit(catalog.REPLAY_SLICES)).cast("int"))
+        spark, sent, "timestamp", lambda _, row: F.pmod(row, F.lit(catalog.FEW_SLICES)).cast("int"))
     root, ck = scratch_path(spark, "customers"), scratch_path(spark, "customers-ck")
     stream = catalog._stream(spark, sent, path, files).drop("copy")
     q = upsert.start_upsert(stream, root, ck, "customer_id", "timestamp", buckets=8, trigger="availableNow")
