@@ -1,7 +1,7 @@
 """Toxicity scores by a factorization machine over hashed terms.
 
 Terms are the distinct lower-case words of a text and their prefixes and
-endings, hashed into a fixed space.  A second-order factorization machine,
+endings (in bytes), hashed into a fixed space, whole batches of texts at once.  A second-order factorization machine,
 
     logit = b + sum_i w_i + sum_{i<j} <v_i, v_j>      over the terms present,
 
@@ -13,17 +13,24 @@ with the fitted model broadcast (its size is bounded by ``Settings.kept``).
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORD = re.compile(r"\w+")
+from salestide.llm.grams import U, mix, stream
+
+PREFIXES, ENDING = (4, 5, 6), 4    # bytes of a word's prefixes and ending that are terms
+PIECE = 1 << 20                    # bytes of text hashed at once
+
+# words are runs of ASCII letters, digits and underscores, and of other characters' bytes
+_WORD_BYTE = np.zeros(256, bool)
+_WORD_BYTE[48:58] = _WORD_BYTE[97:123] = _WORD_BYTE[95] = _WORD_BYTE[128:] = True
+_PLACES = 1 << 12                  # bytes of a word with a weight of their own
+_WEIGHTS = stream(_PLACES, 11) | U(1)
 
 
 @dataclass(frozen=True)
@@ -51,52 +58,98 @@ class Model:
     w: np.ndarray
     v: np.ndarray
     bias: float
-    cache: dict = field(default_factory=dict, repr=False)
-
-    def __getstate__(self):
-        return {**self.__dict__, "cache": {}}
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        h = word_terms(word, self.bits)
-        at = np.searchsorted(self.terms, h)
-        return tuple(int(i) for i, x in zip(at, h) if i < len(self.terms) and self.terms[i] == x)
 
     def score(self, text: str | None) -> float:
-        cache, present = self.cache, set()
-        for word in set(WORD.findall((text or "").lower())):
-            at = cache.get(word)
-            if at is None:
-                if len(cache) > 120_000:
-                    cache.clear()
-                at = cache[word] = self._word(word)
-            if at:
-                present.update(at)
-        logit = self.bias
-        if present:
-            i = np.fromiter(sorted(present), dtype=np.int64)
-            v = self.v[i]
-            s = v.sum(axis=0)
-            logit += float(self.w[i].sum() + 0.5 * (s @ s - (v * v).sum()))
-        return float(1.0 / (1.0 + np.exp(-np.clip(logit, -30.0, 30.0))))
-
-
-def word_terms(word: str, bits: int) -> list[int]:
-    """Hashed terms of a word: itself, its first 4, 5 and 6 characters, its last 4."""
-    mask = (1 << bits) - 1
-    out = [zlib.crc32(("=" + word).encode("utf-8", "surrogatepass")) & mask]
-    for n in (4, 5, 6):
-        if len(word) > n:
-            out.append(zlib.crc32(f"{n}{word[:n]}".encode("utf-8", "surrogatepass")) & mask)
-    if len(word) > 4:
-        out.append(zlib.crc32(("$" + word[-4:]).encode("utf-8", "surrogatepass")) & mask)
-    return out
+        return float(self.scores([text])[0])
+
+    def scores(self, texts) -> np.ndarray:
+        """The probability of label 1 of each text, in batches of ``PIECE``
+        bytes; the pairwise sum is taken as (|sum v|^2 - sum |v|^2) / 2."""
+        place = np.full((1 << self.bits) + 1, -1, np.int32)
+        place[self.terms] = np.arange(len(self.terms))
+        out, a = np.full(len(texts), float(self.bias)), 0
+        for part in _batches(texts):
+            doc, term = terms_of(part, self.bits)
+            at = place[term]
+            doc, at = doc[at >= 0], at[at >= 0]
+            if len(at):
+                v = self.v[at]
+                first = np.flatnonzero(np.diff(doc, prepend=-1))
+                sums = np.add.reduceat(v, first)
+                squares = np.add.reduceat((v * v).sum(axis=1), first)
+                out[a + doc[first]] += np.add.reduceat(self.w[at], first) + 0.5 * (
+                    (sums * sums).sum(axis=1) - squares)
+            a += len(part)
+        return 1.0 / (1.0 + np.exp(-np.clip(out, -30.0, 30.0)))
+
+
+def _batches(texts) -> Iterator[list]:
+    batch, held = [], 0
+    for t in texts:
+        batch.append(t)
+        held += len(t or "")
+        if held >= PIECE:
+            yield batch
+            batch, held = [], 0
+    if batch:
+        yield batch
+
+
+def _word_terms(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte of the word, 64-bit hash) of every term of every word of
+    ``data``: the word, its prefixes and its ending, where it is longer."""
+    raw = np.frombuffer(data, np.uint8)
+    word = _WORD_BYTE[raw]
+    edge = np.flatnonzero(np.diff(word.astype(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    start, end = edge[0::2], edge[1::2]
+    if not len(start):
+        return np.empty(0, np.int64), np.empty(0, U)
+    size = end - start
+    at = np.flatnonzero(word)
+    offset = np.cumsum(size) - size
+    within = at - np.repeat(start, size)
+    with np.errstate(over="ignore"):
+        # places beyond the table take a weight that still depends on where they are
+        far = mix((within // _PLACES).astype(U)) | U(1) if size.max() > _PLACES else U(1)
+        part = (raw[at].astype(U) + U(1)) * _WEIGHTS[within % _PLACES] * far
+        starts, hashes = [start], [mix(np.add.reduceat(part, offset) + size.astype(U) * U(0x9E3779B97F4A7C15))]
+        for n in PREFIXES:
+            longer = size > n
+            first = offset[longer]
+            total = part[first].copy()
+            for j in range(1, n):
+                total += part[first + j]
+            starts.append(start[longer])
+            hashes.append(mix(total + U(n * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)))
+        longer = size > ENDING
+        last = end[longer]
+        total = np.zeros(len(last), U)
+        for j in range(ENDING):
+            total += (raw[last - ENDING + j].astype(U) + U(1)) * _WEIGHTS[j]
+        starts.append(start[longer])
+        hashes.append(mix(total + U(0xA0761D6478BD642F)))
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def terms_of(texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, hashed term) of the distinct terms of each text, sorted."""
+    data = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
+    begins = np.cumsum([0] + [len(t) + 1 for t in data])
+    whole, found, a = b"\n".join(data), [], 0
+    while a < len(whole):
+        b = a + PIECE
+        while b < len(whole) and _WORD_BYTE[whole[b]]:     # pieces end between words
+            b += 1
+        start, h = _word_terms(whole[a:b])
+        doc = np.searchsorted(begins, start + a, side="right") - 1
+        found.append(np.unique((doc.astype(np.int64) << bits) | (h >> U(64 - bits)).astype(np.int64)))
+        a = b
+    keys = found[0] if len(found) == 1 else np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+    return keys >> bits, keys & ((1 << bits) - 1)
 
 
 def text_terms(text: str | None, bits: int) -> np.ndarray:
-    found: set[int] = set()
-    for word in set(WORD.findall((text or "").lower())):
-        found.update(word_terms(word, bits))
-    return np.array(sorted(found), dtype=np.int32)
+    return terms_of([text], bits)[1].astype(np.int32)
 
 
 def _deviations(every: np.ndarray, toxic: np.ndarray, n: int, n1: int) -> np.ndarray:
@@ -148,30 +201,35 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, s: Settings = Settings()) ->
     v = rng.normal(0, 0.02, (len(terms), s.factors))
     if not len(terms) or n1 in (0, len(y)):
         return Model(s.bits, terms, w, v * 0, prior)
-    rows = [np.searchsorted(terms, r[np.isin(r, terms)]) for r in rows]
+    place = np.full(1 << s.bits, -1, np.int64)
+    place[terms] = np.arange(len(terms))
+    rows = [at[at >= 0] for at in (place[r] for r in rows)]
     gw, gv, gb, bias = np.full(len(w), 1e-2), np.full(v.shape, 1e-2), 1e-2, prior
     for _ in range(s.epochs):
         order = rng.permutation(len(rows))
         for a in range(0, len(order), s.batch):
             part = order[a:a + s.batch]
+            size = np.array([len(rows[i]) for i in part])
             idx = np.concatenate([rows[i] for i in part]).astype(np.int64)
-            doc = np.repeat(np.arange(len(part)), [len(rows[i]) for i in part])
+            doc, some = np.repeat(np.arange(len(part)), size), size > 0
+            first = (np.cumsum(size) - size)[some]
             vi = v[idx]
-            sums = np.zeros((len(part), s.factors))
-            np.add.at(sums, doc, vi)
-            lin = np.bincount(doc, w[idx], len(part))
-            sq = np.bincount(doc, (vi * vi).sum(axis=1), len(part))
-            z = np.clip(bias + lin + 0.5 * ((sums * sums).sum(axis=1) - sq), -30, 30)
+            sums, half = np.zeros((len(part), s.factors)), np.zeros(len(part))
+            if len(idx):
+                sums[some] = np.add.reduceat(vi, first)
+                half[some] = np.add.reduceat(w[idx] - 0.5 * (vi * vi).sum(axis=1), first)
+            z = np.clip(bias + half + 0.5 * (sums * sums).sum(axis=1), -30, 30)
             err = (1 / (1 + np.exp(-z)) - y[part]) / len(part)
             gb += err.sum() ** 2
             bias -= s.rate * err.sum() / np.sqrt(gb)
             if not len(idx):
                 continue
-            used, inv = np.unique(idx, return_inverse=True)
-            dw = np.bincount(inv, err[doc], len(used)) + s.decay * w[used]
-            dv = np.zeros((len(used), s.factors))
-            np.add.at(dv, inv, err[doc][:, None] * (sums[doc] - vi))
-            dv += s.decay * v[used]
+            by = np.argsort(idx, kind="stable")        # the places of each term together
+            term, whose = idx[by], doc[by]
+            edge = np.flatnonzero(np.diff(term, prepend=-1))
+            used, share = term[edge], err[whose]
+            dw = np.add.reduceat(share, edge) + s.decay * w[used]
+            dv = np.add.reduceat(share[:, None] * (sums[whose] - vi[by]), edge) + s.decay * v[used]
             gw[used] += dw * dw
             gv[used] += dv * dv
             w[used] -= s.rate * dw / np.sqrt(gw[used])
@@ -202,9 +260,10 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
             yield pd.DataFrame({"doc_id": p.doc_id, "y": p.y,
                                 "terms": [text_terms(t, bits).tobytes() for t in p.text]})
 
-    found = rows.mapInPandas(hashed, "doc_id long, y int, terms binary").collect()
-    once = {r.doc_id: r for r in sorted(found, key=lambda r: bytes(r.terms))}
-    found = [once[i] for i in sorted(once)]
+    once = rows.mapInPandas(hashed, "doc_id long, y int, terms binary").groupBy("doc_id").agg(
+        F.max(F.struct("terms", "y")).alias("r"))
+    # one row for each of at most s.sample ids; a row has 2**bits terms at most
+    found = sorted(once.select("doc_id", "r.y", "r.terms").collect(), key=lambda r: r.doc_id)
     return fit_rows([np.frombuffer(bytes(r.terms), np.int32) for r in found],
                     np.array([r.y for r in found]), s)
 
@@ -215,8 +274,7 @@ def score_column(spark, model: Model, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def scores(texts: pd.Series) -> pd.Series:
-        m = shared.value
-        return pd.Series([m.score(t) for t in texts], dtype="float64")
+        return pd.Series(shared.value.scores(texts.tolist()), dtype="float64")
 
     return scores(text)
 

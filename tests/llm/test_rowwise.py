@@ -296,6 +296,46 @@ def test_pair_of_terms_weak_alone_gets_factors(group, insult):
     assert max(map(model.score, ("w1 islanders", "w1 vermin", "w1"))) < 0.6
 
 
+def plain_terms(t, bits):
+    """Hashes of the terms of a text, word by word."""
+    mask = (1 << 64) - 1
+    weights = [int(x) for x in toxicity._WEIGHTS[:64]]
+
+    def mixed(x):
+        x &= mask
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return (x ^ (x >> 31)) >> (64 - bits)
+
+    def linear(b):
+        return sum((c + 1) * w for c, w in zip(b, weights))
+
+    out = set()
+    for w in re.findall(rb"[0-9a-z_\x80-\xff]+", t.lower().encode()):
+        out.add(mixed(linear(w) + len(w) * 0x9E3779B97F4A7C15))
+        out.update(mixed(linear(w[:n]) + n * 0x632BE59BD9B4E019) for n in (4, 5, 6) if len(w) > n)
+        if len(w) > 4:
+            out.add(mixed(linear(w[-4:]) + 0xA0761D6478BD642F))
+    return sorted(out)
+
+
+def test_toxicity_score_is_the_sum_over_all_pairs(monkeypatch):
+    r = np.random.default_rng(2)
+    texts = [text(i, 40) for i in range(6)] + ["", None, "é ñ 漢字 x_1 Ünïcode wörter", "one", "A" * 50, text(9, 400)]
+    terms = np.unique(np.concatenate([plain_terms(t or "", 20) for t in texts[::2]]).astype(np.int64))
+    m = toxicity.Model(20, terms, r.normal(size=len(terms)), 0.3 * r.normal(size=(len(terms), 5)), -0.7)
+    place = {int(h): i for i, h in enumerate(terms)}
+    want = []
+    for t in texts:
+        at = [place[h] for h in plain_terms(t or "", 20) if h in place]
+        z = m.bias + sum(m.w[i] for i in at) + sum(
+            float(m.v[i] @ m.v[j]) for a, i in enumerate(at) for j in at[a + 1:])
+        want.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+    assert np.allclose(m.scores(texts), want)
+    monkeypatch.setattr(toxicity, "PIECE", 64)       # pieces and batches of any size
+    assert np.allclose(m.scores(texts), want)
+
+
 def test_toxicity_edge_cases(spark):
     d = docs(spark, edge_rows())
     none = spark.createDataFrame([], "doc_id long, toxic int")
