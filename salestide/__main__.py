@@ -24,14 +24,17 @@ def _ingest(args) -> None:
     from salestide.schemas import RELATIONS
     from salestide.session import build_session
     from salestide.sources.stream import kafka_messages
+    from salestide.streaming.common import late_rows
     from salestide.streaming.ingest import start_ingest
     spark = build_session(large_state=bool(args.dedup))
     topics = dict(t.split("=", 1) for t in args.topic)
     dedup = None
-    if args.dedup:  # orders by their own time, the other relations by the broker's
-        dedup = {relation: (RELATIONS[relation][1],
-                            "order_date" if relation == "orders" else "timestamp",
-                            args.dedup_delay, args.dedup_strategy if relation == "orders" else "first_seen")
+    if args.dedup:
+        # copies follow each other in the broker's time, in which no old order is
+        # late; ``collapse`` needs a time that copies share, the order's own
+        collapse = {"orders"} if args.dedup_strategy == "collapse" else set()
+        dedup = {relation: (RELATIONS[relation][1], "order_date" if relation in collapse else "timestamp",
+                            args.dedup_delay, "collapse" if relation in collapse else "first_seen")
                  for relation in topics.values()}
     keep = ("timestamp",) if args.keep_broker_time or args.dedup else ()
     queries = start_ingest(
@@ -40,6 +43,9 @@ def _ingest(args) -> None:
         keep=keep, quarantine=not args.no_quarantine)
     for q in queries:
         q.awaitTermination()
+        if late_rows(q):
+            print(f"{q.name or q.id}: {late_rows(q)} rows of its last batches came after the watermark "
+                  "and were dropped (see streaming/late.py)", file=sys.stderr)
 
 
 def _refresh(args) -> None:

@@ -9,9 +9,10 @@ repair.  A look-back adds the panes that lie inside it and reads single rows
 of the one or two panes that its bounds cut: no history is scanned.
 
 Layout, for each of ``PANES``: ``<root>/<name>/panes`` and
-``<root>/<name>/rows``, both partitioned by day and micro-batch.  A retried
-batch replaces its own partitions; ``expire`` drops the days that no look-back
-reaches any more.
+``<root>/<name>/rows``, both partitioned by month and micro-batch and sorted
+by pane, so that a look-back lists the months it touches and skips the row
+groups of other panes.  A retried batch replaces its own partitions;
+``expire`` drops the months that no look-back reaches any more.
 """
 
 from __future__ import annotations
@@ -81,14 +82,14 @@ def fold(rows: DataFrame, name: str, length: str = LENGTH) -> DataFrame:
     """The partials of ``rows``: one row for each pane and key."""
     pane = PANES[name]
     timed = rows.where(F.col(pane.time).isNotNull()).withColumn("pane", pane_number(F.col(pane.time), length))
-    day = F.min(F.col(pane.time).cast("date"))     # the same for all: panes fill days
+    month = F.min(F.trunc(pane.time, "month"))     # the same for all: panes fill days
     return timed.groupBy("pane", *pane.keys).agg(
-        *[fn().alias(c) for c, (fn, _) in pane.values.items()], day.alias("day"))
+        *[fn().alias(c) for c, (fn, _) in pane.values.items()], month.alias("month"))
 
 
 def _publish(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id)).repartition("day")
-     .write.partitionBy("day", "batch_id").option("partitionOverwriteMode", "dynamic")
+    (df.withColumn("batch_id", F.lit(batch_id)).repartition("month").sortWithinPartitions("month", "pane")
+     .write.partitionBy("month", "batch_id").option("partitionOverwriteMode", "dynamic")
      .mode("overwrite").parquet(path))
 
 
@@ -104,7 +105,7 @@ def start_panes(stream: DataFrame, name: str, root: str, checkpoint: str, length
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.where(F.col(pane.time).isNotNull()).select(pane.time, *pane.columns)
         _publish(rows.withColumn("pane", pane_number(F.col(pane.time), length))
-                 .withColumn("day", F.col(pane.time).cast("date")), f"{root}/{name}/rows", batch_id)
+                 .withColumn("month", F.trunc(pane.time, "month")), f"{root}/{name}/rows", batch_id)
         _publish(fold(rows, name, length), f"{root}/{name}/panes", batch_id)
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -126,7 +127,7 @@ class Span:
 
 
 def now(spark: SparkSession, as_of=None) -> dt.datetime:
-    """The as-of instant as a value, so that the days and panes a look-back
+    """The as-of instant as a value, so that the months and panes a look-back
     needs are known before its files are listed."""
     return spark.range(1).select(as_of_column(as_of).cast("timestamp_ntz")).first()[0]
 
@@ -136,9 +137,9 @@ def back(spark: SparkSession, instant: dt.datetime, length: str) -> dt.datetime:
 
 
 def _read(spark: SparkSession, path: str, span: Span) -> DataFrame:
-    """Only the days that ``span`` touches (partition pruning)."""
-    df = spark.read.parquet(path).where(F.col("day") >= F.lit(span.low.date()))
-    return df if span.high is None else df.where(F.col("day") <= F.lit(span.high.date()))
+    """Only the months that ``span`` touches (partition pruning)."""
+    df = spark.read.parquet(path).where(F.col("month") >= F.lit(span.low.date().replace(day=1)))
+    return df if span.high is None else df.where(F.col("month") <= F.lit(span.high.date()))
 
 
 def within(spark: SparkSession, root: str, name: str, span: Span, length: str = LENGTH) -> DataFrame:
@@ -206,11 +207,14 @@ def distinct_estimate(spark: SparkSession, root: str, name: str, span: Span, len
         F.coalesce(F.hll_sketch_estimate("ids"), F.lit(0).cast("bigint")).alias("distinct_ids"))
 
 
-def distinct_by_days(spark: SparkSession, root: str, name: str, lengths: tuple[int, ...]) -> DataFrame:
+def distinct_by_days(spark: SparkSession, root: str, name: str, lengths: tuple[int, ...],
+                     length: str = LENGTH) -> DataFrame:
     """The estimates of all runs of so many days that begin with a day there
     is: (first_day, days, distinct_ids).  Panes are united by day once; a
     run unites its days' sketches."""
-    daily = spark.read.parquet(f"{root}/{name}/panes").groupBy("day").agg(F.hll_union_agg("ids").alias("ids"))
+    day = F.date_from_unix_date(F.floor(F.col("pane") * interval_seconds(length) / 86_400).cast("int"))
+    daily = spark.read.parquet(f"{root}/{name}/panes").groupBy(day.alias("day")).agg(
+        F.hll_union_agg("ids").alias("ids"))
     runs = daily.select("ids", "day", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("days")).select(
         "ids", "days", F.explode(F.sequence(F.lit(0), F.col("days") - 1)).alias("back"), "day")
     runs = runs.select("ids", "days", F.date_sub("day", F.col("back")).alias("first_day"))
@@ -230,10 +234,10 @@ def top_products(spark: SparkSession, root: str, products: DataFrame, as_of=None
 
 
 def expire(spark: SparkSession, root: str, name: str, before: dt.date) -> int:
-    """Drop the days before ``before``; how many there were."""
-    days = [r.day for r in spark.read.parquet(f"{root}/{name}/panes").select("day").distinct()
-            .where(F.col("day") < F.lit(before)).collect()]     # one value a day
-    for day in days:
+    """Drop the months that end before ``before``; how many there were."""
+    months = [r.month for r in spark.read.parquet(f"{root}/{name}/panes").select("month").distinct()
+              .where(F.col("month") < F.lit(before.replace(day=1))).collect()]     # one value a month
+    for month in months:
         for kind in ("panes", "rows"):
-            remove_path(spark, f"{root}/{name}/{kind}/day={day}")
-    return len(days)
+            remove_path(spark, f"{root}/{name}/{kind}/month={month}")
+    return len(months)
