@@ -167,12 +167,11 @@ def _shared(a, b) -> tuple[int, np.ndarray, np.ndarray]:
     return int(np.minimum(m, other).sum()), x[more > 0], more[more > 0]
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, s: Settings, beyond: bool = False) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """``pairs`` (a, b) with ``shared`` (the multiset overlap), ``n_a`` and
-    ``n_b`` (the sizes) and, on demand, ``beyond``: what a has beyond b."""
-    kind = "shared int, n_a int, n_b int, beyond array<struct<gram:long,c:int>>"
+    ``n_b`` (the sizes), and what a has beyond b (``gram``, ``c`` times)."""
 
-    @F.pandas_udf(kind)
+    @F.pandas_udf("shared int, n_a int, n_b int, gram array<long>, c array<int>")
     def compare(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         kept: dict = {}
 
@@ -188,15 +187,13 @@ def _compared(pairs: DataFrame, texts: DataFrame, s: Settings, beyond: bool = Fa
         for x, y in zip(a, b):
             x, y = of(x), of(y)
             n, g, c = _shared(x, y)
-            extra = [{"gram": i, "c": j} for i, j in zip(g.tolist(), c.tolist())] if beyond else None
-            rows.append((n, int(x[1].sum()), int(y[1].sum()), extra))
-        return pd.DataFrame(rows, columns=["shared", "n_a", "n_b", "beyond"])
+            rows.append((n, int(x[1].sum()), int(y[1].sum()), g, c.astype(np.int32)))
+        return pd.DataFrame(rows, columns=["shared", "n_a", "n_b", "gram", "c"])
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(one, "a").join(two, "b")
-    return both.withColumn("r", compare("text_a", "text_b")).select(
-        "a", "b", "r.shared", "r.n_a", "r.n_b", *(["r.beyond"] if beyond else []))
+    return both.withColumn("r", compare("text_a", "text_b")).select("a", "b", "r.*")
 
 
 def _reaches(shared, n_a, n_b, s: Settings):
@@ -209,6 +206,29 @@ def _linked(compared: DataFrame, s: Settings) -> DataFrame:
     return compared.where(_reaches(F.col("shared"), F.col("n_a"), F.col("n_b"), s)).select("a", "b")
 
 
+def _usable(text_col: str = "text"):
+    return F.col(text_col).rlike(r"[^\x20\t-\r]")
+
+
+def _known(rows: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node, component) of the rows with an id and words, written;
+    and the component, class_id, node of the kept row and class_size of each class."""
+    node = F.unhex(F.md5("text"))
+    rows = rows.where(F.col("doc_id").isNotNull() & _usable()).withColumn("node", node)
+    texts = rows.groupBy("node").agg(F.first("text").alias("text"))
+    known = materialised(rows.select("doc_id", "node").join(_components(texts, s), "node", "left").select(
+        "doc_id", "node", F.coalesce("component", "node").alias("component")))
+    # written first, so that a join deals both sides anew and can split a large class
+    classes = materialised(known.groupBy("component").agg(
+        F.min(F.struct("doc_id", "node")).alias("first"), F.count("*").alias("class_size")).select(
+        "component", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("node"), "class_size"))
+    return known, classes
+
+
+def _rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, class_id and class_size (rows of the class) of every row.
@@ -220,32 +240,24 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     id (class_id null).  Repeated rows share a class.  Other columns are
     ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    usable = F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\t-\r]")
-    node = F.unhex(F.md5("text"))
-    texts = rows.where(usable).withColumn("node", node).groupBy("node").agg(
-        F.first("text").alias("text"))
-    labels = _components(texts, s)
-    member = rows.select("doc_id", F.when(usable, node).alias("node"), usable.alias("usable"))
-    known = member.where(F.col("usable")).join(labels, "node", "left")
-    known = materialised(known.select(
-        "doc_id", F.coalesce("component", "node").alias("component")))
-    # written first, so that the join deals both sides anew and can split a large class
-    classes = materialised(known.groupBy("component").agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")))
-    alone = member.where(~F.coalesce("usable", F.lit(False))).select(
+    rows = _rows(docs, id_col, text_col)
+    known, classes = _known(rows, s)
+    alone = rows.where(~F.coalesce(F.col("doc_id").isNotNull() & _usable(), F.lit(False))).select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
-    return known.join(classes, "component").select("doc_id", "class_id", "class_size").unionByName(alone)
+    return known.join(classes.drop("node"), "component").select("doc_id", "class_id", "class_size").unionByName(alone)
 
 
 def one_per_class(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class the smallest id, once;
-    rows with a null id all stay.  Same columns."""
-    classes = near_duplicates(docs, s)
-    keep = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    named = docs.withColumn("__key", F.md5("text")).join(keep, "doc_id", "left_semi").dropDuplicates(
-        ["doc_id", "__key"]).select(*docs.columns)
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    """The rows of ``docs`` that stay: of each class one row, of its smallest
+    id (of several texts under that id, always the same one); rows with a null
+    id all stay, of equal rows without words one.  Same columns."""
+    _, classes = _known(_rows(docs), s)
+    keep = classes.select(F.col("class_id").alias("id"), "node")
+    named = docs.where("doc_id is not null").select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"),
+        F.unhex(F.md5("text")).alias("node"), F.coalesce(_usable(), F.lit(False)).alias("usable"))
+    stay = named.where("usable").join(keep, ["id", "node"], "left_semi").unionByName(named.where("not usable"))
+    return stay.dropDuplicates(["id", "node"]).select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def _components(texts: DataFrame, s: Settings) -> DataFrame:
@@ -271,13 +283,25 @@ def _components(texts: DataFrame, s: Settings) -> DataFrame:
     mixed = marked.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
         F.col("lo") != F.col("hi")).select("bucket")
     apart = marked.join(mixed, "bucket").select("pivot", "node", "component").distinct()
-    with_pivot = compared.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "shared", F.col("n_a").alias("n"))
+    with_pivot = compared.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "shared",
+                                 F.col("n_a").alias("n"), "gram", "c")
     own = compared.groupBy(F.col("b").alias("node")).agg(F.first("n_b").alias("n")).select(
-        "node", F.col("node").alias("pivot"), F.col("n").alias("shared"), "n")
+        "node", F.col("node").alias("pivot"), F.col("n").alias("shared"), "n",
+        F.array().cast("array<long>").alias("gram"), F.array().cast("array<int>").alias("c"))
     apart = materialised(apart.join(with_pivot.unionByName(own), ["node", "pivot"]))
-    again = _within_reach(apart, s).unionByName(_beyond_pivot(apart, some, s)).distinct()
-    more = _linked(_compared(again, some, s), s)
-    return connected(materialised(edges.unionByName(more)))
+    again = _within_reach(apart.drop("gram", "c"), s).unionByName(_beyond_pivot(apart, s)).distinct()
+    more = materialised(_linked(_compared(materialised(again), some, s), s))
+    if more.isEmpty():
+        return labels
+    # the new links join components: only those are joined again
+    name = labels.select(F.col("node"), F.col("component").alias("of"))
+    for side in ("a", "b"):
+        more = more.join(name.withColumnRenamed("node", side), side, "left").withColumn(
+            side, F.coalesce("of", side)).drop("of")
+    merged = materialised(connected(more.select("a", "b")).select("node", F.col("component").alias("into")))
+    old = labels.join(merged.withColumnRenamed("node", "component"), "component", "left").select(
+        "node", F.coalesce("into", "component").alias("component"))
+    return old.unionByName(merged.join(labels, "node", "left_anti").select("node", F.col("into").alias("component")))
 
 
 def _pair(x: DataFrame, y: DataFrame, on: list[str]) -> DataFrame:
@@ -295,24 +319,21 @@ def _within_reach(apart: DataFrame, s: Settings) -> DataFrame:
     return both.select(F.col("node").alias("a"), F.col("node2").alias("b"))
 
 
-def _beyond_pivot(apart: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+def _beyond_pivot(apart: DataFrame, s: Settings) -> DataFrame:
     """Pairs that share shingles beyond their pivot, enough to reach the threshold."""
-    pairs = apart.where(F.col("node") != F.col("pivot")).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    extra = _compared(pairs, texts, s, beyond=True).select(
-        F.col("a").alias("node"), F.col("b").alias("pivot"), F.explode("beyond").alias("g"))
-    extra = materialised(extra.select("node", "pivot", "g.gram", "g.c"))
-    for _ in range(2):
-        # only shingles that two members have can count; a member whose overlap
-        # with the pivot plus all of those stays out of reach has no partner
-        several = extra.groupBy("pivot", "gram").agg(F.count("*").alias("members")).where(F.col("members") > 1)
-        extra = extra.join(several.drop("members"), ["pivot", "gram"])
-        most = extra.groupBy("node", "pivot").agg(F.sum("c").alias("most"))
-        left = apart.join(most, ["node", "pivot"])
-        least = left.groupBy("pivot").agg(F.min("n").alias("least"))
-        alive = materialised(left.join(least, "pivot").where(
-            _reaches(F.col("shared") + F.col("most"), F.col("n"), F.col("least"), s)).drop("least"))
-        extra = materialised(extra.join(alive.select("node", "pivot"), ["node", "pivot"], "left_semi"))
-    extra = extra.join(alive, ["node", "pivot"])
+    extra = apart.select("node", "pivot", "component", F.explode(F.arrays_zip("gram", "c")).alias("g")).select(
+        "node", "pivot", "component", "g.gram", "g.c")
+    # only a shingle that members of two components have can count; a member
+    # whose overlap with the pivot plus all of those stays out of reach of the
+    # smallest member has no partner
+    crossing = extra.groupBy("pivot", "gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
+        F.col("lo") != F.col("hi")).select("pivot", "gram")
+    extra = materialised(extra.join(crossing, ["pivot", "gram"]))
+    most = extra.groupBy("node", "pivot").agg(F.sum("c").alias("most"))
+    least = apart.groupBy("pivot").agg(F.min("n").alias("least"))
+    alive = apart.select("node", "pivot", "shared", "n").join(most, ["node", "pivot"]).join(least, "pivot").where(
+        _reaches(F.col("shared") + F.col("most"), F.col("n"), F.col("least"), s)).drop("least")
+    extra = materialised(extra.join(alive, ["node", "pivot"]))
     both = _pair(extra, extra, ["pivot", "gram"]).where(_reaches(
         F.least("shared", "shared2") + F.least("most", "most2"), F.col("n"), F.col("n2"), s))
     both = both.groupBy("node", "node2", "pivot").agg(

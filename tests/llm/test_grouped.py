@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from salestide.llm import anchor_dedup, bag_minhash, grams, minimax_shards, posting_ann
 from salestide.llm.components import connected
@@ -165,6 +166,20 @@ def test_one_per_class_keeps_columns_and_clean_rows(spark):
     assert bag_minhash.one_per_class(docs(spark, [])).count() == 0
 
 
+def test_one_per_class_decides_by_id_and_text(spark):
+    a, b = text(70, 40), text(71, 40)
+    c = a + " and one more"
+    rows = [(2, b), (5, a), (5, b), (7, c), (7, c), (8, a), (9, None), (9, None), (None, b), (10, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("row", "id", "node", "usable", "__key"):
+        d = d.withColumn(name, F.concat(F.lit(f"{name}-"), F.col("doc_id").cast("string")))
+    kept = bag_minhash.one_per_class(d)
+    assert kept.columns == d.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(2, b), (5, a), (9, None), (None, b), (10, "")], key=repr)
+    assert all(r["__key"] == f"__key-{r.doc_id}" for r in kept.collect() if r.doc_id is not None)
+
+
 def test_components_against_union_find(spark):
     r = random.Random(12)
     edges = [(r.randrange(200), r.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
