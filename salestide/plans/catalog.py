@@ -12,10 +12,11 @@ rows that must come out (for streams: the windows closed by the watermark).
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +34,7 @@ from salestide.sources import results as src_results
 from salestide.sources import stream as src_stream
 from salestide.sources.sinks import write_result
 from salestide.streaming import incremental
-from salestide.streaming.common import as_instant
+from salestide.streaming.common import fill_batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -613,31 +614,47 @@ def s04_summary_roundtrip(spark, sf_dir):
 
 REPLAY_SLICES = 8            # micro-batches of a replay in which windows close, in order of time
 FEW_SLICES = 3               # of one where event time closes nothing
-REPLAY_FILE_ROWS = 1_000_000
+REPLAY_FILE_ROWS = 500_000
+REPLAY_TASK_ROWS = 50_000    # fewer are not worth a task of their own
+# a hash of the row, where the caller has a cheaper one than that of all columns; not written
+ROW_HASH = "_row"
 
 
-def _arriving(spark, df: DataFrame, time: str, arrives=None, slices: int = FEW_SLICES) -> tuple[str, int, int]:
+def _arriving(spark, df: DataFrame, time: str, late=None, most: int = 1, slices: int = FEW_SLICES
+              ) -> tuple[str, int, int]:
     """(folder, files a micro-batch, seconds a slice): ``df`` as files that
-    arrive in so many slices of its span of times.  ``arrives``
-    gives the slice a row comes with from the one its time lies in (by
-    default every other row comes one slice late)."""
-    path, staged = scratch_path(spark, "replay"), scratch_path(spark, "replay-slices")
-    at = F.unix_micros(as_instant(F.col(time).cast("timestamp_ntz")))
-    low, high, n = df.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
-    low, high = low or 0, high or 0
-    seconds = (high - low) // (slices * 1_000_000) + 1
-    place = F.coalesce(F.floor((at - low) / F.lit(seconds * 1_000_000)).cast("int"), F.lit(0))
-    if arrives is None:
-        arrives = lambda slice_, row: slice_ + F.pmod(row, F.lit(2)).cast("int")
-    row = F.xxhash64(*df.columns)
-    df.withColumn("_slice", arrives(place, row)).write.partitionBy("_slice").parquet(staged)
-    files = n // (slices * REPLAY_FILE_ROWS) + 1
-    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])) \
-        .parquet(staged)
-    for (k,) in sorted(rows.select("_slice").distinct().collect()):
+    arrive in so many slices of its span of times.  ``late`` gives from a
+    row's hash by how many slices, 0 to ``most``, it comes late (by default
+    every other row comes one late).
+
+    Each slice is read from ``df`` and written once, without a shuffle: ``df``
+    should be cheap to read again (a scan, not a join of large tables).  Every
+    slice has the same number of files, empty ones if need be, so a stream
+    that takes so many at a time takes whole slices."""
+    path = scratch_path(spark, "replay")
+    ts = F.col(time).cast("timestamp_ntz")
+    low, high, n = df.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
+    low = low or dt.datetime(1970, 1, 1)
+    seconds = ((high or low) - low) // dt.timedelta(seconds=slices) + 1
+    row = F.col(ROW_HASH) if ROW_HASH in df.columns else F.xxhash64(*df.columns)
+    after = late(row) if late else F.pmod(row, F.lit(2)).cast("int")
+
+    def since(k: int):
+        first = low + dt.timedelta(seconds=k * seconds)
+        return ts >= F.lit(first.isoformat(sep=" ")).cast("timestamp_ntz") if first <= (high or low) else F.lit(False)
+
+    def lies_in(k: int):        # rows without a time lie in the first slice
+        within = since(k) & ~since(k + 1) if k else ~since(1)
+        return F.coalesce(within, F.lit(k == 0))
+
+    files = max(n // (slices * REPLAY_FILE_ROWS) + 1,
+                min(spark.sparkContext.defaultParallelism, n // (slices * REPLAY_TASK_ROWS) + 1))
+    for k in range(slices + most):
         # one after the other: a file source takes files by their time
-        rows.where(F.col("_slice") == k).drop("_slice").repartition(files).write.mode("append").parquet(path)
-    remove_path(spark, staged)
+        mine = [lies_in(k - d) & (after == d) for d in range(most + 1) if 0 <= k - d < slices]
+        part = df.where(functools.reduce(Column.__or__, mine)).drop(ROW_HASH)
+        part.coalesce(files).write.mode("append").option("compression", "zstd").parquet(path)
+        fill_batch(spark, path, part.schema, files)
     return path, files, seconds
 
 
@@ -645,21 +662,22 @@ def _stream(spark, df: DataFrame, path: str, files: int) -> DataFrame:
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def _replay(spark, df: DataFrame, time: str, arrives=None, delay: float = 1.0, slices: int = REPLAY_SLICES,
-            **closing):
-    """(stream, delay, folder): ``df`` as a stream of micro-batches in order
-    of time, but for the disorder of ``arrives``.  The delay (in slices)
-    covers that disorder by default, so windows close all along; a last row,
-    one delay after the newest, moves the watermark up to the newest row.  It
-    is NULL but for its time and ``closing``."""
-    path, files, seconds = _arriving(spark, df, time, arrives, slices)
+def _replay(spark, df: DataFrame, time: str, late=None, most: int = 1, delay: float = 1.0,
+            slices: int = REPLAY_SLICES, **closing):
+    """(stream, delay, folder, files a micro-batch): ``df`` as a stream of
+    micro-batches in order of time, but for the rows that ``late`` holds back.
+    The delay (in slices) covers that disorder by default, so windows close
+    all along; a last row, one delay after the newest, moves the watermark up
+    to the newest row.  It is NULL but for its time and ``closing``."""
+    path, files, seconds = _arriving(spark, df, time, late, most, slices)
+    df = df.drop(ROW_HASH)
     wait = f"INTERVAL {int(seconds * delay) + 1} SECONDS"
     kind = df.schema[time].dataType
     end = df.agg(F.max(time).alias("hi")).select(*[
         (F.col("hi").cast("timestamp_ntz") + F.expr(wait)).cast(kind).alias(f.name) if f.name == time
         else F.lit(closing.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields])
     end.write.mode("append").parquet(path)
-    return _stream(spark, df, path, files), wait[len("INTERVAL "):].lower(), path
+    return _stream(spark, df, path, files), wait[len("INTERVAL "):].lower(), path, files
 
 
 def _drained(spark, queries, *folders) -> None:
@@ -682,10 +700,11 @@ def _ingest(spark, relation: str, df: DataFrame, sent, copies: int, dedup: str |
     msgs = None
     for n in range(copies):
         m = stamped.select(F.lit("t").alias("topic"), F.to_json(F.struct(*df.columns)).alias("value"),
-                           (F.col("timestamp") + F.expr(f"INTERVAL {5 * n} MINUTES")).alias("timestamp"))
+                           (F.col("timestamp") + F.expr(f"INTERVAL {5 * n} MINUTES")).alias("timestamp"),
+                           F.xxhash64(*df.columns, F.lit(n)).alias(ROW_HASH))
         msgs = m if msgs is None else msgs.unionByName(m)
     last = f'{{"{key}": {json.dumps(closing_id)}}}'
-    stream, delay, path = _replay(spark, msgs, "timestamp", topic="t", value=last)
+    stream, delay, path, _ = _replay(spark, msgs, "timestamp", topic="t", value=last)
     out, ck = scratch_path(spark, "ingest-out"), scratch_path(spark, "ingest-ck")
     qs = streaming.start_ingest(stream, out, ck, {"t": relation}, trigger="availableNow",
                                 schemas={relation: df.schema}, keep=("timestamp",),
@@ -740,7 +759,7 @@ def st4_dedup_collapse(spark, sf_dir):
     # copies collapse map-side when they carry the same event time
     orders = _t(spark, sf_dir).orders()
     twice = orders.unionAll(orders)
-    stream, delay, path = _replay(spark, twice, "order_date", order_id=-1)
+    stream, delay, path, _ = _replay(spark, twice, "order_date", order_id=-1)
     out, ck = scratch_path(spark, "collapse"), scratch_path(spark, "collapse-ck")
     once = streaming.dedupe(stream, "order_id", "order_date", delay, "collapse")
     q = (once.writeStream.format("parquet").outputMode("append").option("path", out)
@@ -768,7 +787,7 @@ def st2_windowed_top_products(spark, sf_dir):
     items = t.raw("lineitem").select(F.col("l_partkey").alias("product_id"),
                                      F.col("l_quantity").cast("int").alias("quantity"),
                                      F.col("l_shipdate").alias("ship_ts"))
-    stream, delay, path = _replay(spark, items, "ship_ts")
+    stream, delay, path, _ = _replay(spark, items, "ship_ts")
     out, ck = scratch_path(spark, "top-products"), scratch_path(spark, "top-products-ck")
     q = streaming.start_top_products(stream, out, ck, event_time="ship_ts",
                                      products=t.products(), window=ST2_WINDOW, k=ST2_K,
@@ -794,7 +813,7 @@ def st6_windowed_revenue(spark, sf_dir):
     orders = t.raw("events").where(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("order_id"), F.col("user_id").alias("customer_id"),
         F.col("ts").alias("order_date"), F.col("value").cast("decimal(18,2)").alias("total_amount"))
-    stream, delay, path = _replay(spark, orders, "order_date")
+    stream, delay, path, _ = _replay(spark, orders, "order_date")
     out, ck = scratch_path(spark, "revenue"), scratch_path(spark, "revenue-ck")
     q = streaming.start_windowed_revenue(stream, out, ck, window="3 hours", delay=delay,
                                          trigger="availableNow")
@@ -824,7 +843,7 @@ def st3_churn_alerts(spark, sf_dir):
     t = _t(spark, sf_dir)
     orders = t.raw("orders").select(F.col("o_custkey").alias("customer_id"),
                                     F.col("o_orderdate").alias("order_date"))
-    stream, delay, path = _replay(spark, orders, "order_date")
+    stream, delay, path, _ = _replay(spark, orders, "order_date")
     out, ck = scratch_path(spark, "churn"), scratch_path(spark, "churn-ck")
     q = streaming.start_churn_alerts(stream, out, ck, min_days=7, delay=delay,
                                      trigger="availableNow")
@@ -924,11 +943,12 @@ def _maintained(spark, sf_dir):
     streams = {}
     items = t.order_items()
     for name, df, time in (("orders", t.orders(), "order_date"), ("order_items", items, None)):
+        sent = df.withColumn(ROW_HASH, F.xxhash64("order_id", "product_id" if time is None else "customer_id"))
         if time is None:        # items carry no time: they arrive in slices of their ids
-            df = df.withColumn("_at", F.timestamp_seconds(F.pmod("order_id", F.lit(FEW_SLICES))).cast("timestamp_ntz"))
-            path, files, _ = _arriving(spark, df, "_at")
+            at = F.timestamp_seconds(F.pmod("order_id", F.lit(FEW_SLICES))).cast("timestamp_ntz")
+            path, files, _ = _arriving(spark, sent.withColumn("_at", at), "_at")
         else:
-            path, files, _ = _arriving(spark, df, time)
+            path, files, _ = _arriving(spark, sent, time)
         folders.append(path)
         streams[name] = _stream(spark, items if time is None else df, path, files)
     for q in incremental.start_partials(streams["orders"], streams["order_items"], root, ck,

@@ -15,7 +15,7 @@ from salestide.operators import tables
 from salestide.plans import catalog
 from salestide.plans.bindings import EVENTS_AS_OF, ORDERS_AS_OF
 from salestide.plans.catalog import C, EA, EO, I, O, ORACLES, P, SC, register
-from salestide.session import scratch_path
+from salestide.session import remove_path, scratch_path
 from salestide.sources import bucketed
 from salestide.sources import stream as src_stream
 from salestide.streaming import ingest, late, panes, upsert
@@ -72,8 +72,10 @@ def st5_trailing_top_products(spark, sf_dir):
     """t07 from panes of items that carry their order's time."""
     t, root = catalog._t(spark, sf_dir), scratch_path(spark, "panes")
     times = t.orders().select("order_id", F.col("order_date").alias("order_time"))
-    items = t.order_items().join(times, "order_id").select("order_time", "product_id", "quantity")
-    _drain_panes(spark, items, "products", root)
+    joined = scratch_path(spark, "timed-items")     # the replay reads its rows once for each slice
+    t.order_items().join(times, "order_id").select("order_time", "product_id", "quantity").write.parquet(joined)
+    _drain_panes(spark, spark.read.parquet(joined), "products", root)
+    remove_path(spark, joined)
     return panes.top_products(spark, root, t.products(), TOP_AS_OF, catalog.TOP_PRODUCTS_LOOKBACK)
 
 
@@ -91,8 +93,8 @@ def _upserted_customers(spark, sf_dir):
                          for c in ("name", "location", "membership_type")],
         (day + F.make_dt_interval(days=F.col("v"))).alias("timestamp"))
     sent = versions.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
-    path, files, _ = catalog._arriving(
-        spark, sent, "timestamp", lambda _, row: F.pmod(row, F.lit(catalog.FEW_SLICES)).cast("int"))
+    anyhow = F.timestamp_seconds(F.pmod(F.xxhash64(*sent.columns), F.lit(catalog.FEW_SLICES))).cast("timestamp_ntz")
+    path, files, _ = catalog._arriving(spark, sent.withColumn("_at", anyhow), "_at")
     root, ck = scratch_path(spark, "customers"), scratch_path(spark, "customers-ck")
     stream = catalog._stream(spark, sent, path, files).drop("copy")
     q = upsert.start_upsert(stream, root, ck, "customer_id", "timestamp", buckets=8, trigger="availableNow")
@@ -129,13 +131,12 @@ def st4_upsert_tables(spark, sf_dir):
 def _landed(spark, df, time, **closing):
     """(landing folder, delay, on-time stream): a tenth of the rows comes
     three slices late, the delay is a tenth of one."""
-    stream, delay, path = catalog._replay(
-        spark, df, time, lambda slice_, row: slice_ + F.when(F.pmod(row, F.lit(10)) == 0, 3).otherwise(0),
-        delay=0.1, **closing)
+    stream, delay, path, files = catalog._replay(
+        spark, df, time, lambda row: F.when(F.pmod(row, F.lit(10)) == 0, 3).otherwise(0), 3, delay=0.1, **closing)
     out, ck = scratch_path(spark, "landing"), scratch_path(spark, "landing-ck")
-    q = late.start_landing(stream, out, ck, time, delay, trigger="availableNow")
+    q = late.start_landing(stream, out, ck, time, delay, trigger="availableNow", files=files)
     catalog._drained(spark, [q], path, ck)
-    return out, delay, late.on_time(spark, out, df.schema, batches_per_trigger=1)
+    return out, delay, late.on_time(spark, out, df.schema, batches_per_trigger=1, files=files)
 
 
 def _newest(df, time):
@@ -212,7 +213,7 @@ from w where ws + interval 3 hour <= (select max(order_date) from {EO} o2) group
 """)
 def st6_trailing_revenue(spark, sf_dir):
     orders = catalog._t(spark, sf_dir).event_orders()
-    stream, delay, path = catalog._replay(spark, orders, "order_date")
+    stream, delay, path, _ = catalog._replay(spark, orders, "order_date")
     out, ck = scratch_path(spark, "trailing"), scratch_path(spark, "trailing-ck")
     q = streaming.start_trailing_revenue(stream, out, ck, "3 hours", "15 minutes", delay, trigger="availableNow")
     catalog._drained(spark, [q], path, ck)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -61,3 +61,13 @@ def late_rows(query) -> int:
     the disorder of the stream."""
     return sum(op.get("numRowsDroppedByWatermark", 0)
                for p in query.recentProgress for op in p["stateOperators"])
+
+
+def fill_batch(spark: SparkSession, path: str, schema: T.StructType, files: int) -> None:
+    """Empty Parquet files in ``path``, up to the next multiple of ``files``.
+
+    A file stream is cut by number of files (``maxFilesPerTrigger``): if every
+    batch has ``files`` of them, each trigger takes whole batches."""
+    there = len(spark.read.schema(schema).parquet(path).inputFiles())
+    for _ in range(-there % files):
+        spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salestide.functions.timefns import interval
-from salestide.streaming.common import set_trigger
+from salestide.streaming.common import fill_batch, set_trigger
 from salestide.streaming.incremental import _read
 
 _SEEN = T.StructType([T.StructField("batch_id", T.LongType()), T.StructField("seen", T.TimestampNTZType())])
@@ -37,11 +37,14 @@ def _seen_before(spark: SparkSession, out: str, batch_id: int) -> dt.datetime |
 
 
 def start_landing(stream: DataFrame, out: str, checkpoint: str, event_time: str, delay: str = "1 hour",
-                  trigger=None) -> StreamingQuery:
+                  trigger=None, files: int | None = None) -> StreamingQuery:
     """Write every row of ``stream`` to ``<out>/on_time`` or ``<out>/late``,
     by micro-batch (a retried batch replaces its own).  Late is what is more
     than ``delay`` older than the newest row of the batches before; rows
-    without an event time are on time (no operator closes on them)."""
+    without an event time are on time (no operator closes on them).
+    ``files``: each batch's on-time rows make exactly so many files (empty
+    ones included), so that ``on_time`` can take whole batches; by default as
+    many as the batch has tasks."""
     ts = F.col(event_time)
 
     def land(batch: DataFrame, batch_id: int) -> None:
@@ -53,7 +56,11 @@ def start_landing(stream: DataFrame, out: str, checkpoint: str, event_time: str,
         batch.persist()
         try:
             for name, rows in (("on_time", batch.where(~late)), ("late", batch.where(late))):
+                if files:
+                    rows = rows.coalesce(files)
                 rows.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+            if files:
+                fill_batch(spark, f"{out}/on_time/batch_id={batch_id}", batch.schema, files)
             (batch.agg(F.max(ts).cast("timestamp_ntz").alias("seen"))
              .select(F.lit(batch_id).cast("long").alias("batch_id"), "seen")
              .write.mode("overwrite").parquet(f"{out}/seen/entry={batch_id}"))
@@ -64,11 +71,14 @@ def start_landing(stream: DataFrame, out: str, checkpoint: str, event_time: str,
     return set_trigger(w, trigger).start()
 
 
-def on_time(spark: SparkSession, out: str, schema: T.StructType, batches_per_trigger: int | None = None) -> DataFrame:
-    """The on-time rows as a stream, in the order they were landed."""
+def on_time(spark: SparkSession, out: str, schema: T.StructType, batches_per_trigger: int | None = None,
+            files: int = 1) -> DataFrame:
+    """The on-time rows as a stream, in the order they were landed.  To take
+    ``batches_per_trigger`` landed batches at a time, ``files`` must be the
+    landing's: a part of a batch moves the watermark past the rest of it."""
     reader = spark.readStream.schema(schema)
     if batches_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", batches_per_trigger)
+        reader = reader.option("maxFilesPerTrigger", batches_per_trigger * files)
     return reader.parquet(f"{out}/on_time").select(*schema.fieldNames())
 
 
