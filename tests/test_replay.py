@@ -37,6 +37,12 @@ def several_files(monkeypatch):
     monkeypatch.setattr(catalog, "REPLAY_FILE_ROWS", 150)
 
 
+def test_copies_are_repaired_where_a_batch_has_several_files(spark, tmp_path, several_files):
+    rows = stored_orders(spark, tmp_path)
+    got = maintained.st4_late_repair(spark, str(tmp_path)).collect()
+    assert sorted((r.order_id, r.order_date) for r in got) == sorted((r[0], r[4]) for r in rows)
+
+
 def test_counts_are_repaired_where_a_batch_has_several_files(spark, tmp_path, several_files):
     rows = stored_items(spark, tmp_path)
     got = maintained.st2_late_repair(spark, str(tmp_path)).collect()
