@@ -71,3 +71,27 @@ def test_a_landed_batch_has_the_same_number_of_files(spark, tmp_path):
     files = spark.read.parquet(f"{out}/on_time").inputFiles()
     assert collections.Counter(f.split("batch_id=")[1][0] for f in files) == {"0": 3, "1": 3, "2": 3}
     assert spark.read.parquet(f"{out}/on_time").count() == 201
+
+
+def test_a_replay_writes_each_row_once_in_slices_of_as_many_files(spark, monkeypatch, several_files):
+    wrote = []
+    scratch = catalog.scratch_path
+    monkeypatch.setattr(catalog, "scratch_path", lambda s, name: wrote.append(name) or scratch(s, name))
+    # almost all rows in the first of three slices, some without a time
+    times = [START + dt.timedelta(seconds=i) for i in range(1500)] + [None] * 5 + [START + dt.timedelta(days=3)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "id long, t timestamp_ntz")
+    path, files, _ = catalog._arriving(spark, df, "t")
+    assert wrote == ["replay"] and files > 1
+    there = spark.read.parquet(path)
+    assert sorted(map(tuple, there.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    assert len(there.inputFiles()) == files * (catalog.FEW_SLICES + 1)
+
+
+def test_items_come_once_where_slices_are_uneven(spark, tmp_path, several_files):
+    rows = [(i, i % 30, 1, 1, 2.0, 10.5, START + dt.timedelta(days=(700 if i == 2999 else i % 40)))
+            for i in range(3000)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                                "l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = catalog.st4_dedup_items(spark, str(tmp_path)).collect()
+    assert sorted(r.order_id for r in got) == list(range(3000))
