@@ -70,7 +70,8 @@ def _read(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def _partials_writer(root: str, names: list[str], ltv_window: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if len(names) > 1:      # read more than once
+            batch.persist()
         try:
             for name in names:
                 _src, build, _keys, _sums = AGGREGATES[name]
@@ -79,7 +80,8 @@ def _partials_writer(root: str, names: list[str], ltv_window: str):
                 (part.write.mode("overwrite")
                  .parquet(f"{root}/{name}/partials/batch_id={batch_id}"))
         finally:
-            batch.unpersist()
+            if len(names) > 1:
+                batch.unpersist()
     return write
 
 
