@@ -25,6 +25,8 @@ from salestide.llm.grams import U, mix, stream
 
 PREFIXES, ENDING = (4, 5, 6), 4    # bytes of a word's prefixes and ending that are terms
 PIECE = 1 << 20                    # bytes of text hashed at once
+PLACES_AT_ONCE = 1 << 20           # places of terms sorted at once
+ROWS_AT_ONCE = 1024                # sampled texts whose terms are counted at once
 
 # words are runs of ASCII letters, digits and underscores, and of other characters' bytes
 _WORD_BYTE = np.zeros(256, bool)
@@ -158,11 +160,21 @@ def _deviations(every: np.ndarray, toxic: np.ndarray, n: int, n1: int) -> np.nda
     return (toxic - n1 * every / n) / np.sqrt(n1 * p * (1 - p) * max(1e-9, 1 - n1 / n) + 0.25)
 
 
+def _counts(rows: list[np.ndarray], size: int) -> np.ndarray:
+    """In how many rows each of ``size`` terms is; some rows at a time, as
+    counting needs eight bytes a term."""
+    total = np.zeros(size, np.int64)
+    for a in range(0, len(rows), ROWS_AT_ONCE):
+        part = np.bincount(np.concatenate(rows[a:a + ROWS_AT_ONCE]), minlength=size)
+        total = part if not a else total + part
+    return total
+
+
 def _select(rows: list[np.ndarray], y: np.ndarray, s: Settings) -> np.ndarray:
     """Terms whose rate in the two classes differs significantly, over all
     texts or among the texts with a term that does over all (its partners in
     a pair, however weak alone); the strongest first."""
-    every = np.bincount(np.concatenate(rows), minlength=1 << s.bits)
+    every = _counts(rows, 1 << s.bits)
     terms = np.flatnonzero(every >= s.min_docs)
     place = np.full(1 << s.bits, -1, np.int32)
     place[terms] = np.arange(len(terms))
@@ -170,22 +182,25 @@ def _select(rows: list[np.ndarray], y: np.ndarray, s: Settings) -> np.ndarray:
 
     def deviations(texts: np.ndarray) -> np.ndarray:
         toxic = texts[y[texts] > 0]
-        count = [np.bincount(np.concatenate([rows[i] for i in part] or [place[:0]]), minlength=len(terms))
-                 for part in (toxic, texts[y[texts] <= 0])]
+        count = [_counts([rows[i] for i in part], len(terms)) for part in (toxic, texts[y[texts] <= 0])]
         n = count[0] + count[1]
         return np.where(n >= s.min_docs, np.abs(_deviations(n, count[0], len(texts), max(1, len(toxic)))), 0)
 
     z = deviations(np.arange(len(rows)))
     strong = z >= s.min_z
-    flat, doc = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    of = strong[flat]
-    flat, doc = flat[of], doc[of]
-    by = np.argsort(flat, kind="stable")
-    for texts in np.split(doc[by], np.flatnonzero(np.diff(flat[by])) + 1):
-        if 0 < y[texts].sum() < len(texts):
-            beside = deviations(texts)
-            z = np.where(beside >= s.min_pair_z, np.maximum(z, beside), z)
-            strong |= beside >= s.min_pair_z
+    first = np.flatnonzero(strong)
+    # as many terms at a time as are in some millions of places
+    for some in np.split(first, np.flatnonzero(np.diff(np.cumsum(every[terms[first]]) // PLACES_AT_ONCE)) + 1):
+        wanted = np.zeros(len(terms), bool)
+        wanted[some] = True
+        held = [r[wanted[r]] for r in rows]
+        flat, doc = np.concatenate(held), np.repeat(np.arange(len(held), dtype=np.int32), [len(r) for r in held])
+        by = np.argsort(flat, kind="stable")
+        for texts in np.split(doc[by], np.flatnonzero(np.diff(flat[by])) + 1):
+            if 0 < y[texts].sum() < len(texts):
+                beside = deviations(texts)
+                z = np.where(beside >= s.min_pair_z, np.maximum(z, beside), z)
+                strong |= beside >= s.min_pair_z
     strong = np.flatnonzero(strong)
     return np.sort(terms[strong[np.argsort(-z[strong], kind="stable")][: s.kept]])
 
@@ -195,13 +210,13 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, s: Settings = Settings()) ->
     y = np.asarray(y, dtype=float)
     n1 = float(y.sum())
     prior = float(np.log((n1 + 0.5) / (len(y) - n1 + 0.5))) if len(y) else -2.0
-    terms = _select(rows, y, s) if len(y) and len(np.concatenate(rows)) else np.empty(0, np.int64)
+    terms = _select(rows, y, s) if any(len(r) for r in rows) else np.empty(0, np.int64)
     rng = np.random.default_rng(s.seed)
     w = np.zeros(len(terms))
     v = rng.normal(0, 0.02, (len(terms), s.factors))
     if not len(terms) or n1 in (0, len(y)):
         return Model(s.bits, terms, w, v * 0, prior)
-    place = np.full(1 << s.bits, -1, np.int64)
+    place = np.full(1 << s.bits, -1, np.int32)
     place[terms] = np.arange(len(terms))
     rows = [at[at >= 0] for at in (place[r] for r in rows)]
     gw, gv, gb, bias = np.full(len(w), 1e-2), np.full(v.shape, 1e-2), 1e-2, prior
@@ -262,10 +277,14 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
 
     once = rows.mapInPandas(hashed, "doc_id long, y int, terms binary").groupBy("doc_id").agg(
         F.max(F.struct("terms", "y")).alias("r"))
-    # one row for each of at most s.sample ids; a row has 2**bits terms at most
-    found = sorted(once.select("doc_id", "r.y", "r.terms").collect(), key=lambda r: r.doc_id)
-    return fit_rows([np.frombuffer(bytes(r.terms), np.int32) for r in found],
-                    np.array([r.y for r in found]), s)
+    # one row for each of at most s.sample ids; a row has 2**bits terms at most.
+    # Arrow, so that the terms are held once: as Row objects they were held
+    # three times, pickled on the way
+    found = once.select("doc_id", "r.y", "r.terms").toArrow()
+    order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
+    terms = found["terms"]
+    return fit_rows([np.frombuffer(terms[int(i)].as_buffer(), np.int32) for i in order],
+                    found["y"].to_numpy()[order], s)
 
 
 def score_column(spark, model: Model, text: Column) -> Column:

@@ -414,3 +414,16 @@ def test_pieces_edge_cases(spark, pieces):
     for _, t in edge_rows():
         if t and len(t) < 2000:
             assert whole.encode(t).tolist() == pieces.encode(t).tolist()
+
+
+def test_toxicity_counts_terms_some_rows_at_a_time(monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 300, 40)).astype(np.int32) for _ in range(500)] + [np.empty(0, np.int32)]
+    y = np.array([float(3 in r or (7 in r and 9 in r)) for r in rows])
+    want = np.bincount(np.concatenate(rows), minlength=512)
+    whole = toxicity.fit_rows(rows, y)
+    monkeypatch.setattr(toxicity, "ROWS_AT_ONCE", 64)
+    monkeypatch.setattr(toxicity, "PLACES_AT_ONCE", 100)
+    assert (toxicity._counts(rows, 512) == want).all()
+    parts = toxicity.fit_rows(rows, y)
+    assert len(whole.terms) and (whole.terms == parts.terms).all() and (whole.v == parts.v).all()
