@@ -39,9 +39,10 @@ def _seen_before(spark: SparkSession, out: str, batch_id: int) -> dt.datetime |
 def start_landing(stream: DataFrame, out: str, checkpoint: str, event_time: str, delay: str = "1 hour",
                   trigger=None, files: int | None = None) -> StreamingQuery:
     """Write every row of ``stream`` to ``<out>/on_time`` or ``<out>/late``,
-    by micro-batch (a retried batch replaces its own).  Late is what is more
-    than ``delay`` older than the newest row of the batches before; rows
-    without an event time are on time (no operator closes on them).
+    by micro-batch (a retried batch replaces its own).  Late is what is
+    ``delay`` or more older than the newest row of the batches before (Spark
+    drops a row that is as old as the watermark, too); rows without an event
+    time are on time (no operator closes on them).
     ``files``: each batch's on-time rows make exactly so many files (empty
     ones included), so that ``on_time`` can take whole batches; by default as
     many as the batch has tasks."""
@@ -51,7 +52,7 @@ def start_landing(stream: DataFrame, out: str, checkpoint: str, event_time: str,
         spark = batch.sparkSession
         seen = _seen_before(spark, out, batch_id)
         late = F.lit(False) if seen is None else F.coalesce(
-            ts < F.lit(seen).cast("timestamp_ntz") - interval(delay), F.lit(False))
+            ts <= F.lit(seen).cast("timestamp_ntz") - interval(delay), F.lit(False))
         # the batch's rows are written twice and summed up once
         batch.persist()
         try:

@@ -6,6 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from salestide import streaming
 from salestide.plans import catalog, maintained
 from salestide.streaming import late
 
@@ -95,3 +96,23 @@ def test_items_come_once_where_slices_are_uneven(spark, tmp_path, several_files)
         .write.parquet(f"{tmp_path}/lineitem.parquet")
     got = catalog.st4_dedup_items(spark, str(tmp_path)).collect()
     assert sorted(r.order_id for r in got) == list(range(3000))
+
+
+def test_a_row_as_old_as_the_watermark_is_landed_late(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "id long, t timestamp_ntz"
+    first, exact = START + dt.timedelta(minutes=100), START + dt.timedelta(minutes=99)
+    for rows in ([(1, first)], [(2, exact), (3, first)], [(2, exact), (4, first)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    late.start_landing(stream, out, str(tmp_path / "ck"), "t", "1 minute", trigger="availableNow",
+                       files=1).awaitTermination()
+    aside = late.late(spark, out, stream.schema)
+    assert [r.id for r in aside.collect()] == [2, 2]
+    once = streaming.dedupe(late.on_time(spark, out, stream.schema, 1), "id", "t", "1 minute")
+    q = (once.writeStream.format("parquet").option("path", str(tmp_path / "once"))
+         .option("checkpointLocation", str(tmp_path / "ck2")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert streaming.late_rows(q) == 0
+    whole = late.repair_copies(spark.read.parquet(str(tmp_path / "once")), aside, "id", "t")
+    assert sorted(r.id for r in whole.collect()) == [1, 2, 3, 4]
