@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -170,15 +171,41 @@ def _counts(rows: list[np.ndarray], size: int) -> np.ndarray:
     return total
 
 
-def _select(rows: list[np.ndarray], y: np.ndarray, s: Settings) -> np.ndarray:
-    """Terms whose rate in the two classes differs significantly, over all
-    texts or among the texts with a term that does over all (its partners in
-    a pair, however weak alone); the strongest first."""
-    every = _counts(rows, 1 << s.bits)
-    terms = np.flatnonzero(every >= s.min_docs)
-    place = np.full(1 << s.bits, -1, np.int32)
+def _together(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of all rows in one new array, and where each row begins in it."""
+    start = np.cumsum([0] + [len(r) for r in rows])
+    flat = np.empty(start[-1], np.int32)
+    for a, b, r in zip(start, start[1:], rows):
+        flat[a:b] = r
+    return flat, start
+
+
+def _each(flat: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
+    return [flat[a:b] for a, b in zip(start, start[1:])]
+
+
+def _keep(flat: np.ndarray, start: np.ndarray, terms: np.ndarray, size: int) -> np.ndarray:
+    """Puts the places of those terms that are among ``terms`` to the front of
+    ``flat``, in its own memory and in order; where each row begins then."""
+    place = np.full(size, -1, np.int32)
     place[terms] = np.arange(len(terms))
-    rows = [at[at >= 0] for at in (place[r] for r in rows)]
+    begins, filled = np.zeros_like(start), 0
+    for i in range(0, len(start) - 1, ROWS_AT_ONCE):
+        mine = start[i:i + ROWS_AT_ONCE + 1]
+        at = place[flat[mine[0]:mine[-1]]]
+        kept = at >= 0
+        begins[i:i + len(mine)] = filled + np.concatenate([[0], np.cumsum(kept)])[mine - mine[0]]
+        flat[filled:begins[i + len(mine) - 1]] = at[kept]
+        filled = begins[i + len(mine) - 1]
+    return begins
+
+
+def _select(rows: list[np.ndarray], y: np.ndarray, terms: np.ndarray, s: Settings) -> np.ndarray:
+    """Which of ``terms`` (rows have their places) have a rate that differs
+    significantly in the two classes, over all texts or among the texts with
+    a term that does over all (its partners in a pair, however weak alone);
+    the strongest, in order of place."""
+    every = _counts(rows, len(terms))
 
     def deviations(texts: np.ndarray) -> np.ndarray:
         toxic = texts[y[texts] > 0]
@@ -190,7 +217,7 @@ def _select(rows: list[np.ndarray], y: np.ndarray, s: Settings) -> np.ndarray:
     strong = z >= s.min_z
     first = np.flatnonzero(strong)
     # as many terms at a time as are in some millions of places
-    for some in np.split(first, np.flatnonzero(np.diff(np.cumsum(every[terms[first]]) // PLACES_AT_ONCE)) + 1):
+    for some in np.split(first, np.flatnonzero(np.diff(np.cumsum(every[first]) // PLACES_AT_ONCE)) + 1):
         wanted = np.zeros(len(terms), bool)
         wanted[some] = True
         held = [r[wanted[r]] for r in rows]
@@ -202,23 +229,33 @@ def _select(rows: list[np.ndarray], y: np.ndarray, s: Settings) -> np.ndarray:
                 z = np.where(beside >= s.min_pair_z, np.maximum(z, beside), z)
                 strong |= beside >= s.min_pair_z
     strong = np.flatnonzero(strong)
-    return np.sort(terms[strong[np.argsort(-z[strong], kind="stable")][: s.kept]])
+    return np.sort(strong[np.argsort(-z[strong], kind="stable")][: s.kept])
 
 
 def fit_rows(rows: list[np.ndarray], y: np.ndarray, s: Settings = Settings()) -> Model:
     """Fit the machine by mini-batch AdaGrad on hashed rows with 0/1 labels."""
+    return _fit(*_together(rows), y, s)
+
+
+def _fit(flat: np.ndarray, start: np.ndarray, y: np.ndarray, s: Settings) -> Model:
+    """``fit_rows`` in the memory of ``flat`` (which is overwritten): the
+    driver holds the sampled terms once."""
     y = np.asarray(y, dtype=float)
     n1 = float(y.sum())
     prior = float(np.log((n1 + 0.5) / (len(y) - n1 + 0.5))) if len(y) else -2.0
-    terms = _select(rows, y, s) if any(len(r) for r in rows) else np.empty(0, np.int64)
+    terms = np.empty(0, np.int64)
+    if len(flat):
+        terms = np.flatnonzero(_counts(_each(flat, start), 1 << s.bits) >= s.min_docs)
+        start = _keep(flat, start, terms, 1 << s.bits)
+        chosen = _select(_each(flat, start), y, terms, s)
+        start = _keep(flat, start, chosen, len(terms))
+        terms = terms[chosen]
     rng = np.random.default_rng(s.seed)
     w = np.zeros(len(terms))
     v = rng.normal(0, 0.02, (len(terms), s.factors))
     if not len(terms) or n1 in (0, len(y)):
         return Model(s.bits, terms, w, v * 0, prior)
-    place = np.full(1 << s.bits, -1, np.int32)
-    place[terms] = np.arange(len(terms))
-    rows = [at[at >= 0] for at in (place[r] for r in rows)]
+    rows = _each(flat, start)
     gw, gv, gb, bias = np.full(len(w), 1e-2), np.full(v.shape, 1e-2), 1e-2, prior
     for _ in range(s.epochs):
         order = rng.permutation(len(rows))
@@ -282,9 +319,11 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
     # three times, pickled on the way
     found = once.select("doc_id", "r.y", "r.terms").toArrow()
     order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
-    terms = found["terms"]
-    return fit_rows([np.frombuffer(terms[int(i)].as_buffer(), np.int32) for i in order],
-                    found["y"].to_numpy()[order], s)
+    terms, y = found["terms"], found["y"].to_numpy()[order]
+    flat, start = _together([np.frombuffer(terms[int(i)].as_buffer(), np.int32) for i in order])
+    del found, terms
+    pa.default_memory_pool().release_unused()      # Arrow would keep it while the model is fitted
+    return _fit(flat, start, y, s)
 
 
 def score_column(spark, model: Model, text: Column) -> Column:

@@ -427,3 +427,26 @@ def test_toxicity_counts_terms_some_rows_at_a_time(monkeypatch):
     assert (toxicity._counts(rows, 512) == want).all()
     parts = toxicity.fit_rows(rows, y)
     assert len(whole.terms) and (whole.terms == parts.terms).all() and (whole.v == parts.v).all()
+
+
+def test_toxicity_is_fitted_in_the_memory_of_the_terms(monkeypatch):
+    import tracemalloc
+    monkeypatch.setattr(toxicity, "ROWS_AT_ONCE", 64)
+    monkeypatch.setattr(toxicity, "PLACES_AT_ONCE", 1 << 14)
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 4096, 1000)).astype(np.int32) for _ in range(3000)]
+    flat, start = toxicity._together(rows + [np.empty(0, np.int32)])
+    y = rng.integers(0, 2, len(rows) + 1)
+    want = toxicity.fit_rows(rows + [np.empty(0, np.int32)], y, toxicity.Settings(bits=12, min_z=50.0))
+    assert not len(want.terms)
+    tracemalloc.start()
+    toxicity._fit(flat, start, y, toxicity.Settings(bits=12, min_z=50.0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < flat.nbytes // 2
+    # places kept are those of the terms asked for, row by row
+    flat, start = toxicity._together(rows)
+    some = np.sort(rng.choice(4096, 300, replace=False))
+    begins = toxicity._keep(flat, start, some, 4096)
+    for r, a, b in zip(rows, begins, begins[1:]):
+        assert (some[flat[a:b]] == r[np.isin(r, some)]).all() and b - a == np.isin(r, some).sum()
