@@ -156,6 +156,11 @@ def _holder_key(texts: pd.Series) -> pd.Series:
     return pd.Series([text_key(t) if find(t) else None for t in texts], dtype=object)
 
 
+# Spark copies a deterministic function into the filter on its result: each
+# task would run it twice, in two Python workers
+_holder_key = _holder_key.asNondeterministic()
+
+
 def _holders(docs: DataFrame) -> DataFrame:
     """(key, text, copies) of every distinct text with personal data."""
     return (docs.select("text", _holder_key("text").alias("key")).where(F.col("key").isNotNull())
@@ -302,7 +307,8 @@ def sanitise(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """``docs`` with rewritten texts, all columns and rows kept.  Only rows
     with personal data are joined with the term spans; the others pass as they are."""
     marked = docs.withColumn("__key", _holder_key("text"))
-    spans = term_spans(docs, s).withColumnRenamed("key", "__key").withColumnRenamed("terms", "__terms")
+    # written, so that no task both places the terms and rewrites, in two workers
+    spans = materialised(term_spans(docs, s)).withColumnRenamed("key", "__key").withColumnRenamed("terms", "__terms")
 
     @F.pandas_udf("string")
     def rewritten(texts: pd.Series, terms: pd.Series) -> pd.Series:

@@ -185,6 +185,28 @@ def test_disclosing_terms_go_wherever_they_stand(spark):
     assert all(after[i] == t for i, t in rows if i >= 10)
 
 
+def python_in_a_stage(df) -> int:
+    """The most Python functions that one task of ``df`` runs, each in a worker of its own."""
+    most, path = 0, []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        name = re.search(r"[A-Za-z]+", line)
+        while path and path[-1][0] >= name.start():
+            path.pop()
+        n = 0 if name[0].endswith("Exchange") else (path[-1][1] if path else 0) + bool(
+            re.search("Python|InPandas|InArrow", name[0]))
+        path.append((name.start(), n))
+        most = max(most, n)
+    return most
+
+
+def test_personal_data_needs_one_python_worker_a_task(spark):
+    df = docs(spark, edge_rows([(20, "reach kim@mail.example.com or +49 170 1234567 now")]))
+    assert python_in_a_stage(disclosure._holders(df)) == 1
+    assert python_in_a_stage(disclosure.term_spans(df)) == 1
+    assert python_in_a_stage(disclosure.sanitise(df)) == 1
+    assert python_in_a_stage(disclosure.scan(df)) == 1
+
+
 def test_rewrite_merges_overlaps():
     t = "a +1 222 333 4444 b"
     assert disclosure.rewrite(t, disclosure.find(t), []) == "a [PHONE] b"
