@@ -256,8 +256,10 @@ def one_per_class(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     named = docs.where("doc_id is not null").select(
         F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"),
         F.unhex(F.md5("text")).alias("node"), F.coalesce(_usable(), F.lit(False)).alias("usable"))
-    stay = named.where("usable").join(keep, ["id", "node"], "left_semi").unionByName(named.where("not usable"))
-    return stay.dropDuplicates(["id", "node"]).select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))
+    # each by itself (a text is usable or not), so that the joined rows stay where they are
+    stay, blank = (x.dropDuplicates(["id", "node"]) for x in (
+        named.where("usable").join(keep, ["id", "node"], "left_semi"), named.where("not usable")))
+    return stay.unionByName(blank).select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def _components(texts: DataFrame, s: Settings) -> DataFrame:

@@ -317,3 +317,17 @@ def test_one_huge_group_leaves_no_shard_empty(spark):
     rows = [(i, "same text " * 30) for i in range(400)] + [(1000 + i, text(i, 20)) for i in range(400)]
     got = minimax_shards.shard_documents(docs(spark, rows), n_shards=8).groupBy("shard").count().collect()
     assert len(got) == 8
+
+
+def test_rows_that_stay_are_dealt_once(spark):
+    df = docs(spark, edge_rows())
+    above, found = [], 0
+    for line in bag_minhash.one_per_class(df)._jdf.queryExecution().executedPlan().toString().splitlines():
+        name = re.search(r"[A-Za-z]+", line)
+        while above and above[-1][0] >= name.start():
+            above.pop()
+        if "LeftSemi" in line:
+            found += 1
+            assert not [n for _, n in above if n.endswith("Exchange")]
+        above.append((name.start(), name[0]))
+    assert found == 1
