@@ -6,16 +6,24 @@ micro-batch, whatever the cutting into batches, as long as ``delay`` covers
 the disorder of the rows; later ones are dropped by the watermark and counted
 by ``late_rows``.  (Update mode would emit only the groups a batch changed, and
 per-window ranks over partial groups would be wrong.)
+
+The products of the open windows can be more than executors hold:
+``start_top_products`` keeps the rows of open windows as files and in Spark's
+state only which windows are open.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import contextlib
+import threading
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from salestide.functions.money import as_double, growth_pct
+from salestide.session import remove_path
 from salestide.streaming.common import (
     EVENT_TS, as_instant, as_wall_clock, set_trigger, with_event_time,
 )
@@ -29,13 +37,17 @@ def windowed_product_counts(items: DataFrame, event_time: str, window: str = "5
     timestamp of the item message).  ``watermarked`` means ``event_time``
     already is a zone-based column with a watermark (e.g. ``order_ts`` of
     ``items_with_order_time``), which is then used as it is."""
-    sold = F.count("quantity") if measure == "lines" else F.sum("quantity").cast("bigint")
     if watermarked:
         src, ts = items, F.col(event_time)
     else:
         src, ts = with_event_time(items, event_time, delay), F.col(EVENT_TS)
     return (src.groupBy(F.window(ts, window).alias("window"), "product_id")
-            .agg(sold.alias("sold_quantity")))
+            .agg(_sold(measure)))
+
+
+def _sold(measure: str) -> Column:
+    sold = F.count("quantity") if measure == "lines" else F.sum("quantity").cast("bigint")
+    return sold.alias("sold_quantity")
 
 
 def items_with_order_time(orders: DataFrame, items: DataFrame, item_time: str = "timestamp",
@@ -77,6 +89,11 @@ def rank_counts(counts: DataFrame, products: DataFrame | None = None, k: int = 1
     top = (counts.withColumn("rank", F.row_number().over(order))
            .filter(F.col("rank") <= k)
            .withColumn("rank", F.col("rank").cast("int")))
+    return with_names(top, products)
+
+
+def with_names(top: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """``top`` with the products' names; as it is without ``products``."""
     if products is None:
         return top
     names = products.select("product_id", "name").join(
@@ -100,16 +117,114 @@ def _idempotent_batch_writer(path: str, transform):
     return write
 
 
+OPEN_ROWS = "open_rows"     # in the checkpoint: the rows of windows that may be open, by micro-batch
+TOP_ROWS = "top_rows"       # in the checkpoint: the last micro-batch's ranked rows, before they get names
+_CLOSED = "_closed"
+STATE_TASKS = 4             # for a state of one row an open window
+_STARTING = threading.Lock()
+
+
+@contextlib.contextmanager
+def _state_tasks(spark: SparkSession, n: int):
+    """A stream started here has at most ``n`` tasks with state: it goes on
+    with the settings it was started with."""
+    key = "spark.sql.shuffle.partitions"
+    with _STARTING:
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(min(n, int(before))))
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
+
+
+def _rows_and_closed_windows(items: DataFrame, event_time: str, window: str, delay: str) -> DataFrame:
+    """The rows of an item stream (event time, product, quantity) and those
+    windows that the watermark closes, as rows of their start and, in
+    ``_CLOSED``, their end.  Times are in microseconds: Parquet has no
+    statistics of Spark's timestamps, by which reads skip what they don't need.
+
+    Spark's state holds a row an open window, whatever its products.  As for
+    any windowed aggregate, Spark counts the rows that come too late and runs
+    a last batch to close windows."""
+    timed = with_event_time(items, event_time, delay)
+    closed = (timed.groupBy(F.window(EVENT_TS, window).alias("window")).agg(F.count(F.lit(1)))
+              .select(F.unix_micros("window.start").alias(EVENT_TS), F.unix_micros("window.end").alias(_CLOSED)))
+    rows = timed.where(F.col(EVENT_TS).isNotNull()).select(
+        F.unix_micros(EVENT_TS).alias(EVENT_TS), "product_id", "quantity")
+    return rows.unionByName(closed, allowMissingColumns=True)
+
+
+def _top_products_writer(spark: SparkSession, out_path: str, checkpoint: str, products: DataFrame | None,
+                         window: str, k: int, measure: str):
+    """foreachBatch body over ``_rows_and_closed_windows``: keeps the rows as
+    files sorted by time, and counts and ranks the windows that close.
+
+    A closing window takes its rows of all batches; rows that came after it
+    had closed lie in no window that closes later.  Batch N is kept and
+    written as ``batch_id=N`` with overwrite, so a retried batch replaces its
+    own output instead of appending a second copy."""
+    path = f"{checkpoint}/{OPEN_ROWS}"
+    start = F.unix_micros(F.window(F.timestamp_micros(EVENT_TS), window).start).alias("window_start")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.sortWithinPartitions(EVENT_TS).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        kept = spark.read.schema(batch.schema).parquet(path)
+        closed = kept.where(F.col(_CLOSED).isNotNull() & (F.col("batch_id") == batch_id)).select(
+            F.col(EVENT_TS).alias("window_start"), F.col(_CLOSED).alias("window_end"))
+        low, high = closed.agg(F.min("window_start"), F.max("window_end")).first()
+        within = F.lit(False) if high is None else (F.col(EVENT_TS) >= low) & (F.col(EVENT_TS) < high)
+        counts = (kept.where(F.col(_CLOSED).isNull() & within).select(start, "product_id", "quantity")
+                  .groupBy("window_start", "product_id").agg(_sold(measure)))
+        top = rank_counts(counts, None, k).join(closed, "window_start").select(
+            *[as_wall_clock(F.timestamp_micros(c)).alias(c) for c in ("window_start", "window_end")],
+            "product_id", "sold_quantity", "rank")
+        if products is not None:        # k rows a window, read twice for their names
+            top.write.mode("overwrite").parquet(f"{checkpoint}/{TOP_ROWS}")
+            top = with_names(spark.read.schema(top.schema).parquet(f"{checkpoint}/{TOP_ROWS}"), products)
+        top.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        if high is not None:
+            _expire(kept, path, batch_id)
+    return write
+
+
+def _expire(kept: DataFrame, path: str, batch_id: int) -> None:
+    """Delete the kept batches all of whose rows lie in windows that had
+    closed before micro-batch ``batch_id`` (which takes none of them, should
+    it be retried)."""
+    before = kept.where(F.col("batch_id") < batch_id)
+    upto = before.where(F.col(_CLOSED).isNotNull()).agg(F.max(_CLOSED)).first()[0]
+    if upto is None:
+        return
+    waiting = before.where(F.col(_CLOSED).isNull() & (F.col(EVENT_TS) >= upto)).select("batch_id").distinct()
+    needed = {r.batch_id for r in waiting.collect()}        # one a kept batch
+    for n in {int(f.split("batch_id=")[-1].split("/")[0]) for f in kept.inputFiles()}:
+        if n < batch_id and n not in needed:
+            remove_path(kept.sparkSession, f"{path}/batch_id={n}")
+
+
 def start_top_products(items: DataFrame, out_path: str, checkpoint: str, event_time: str,
                        products: DataFrame | None = None, window: str = "5 minutes",
                        k: int = 10, delay: str = "10 minutes", measure: str = "lines",
                        trigger=None, watermarked: bool = False) -> StreamingQuery:
-    """ST2: top k products per closed window, appended batch by batch."""
-    counts = windowed_product_counts(items, event_time, window, delay, measure, watermarked)
-    writer = _idempotent_batch_writer(out_path, lambda b: rank_windows(b, products, k))
-    w = (counts.writeStream.outputMode("append").foreachBatch(writer)
+    """ST2: top k products per closed window, appended batch by batch.
+
+    Rows wait for their window's end as files in the checkpoint.  The stream
+    is read twice a batch for that (rows, and their windows), so a
+    ``watermarked`` one, which comes from a join with state of its own, keeps
+    its counts in Spark's state instead."""
+    if watermarked:
+        feed = windowed_product_counts(items, event_time, window, delay, measure, watermarked)
+        writer = _idempotent_batch_writer(out_path, lambda b: rank_windows(b, products, k))
+    else:
+        feed = _rows_and_closed_windows(items, event_time, window, delay)
+        writer = _top_products_writer(items.sparkSession, out_path, checkpoint, products, window, k, measure)
+    w = (feed.writeStream.outputMode("append").foreachBatch(writer)
          .option("checkpointLocation", checkpoint))
-    return set_trigger(w, trigger).start()
+    if watermarked:
+        return set_trigger(w, trigger).start()
+    with _state_tasks(items.sparkSession, STATE_TASKS):
+        return set_trigger(w, trigger).start()
 
 
 def start_product_counts(items: DataFrame, out_path: str, checkpoint: str, event_time: str,

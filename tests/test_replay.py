@@ -116,3 +116,60 @@ def test_a_row_as_old_as_the_watermark_is_landed_late(spark, tmp_path):
     assert streaming.late_rows(q) == 0
     whole = late.repair_copies(spark.read.parquet(str(tmp_path / "once")), aside, "id", "t")
     assert sorted(r.id for r in whole.collect()) == [1, 2, 3, 4]
+
+
+def sold_in_days(spark, tmp_path, batches, **options):
+    """start_top_products over (product, quantity, hour) rows, a file a
+    micro-batch: (query, [(day, product, sold, rank)], checkpoint)."""
+    path, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    schema = "product_id long, quantity int, t timestamp_ntz"
+    for rows in batches:
+        spark.createDataFrame([(p, q, None if h is None else START + dt.timedelta(hours=h)) for p, q, h in rows],
+                              schema).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    q = streaming.start_top_products(stream, out, ck, "t", window="1 day", delay="0 seconds", trigger="availableNow",
+                                     **options)
+    q.awaitTermination()
+    got = [((r.window_start - START).days, r.product_id, r.sold_quantity, r["rank"])
+           for r in spark.read.parquet(out).collect() if r.window_end - r.window_start == dt.timedelta(days=1)]
+    return q, sorted(got, key=lambda r: (r[0], r[3])), tmp_path / "ck"
+
+
+def test_state_of_top_products_holds_windows_not_products(spark, tmp_path):
+    # a product a row, but one that comes twice; days 0 and 1 in the first batch, 1 and 2 in the second
+    first = [(p, 1, p % 48) for p in range(2000)] + [(5, 1, 7)]
+    second = [(p, 1, 24 + p % 48) for p in range(2000)] + [(None, None, 70), (7, 1, None)]
+    q, got, ck = sold_in_days(spark, tmp_path, [first, second, [(1, 1, 72)]], k=2)
+    assert got == [(0, 5, 2, 1), (0, 0, 1, 2), (1, 0, 1, 1), (1, 1, 1, 2), (2, 24, 1, 1), (2, 25, 1, 2)]
+    assert max(op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]) <= 4
+    assert streaming.late_rows(q) == 0
+    # the rows of the first batch are gone once days 0 and 1 have closed
+    assert sorted(f.name for f in (ck / "open_rows").iterdir()) == ["batch_id=1", "batch_id=2", "batch_id=3"]
+
+
+def test_top_products_leave_out_and_count_late_rows(spark, tmp_path):
+    # in the last batch, days 0 (closed before) and 2 (nothing came in time) are late
+    batches = [[(1, 1, 1)], [(2, 1, 75)], [(3, 1, 80)], [(4, 5, 2), (5, 5, 50), (6, None, 90)], [(7, 1, 130)]]
+    q, got, _ = sold_in_days(spark, tmp_path, batches, measure="units")
+    assert got == [(0, 1, 1, 1), (3, 2, 1, 1), (3, 3, 1, 2), (3, 6, None, 3)]
+    assert streaming.late_rows(q) > 0
+
+
+def test_a_retried_batch_of_top_products_replaces_its_output(spark, tmp_path):
+    batches = [[(p, 1, 24 * n + p) for p in range(3)] * (n + 1) for n in range(6)]
+    _, got, ck = sold_in_days(spark, tmp_path, batches)
+    last = max(int(f.name) for f in (ck / "commits").iterdir() if f.name.isdigit())
+    for f in (f"{last}", f".{last}.crc"):       # as if the last batch had failed after its output
+        (ck / "commits" / f).unlink()
+    _, again, _ = sold_in_days(spark, tmp_path, [])
+    assert len(got) == 15 and again == got
+
+
+def test_a_stream_of_top_products_leaves_the_session_as_it_was(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        sold_in_days(spark, tmp_path, [[(1, 1, 1)], [(1, 1, 30)]])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
